@@ -16,6 +16,16 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
+def dim(df: DataFrame) -> DataFrame:
+    """Mark the small side of a join whose size is only known at run time (it is derived
+    by an aggregate). No hint is forced: adaptive execution measures the materialized
+    shuffle output and switches to a broadcast join only when it is under
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise the join stays a
+    sort-merge join (with skew splitting). Counting up front would re-run the upstream
+    plan, so it is reserved for base tables (``bounded_broadcast``)."""
+    return df
+
+
 def pick_first(df: DataFrame, keys: list, order: list, cols: list[str] | None = None) -> DataFrame:
     """Keep one row per key: the one with the smallest ``order`` tuple (remaining columns
     break ties, so the pick is deterministic). An aggregate, not a window: map-side

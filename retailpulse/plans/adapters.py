@@ -21,7 +21,7 @@ Derivations (fixed, deterministic):
                'old' (covered by aliases only): raw = p_name (upper-cased or padded for
                some keys), canonical = noun or full name, category from p_type,
                subcategory = p_brand (NULL for key % 17 = 0), synonym / typo / priority
-               from the key.
+               from the key ('cold' names are all misspellings).
   aliases      distinct normalized names with adjective 'old' -> noun.
   interest     one point per event: keyword = noun of part k (upper-cased when
                event_id % 3 = 0), value = events.value as the interest reading.
@@ -144,8 +144,8 @@ def dictionary_stage(spark: SparkSession, sf: str) -> DataFrame:
     canon = F.when(key % 4 == 0, F.col("p_name")).otherwise(noun)
     synonym = (F.when(key % 6 == 1, F.concat(noun, F.lit("s")))
                .when(key % 6 == 2, F.lit("")))
-    typo = (F.when(key % 9 == 0, F.lit(True)).when(key % 13 == 0, F.lit(None))
-             .otherwise(F.lit(False)))
+    typo = (F.when(first_word("p_name") == "cold", F.lit(True))
+            .when(key % 13 == 0, F.lit(None)).otherwise(key % 9 == 0))
     prio = F.when(key % 11 != 0, (F.lit(1) + key % 3)).cast("smallint")
     return p.select(raw.alias("keyword_raw"), canon.alias("keyword_canonica"),
                     category_of_type(F.col("p_type")).alias("categoria"),
@@ -219,3 +219,15 @@ def text_docs(spark: SparkSession, sf: str) -> DataFrame:
     pages = table(spark, sf, "pages").select(F.lit("pages").alias("source"),
                                              F.col("html").alias("text"))
     return docs.unionByName(pages)
+
+
+def seed_list(spark: SparkSession, sf: str) -> DataFrame:
+    """Keyword seed file: one line per part, position = p_partkey, written upper-case,
+    padded or blank for some keys."""
+    p = table(spark, sf, "part")
+    key = F.col("p_partkey")
+    kw = (F.when(key % 3 == 0, F.upper("p_name"))
+          .when(key % 5 == 1, F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")))
+          .when(key % 7 == 2, F.lit("  "))
+          .otherwise(F.col("p_name")))
+    return p.select(kw.alias("keyword"), key.alias("position"))

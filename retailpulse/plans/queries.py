@@ -79,3 +79,208 @@ def q_funnel_sales_daily(spark, sf):
     f = web.funnel_daily(A.raw_events(spark, sf))
     s = sales.sales_daily(A.bills(spark, sf, paid_day="web"))
     return _as(sales.funnel_sales_daily(f, s), {"revenue_total": "double"})
+
+
+# ----------------------------------------------------------- dictionary ----
+from ..operators import benchmark, dictionary as D, radar, signals  # noqa: E402
+from ..functions.text import norm_txt  # noqa: E402
+
+
+def _dim(spark, sf):
+    return D.dedupe_dictionary(A.dictionary_stage(spark, sf), trim=True)
+
+
+def _sdict(spark, sf):
+    return D.search_dictionary(_dim(spark, sf))
+
+
+def _terms(spark, sf):
+    return web.search_term_daily(A.search_events(spark, sf))
+
+
+def _mapped(spark, sf):
+    return D.map_terms_daily(_terms(spark, sf), _sdict(spark, sf))
+
+
+def _mapped_after(spark, sf):
+    return D.map_terms_daily_after(_terms(spark, sf), _sdict(spark, sf), A.aliases(spark, sf))
+
+
+@query("norm_text")
+def q_norm_text(spark, sf):
+    t = A.search_events(spark, sf).select("search_term").distinct()
+    return t.select("search_term", norm_txt("search_term").alias("norm"))
+
+
+@query("dictionary_dedupe")
+def q_dictionary_dedupe(spark, sf):
+    return D.dedupe_dictionary(A.dictionary_stage(spark, sf), trim=False)
+
+
+@query("dictionary_dedupe_trimmed")
+def q_dictionary_dedupe_trimmed(spark, sf):
+    return _dim(spark, sf)
+
+
+@query("search_dictionary")
+def q_search_dictionary(spark, sf):
+    return _sdict(spark, sf)
+
+
+@query("terms_mapped_daily")
+def q_terms_mapped_daily(spark, sf):
+    return _mapped(spark, sf)
+
+
+@query("terms_mapped_weekly")
+def q_terms_mapped_weekly(spark, sf):
+    return D.mapped_weekly(_terms(spark, sf), _sdict(spark, sf))
+
+
+@query("terms_unmapped_weekly")
+def q_terms_unmapped_weekly(spark, sf):
+    return D.unmapped_weekly(_terms(spark, sf), _sdict(spark, sf))
+
+
+@query("terms_mapped_daily_after")
+def q_terms_mapped_daily_after(spark, sf):
+    return _mapped_after(spark, sf)
+
+
+@query("terms_mapped_weekly_after")
+def q_terms_mapped_weekly_after(spark, sf):
+    return D.mapped_weekly_after(_mapped_after(spark, sf))
+
+
+@query("coverage_before")
+def q_coverage_before(spark, sf):
+    return D.coverage_weekly(_mapped(spark, sf))
+
+
+@query("coverage_after")
+def q_coverage_after(spark, sf):
+    return D.coverage_after_weekly(_mapped_after(spark, sf))
+
+
+@query("top_typos")
+def q_top_typos(spark, sf):
+    return D.top_typos_weekly(_mapped(spark, sf))
+
+
+# -------------------------------------------------------------- signals ----
+def _interest(spark, sf):
+    return signals.interest_weekly(A.interest_points(spark, sf))
+
+
+@query("interest_from_points")
+def q_interest_from_points(spark, sf):
+    return _interest(spark, sf)
+
+
+@query("interest_weekly_norm")
+def q_interest_weekly_norm(spark, sf):
+    return signals.interest_norm(_interest(spark, sf))
+
+
+@query("interest_dedupe")
+def q_interest_dedupe(spark, sf):
+    return signals.interest_dedupe(_interest(spark, sf))
+
+
+@query("calendar_weekly")
+def q_calendar_weekly(spark, sf):
+    return _as(signals.calendar_weekly(A.calendar(spark, sf), align="monday"),
+               {"is_campaign_week": "int"})
+
+
+@query("calendar_weekly_start")
+def q_calendar_weekly_start(spark, sf):
+    return _as(signals.calendar_weekly(A.calendar(spark, sf), align="start"),
+               {"is_campaign_week": "int"})
+
+
+@query("keyword_pick")
+def q_keyword_pick(spark, sf):
+    return signals.keyword_pick(_dim(spark, sf), 10)
+
+
+@query("seed_keywords")
+def q_seed_keywords(spark, sf):
+    return signals.seed_keywords(A.seed_list(spark, sf), "keyword", "position", 10)
+
+
+# ------------------------------------------------------------ benchmark ----
+def _bench(spark, sf):
+    return benchmark.price_benchmark(A.price_rows(spark, sf), 30)
+
+
+@query("price_benchmark")
+def q_price_benchmark(spark, sf):
+    return _bench(spark, sf)
+
+
+@query("category_weekly")
+def q_category_weekly(spark, sf):
+    return benchmark.category_weekly(A.price_rows(spark, sf))
+
+
+@query("text_terms")
+def q_text_terms(spark, sf):
+    return benchmark.text_terms(A.text_docs(spark, sf), 200)
+
+
+@query("benchmark_category")
+def q_benchmark_category(spark, sf):
+    return benchmark.benchmark_category(_bench(spark, sf), A.category_map(spark))
+
+
+# ---------------------------------------------------------------- radar ----
+def _signals(spark, sf):
+    return (signals.interest_norm(_interest(spark, sf)),
+            signals.calendar_weekly(A.calendar(spark, sf)),
+            benchmark.benchmark_category(_bench(spark, sf), A.category_map(spark)))
+
+
+RADAR_CASTS = {"trends_interest": "bigint", "is_campaign_week": "bigint", "rank_week": "bigint"}
+
+
+def _radar(spark, sf):
+    t, c, b = _signals(spark, sf)
+    return radar.radar_keyword(D.mapped_weekly(_terms(spark, sf), _sdict(spark, sf)), t, c, b)
+
+
+def _radar_after(spark, sf):
+    t, c, b = _signals(spark, sf)
+    return radar.radar_keyword(D.mapped_weekly_after(_mapped_after(spark, sf)), t, c, b)
+
+
+@query("radar_keyword")
+def q_radar_keyword(spark, sf):
+    return _as(_radar(spark, sf), RADAR_CASTS)
+
+
+@query("radar_keyword_after")
+def q_radar_keyword_after(spark, sf):
+    return _as(_radar_after(spark, sf), RADAR_CASTS)
+
+
+@query("radar_category")
+def q_radar_category(spark, sf):
+    return _as(radar.radar_category(_radar(spark, sf)),
+               {"is_campaign_week": "bigint", "rank_categoria": "bigint"})
+
+
+def _dashboard(spark, sf, rad):
+    cb = D.coverage_weekly(_mapped(spark, sf))
+    ca = D.coverage_after_weekly(_mapped_after(spark, sf))
+    return _as(radar.dashboard_weekly(rad, cb, ca), RADAR_CASTS)
+
+
+@query("dashboard")
+def q_dashboard(spark, sf):
+    return _dashboard(spark, sf, _radar(spark, sf))
+
+
+@query("dashboard_after")
+def q_dashboard_after(spark, sf):
+    return _dashboard(spark, sf, _radar_after(spark, sf))
