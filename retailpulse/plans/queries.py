@@ -82,28 +82,64 @@ def q_funnel_sales_daily(spark, sf):
 
 
 # ----------------------------------------------------------- dictionary ----
+from functools import cached_property  # noqa: E402
+
 from ..operators import benchmark, dictionary as D, radar, signals  # noqa: E402
 from ..functions.text import norm_txt  # noqa: E402
 
 
-def _dim(spark, sf):
-    return D.dedupe_dictionary(A.dictionary_stage(spark, sf), trim=True)
+class Inputs:
+    """Per-query inputs, each built once: consumers share the same DataFrame objects,
+    so every shared subtree is planned once and its exchanges are reused."""
 
+    def __init__(self, spark, sf):
+        self.spark, self.sf = spark, sf
 
-def _sdict(spark, sf):
-    return D.search_dictionary(_dim(spark, sf))
+    @cached_property
+    def dim(self):
+        return D.dedupe_dictionary(A.dictionary_stage(self.spark, self.sf), trim=True)
 
+    @cached_property
+    def sdict(self):
+        return D.search_dictionary(self.dim)
 
-def _terms(spark, sf):
-    return web.search_term_daily(A.search_events(spark, sf))
+    @cached_property
+    def terms(self):
+        return web.search_term_daily(A.search_events(self.spark, self.sf))
+
+    @cached_property
+    def mapped(self):
+        return D.map_terms_daily(self.terms, self.sdict)
+
+    @cached_property
+    def mapped_after(self):
+        return D.map_terms_daily_after(self.terms, self.sdict, A.aliases(self.spark, self.sf))
 
+    @cached_property
+    def interest(self):
+        return signals.interest_weekly(A.interest_points(self.spark, self.sf))
 
-def _mapped(spark, sf):
-    return D.map_terms_daily(_terms(spark, sf), _sdict(spark, sf))
+    @cached_property
+    def interest_norm(self):
+        return signals.interest_norm(self.interest)
 
+    @cached_property
+    def calendar_weekly(self):
+        return signals.calendar_weekly(A.calendar(self.spark, self.sf))
 
-def _mapped_after(spark, sf):
-    return D.map_terms_daily_after(_terms(spark, sf), _sdict(spark, sf), A.aliases(spark, sf))
+    @cached_property
+    def bench(self):
+        return benchmark.price_benchmark(A.price_rows(self.spark, self.sf), 30)
+
+    @cached_property
+    def bench_category(self):
+        return benchmark.benchmark_category(self.bench, A.category_map(self.spark))
+
+    def radar(self, after: bool = False):
+        kw = (D.mapped_weekly_after(self.mapped_after) if after
+              else D.mapped_weekly(self.terms, self.sdict))
+        return radar.radar_keyword(kw, self.interest_norm, self.calendar_weekly,
+                                   self.bench_category)
 
 
 @query("norm_text")
@@ -119,72 +155,70 @@ def q_dictionary_dedupe(spark, sf):
 
 @query("dictionary_dedupe_trimmed")
 def q_dictionary_dedupe_trimmed(spark, sf):
-    return _dim(spark, sf)
+    return Inputs(spark, sf).dim
 
 
 @query("search_dictionary")
 def q_search_dictionary(spark, sf):
-    return _sdict(spark, sf)
+    return Inputs(spark, sf).sdict
 
 
 @query("terms_mapped_daily")
 def q_terms_mapped_daily(spark, sf):
-    return _mapped(spark, sf)
+    return Inputs(spark, sf).mapped
 
 
 @query("terms_mapped_weekly")
 def q_terms_mapped_weekly(spark, sf):
-    return D.mapped_weekly(_terms(spark, sf), _sdict(spark, sf))
+    i = Inputs(spark, sf)
+    return D.mapped_weekly(i.terms, i.sdict)
 
 
 @query("terms_unmapped_weekly")
 def q_terms_unmapped_weekly(spark, sf):
-    return D.unmapped_weekly(_terms(spark, sf), _sdict(spark, sf))
+    i = Inputs(spark, sf)
+    return D.unmapped_weekly(i.terms, i.sdict)
 
 
 @query("terms_mapped_daily_after")
 def q_terms_mapped_daily_after(spark, sf):
-    return _mapped_after(spark, sf)
+    return Inputs(spark, sf).mapped_after
 
 
 @query("terms_mapped_weekly_after")
 def q_terms_mapped_weekly_after(spark, sf):
-    return D.mapped_weekly_after(_mapped_after(spark, sf))
+    return D.mapped_weekly_after(Inputs(spark, sf).mapped_after)
 
 
 @query("coverage_before")
 def q_coverage_before(spark, sf):
-    return D.coverage_weekly(_mapped(spark, sf))
+    return D.coverage_weekly(Inputs(spark, sf).mapped)
 
 
 @query("coverage_after")
 def q_coverage_after(spark, sf):
-    return D.coverage_after_weekly(_mapped_after(spark, sf))
+    return D.coverage_after_weekly(Inputs(spark, sf).mapped_after)
 
 
 @query("top_typos")
 def q_top_typos(spark, sf):
-    return D.top_typos_weekly(_mapped(spark, sf))
+    return D.top_typos_weekly(Inputs(spark, sf).mapped)
 
 
 # -------------------------------------------------------------- signals ----
-def _interest(spark, sf):
-    return signals.interest_weekly(A.interest_points(spark, sf))
-
-
 @query("interest_from_points")
 def q_interest_from_points(spark, sf):
-    return _interest(spark, sf)
+    return Inputs(spark, sf).interest
 
 
 @query("interest_weekly_norm")
 def q_interest_weekly_norm(spark, sf):
-    return signals.interest_norm(_interest(spark, sf))
+    return Inputs(spark, sf).interest_norm
 
 
 @query("interest_dedupe")
 def q_interest_dedupe(spark, sf):
-    return signals.interest_dedupe(_interest(spark, sf))
+    return signals.interest_dedupe(Inputs(spark, sf).interest)
 
 
 @query("calendar_weekly")
@@ -201,7 +235,7 @@ def q_calendar_weekly_start(spark, sf):
 
 @query("keyword_pick")
 def q_keyword_pick(spark, sf):
-    return signals.keyword_pick(_dim(spark, sf), 10)
+    return signals.keyword_pick(Inputs(spark, sf).dim, 10)
 
 
 @query("seed_keywords")
@@ -210,13 +244,9 @@ def q_seed_keywords(spark, sf):
 
 
 # ------------------------------------------------------------ benchmark ----
-def _bench(spark, sf):
-    return benchmark.price_benchmark(A.price_rows(spark, sf), 30)
-
-
 @query("price_benchmark")
 def q_price_benchmark(spark, sf):
-    return _bench(spark, sf)
+    return Inputs(spark, sf).bench
 
 
 @query("category_weekly")
@@ -231,56 +261,180 @@ def q_text_terms(spark, sf):
 
 @query("benchmark_category")
 def q_benchmark_category(spark, sf):
-    return benchmark.benchmark_category(_bench(spark, sf), A.category_map(spark))
+    return Inputs(spark, sf).bench_category
 
 
 # ---------------------------------------------------------------- radar ----
-def _signals(spark, sf):
-    return (signals.interest_norm(_interest(spark, sf)),
-            signals.calendar_weekly(A.calendar(spark, sf)),
-            benchmark.benchmark_category(_bench(spark, sf), A.category_map(spark)))
-
-
 RADAR_CASTS = {"trends_interest": "bigint", "is_campaign_week": "bigint", "rank_week": "bigint"}
 
 
-def _radar(spark, sf):
-    t, c, b = _signals(spark, sf)
-    return radar.radar_keyword(D.mapped_weekly(_terms(spark, sf), _sdict(spark, sf)), t, c, b)
-
-
-def _radar_after(spark, sf):
-    t, c, b = _signals(spark, sf)
-    return radar.radar_keyword(D.mapped_weekly_after(_mapped_after(spark, sf)), t, c, b)
-
-
 @query("radar_keyword")
 def q_radar_keyword(spark, sf):
-    return _as(_radar(spark, sf), RADAR_CASTS)
+    return _as(Inputs(spark, sf).radar(), RADAR_CASTS)
 
 
 @query("radar_keyword_after")
 def q_radar_keyword_after(spark, sf):
-    return _as(_radar_after(spark, sf), RADAR_CASTS)
+    return _as(Inputs(spark, sf).radar(after=True), RADAR_CASTS)
 
 
 @query("radar_category")
 def q_radar_category(spark, sf):
-    return _as(radar.radar_category(_radar(spark, sf)),
+    return _as(radar.radar_category(Inputs(spark, sf).radar()),
                {"is_campaign_week": "bigint", "rank_categoria": "bigint"})
 
 
-def _dashboard(spark, sf, rad):
-    cb = D.coverage_weekly(_mapped(spark, sf))
-    ca = D.coverage_after_weekly(_mapped_after(spark, sf))
-    return _as(radar.dashboard_weekly(rad, cb, ca), RADAR_CASTS)
+def _dashboard(spark, sf, after: bool):
+    i = Inputs(spark, sf)
+    cb = D.coverage_weekly(i.mapped)
+    ca = D.coverage_after_weekly(i.mapped_after)
+    return _as(radar.dashboard_weekly(i.radar(after), cb, ca), RADAR_CASTS)
 
 
 @query("dashboard")
 def q_dashboard(spark, sf):
-    return _dashboard(spark, sf, _radar(spark, sf))
+    return _dashboard(spark, sf, after=False)
 
 
 @query("dashboard_after")
 def q_dashboard_after(spark, sf):
-    return _dashboard(spark, sf, _radar_after(spark, sf))
+    return _dashboard(spark, sf, after=True)
+
+
+# --------------------------------------------------------- write / upsert ----
+from ..operators import quality as Q, upsert as U  # noqa: E402
+from ..functions.dates import parse_date_any  # noqa: E402
+from ..functions.numbers import safe_float  # noqa: E402
+from ..functions.schema import normalize_category  # noqa: E402
+from ..session import table  # noqa: E402
+
+# A first load that ends mid-day, and a re-sync window that overlaps it: the re-sync
+# must correct the partial day (upsert) or leave it (insert-if-absent).
+FIRST_LOAD_END = "2024-01-18 12:00:00"
+RESYNC_START = "2024-01-15 00:00:00"
+EVENT_KEYS = ["day", "event_name"]
+
+
+def _event_window(spark, sf, label, start=None, end=None):
+    ev = A.raw_events(spark, sf)
+    if start:
+        ev = ev.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
+    if end:
+        ev = ev.where(F.col("ts") < F.lit(end).cast("timestamp_ntz"))
+    return web.event_daily(ev).withColumn("source_batch", F.lit(label))
+
+
+@query("upsert_replace")
+def q_upsert_replace(spark, sf):
+    target = _event_window(spark, sf, "initial", end=FIRST_LOAD_END)
+    batch = _event_window(spark, sf, "resync", start=RESYNC_START)
+    return U.upsert(target, batch, EVENT_KEYS)
+
+
+@query("insert_if_absent")
+def q_insert_if_absent(spark, sf):
+    target = _event_window(spark, sf, "initial", end=FIRST_LOAD_END)
+    batch = _event_window(spark, sf, "resync", start=RESYNC_START)
+    return U.insert_if_absent(target, batch, EVENT_KEYS)
+
+
+@query("delete_insert")
+def q_delete_insert(spark, sf):
+    terms = A.search_events(spark, sf)
+    target = (web.search_term_daily(terms.where(F.col("day") < F.lit("2024-01-18").cast("date")))
+              .withColumn("source_batch", F.lit("initial")))
+    batch = (web.search_term_daily(terms.where(F.col("day") >= F.lit("2024-01-15").cast("date")))
+             .withColumn("source_batch", F.lit("resync")))
+    return U.replace_by_key(target, batch, ["day"])
+
+
+# -------------------------------------------------------------- quality ----
+@query("quality_domain")
+def q_quality_domain(spark, sf):
+    ev = table(spark, sf, "events")
+    v = Q.violations(ev, {"interest_range": F.col("value").between(0, 100)}, ["event_id"], "value")
+    stg = A.dictionary_stage(spark, sf)
+    p = Q.violations(stg, {"priority_set": F.col("prioridad").isin(1, 2, 3)},
+                     ["keyword_raw"], "prioridad")
+    cal = A.calendar(spark, sf)
+    c = Q.violations(cal, {"calendar_priority": F.col("prioridad").between(1, 5),
+                           "calendar_range": F.col("start_date") <= F.col("end_date"),
+                           "calendar_type": F.col("event_type").isin(
+                               "SEASON", "CAMPAIGN", "HOLIDAY", "OTHER")},
+                     ["event_name"], "prioridad")
+    return v.unionByName(p).unionByName(c)
+
+
+@query("quality_unique")
+def q_quality_unique(spark, sf):
+    stg = A.dictionary_stage(spark, sf)
+    return Q.duplicates(stg, [F.lower("keyword_raw").alias("keyword_key")])
+
+
+@query("quality_nulls")
+def q_quality_nulls(spark, sf):
+    return Q.null_counts(A.dictionary_stage(spark, sf))
+
+
+@query("column_profile")
+def q_column_profile(spark, sf):
+    return Q.profile(A.dictionary_stage(spark, sf))
+
+
+SANITY_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
+                 "events", "documents", "embeddings", "pages", "benchmark", "labels",
+                 "conversations"]
+
+
+@query("sanity_counts")
+def q_sanity_counts(spark, sf):
+    ds = {t: table(spark, sf, t) for t in SANITY_TABLES}
+    ds["sales_daily"] = sales.sales_daily(A.bills(spark, sf))
+    return Q.sanity_counts(ds)
+
+
+@query("latest_n")
+def q_latest_n(spark, sf):
+    sd = _as(sales.sales_daily(A.bills(spark, sf)), MONEY_SALES)
+    return Q.latest_n(sd, [F.col("day").desc()], 5)
+
+
+# -------------------------------------------------------------- parsing ----
+@query("category_normalize")
+def q_category_normalize(spark, sf):
+    p = table(spark, sf, "part")
+    parts = [p.select(F.lit(kind).alias("kind"),
+                      normalize_category(F.col(c).cast("string"), kind).alias("category_norm"))
+             for c, kind in (("p_type", "category"), ("p_brand", "category_code"),
+                             ("p_size", "category_id"))]
+    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return out.where(F.col("category_norm") != "").distinct()
+
+
+def _k_text():
+    return F.get_json_object("props", "$.k")
+
+
+@query("safe_float")
+def q_safe_float(spark, sf):
+    ev = table(spark, sf, "events")
+    k = _k_text()
+    v = F.col("event_id") % 4
+    raw = (F.when(v == 0, F.concat(k, F.lit(",5"))).when(v == 1, F.concat(F.lit(" "), k, F.lit(" ")))
+           .when(v == 2, F.lit("")).otherwise(F.concat(k, F.lit("x"))))
+    t = ev.select("event_id", raw.alias("raw_text"))
+    return t.select("event_id", "raw_text", safe_float("raw_text").alias("value"))
+
+
+@query("parse_date_any")
+def q_parse_date_any(spark, sf):
+    ev = table(spark, sf, "events")
+    v = F.col("event_id") % 5
+    ts = F.col("ts")
+    raw = (F.when(v == 0, F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")))
+           .when(v == 1, F.concat(F.lit("order on "), F.date_format(ts, "yyyy-MM-dd")))
+           .when(v == 2, F.lit("no date"))
+           .when(v == 3, F.concat(F.date_format(ts, "yyyy-MM-dd"), F.lit("T10:00:00Z")))
+           .otherwise(F.concat(F.date_format(ts, "yyyy"), F.lit("-13-"), F.date_format(ts, "dd"))))
+    t = ev.select("event_id", raw.alias("raw_text"))
+    return t.select("event_id", "raw_text", parse_date_any("raw_text").alias("parsed"))
