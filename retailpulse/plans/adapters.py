@@ -231,3 +231,120 @@ def seed_list(spark: SparkSession, sf: str) -> DataFrame:
           .when(key % 7 == 2, F.lit("  "))
           .otherwise(F.col("p_name")))
     return p.select(kw.alias("keyword"), key.alias("position"))
+
+
+# ------------------------------------------------------------------------------------
+# File drops written from the tables (under the shared checkpoint folder), so that the
+# file readers run over data that grows with the tables.
+
+def write_csv_drop(spark: SparkSession, sf: str) -> str:
+    """Two CSV sources: 'purchases' (';'-separated, all text: event_time with ' UTC',
+    comma decimals on line 4, 'n/a' price on line 5, blank category on line 3, blank
+    time on line 6) and 'descriptions' (',' separated, HTML-ish product text)."""
+    from ..session import scratch_path
+    root = scratch_path(spark, "csv-drop")
+    li = table(spark, sf, "lineitem")
+    part = table(spark, sf, "part")
+    j = li.join(part, li.l_partkey == part.p_partkey)
+    ln = F.col("l_linenumber")
+    price = F.col("l_extendedprice").cast("string")
+    code = F.concat(F.lower("p_type"), F.lit("."), F.lower(last_word("p_name")))
+    purchases = j.select(
+        F.when(ln == 6, F.lit("")).otherwise(
+            F.concat(F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))).alias("event_time"),
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("p_size").cast("string").alias("category_id"),
+        F.when(ln == 3, F.lit("")).otherwise(code).alias("category_code"),
+        F.col("p_brand").alias("brand"),
+        F.when(ln == 4, F.replace(price, F.lit("."), F.lit(",")))
+         .when(ln == 5, F.lit("n/a")).otherwise(price).alias("price"),
+        F.col("l_suppkey").cast("string").alias("user_id"))
+    purchases.write.option("header", True).option("sep", ";").csv(f"{root}/purchases")
+    desc = part.select(F.col("p_partkey").cast("string").alias("id"),
+                       F.concat(F.lit("<p>"), F.col("p_name"), F.lit(" &amp; "), F.col("p_brand"),
+                                F.lit("</p>")).alias("description"))
+    desc.write.option("header", True).csv(f"{root}/descriptions")
+    return root
+
+
+def write_interest_exports(spark: SparkSession, sf: str) -> str:
+    """One export file per keyword (noun): preamble, blank line, header
+    ('Semana;<kw>: (Perú)' or 'Week,<kw>: (Peru)'), one row per day with the floor of
+    the day's mean event value ('<1' for 0), a blank line inside the block, a text row
+    that ends the block, and a date row after it that must be ignored."""
+    from ..session import scratch_path
+    root = scratch_path(spark, "interest-exports")
+    ev = table(spark, sf, "events").select("ts", "value", _event_k().alias("k"))
+    part = table(spark, sf, "part").select("p_partkey", "p_name")
+    j = ev.join(part, ev.k == part.p_partkey)
+    daily = (j.groupBy(last_word("p_name").alias("kw"), F.to_date("ts").alias("day"))
+             .agg(F.floor(F.avg("value")).cast("bigint").alias("v")))
+    sep = F.when(F.length("kw") % 2 == 0, F.lit(";")).otherwise(F.lit(","))
+    day_txt = F.date_format("day", "yyyy-MM-dd")
+    val_txt = F.when(F.col("v") == 0, F.lit("<1")).otherwise(F.col("v").cast("string"))
+    rows = daily.select("kw", (F.datediff("day", F.lit("2000-01-01").cast("date")) * 2 + 10)
+                        .alias("ord"), F.concat(day_txt, sep, val_txt).alias("line"))
+    kws = daily.select("kw").distinct()
+    header = F.when(F.length("kw") % 2 == 0, F.concat(F.lit("Semana;"), F.col("kw"), F.lit(": (Perú)"))) \
+              .otherwise(F.concat(F.lit("Week,"), F.col("kw"), F.lit(": (Peru)")))
+    extra = kws.select("kw", F.explode(F.array(
+        F.struct(F.lit(0).alias("ord"), F.lit("Category: All categories").alias("line")),
+        F.struct(F.lit(1).alias("ord"), F.lit("").alias("line")),
+        F.struct(F.lit(2).alias("ord"), header.alias("line")),
+        F.struct(F.lit(11).alias("ord"), F.lit("").alias("line")),
+        F.struct(F.lit(10 ** 9).alias("ord"), F.concat(F.lit("Notes"), sep, F.lit("end of data")).alias("line")),
+        F.struct(F.lit(10 ** 9 + 1).alias("ord"), F.concat(F.lit("2030-01-07"), sep, F.lit("99")).alias("line")),
+    )).alias("e")).select("kw", "e.ord", "e.line")
+    lines = rows.unionByName(extra)
+    (lines.repartition("kw").sortWithinPartitions("kw", "ord").select("kw", "line")
+     .write.partitionBy("kw").option("sep", "\t").option("quote", "").option("emptyValue", "")
+     .option("header", False)
+     .csv(root))
+    return root
+
+
+def marketplace_search_json(spark: SparkSession, sf: str) -> DataFrame:
+    """One landed search response per line item (keyword = noun, week of the ship
+    date): three numeric prices and a null one; category filters vary with the line
+    number (none / one / a blank-id one after a brand filter)."""
+    li = table(spark, sf, "lineitem")
+    part = table(spark, sf, "part")
+    j = li.join(part, li.l_partkey == part.p_partkey)
+    p = F.col("l_extendedprice")
+    item = lambda price, cat: F.struct(price.alias("price"), cat.alias("category_id"))
+    results = F.array(item(p, F.col("p_type")), item(F.lit(None).cast("double"), F.lit("X")),
+                      item(p * (1 - F.col("l_discount")), F.col("p_type")),
+                      item(p * (1 + F.col("l_tax")), F.col("p_type")))
+    val = lambda i, n: F.struct(i.alias("id"), n.alias("name"))
+    flt = lambda fid, vals: F.struct(F.lit(fid).alias("id"), vals.alias("values"))
+    cat_filter = flt("category", F.array(val(F.concat(F.lit("C"), F.col("p_size").cast("string")),
+                                             category_of_type(F.col("p_type")))))
+    blank_filter = flt("category", F.array(val(F.lit(""), F.lit("ZZ"))))
+    brand_filter = flt("brand", F.array(val(F.col("p_brand"), F.col("p_brand"))))
+    ln = F.col("l_linenumber") % 3
+    filters = (F.when(ln == 0, F.array_remove(F.array(brand_filter), brand_filter))
+               .when(ln == 1, F.array(cat_filter))
+               .otherwise(F.array(brand_filter, blank_filter)))
+    doc = F.to_json(F.struct(F.struct(F.col("l_quantity").cast("bigint").alias("total")).alias("paging"),
+                             results.alias("results"), filters.alias("filters")))
+    return j.select(F.trunc(F.to_date("l_shipdate"), "week").alias("week_start"),
+                    last_word("p_name").alias("keyword_canonica"), F.lit("MPE").alias("site_id"),
+                    (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("fetch_order"),
+                    doc.alias("json"))
+
+
+def marketplace_trends_json(spark: SparkSession, sf: str) -> DataFrame:
+    """One landed trending response per line item: [noun with url, blank, padded brand]."""
+    li = table(spark, sf, "lineitem")
+    part = table(spark, sf, "part")
+    j = li.join(part, li.l_partkey == part.p_partkey)
+    noun = last_word("p_name")
+    e = lambda k, u: F.struct(k.alias("keyword"), u.alias("url"))
+    arr = F.array(e(noun, F.concat(F.lit("https://trends.example/"), noun)),
+                  e(F.lit(""), F.lit(None).cast("string")),
+                  e(F.concat(F.lit(" "), F.col("p_brand"), F.lit(" ")), F.lit("")))
+    return j.select(F.trunc(F.to_date("l_shipdate"), "week").alias("week_start"),
+                    F.lit("MPE").alias("site_id"), F.lit("").alias("category_id"),
+                    (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("fetch_order"),
+                    F.to_json(arr).alias("json"))

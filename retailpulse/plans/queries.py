@@ -438,3 +438,50 @@ def q_parse_date_any(spark, sf):
            .otherwise(F.concat(F.date_format(ts, "yyyy"), F.lit("-13-"), F.date_format(ts, "dd"))))
     t = ev.select("event_id", raw.alias("raw_text"))
     return t.select("event_id", "raw_text", parse_date_any("raw_text").alias("parsed"))
+
+
+# ---------------------------------------------------------------- files ----
+from ..sources import csv as CSV  # noqa: E402
+from ..sources.interest_export import read_interest_exports  # noqa: E402
+from ..operators import marketplace as M  # noqa: E402
+
+
+@query("csv_price_benchmark")
+def q_csv_price_benchmark(spark, sf):
+    return CSV.build_curated(spark, A.write_csv_drop(spark, sf))["price_benchmark"]
+
+
+@query("csv_category_weekly")
+def q_csv_category_weekly(spark, sf):
+    return CSV.build_curated(spark, A.write_csv_drop(spark, sf))["category_weekly"]
+
+
+@query("csv_text_terms")
+def q_csv_text_terms(spark, sf):
+    return CSV.build_curated(spark, A.write_csv_drop(spark, sf))["text_terms"]
+
+
+@query("interest_export_files")
+def q_interest_export_files(spark, sf):
+    weekly, _status = read_interest_exports(spark, A.write_interest_exports(spark, sf))
+    return weekly
+
+
+MARKET_COLUMNS = ["week_start", "keyword_canonica", "site_id", "results_total", "price_median",
+                  "price_p25", "price_p75", "top_category_id", "top_category_name"]
+
+
+@query("marketplace_weekly")
+def q_marketplace_weekly(spark, sf):
+    parsed = M.parse_search_responses(A.marketplace_search_json(spark, sf))
+    latest = U._dedupe_last(parsed.select(*MARKET_COLUMNS, "fetch_order"),
+                            ["week_start", "keyword_canonica", "site_id"], ["fetch_order"])
+    return latest.select(*MARKET_COLUMNS)
+
+
+@query("marketplace_trends")
+def q_marketplace_trends(spark, sf):
+    ranked = M.parse_trend_responses(A.marketplace_trends_json(spark, sf))
+    ranked = ranked.withColumn("url", F.nullif(F.col("url"), F.lit("")))
+    latest = U._dedupe_last(ranked, ["week_start", "site_id", "category_id", "rank"], ["fetch_order"])
+    return latest.select("week_start", "site_id", "category_id", "rank", "keyword", "url")
