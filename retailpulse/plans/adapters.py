@@ -109,7 +109,11 @@ def _event_k() -> Column:
 
 
 def raw_events(spark: SparkSession, sf: str) -> DataFrame:
-    ev = table(spark, sf, "events")
+    return web_events(table(spark, sf, "events"))
+
+
+def web_events(ev: DataFrame) -> DataFrame:
+    """Benchmark events (batch or streaming) -> web events with funnel names."""
     name = F.lit(None).cast("string")
     for src, dst in EVENT_NAME_MAP.items():
         name = F.when(F.col("event_type") == src, F.lit(dst)).otherwise(name)

@@ -485,3 +485,16 @@ def q_marketplace_trends(spark, sf):
     ranked = ranked.withColumn("url", F.nullif(F.col("url"), F.lit("")))
     latest = U._dedupe_last(ranked, ["week_start", "site_id", "category_id", "rank"], ["fetch_order"])
     return latest.select("week_start", "site_id", "category_id", "rank", "keyword", "url")
+
+
+# ------------------------------------------------------------ streaming ----
+from ..session import scratch_path  # noqa: E402
+from ..streaming.event_daily import run_event_daily_stream  # noqa: E402
+
+
+@query("event_daily_stream")
+def q_event_daily_stream(spark, sf):
+    """The events table replayed as a file stream; approximate users/sessions."""
+    return run_event_daily_stream(spark, sf, scratch_path(spark, "event-daily"),
+                                  scratch_path(spark, "event-daily-ckpt"), A.web_events,
+                                  glob="events.parquet")
