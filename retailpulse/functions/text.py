@@ -67,16 +67,25 @@ def label_with_count(term, n) -> Column:
     return F.concat(_c(term), F.lit(" ("), _c(n).cast("string"), F.lit(")"))
 
 
-def tokenize(c) -> Column:
-    """Product-text tokens: drop <tags>, keep [a-zA-Z0-9 ], lower-case, split on spaces,
-    keep tokens of 3..20 chars that are not stopwords and not all digits."""
+def token_text(c) -> Column:
+    """Product text reduced to lower-case ASCII words separated by spaces (tags dropped)."""
     t = F.regexp_replace(_c(c), "<[^>]+>", " ")
-    t = F.lower(F.regexp_replace(t, "[^a-zA-Z0-9 ]+", " "))
-    stop = F.array(*[F.lit(w) for w in STOPWORDS_EN + DOMAIN_STOPWORDS])
-    return F.filter(
-        F.split(t, " "),
-        lambda w: (F.length(w) >= TOKEN_MIN_LEN) & (F.length(w) <= TOKEN_MAX_LEN)
-        & ~F.array_contains(stop, w) & ~w.rlike("^[0-9]+$"))
+    return F.lower(F.regexp_replace(t, "[^a-zA-Z0-9 ]+", " "))
+
+
+def keep_token(w) -> Column:
+    """Token filter: 3..20 chars, not a stopword, not all digits (plain predicates, so
+    they compile with the rest of the stage)."""
+    w = _c(w)
+    return ((F.length(w) >= TOKEN_MIN_LEN) & (F.length(w) <= TOKEN_MAX_LEN)
+            & ~w.isin(*(STOPWORDS_EN + DOMAIN_STOPWORDS)) & ~w.rlike("^[0-9]+$"))
+
+
+def tokenize(c) -> Column:
+    """Token array of a text (same rules as ``token_text`` + ``keep_token``). For large
+    inputs prefer exploding ``split(token_text(c), ' ')`` and filtering with
+    ``keep_token``: lambdas of higher-order functions are interpreted per element."""
+    return F.filter(F.split(token_text(c), " "), keep_token)
 
 
 def first_word(c) -> Column:

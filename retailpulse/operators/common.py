@@ -16,6 +16,15 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if n <= max_rows else df
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy per-row work (regex tokenizing, JSON and CSV parsing) at least as
+    many tasks as the cluster has cores. Only when the input arrives in fewer
+    partitions (a few large files or row groups) is it redistributed round-robin; on a
+    large, widely split input this is a no-op and adds no shuffle."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def dim(df: DataFrame) -> DataFrame:
     """Mark the small side of a join whose size is only known at run time (it is derived
     by an aggregate). No hint is forced: adaptive execution measures the materialized

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .common import spread
+
 SEARCH_SCHEMA = ("paging STRUCT<total: BIGINT>, "
                  "results ARRAY<STRUCT<price: DOUBLE, category_id: STRING>>, "
                  "filters ARRAY<STRUCT<id: STRING, values: ARRAY<STRUCT<id: STRING, name: STRING>>>>")
@@ -37,31 +39,33 @@ def parse_search_responses(df: DataFrame, json_col: str = "json", pick: str = "l
     category, overridden by the 'category' filter (``pick='last'``: every matching
     filter overrides in turn, field by field, when its value is non-blank;
     ``pick='first'``: the first matching filter only, without the item fallback)."""
-    r = F.from_json(F.col(json_col), SEARCH_SCHEMA)
-    prices = F.array_sort(F.filter(F.transform(r["results"], lambda x: x["price"]),
-                                   lambda p: p.isNotNull()))
+    # Parse once into a column; every derived value reads that column (referencing
+    # the from_json expression itself would re-parse the document per use).
+    parsed = spread(df).withColumn("_r", F.from_json(F.col(json_col), SEARCH_SCHEMA))
+    r = F.col("_r")
+    # results.price projects the field over the array; compact + sort_array are
+    # compiled built-ins (lambda-based array functions are interpreted per element).
+    prices = F.sort_array(F.array_compact(r["results"]["price"]))
     cat_filters = F.filter(r["filters"], lambda f: (f["id"] == "category")
                            & (F.coalesce(F.size(f["values"]), F.lit(0)) > 0))
     if pick == "first":
         first = F.element_at(cat_filters, 1)
-        top_id = first["values"][0]["id"]
-        top_name = first["values"][0]["name"]
+        top = F.struct(first["values"][0]["id"].alias("id"), first["values"][0]["name"].alias("name"))
     else:
         start = F.struct(F.element_at(r["results"], 1)["category_id"].alias("id"),
                          F.lit(None).cast("string").alias("name"))
-        folded = F.aggregate(cat_filters, start, lambda acc, f: F.struct(
+        top = F.aggregate(cat_filters, start, lambda acc, f: F.struct(
             F.coalesce(_truthy(f["values"][0]["id"]), acc["id"]).alias("id"),
             F.coalesce(_truthy(f["values"][0]["name"]), acc["name"]).alias("name")))
-        top_id, top_name = folded["id"], folded["name"]
-    parsed = df.withColumn("_r", r).withColumn("_prices", prices)
-    return (parsed
-            .withColumn("results_total", F.coalesce(F.col("_r.paging.total"), F.lit(0)))
-            .withColumn("price_median", array_percentile(F.col("_prices"), 0.5))
-            .withColumn("price_p25", array_percentile(F.col("_prices"), 0.25))
-            .withColumn("price_p75", array_percentile(F.col("_prices"), 0.75))
-            .withColumn("top_category_id", top_id.alias("top_category_id"))
-            .withColumn("top_category_name", top_name.alias("top_category_name"))
-            .drop("_r", "_prices"))
+    staged = parsed.select(*df.columns, F.coalesce(r["paging"]["total"], F.lit(0)).alias("results_total"),
+                           prices.alias("_prices"), top.alias("_top"))
+    s = F.col("_prices")
+    return staged.select(*df.columns, "results_total",
+                         array_percentile(s, 0.5).alias("price_median"),
+                         array_percentile(s, 0.25).alias("price_p25"),
+                         array_percentile(s, 0.75).alias("price_p75"),
+                         F.col("_top.id").alias("top_category_id"),
+                         F.col("_top.name").alias("top_category_name"))
 
 
 def parse_trend_responses(df: DataFrame, json_col: str = "json",
@@ -70,7 +74,7 @@ def parse_trend_responses(df: DataFrame, json_col: str = "json",
     entries; blank keywords are skipped but keep their rank slot), keyword, url."""
     arr = F.from_json(F.col(json_col), TRENDS_SCHEMA)
     rest = [c for c in df.columns if c != json_col]
-    e = df.select(*rest, F.posexplode(arr).alias("_pos", "_e"))
+    e = spread(df).select(*rest, F.posexplode(arr).alias("_pos", "_e"))
     kw = F.trim(F.coalesce(F.col("_e.keyword"), F.lit("")))
     return (e.where((F.col("_pos") < max_entries) & (kw != ""))
             .select(*rest, (F.col("_pos") + 1).cast("smallint").alias("rank"), kw.alias("keyword"),

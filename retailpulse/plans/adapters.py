@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import table
 from ..functions.text import first_word, last_word
+from ..operators.common import spread
 
 # Map from the benchmark event types to web funnel event names.
 EVENT_NAME_MAP = {"signup": "session_start", "view": "view_item", "click": "add_to_cart",
@@ -247,7 +248,7 @@ def write_csv_drop(spark: SparkSession, sf: str) -> str:
     time on line 6) and 'descriptions' (',' separated, HTML-ish product text)."""
     from ..session import scratch_path
     root = scratch_path(spark, "csv-drop")
-    li = table(spark, sf, "lineitem")
+    li = spread(table(spark, sf, "lineitem"))
     part = table(spark, sf, "part")
     j = li.join(part, li.l_partkey == part.p_partkey)
     ln = F.col("l_linenumber")
@@ -312,7 +313,7 @@ def marketplace_search_json(spark: SparkSession, sf: str) -> DataFrame:
     """One landed search response per line item (keyword = noun, week of the ship
     date): three numeric prices and a null one; category filters vary with the line
     number (none / one / a blank-id one after a brand filter)."""
-    li = table(spark, sf, "lineitem")
+    li = spread(table(spark, sf, "lineitem"))
     part = table(spark, sf, "part")
     j = li.join(part, li.l_partkey == part.p_partkey)
     p = F.col("l_extendedprice")
@@ -340,7 +341,7 @@ def marketplace_search_json(spark: SparkSession, sf: str) -> DataFrame:
 
 def marketplace_trends_json(spark: SparkSession, sf: str) -> DataFrame:
     """One landed trending response per line item: [noun with url, blank, padded brand]."""
-    li = table(spark, sf, "lineitem")
+    li = spread(table(spark, sf, "lineitem"))
     part = table(spark, sf, "part")
     j = li.join(part, li.l_partkey == part.p_partkey)
     noun = last_word("p_name")

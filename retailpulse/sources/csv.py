@@ -14,6 +14,7 @@ from ..functions.dates import parse_date_any
 from ..functions.numbers import safe_float
 from ..functions.schema import clean_header, normalize_category, resolve_columns
 from ..operators import benchmark
+from ..operators.common import spread
 
 # Delimiter candidates, in tie-break order.
 DELIMITERS = [",", ";", "\t", "|"]
@@ -60,6 +61,7 @@ def curated_from_drop(df: DataFrame, source: str, min_samples: int = 30,
     """Resolve price/date/category/text columns of one source and build its price
     benchmark, weekly category demand and text terms (absent parts are omitted)."""
     cols = resolve_columns(df.columns)
+    df = spread(df)
     out: dict[str, DataFrame] = {}
     src = F.lit(source)
     if cols["text"]:
