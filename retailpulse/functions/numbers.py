@@ -35,9 +35,11 @@ def interest_value(c) -> Column:
     Unparseable (including NaN / Infinity) -> NULL, i.e. the point is skipped."""
     s = F.regexp_replace(F.trim(_c(c).cast("string")), '^"+|"+$', "")
     x = F.when(s.rlike(NUMERIC_RE), s.try_cast("double"))
-    clamped = F.greatest(F.lit(0.0), F.least(F.lit(100.0), x))
-    return F.when(s == "<1", F.lit(0)).otherwise(clamped.cast("int"))
+    return F.when(s == "<1", F.lit(0)).otherwise(clamp(x, 0.0, 100.0).cast("int"))
 
 
 def clamp(c, lo, hi) -> Column:
-    return F.greatest(F.lit(lo), F.least(F.lit(hi), _c(c)))
+    """lo <= c <= hi; NULL stays NULL (least/greatest alone would skip the NULL and
+    return a bound)."""
+    c = _c(c)
+    return F.when(c.isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), c)))

@@ -24,8 +24,8 @@ def array_percentile(sorted_values: Column, p: float) -> Column:
     k = (n - 1).cast("double") * F.lit(p)
     f = F.floor(k).cast("int")
     c = F.least(f + 1, n - 1)
-    lo = F.element_at(sorted_values, f + 1)
-    hi = F.element_at(sorted_values, c + 1)
+    lo = F.try_element_at(sorted_values, f + 1)
+    hi = F.try_element_at(sorted_values, c + 1)
     return F.when(n > 0, F.when(f == c, lo).otherwise(lo + (hi - lo) * (k - f)))
 
 
@@ -49,10 +49,10 @@ def parse_search_responses(df: DataFrame, json_col: str = "json", pick: str = "l
     cat_filters = F.filter(r["filters"], lambda f: (f["id"] == "category")
                            & (F.coalesce(F.size(f["values"]), F.lit(0)) > 0))
     if pick == "first":
-        first = F.element_at(cat_filters, 1)
+        first = F.try_element_at(cat_filters, F.lit(1))
         top = F.struct(first["values"][0]["id"].alias("id"), first["values"][0]["name"].alias("name"))
     else:
-        start = F.struct(F.element_at(r["results"], 1)["category_id"].alias("id"),
+        start = F.struct(F.try_element_at(r["results"], F.lit(1))["category_id"].alias("id"),
                          F.lit(None).cast("string").alias("name"))
         top = F.aggregate(cat_filters, start, lambda acc, f: F.struct(
             F.coalesce(_truthy(f["values"][0]["id"]), acc["id"]).alias("id"),
