@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.numbers import round_half_up
 from ..functions.text import keep_token, norm_txt, token_text
 from .common import bounded_broadcast, spread
+from .quantiles import exact_percentiles
 
 PROBS = (0.25, 0.5, 0.75)
 
@@ -16,10 +17,14 @@ def grouped_percentiles(df: DataFrame, keys: list[str], value: str,
                         accuracy: int = 10000) -> DataFrame:
     """keys, n, p_<i>: linear-interpolated percentiles ((n - 1) * p rule).
 
-    ``exact`` uses Spark's ``percentile`` aggregate (partial value->count maps merged per
-    group: memory grows with the *distinct* values of a group, not its rows);
-    ``approx`` uses ``percentile_approx`` (bounded sketch per group) for very wide groups.
+    ``exact``: order statistics over range-partitioned distinct values
+    (operators/quantiles.py): exact, and a hot group is spread over many tasks.
+    ``aggregate``: Spark's ``percentile`` aggregate; exact and fewer stages, but the
+    value->count map of a group is merged in one task (fine for narrow groups).
+    ``approx``: ``percentile_approx`` with a bounded sketch per group.
     """
+    if method == "exact":
+        return exact_percentiles(df, keys, value, probs)
     v = F.col(value)
     if method == "approx":
         p = F.percentile_approx(v, list(probs), accuracy)
