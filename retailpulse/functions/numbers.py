@@ -43,3 +43,12 @@ def clamp(c, lo, hi) -> Column:
     return a bound)."""
     c = _c(c)
     return F.when(c.isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), c)))
+
+
+def price_value(c) -> Column:
+    """A price stored as a number, numeric text, or a JSON scalar / {"price": x} text
+    -> double (NULL when none of these parse)."""
+    t = F.trim(_c(c).cast("string"))
+    return F.coalesce(safe_float(t),
+                      safe_float(F.get_json_object(t, "$.price")),
+                      safe_float(F.regexp_replace(t, '^"|"$', "")))

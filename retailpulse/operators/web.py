@@ -66,3 +66,12 @@ def search_term_daily(search_events: DataFrame, count_col: str | None = None) ->
             .where(F.col("search_term").isNotNull())
             .groupBy("day", "search_term")
             .agg(F.sum("n").alias("event_count")))
+
+
+def resync_daily(events: DataFrame, target: DataFrame, start, end,
+                 keys: list[str] | None = None) -> DataFrame:
+    """Batch re-sync: recompute the daily event facts of [start, end] (late events up to
+    the look-back are thus corrected) and upsert them into ``target`` by key."""
+    from .upsert import upsert
+    fresh = event_daily(in_range(events, start, end))
+    return upsert(target, fresh.select(*target.columns), keys or ["day", "event_name"])

@@ -20,3 +20,11 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     ``single_file`` coalesces to one file for small exports only."""
     d = df.coalesce(1) if single_file else df
     d.write.mode("overwrite").option("header", True).csv(path)
+
+
+def register_views(datasets: dict[str, DataFrame], columns: dict[str, list[str]] | None = None) -> None:
+    """Named datasets for SQL users: each DataFrame (optionally projected) becomes a
+    temporary view, e.g. {'v_sales_daily': sales_daily(bills)}."""
+    for name, df in datasets.items():
+        cols = (columns or {}).get(name)
+        (df.select(*cols) if cols else df).createOrReplaceTempView(name)

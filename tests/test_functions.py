@@ -121,3 +121,10 @@ def test_conform_rename_and_defaults(spark):
     out = schema.conform(df, {"keyword_canonicca": "keyword_canonica"}, {"region": "ALL", "geo": "PE"})
     assert out.columns == ["keyword_canonica", "region", "geo"]
     assert tuple(out.first()) == ("x", None, "PE")
+
+
+def test_price_value(spark):
+    cases = {"12.5": 12.5, '"7"': 7.0, '{"price": 3.25}': 3.25, "{}": None, "abc": None}
+    df = spark.createDataFrame([(k,) for k in cases], "v string")
+    got = {r[0]: r[1] for r in df.select("v", numbers.price_value("v")).collect()}
+    assert got == cases

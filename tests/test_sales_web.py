@@ -89,3 +89,11 @@ def test_date_dimension_fills_gaps(spark):
     out = sales.sales_by_date_dimension(s).orderBy("day").collect()
     assert [r["bills_paid"] for r in out] == [1, 0, 0, 2]
     assert out[0]["week_start"] == dt.date(2025, 12, 29)
+
+
+def test_resync_daily_corrects_window(spark):
+    ev = events(spark)
+    first = web.event_daily(ev.where(F.col("ts") < dt.datetime(2026, 2, 16, 10)))
+    fixed = web.resync_daily(ev, first, "2026-02-16", "2026-02-17")
+    got = {(r["day"].day, r["event_name"]): r["event_count"] for r in fixed.collect()}
+    assert got[(16, "session_start")] == 2 and got[(17, "scroll")] == 1

@@ -73,3 +73,10 @@ def test_sanity_counts_latest_sample(spark):
     assert [r["day"] for r in Q.latest_n(a, [F.col("day").desc()], 5).collect()] == [6, 5, 4, 3, 2]
     s = spark.createDataFrame([("", None), (" ", "x")], "a string, b string")
     assert Q.sample_rows(s).count() == 1
+
+
+def test_register_views(spark):
+    from retailpulse.sources.writers import register_views
+    df = spark.createDataFrame([("a", 1, "x")], SCHEMA)
+    register_views({"v_demo": df}, {"v_demo": ["k", "v"]})
+    assert spark.sql("SELECT * FROM v_demo").columns == ["k", "v"]
