@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numbers import round_half_up
 from ..functions.text import keep_token, norm_txt, token_text
-from .common import bounded_broadcast, spread
+from .common import bounded_broadcast
 from .quantiles import exact_percentiles
 
 PROBS = (0.25, 0.5, 0.75)
@@ -63,7 +63,7 @@ def text_terms(docs: DataFrame, top: int = 200, text_col: str = "text") -> DataF
     """source, term, term_count: the ``top`` most frequent tokens per source (ties by
     term). Whole texts are tokenized; the per-source top-k runs as a window group limit,
     which Spark applies partially before the shuffle."""
-    toks = (spread(docs).select("source", F.explode(F.split(token_text(text_col), " ")).alias("term"))
+    toks = (docs.select("source", F.explode(F.split(token_text(text_col), " ")).alias("term"))
             .where(keep_token("term")))
     counts = toks.groupBy("source", "term").agg(F.count(F.lit(1)).alias("term_count"))
     w = Window.partitionBy("source").orderBy(F.col("term_count").desc(), F.col("term"))

@@ -20,7 +20,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Give CPU-heavy per-row work (regex tokenizing, JSON and CSV parsing) at least as
     many tasks as the cluster has cores. Only when the input arrives in fewer
     partitions (a few large files or row groups) is it redistributed round-robin; on a
-    large, widely split input this is a no-op and adds no shuffle."""
+    large, widely split input this is a no-op and adds no shuffle.
+
+    Apply it to a *scan* (readers and adapters do): the partition count of a scan is
+    known from the file splits without running anything, while a derived DataFrame with
+    shuffles would have to run them to report its partitions."""
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 

@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import spread
-
 SEARCH_SCHEMA = ("paging STRUCT<total: BIGINT>, "
                  "results ARRAY<STRUCT<price: DOUBLE, category_id: STRING>>, "
                  "filters ARRAY<STRUCT<id: STRING, values: ARRAY<STRUCT<id: STRING, name: STRING>>>>")
@@ -41,7 +39,7 @@ def parse_search_responses(df: DataFrame, json_col: str = "json", pick: str = "l
     ``pick='first'``: the first matching filter only, without the item fallback)."""
     # Parse once into a column; every derived value reads that column (referencing
     # the from_json expression itself would re-parse the document per use).
-    parsed = spread(df).withColumn("_r", F.from_json(F.col(json_col), SEARCH_SCHEMA))
+    parsed = df.withColumn("_r", F.from_json(F.col(json_col), SEARCH_SCHEMA))
     r = F.col("_r")
     # results.price projects the field over the array; compact + sort_array are
     # compiled built-ins (lambda-based array functions are interpreted per element).
@@ -74,7 +72,7 @@ def parse_trend_responses(df: DataFrame, json_col: str = "json",
     entries; blank keywords are skipped but keep their rank slot), keyword, url."""
     arr = F.from_json(F.col(json_col), TRENDS_SCHEMA)
     rest = [c for c in df.columns if c != json_col]
-    e = spread(df).select(*rest, F.posexplode(arr).alias("_pos", "_e"))
+    e = df.select(*rest, F.posexplode(arr).alias("_pos", "_e"))
     kw = F.trim(F.coalesce(F.col("_e.keyword"), F.lit("")))
     return (e.where((F.col("_pos") < max_entries) & (kw != ""))
             .select(*rest, (F.col("_pos") + 1).cast("smallint").alias("rank"), kw.alias("keyword"),

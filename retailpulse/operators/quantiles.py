@@ -25,14 +25,47 @@ import operator
 from pyspark.sql import DataFrame, Window, functions as F
 
 
+# Distinct values a single group may hold in one aggregation buffer before the
+# range-partitioned path is used instead.
+MAX_VALUES_PER_GROUP = 1_000_000
+
+
+def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """keys, _v, _c: distinct non-NULL values per group with their counts."""
+    v = F.col(value)
+    return (df.where(v.isNotNull()).groupBy(*keys, v.alias("_v"))
+            .agg(F.count(F.lit(1)).alias("_c")))
+
+
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: tuple[float, ...],
+                      max_values_per_group: int = MAX_VALUES_PER_GROUP,
                       num_partitions: int | None = None) -> DataFrame:
-    """keys, n, p_0 .. p_{len(probs)-1}; NULL values are ignored (n counts non-NULL)."""
-    spark = df.sparkSession
+    """keys, n, p_0 .. p_{len(probs)-1}; NULL values are ignored (n counts non-NULL).
+
+    Values are first collapsed to (group, value, count), and each group is tagged with
+    its number of distinct values (a per-group aggregate joined back). Groups with at
+    most ``max_values_per_group`` distinct values use Spark's ``percentile`` with the
+    counts as frequencies (its per-group buffer is then bounded by construction); wider
+    groups use the range-partitioned order statistics. Both branches read the same
+    collapsed counts in one plan, so the input is scanned once."""
+    counts = value_counts(df, keys, value)
+    width = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_w"))
+    tagged = counts.join(width, keys)
+    narrow = tagged.where(F.col("_w") <= max_values_per_group).drop("_w")
+    wide = tagged.where(F.col("_w") > max_values_per_group).drop("_w")
+    arr = F.array(*[F.lit(p) for p in probs])
+    g = narrow.groupBy(*keys).agg(F.sum("_c").alias("n"),
+                                  F.percentile(F.col("_v"), arr, F.col("_c")).alias("_p"))
+    small = g.select(*keys, "n", *[F.col("_p")[i].cast("double").alias(f"p_{i}")
+                                   for i in range(len(probs))])
+    return small.unionByName(ranged_percentiles(wide, keys, probs, num_partitions))
+
+
+def ranged_percentiles(counts: DataFrame, keys: list[str], probs: tuple[float, ...],
+                       num_partitions: int | None = None) -> DataFrame:
+    """Order statistics over range-partitioned (keys, _v, _c) rows (see module doc)."""
+    spark = counts.sparkSession
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    v = F.col(value)
-    counts = (df.where(v.isNotNull()).groupBy(*keys, v.alias("_v"))
-              .agg(F.count(F.lit(1)).alias("_c")))
     ranged = (counts.repartitionByRange(parts, *[F.col(k) for k in keys], F.col("_v"))
               .withColumn("_pid", F.spark_partition_id()))
     slice_w = (Window.partitionBy("_pid", *keys).orderBy("_v")

@@ -220,9 +220,9 @@ def category_map(spark: SparkSession) -> DataFrame:
 
 
 def text_docs(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("source", "text")
-    pages = table(spark, sf, "pages").select(F.lit("pages").alias("source"),
-                                             F.col("html").alias("text"))
+    docs = spread(table(spark, sf, "documents")).select("source", "text")
+    pages = spread(table(spark, sf, "pages")).select(F.lit("pages").alias("source"),
+                                                     F.col("html").alias("text"))
     return docs.unionByName(pages)
 
 

@@ -43,7 +43,7 @@ def read_csv_drop(spark: SparkSession, path: str, delimiter: str | None = None,
     sep = delimiter or sniff_delimiter(spark, path)
     df = (spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
           .option("encoding", "UTF-8").option("multiLine", False).csv(path))
-    df = df.toDF(*clean_header(df.columns))
+    df = spread(df).toDF(*clean_header(df.columns))
     return df.fillna("") if blank_as_empty else df
 
 
@@ -61,7 +61,6 @@ def curated_from_drop(df: DataFrame, source: str, min_samples: int = 30,
     """Resolve price/date/category/text columns of one source and build its price
     benchmark, weekly category demand and text terms (absent parts are omitted)."""
     cols = resolve_columns(df.columns)
-    df = spread(df)
     out: dict[str, DataFrame] = {}
     src = F.lit(source)
     if cols["text"]:
