@@ -83,11 +83,12 @@ def build_curated(spark: SparkSession, root: str, text_only_sources: tuple[str,
                   min_samples: int = 30) -> dict[str, DataFrame]:
     """All sources below ``root``: one read per source folder (headers differ between
     sources), outputs unioned per kind. The loop runs over folder names only."""
-    sources = sorted({r["source"]: r["path"] for r in
-                      discover_sources(spark, root).select("source", "path").collect()}.items())
+    folders = (discover_sources(spark, root)
+               .select("source", F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder"))
+               .distinct().orderBy("source", "folder").collect())  # one row per folder
     merged: dict[str, DataFrame] = {}
-    for source, path in sources:
-        folder = path.rsplit("/", 1)[0]
+    for row in folders:
+        source, folder = row["source"], row["folder"]
         parts = curated_from_drop(read_csv_drop(spark, folder), source, min_samples,
                                   text_only=source in text_only_sources)
         for kind, d in parts.items():
