@@ -123,9 +123,14 @@ def web_events(ev: DataFrame) -> DataFrame:
 
 
 def search_events(spark: SparkSession, sf: str) -> DataFrame:
-    ev = (table(spark, sf, "events").where(F.col("event_type") == "view")
-          .select("event_id", F.to_date("ts").alias("day"), _event_k().alias("k")))
-    part = table(spark, sf, "part").select("p_partkey", "p_name")
+    return search_events_from(table(spark, sf, "events"), table(spark, sf, "part")).drop("ts")
+
+
+def search_events_from(events: DataFrame, part: DataFrame) -> DataFrame:
+    """Search terms of 'view' events (batch or streaming events; part is static)."""
+    ev = (events.where(F.col("event_type") == "view")
+          .select("event_id", "ts", F.to_date("ts").alias("day"), _event_k().alias("k")))
+    part = part.select("p_partkey", "p_name")
     j = ev.join(part, ev.k == part.p_partkey)
     v = F.col("event_id") % 8
     name = F.col("p_name")
@@ -136,7 +141,7 @@ def search_events(spark: SparkSession, sf: str) -> DataFrame:
             .when(v == 4, F.lit("Not Set"))
             .when(v == 5, F.lit(""))
             .otherwise(name))
-    return j.select("day", term.alias("search_term"))
+    return j.select("day", "ts", term.alias("search_term"))
 
 
 def dictionary_stage(spark: SparkSession, sf: str) -> DataFrame:

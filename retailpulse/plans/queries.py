@@ -489,7 +489,8 @@ def q_marketplace_trends(spark, sf):
 
 # ------------------------------------------------------------ streaming ----
 from ..session import scratch_path  # noqa: E402
-from ..streaming.event_daily import run_event_daily_stream  # noqa: E402
+from ..streaming.event_daily import (daily_funnel, daily_search_terms,  # noqa: E402
+                                     run_daily_stream, run_event_daily_stream)
 
 
 @query("event_daily_stream")
@@ -498,3 +499,22 @@ def q_event_daily_stream(spark, sf):
     return run_event_daily_stream(spark, sf, scratch_path(spark, "event-daily"),
                                   scratch_path(spark, "event-daily-ckpt"), A.web_events,
                                   glob="events.parquet")
+
+
+@query("funnel_daily_stream")
+def q_funnel_daily_stream(spark, sf):
+    """Funnel steps from the events table replayed as a file stream (exact counts)."""
+    return run_daily_stream(spark, sf, scratch_path(spark, "funnel-daily"),
+                            scratch_path(spark, "funnel-daily-ckpt"),
+                            lambda raw: daily_funnel(A.web_events(raw)), ["day"],
+                            glob="events.parquet")
+
+
+@query("search_term_daily_stream")
+def q_search_term_daily_stream(spark, sf):
+    """Search terms per day from the events stream joined to the static part table."""
+    part = table(spark, sf, "part")
+    return run_daily_stream(spark, sf, scratch_path(spark, "terms-daily"),
+                            scratch_path(spark, "terms-daily-ckpt"),
+                            lambda raw: daily_search_terms(A.search_events_from(raw, part)),
+                            ["day", "search_term"], glob="events.parquet")

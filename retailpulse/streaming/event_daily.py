@@ -1,4 +1,4 @@
-"""Incremental daily web facts on Structured Streaming.
+"""Incremental daily web facts (events, funnel, search terms) on Structured Streaming.
 
 The batch job re-syncs the last N days and upserts by key; the streaming form keeps
 per-(day, event) state, accepts events up to ``watermark`` late, emits changed groups
@@ -41,9 +41,49 @@ def daily_counts(events: DataFrame, watermark: str = "30 days", rsd: float = 0.0
            .agg(F.count(F.lit(1)).alias("event_count"),
                 F.approx_count_distinct("user_id", rsd).alias("total_users"),
                 F.approx_count_distinct("session_id", rsd).alias("sessions")))
-    day = F.date_add(F.lit("1970-01-01").cast("date"),
-                     (F.unix_seconds(F.col("w.start")) / 86400).cast("int"))
-    return agg.select(day.alias("day"), "event_name", "event_count", "total_users", "sessions")
+    return agg.select(_day_of_window().alias("day"), "event_name", "event_count", "total_users",
+                      "sessions")
+
+
+def _day_of_window() -> Column:
+    return F.date_add(F.lit("1970-01-01").cast("date"),
+                      (F.unix_seconds(F.col("w.start")) / 86400).cast("int"))
+
+
+def daily_funnel(events: DataFrame, watermark: str = "30 days") -> DataFrame:
+    """Funnel steps per day as conditional counts (streaming or batch)."""
+    from ..operators.web import FUNNEL_COLUMNS, FUNNEL_STEPS
+    e = (events.where(F.col("event_name").isin(*FUNNEL_STEPS))
+         .withColumn("_t", wall_clock_instant(F.col("ts"))).withWatermark("_t", watermark))
+    agg = e.groupBy(F.window("_t", "1 day").alias("w")).agg(*[
+        F.count_if(F.col("event_name") == s).alias(c) for s, c in zip(FUNNEL_STEPS, FUNNEL_COLUMNS)])
+    return agg.select(_day_of_window().alias("day"), *FUNNEL_COLUMNS)
+
+
+def daily_search_terms(search_events: DataFrame, watermark: str = "30 days") -> DataFrame:
+    """Cleaned search terms per day (streaming or batch); rows need ts and search_term."""
+    from ..functions.text import clean_search_term
+    e = (search_events.select("ts", clean_search_term("search_term").alias("search_term"))
+         .where(F.col("search_term").isNotNull())
+         .withColumn("_t", wall_clock_instant(F.col("ts"))).withWatermark("_t", watermark))
+    agg = e.groupBy(F.window("_t", "1 day").alias("w"), "search_term").agg(
+        F.count(F.lit(1)).alias("event_count"))
+    return agg.select(_day_of_window().alias("day"), "search_term", "event_count")
+
+
+def run_daily_stream(spark: SparkSession, source_dir: str, target: str, checkpoint: str,
+                     build, keys: list[str], glob: str | None = None) -> DataFrame:
+    """Generic form: ``build(raw_stream) -> aggregated stream``; changed rows are upserted
+    by ``keys`` through idempotent per-batch folders; returns the current table."""
+    reader = spark.readStream.schema(EVENT_SCHEMA)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    q = (build(reader.parquet(source_dir)).writeStream.outputMode("update")
+         .foreachBatch(upsert_batch_writer(target))
+         .option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return read_latest(spark, target, keys)
 
 
 def upsert_batch_writer(target: str):
