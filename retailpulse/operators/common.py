@@ -25,8 +25,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Apply it to a *scan* (readers and adapters do): the partition count of a scan is
     known from the file splits without running anything, while a derived DataFrame with
     shuffles would have to run them to report its partitions."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without RDD access (e.g. Spark Connect)
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def dim(df: DataFrame) -> DataFrame:

@@ -64,13 +64,15 @@ def calendar_weekly(calendar: DataFrame, align: str = "monday") -> DataFrame:
         first, last = F.trunc("start_date", "week"), F.trunc("end_date", "week")
         cal = cal.select("*", first.alias("_first"), last.alias("_last"))
     else:
-        anchor = calendar.select(F.min("start_date")).scalar()
-        d0 = F.datediff("start_date", anchor)
-        d1 = F.datediff("end_date", anchor)
+        # The grid anchor (earliest start) is a scalar subquery, evaluated once into a
+        # column and referenced from there.
+        cal = cal.withColumn("_a", calendar.select(F.min("start_date")).scalar())
+        d0 = F.datediff("start_date", "_a")
+        d1 = F.datediff("end_date", "_a")
         k0 = F.ceil((d0 - 6) / 7).cast("int")
         k1 = F.floor(d1 / 7).cast("int")
-        cal = (cal.select("*", F.date_add(anchor, k0 * 7).alias("_first"),
-                          F.date_add(anchor, k1 * 7).alias("_last"))
+        cal = (cal.select("*", F.date_add("_a", k0 * 7).alias("_first"),
+                          F.date_add("_a", k1 * 7).alias("_last"))
                .where(F.col("_first") <= F.col("_last")))
     weeks = cal.select(F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 7 DAYS")))
                        .alias("week_start"), "event_name", "prioridad", "tags")

@@ -42,14 +42,17 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """Return ``spark.checkpoint.dir``; set a private one only when it is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no driver-side context (e.g. Spark Connect)
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="retailpulse-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 
