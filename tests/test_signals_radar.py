@@ -120,3 +120,14 @@ def test_radar_score_and_rank(spark):
     assert out["celular"]["kaggle_price_p50"] == 100.0 and out["sofa"]["events"] is None
     cat = {r["categoria"]: r for r in radar.radar_category(radar.radar_keyword(kw, interest, cal, bench)).collect()}
     assert cat["Moda"]["rank_categoria"] == 1 and cat["Hogar"]["rank_categoria"] == 3
+
+
+def test_like_join_equi_and_wildcard_paths(spark):
+    rows = spark.createDataFrame([("electronics.audio",), ("electronics",), ("small.rod",), ("small.gear",),
+                                  ("computers.x",)], "c string")
+    pats = spark.createDataFrame([("electronics.%",), ("sm_ll.%",), ("small._o%",), ("computers.x",),
+                                  ("%.gear",)], "p string")
+    got = sorted((r["c"], r["p"]) for r in benchmark.like_join(rows, "c", pats, "p").collect())
+    assert got == [("computers.x", "computers.x"), ("electronics.audio", "electronics.%"),
+                   ("small.gear", "%.gear"), ("small.gear", "sm_ll.%"), ("small.rod", "sm_ll.%"),
+                   ("small.rod", "small._o%")]
