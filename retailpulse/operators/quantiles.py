@@ -24,6 +24,8 @@ import operator
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..session import cut_lineage
+
 
 # Distinct values a single group may hold in one aggregation buffer before the
 # range-partitioned path is used instead.
@@ -39,26 +41,42 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: tuple[float, ...],
                       max_values_per_group: int = MAX_VALUES_PER_GROUP,
-                      num_partitions: int | None = None) -> DataFrame:
+                      materialize: bool = True, num_partitions: int | None = None) -> DataFrame:
     """keys, n, p_0 .. p_{len(probs)-1}; NULL values are ignored (n counts non-NULL).
 
-    Values are first collapsed to (group, value, count), and each group is tagged with
-    its number of distinct values (a per-group aggregate joined back). Groups with at
-    most ``max_values_per_group`` distinct values use Spark's ``percentile`` with the
-    counts as frequencies (its per-group buffer is then bounded by construction); wider
-    groups use the range-partitioned order statistics. Both branches read the same
-    collapsed counts in one plan, so the input is scanned once."""
+    Values are first collapsed to (group, value, count). Groups with at most
+    ``max_values_per_group`` distinct values use Spark's ``percentile`` with the counts
+    as frequencies (its per-group buffer is then bounded by construction); wider groups
+    use the range-partitioned order statistics.
+
+    ``materialize=True`` (default) writes the collapsed histogram with a reliable
+    checkpoint (under ``spark.checkpoint.dir``; lineage is cut, so a lost executor does
+    not re-run the input scan), measures the widest group on it and plans only the
+    branch that is needed. This runs two jobs when called. ``materialize=False`` keeps
+    everything lazy: each group is tagged with its width and both branches are planned
+    over the same histogram."""
     counts = value_counts(df, keys, value)
-    width = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_w"))
+    if materialize:
+        counts = cut_lineage(counts)
+        widest = counts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+        if widest <= max_values_per_group:
+            return _aggregate_percentiles(counts, keys, probs)
+        width = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_w"))
+    else:
+        width = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_w"))
     tagged = counts.join(width, keys)
     narrow = tagged.where(F.col("_w") <= max_values_per_group).drop("_w")
     wide = tagged.where(F.col("_w") > max_values_per_group).drop("_w")
+    return _aggregate_percentiles(narrow, keys, probs).unionByName(
+        ranged_percentiles(wide, keys, probs, num_partitions))
+
+
+def _aggregate_percentiles(counts: DataFrame, keys: list[str], probs: tuple[float, ...]) -> DataFrame:
     arr = F.array(*[F.lit(p) for p in probs])
-    g = narrow.groupBy(*keys).agg(F.sum("_c").alias("n"),
+    g = counts.groupBy(*keys).agg(F.sum("_c").alias("n"),
                                   F.percentile(F.col("_v"), arr, F.col("_c")).alias("_p"))
-    small = g.select(*keys, "n", *[F.col("_p")[i].cast("double").alias(f"p_{i}")
-                                   for i in range(len(probs))])
-    return small.unionByName(ranged_percentiles(wide, keys, probs, num_partitions))
+    return g.select(*keys, "n", *[F.col("_p")[i].cast("double").alias(f"p_{i}")
+                                  for i in range(len(probs))])
 
 
 def ranged_percentiles(counts: DataFrame, keys: list[str], probs: tuple[float, ...],

@@ -131,3 +131,16 @@ def test_like_join_equi_and_wildcard_paths(spark):
     assert got == [("computers.x", "computers.x"), ("electronics.audio", "electronics.%"),
                    ("small.gear", "%.gear"), ("small.gear", "sm_ll.%"), ("small.rod", "sm_ll.%"),
                    ("small.rod", "small._o%")]
+
+
+def test_exact_percentile_paths_agree_on_hot_group(spark):
+    from retailpulse.operators.quantiles import exact_percentiles
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 20).cast("string")).alias("g"),
+        (F.col("id") * 7919 % 1000).cast("double").alias("v"))
+    ref = {r[0]: (r[1], [round(x, 9) for x in r[2]]) for r in df.groupBy("g").agg(
+        F.count("v"), F.percentile("v", F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))).collect()}
+    for kw in ({}, {"max_values_per_group": 5}, {"materialize": False}, {"materialize": False, "max_values_per_group": 5}):
+        got = {r["g"]: (r["n"], [round(r["p_0"], 9), round(r["p_1"], 9), round(r["p_2"], 9)])
+               for r in exact_percentiles(df, ["g"], "v", (0.1, 0.5, 0.9), **kw).collect()}
+        assert got == ref, kw
