@@ -123,7 +123,7 @@ def web_events(ev: DataFrame) -> DataFrame:
 
 
 def search_events(spark: SparkSession, sf: str) -> DataFrame:
-    return search_events_from(table(spark, sf, "events"), table(spark, sf, "part")).drop("ts")
+    return search_events_from(spread(table(spark, sf, "events")), table(spark, sf, "part")).drop("ts")
 
 
 def search_events_from(events: DataFrame, part: DataFrame) -> DataFrame:
@@ -174,7 +174,7 @@ def aliases(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def interest_points(spark: SparkSession, sf: str) -> DataFrame:
-    ev = table(spark, sf, "events").select("event_id", "ts", "value", _event_k().alias("k"))
+    ev = spread(table(spark, sf, "events")).select("event_id", "ts", "value", _event_k().alias("k"))
     part = table(spark, sf, "part").select("p_partkey", "p_name")
     j = ev.join(part, ev.k == part.p_partkey)
     noun = last_word("p_name")
@@ -185,7 +185,7 @@ def interest_points(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def calendar(spark: SparkSession, sf: str) -> DataFrame:
-    ev = table(spark, sf, "events").select("event_type", "ts", "value", _event_k().alias("k"))
+    ev = spread(table(spark, sf, "events")).select("event_type", "ts", "value", _event_k().alias("k"))
     part = table(spark, sf, "part").select("p_partkey", "p_type")
     j = ev.join(part, ev.k == part.p_partkey, "left")
     kind = (F.when(F.col("event_type") == "purchase", "CAMPAIGN")
@@ -208,7 +208,7 @@ def calendar(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def price_rows(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem").select("l_partkey", "l_returnflag", "l_extendedprice",
+    li = spread(table(spark, sf, "lineitem")).select("l_partkey", "l_returnflag", "l_extendedprice",
                                              "l_shipdate")
     part = table(spark, sf, "part").select("p_partkey", "p_type", "p_name")
     j = li.join(part, li.l_partkey == part.p_partkey)
