@@ -28,3 +28,36 @@ def register_views(datasets: dict[str, DataFrame], columns: dict[str, list[str]]
     for name, df in datasets.items():
         cols = (columns or {}).get(name)
         (df.select(*cols) if cols else df).createOrReplaceTempView(name)
+
+
+def upsert_partitions(spark, path: str, batch: DataFrame, keys: list[str],
+                      partition_col: str = "day", order: list[str] | None = None) -> int:
+    """Key upsert into a table stored under ``path`` and partitioned by ``partition_col``,
+    rewriting only the partitions the batch touches (the rest are never read or
+    written). The touched partitions are merged (``operators.upsert.upsert``), the result
+    is checkpointed (the path is also the source) and written with dynamic partition
+    overwrite. A missing table is created. Returns the number of rows written."""
+    from pyspark.errors import AnalysisException
+    from pyspark.sql import functions as F
+
+    from ..operators.upsert import upsert
+    from ..session import cut_lineage
+
+    try:
+        target = spark.read.parquet(path)
+        target.schema  # noqa: B018 - resolves the path
+    except AnalysisException:
+        target = None
+    if target is not None:
+        # Distinct partition values of one batch (e.g. the days of a re-sync window):
+        # calendar-bounded, so broadcasting them is safe; the semi join lets dynamic
+        # partition pruning skip every other partition of the target.
+        touched = batch.select(partition_col).distinct()
+        current = target.join(F.broadcast(touched), partition_col, "left_semi")
+        merged = upsert(current, batch.select(*target.columns), keys, order)
+    else:
+        merged = batch
+    merged = cut_lineage(merged)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition_col).parquet(path))
+    return merged.count()

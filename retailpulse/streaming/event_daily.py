@@ -115,3 +115,9 @@ def run_event_daily_stream(spark: SparkSession, source_dir: str, target: str, ch
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return read_latest(spark, target)
+
+
+def compact(spark: SparkSession, target: str, out: str, keys: list[str] = KEYS) -> None:
+    """Rewrite the current view of a per-batch sink as one table (run periodically so
+    ``read_latest`` does not grow with the number of micro-batches)."""
+    read_latest(spark, target, keys).write.mode("overwrite").parquet(out)

@@ -102,3 +102,20 @@ def test_file_inventory(spark, tmp_dir):
     df.repartition(2).write.parquet(f"{tmp_dir}/inv")
     inv = Q.file_inventory(spark.read.parquet(f"{tmp_dir}/inv")).collect()
     assert len(inv) == 2 and sum(r["n_rows"] for r in inv) == 10 and all(r["file_size"] > 0 for r in inv)
+
+
+def test_upsert_partitions_touches_only_batch_days(spark, tmp_dir):
+    import datetime as dt
+    import os
+    from retailpulse.sources.writers import upsert_partitions
+    d1, d2, d3 = dt.date(2026, 1, 1), dt.date(2026, 1, 2), dt.date(2026, 1, 3)
+    schema = "day date, event_name string, event_count long"
+    path = f"{tmp_dir}/facts"
+    first = spark.createDataFrame([(d1, "a", 1), (d2, "a", 2), (d2, "b", 3)], schema)
+    upsert_partitions(spark, path, first, ["day", "event_name"])
+    untouched = sorted(os.listdir(f"{path}/day=2026-01-01"))
+    batch = spark.createDataFrame([(d2, "a", 20), (d3, "c", 5)], schema)
+    upsert_partitions(spark, path, batch, ["day", "event_name"])
+    got = sorted((r["day"], r["event_name"], r["event_count"]) for r in spark.read.parquet(path).collect())
+    assert got == [(d1, "a", 1), (d2, "a", 20), (d2, "b", 3), (d3, "c", 5)]
+    assert sorted(os.listdir(f"{path}/day=2026-01-01")) == untouched  # day 1 never rewritten
