@@ -518,3 +518,15 @@ def q_search_term_daily_stream(spark, sf):
                             scratch_path(spark, "terms-daily-ckpt"),
                             lambda raw: daily_search_terms(A.search_events_from(raw, part)),
                             ["day", "search_term"], glob="events.parquet")
+
+
+@query("upsert_partitions")
+def q_upsert_partitions(spark, sf):
+    """First load written partitioned by day, then the re-sync window upserted into only
+    the day partitions it touches; the table read back equals ``upsert_replace``."""
+    from ..sources.writers import upsert_partitions
+    path = scratch_path(spark, "event-daily-table")
+    upsert_partitions(spark, path, _event_window(spark, sf, "initial", end=FIRST_LOAD_END), EVENT_KEYS)
+    upsert_partitions(spark, path, _event_window(spark, sf, "resync", start=RESYNC_START), EVENT_KEYS)
+    return spark.read.parquet(path).select("day", "event_name", "event_count", "total_users",
+                                           "sessions", "source_batch")
