@@ -68,5 +68,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_TABLES: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A read-only input table. Resolving a Parquet path runs a footer/schema job and
+    a file listing; the resolved DataFrame is reused per (session, path), so a query
+    that reads one table in several branches resolves it once. (Only for inputs that
+    do not change while the session lives.)"""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark), path)
+    hit = _TABLES.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = spark.read.parquet(path)
+    _TABLES[key] = (spark, df)
+    return df
