@@ -53,8 +53,3 @@ def pick_first(df: DataFrame, keys: list, order: list, cols: list[str] | None =
                       *[F.col(c).alias(c) for c in cols])
     out = df.groupBy(*key_cols).agg(F.min(packed).alias("_m"))
     return out.select(*[F.col(f"_m.{c}").alias(c) for c in cols])
-
-
-def money(c) -> F.Column:
-    """Exact money sums are DECIMAL; reports expose them as DOUBLE."""
-    return (F.col(c) if isinstance(c, str) else c).cast("double")

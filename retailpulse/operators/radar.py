@@ -11,11 +11,6 @@ from .common import dim
 # Score weights (searches, interest, campaign week).
 WEIGHTS = (0.55, 0.35, 0.10)
 
-RADAR_COLUMNS = ["week_start", "categoria", "keyword_canonica", "searches", "trends_interest",
-                 "is_campaign_week", "events", "kaggle_price_p50", "kaggle_n_prices",
-                 "score_total", "rank_week"]
-
-
 def radar_keyword(kw_weeks: DataFrame, interest: DataFrame, calendar: DataFrame,
                   bench: DataFrame, weights: tuple[float, float, float] = WEIGHTS) -> DataFrame:
     """Score each (week, category, keyword): weighted sum of searches and interest, each

@@ -7,12 +7,22 @@ DOUBLE and counts as BIGINT so that they compare 1:1 with the oracle SQL.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import adapters as A
-from ..operators import sales, web
-from ..operators.common import money
+from ..functions.dates import parse_date_any
+from ..functions.numbers import safe_float
+from ..functions.schema import normalize_category
+from ..functions.text import norm_txt
+from ..operators import benchmark, dictionary as D, marketplace as M, quality as Q, radar
+from ..operators import sales, signals, upsert as U, web
+from ..session import scratch_path, table
+from ..sources import csv as CSV
+from ..sources.interest_export import read_interest_exports
+from ..streaming.event_daily import (daily_funnel, daily_search_terms, run_daily_stream,
+                                     run_event_daily_stream)
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -82,10 +92,7 @@ def q_funnel_sales_daily(spark, sf):
 
 
 # ----------------------------------------------------------- dictionary ----
-from functools import cached_property  # noqa: E402
 
-from ..operators import benchmark, dictionary as D, radar, signals  # noqa: E402
-from ..functions.text import norm_txt  # noqa: E402
 
 
 class Inputs:
@@ -302,11 +309,6 @@ def q_dashboard_after(spark, sf):
 
 
 # --------------------------------------------------------- write / upsert ----
-from ..operators import quality as Q, upsert as U  # noqa: E402
-from ..functions.dates import parse_date_any  # noqa: E402
-from ..functions.numbers import safe_float  # noqa: E402
-from ..functions.schema import normalize_category  # noqa: E402
-from ..session import table  # noqa: E402
 
 # A first load that ends mid-day, and a re-sync window that overlaps it: the re-sync
 # must correct the partial day (upsert) or leave it (insert-if-absent).
@@ -441,9 +443,6 @@ def q_parse_date_any(spark, sf):
 
 
 # ---------------------------------------------------------------- files ----
-from ..sources import csv as CSV  # noqa: E402
-from ..sources.interest_export import read_interest_exports  # noqa: E402
-from ..operators import marketplace as M  # noqa: E402
 
 
 @query("csv_price_benchmark")
@@ -488,9 +487,6 @@ def q_marketplace_trends(spark, sf):
 
 
 # ------------------------------------------------------------ streaming ----
-from ..session import scratch_path  # noqa: E402
-from ..streaming.event_daily import (daily_funnel, daily_search_terms,  # noqa: E402
-                                     run_daily_stream, run_event_daily_stream)
 
 
 @query("event_daily_stream")
