@@ -71,18 +71,39 @@ def daily_search_terms(search_events: DataFrame, watermark: str = "30 days") ->
     return agg.select(_day_of_window().alias("day"), "search_term", "event_count")
 
 
+def _start(spark: SparkSession, writer, state_partitions: int | None):
+    """Start a stateful query with ``state_partitions`` state-store partitions. Spark
+    takes that number from ``spark.sql.shuffle.partitions`` when a query first starts
+    (and keeps it in the checkpoint afterwards), so it is set only around ``start``.
+    Default: the cluster's parallelism — the state here is bounded by the watermark
+    (days x keys), not by the input volume."""
+    if state_partitions is None:
+        try:
+            state_partitions = spark.sparkContext.defaultParallelism
+        except Exception:  # noqa: BLE001 - no driver-side context
+            return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_daily_stream(spark: SparkSession, source_dir: str, target: str, checkpoint: str,
-                     build, keys: list[str], glob: str | None = None) -> DataFrame:
+                     build, keys: list[str], glob: str | None = None,
+                     state_partitions: int | None = None) -> DataFrame:
     """Generic form: ``build(raw_stream) -> aggregated stream``; changed rows are upserted
     by ``keys`` through idempotent per-batch folders; returns the current table."""
     reader = spark.readStream.schema(EVENT_SCHEMA)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    q = (build(reader.parquet(source_dir)).writeStream.outputMode("update")
+    w = (build(reader.parquet(source_dir)).writeStream.outputMode("update")
          .foreachBatch(upsert_batch_writer(target))
          .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+         .trigger(availableNow=True))
+    _start(spark, w, state_partitions).awaitTermination()
     return read_latest(spark, target, keys)
 
 
@@ -101,20 +122,14 @@ def read_latest(spark: SparkSession, target: str, keys: list[str] = KEYS) -> Dat
 
 
 def run_event_daily_stream(spark: SparkSession, source_dir: str, target: str, checkpoint: str,
-                           prepare, watermark: str = "30 days", glob: str | None = None) -> DataFrame:
+                           prepare, watermark: str = "30 days", glob: str | None = None,
+                           state_partitions: int | None = None) -> DataFrame:
     """Process every file available under ``source_dir`` (availableNow trigger), then
     return the upserted table. ``prepare`` maps raw events to (ts, event_name,
     user_id, session_id)."""
-    reader = spark.readStream.schema(EVENT_SCHEMA)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    raw = reader.parquet(source_dir)
-    q = (daily_counts(prepare(raw), watermark).writeStream.outputMode("update")
-         .foreachBatch(upsert_batch_writer(target))
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return read_latest(spark, target)
+    return run_daily_stream(spark, source_dir, target, checkpoint,
+                            lambda raw: daily_counts(prepare(raw), watermark), KEYS, glob,
+                            state_partitions)
 
 
 def compact(spark: SparkSession, target: str, out: str, keys: list[str] = KEYS) -> None:
