@@ -135,13 +135,20 @@ def _coverage_base(mapped: DataFrame) -> DataFrame:
 
 def coverage_weekly(mapped: DataFrame, top_n: int = 10) -> DataFrame:
     """week_start, searches_total, searches_unmapped, unmapped_pct, top_unmapped_terms
-    ("term (n) | ..." for the top ``top_n`` unmapped terms, ties by term)."""
-    base = _coverage_base(mapped)
-    un = (mapped.where(F.col("is_unmapped") == 1)
-          .groupBy(F.trunc("day", "week").alias("week_start"), "search_term")
-          .agg(F.sum("searches").alias("searches")))
+    ("term (n) | ..." for the top ``top_n`` unmapped terms, ties by term).
+
+    The mapped facts are aggregated once to (week, term) — a term's mapping does not
+    change within a week — and both the weekly totals and the top unmapped terms are
+    derived from that one aggregate (its shuffle is shared by both branches)."""
+    per_term = (mapped.groupBy(F.trunc("day", "week").alias("week_start"), "search_term")
+                .agg(F.sum("searches").alias("searches"),
+                     F.max("is_unmapped").alias("is_unmapped")))
+    un = F.col("is_unmapped") == 1
+    base = (per_term.groupBy("week_start")
+            .agg(F.sum("searches").alias("searches_total"),
+                 F.sum(F.when(un, F.col("searches")).otherwise(F.lit(0))).alias("searches_unmapped")))
     w = Window.partitionBy("week_start").orderBy(F.col("searches").desc(), F.col("search_term"))
-    top = (un.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= top_n)
+    top = (per_term.where(un).withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= top_n)
            .groupBy("week_start")
            .agg(F.sort_array(F.collect_list(F.struct(
                (-F.col("searches")).alias("o"), F.col("search_term").alias("t"),
