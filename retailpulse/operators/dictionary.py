@@ -1,8 +1,10 @@
 """Keyword dictionary: priority dedupe, search dictionary, term mapping, coverage.
 
-Search-term facts are large; the dictionary and alias tables are dimensions (bounded by
-curation) and are broadcast behind a size check. Weekly marts aggregate the facts to
-(week, term) before any join, so joins see distinct terms, not raw rows.
+Search-term facts are large; the dictionary and alias tables are dimensions derived by
+aggregates, so their joins are left to adaptive execution (broadcast when the measured
+shuffle output is small, sort-merge with skew splitting otherwise). Weekly marts
+aggregate the facts to (week, term) before any join, so joins see distinct terms, not
+raw rows.
 """
 
 from __future__ import annotations
