@@ -17,9 +17,10 @@ def radar_keyword(kw_weeks: DataFrame, interest: DataFrame, calendar: DataFrame,
     divided by its weekly maximum over the joined rows, plus a campaign flag.
 
     The reference's self-join with per-week maxima becomes a small per-week aggregate
-    joined back (adaptive execution broadcasts it once its measured size is small), so no week is gathered into one task for
-    the maxima; only the per-week rank is a window (its input is one row per keyword
-    and week, i.e. bounded by the dictionary, not by raw events)."""
+    joined back (adaptive execution broadcasts it once its measured size is small), so
+    no week is gathered into one task for the maxima; only the per-week rank is a window
+    (its input is one row per keyword and week, i.e. bounded by the dictionary, not by
+    raw events)."""
     kw = kw_weeks
     if "categoria_norm" not in kw.columns:
         kw = kw.withColumn("categoria_norm", norm_txt("categoria"))
