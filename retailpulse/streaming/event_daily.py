@@ -99,12 +99,13 @@ def run_daily_stream(spark: SparkSession, source_dir: str, target: str, checkpoi
     reader = spark.readStream.schema(EVENT_SCHEMA)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    w = (build(reader.parquet(source_dir)).writeStream.outputMode("update")
+    built = build(reader.parquet(source_dir))
+    w = (built.writeStream.outputMode("update")
          .foreachBatch(upsert_batch_writer(target))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True))
     _start(spark, w, state_partitions).awaitTermination()
-    return read_latest(spark, target, keys)
+    return read_latest(spark, target, keys, built.schema)
 
 
 def upsert_batch_writer(target: str):
@@ -113,9 +114,18 @@ def upsert_batch_writer(target: str):
     return write
 
 
-def read_latest(spark: SparkSession, target: str, keys: list[str] = KEYS) -> DataFrame:
-    """Current table: per key, the row written by the highest micro-batch."""
-    df = spark.read.parquet(target)
+def read_latest(spark: SparkSession, target: str, keys: list[str] = KEYS,
+                schema=None) -> DataFrame:
+    """Current table: per key, the row written by the highest micro-batch. A sink with no
+    batch yet (no input so far) is an empty table with ``schema``."""
+    from pyspark.errors import AnalysisException
+    try:
+        df = spark.read.parquet(target)
+        df.schema  # noqa: B018 - resolves the path
+    except AnalysisException:
+        if schema is None:
+            raise
+        return spark.createDataFrame([], schema)
     cols = [c for c in df.columns if c != "batch_id"]
     latest = _dedupe_last(df, keys, ["batch_id"])
     return latest.select(*cols)

@@ -114,3 +114,27 @@ def test_stream_matches_batch_counts(spark, tmp_dir):
                                    A.web_events)
     assert {(r["day"], r["event_name"]): r["event_count"] for r in again.collect()} == b
     assert out.where(F.col("total_users") > F.col("event_count")).count() == 0
+
+
+def test_stream_late_events_correct_earlier_day(spark, tmp_dir):
+    from retailpulse.plans import adapters as A
+    from retailpulse.streaming.event_daily import daily_funnel, run_daily_stream
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    early = ev.where(F.to_date("ts") <= F.lit("2024-01-10").cast("date"))
+    late = ev.where(F.to_date("ts") > F.lit("2024-01-10").cast("date"))
+    # First run sees days up to the 10th, minus the events of the 5th that arrive late.
+    early.where(F.to_date("ts") != F.lit("2024-01-05").cast("date")).write.parquet(f"{tmp_dir}/src/a")
+    build = lambda raw: daily_funnel(A.web_events(raw))
+    os.makedirs(f"{tmp_dir}/landing")                                 # empty landing folder
+    empty = run_daily_stream(spark, f"{tmp_dir}/landing", f"{tmp_dir}/t0", f"{tmp_dir}/c0", build, ["day"])
+    assert empty.count() == 0 and "sessions" in empty.columns     # empty input is success
+    first = run_daily_stream(spark, f"{tmp_dir}/src/*", f"{tmp_dir}/t", f"{tmp_dir}/c", build, ["day"])
+    assert D(2024, 1, 5) not in {r["day"] for r in first.collect()}
+    # Second file: the late events of the 5th (inside the 30-day watermark) and later days.
+    early.where(F.to_date("ts") == F.lit("2024-01-05").cast("date")).unionByName(late) \
+        .write.parquet(f"{tmp_dir}/src/b")
+    second = run_daily_stream(spark, f"{tmp_dir}/src/*", f"{tmp_dir}/t", f"{tmp_dir}/c", build, ["day"])
+    batch = web.funnel_daily(A.web_events(ev))
+    cols = ["day", "sessions", "view_item", "add_to_cart", "begin_checkout", "purchase"]
+    assert sorted(tuple(r) for r in second.select(*cols).collect()) == \
+        sorted(tuple(r) for r in batch.select(*cols).collect())
