@@ -138,3 +138,15 @@ def test_stream_late_events_correct_earlier_day(spark, tmp_dir):
     cols = ["day", "sessions", "view_item", "add_to_cart", "begin_checkout", "purchase"]
     assert sorted(tuple(r) for r in second.select(*cols).collect()) == \
         sorted(tuple(r) for r in batch.select(*cols).collect())
+
+
+def test_marketplace_csv_imports(spark, tmp_dir):
+    write(f"{tmp_dir}/ml.csv",
+          "week_start,keyword_canonica,site_id,results_total,price_median,price_p25,price_p75,top_category_id,top_category_name\n"
+          "2026-02-16, celular ,  ,120,15.25,12.875,17.625, ,Audio\n")
+    r = CSV.import_marketplace_weekly(spark, f"{tmp_dir}/ml.csv").first()
+    assert (r["keyword_canonica"], r["site_id"], r["results_total"], r["top_category_id"], r["top_category_name"]) == \
+        ("celular", "MPE", 120, None, "Audio")
+    write(f"{tmp_dir}/tr.csv", "week_start,site_id,category_id,rank,keyword,url\n2026-02-16,,,1, a ,\n")
+    t = CSV.import_marketplace_trends(spark, f"{tmp_dir}/tr.csv").first()
+    assert (t["site_id"], t["category_id"], t["rank"], t["keyword"], t["url"]) == ("MPE", "", 1, "a", None)

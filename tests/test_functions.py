@@ -128,3 +128,11 @@ def test_price_value(spark):
     df = spark.createDataFrame([(k,) for k in cases], "v string")
     got = {r[0]: r[1] for r in df.select("v", numbers.price_value("v")).collect()}
     assert got == cases
+
+
+def test_blank_default(spark):
+    df = spark.createDataFrame([("  ",), (None,), (" x ",)], "v string")
+    got = [r[0] for r in df.select(text.blank_default("v", "ALL")).collect()]
+    assert got == ["ALL", "ALL", "x"]
+    got = [r[0] for r in df.select(text.blank_default("v", "ALL", trim=False)).collect()]
+    assert got == ["  ", "ALL", " x "]
