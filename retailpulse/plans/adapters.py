@@ -245,7 +245,28 @@ def seed_list(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------------------------
 # File drops written from the tables (under the shared checkpoint folder), so that the
-# file readers run over data that grows with the tables.
+# file readers run over data that grows with the tables. A drop is landing data: it is
+# written once per (session, tables folder) and then read by every query that needs it.
+
+_DROPS: dict[tuple[int, str, str], tuple[SparkSession, str]] = {}
+
+
+def _landed(spark: SparkSession, sf: str, kind: str, write) -> str:
+    key = (id(spark), sf, kind)
+    hit = _DROPS.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    path = write(spark, sf)
+    _DROPS[key] = (spark, path)
+    return path
+
+def csv_drop(spark: SparkSession, sf: str) -> str:
+    return _landed(spark, sf, "csv", write_csv_drop)
+
+
+def interest_exports(spark: SparkSession, sf: str) -> str:
+    return _landed(spark, sf, "exports", write_interest_exports)
+
 
 def write_csv_drop(spark: SparkSession, sf: str) -> str:
     """Two CSV sources: 'purchases' (';'-separated, all text: event_time with ' UTC',

@@ -447,22 +447,22 @@ def q_parse_date_any(spark, sf):
 
 @query("csv_price_benchmark")
 def q_csv_price_benchmark(spark, sf):
-    return CSV.build_curated(spark, A.write_csv_drop(spark, sf))["price_benchmark"]
+    return CSV.build_curated(spark, A.csv_drop(spark, sf), kinds=("price_benchmark",))["price_benchmark"]
 
 
 @query("csv_category_weekly")
 def q_csv_category_weekly(spark, sf):
-    return CSV.build_curated(spark, A.write_csv_drop(spark, sf))["category_weekly"]
+    return CSV.build_curated(spark, A.csv_drop(spark, sf), kinds=("category_weekly",))["category_weekly"]
 
 
 @query("csv_text_terms")
 def q_csv_text_terms(spark, sf):
-    return CSV.build_curated(spark, A.write_csv_drop(spark, sf))["text_terms"]
+    return CSV.build_curated(spark, A.csv_drop(spark, sf), kinds=("text_terms",))["text_terms"]
 
 
 @query("interest_export_files")
 def q_interest_export_files(spark, sf):
-    weekly, _status = read_interest_exports(spark, A.write_interest_exports(spark, sf))
+    weekly, _status = read_interest_exports(spark, A.interest_exports(spark, sf))
     return weekly
 
 

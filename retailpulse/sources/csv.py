@@ -56,14 +56,19 @@ def discover_sources(spark: SparkSession, root: str) -> DataFrame:
                         F.lower(F.element_at(F.split("path", "/"), -2)).alias("source"))
 
 
+CURATED_KINDS = ("price_benchmark", "category_weekly", "text_terms")
+
+
 def curated_from_drop(df: DataFrame, source: str, min_samples: int = 30,
-                      top_terms: int = 200, text_only: bool = False) -> dict[str, DataFrame]:
+                      top_terms: int = 200, text_only: bool = False,
+                      kinds: tuple[str, ...] = CURATED_KINDS) -> dict[str, DataFrame]:
     """Resolve price/date/category/text columns of one source and build its price
-    benchmark, weekly category demand and text terms (absent parts are omitted)."""
+    benchmark, weekly category demand and text terms (absent parts are omitted; only
+    ``kinds`` are built — the exact benchmark runs its histogram job when built)."""
     cols = resolve_columns(df.columns)
     out: dict[str, DataFrame] = {}
     src = F.lit(source)
-    if cols["text"]:
+    if cols["text"] and "text_terms" in kinds:
         docs = df.select(src.alias("source"), F.col(f"`{cols['text']}`").alias("text"))
         out["text_terms"] = benchmark.text_terms(docs, top_terms)
     if text_only or cols["category"] is None:
@@ -73,14 +78,16 @@ def curated_from_drop(df: DataFrame, source: str, min_samples: int = 30,
     day = parse_date_any(F.col(f"`{cols['date']}`")) if cols["date"] else F.lit(None).cast("date")
     rows = df.select(src.alias("source"), cat.alias("category_norm"), price.alias("price"),
                      day.alias("day")).where(F.col("category_norm") != "")
-    out["price_benchmark"] = benchmark.price_benchmark(rows, min_samples)
-    if cols["date"]:
+    if "price_benchmark" in kinds:
+        out["price_benchmark"] = benchmark.price_benchmark(rows, min_samples)
+    if cols["date"] and "category_weekly" in kinds:
         out["category_weekly"] = benchmark.category_weekly(rows)
     return out
 
 
 def build_curated(spark: SparkSession, root: str, text_only_sources: tuple[str, ...] = (),
-                  min_samples: int = 30) -> dict[str, DataFrame]:
+                  min_samples: int = 30,
+                  kinds: tuple[str, ...] = CURATED_KINDS) -> dict[str, DataFrame]:
     """All sources below ``root``: one read per source folder (headers differ between
     sources), outputs unioned per kind. The loop runs over folder names only."""
     folders = (discover_sources(spark, root)
@@ -90,7 +97,7 @@ def build_curated(spark: SparkSession, root: str, text_only_sources: tuple[str,
     for row in folders:
         source, folder = row["source"], row["folder"]
         parts = curated_from_drop(read_csv_drop(spark, folder), source, min_samples,
-                                  text_only=source in text_only_sources)
+                                  text_only=source in text_only_sources, kinds=kinds)
         for kind, d in parts.items():
             merged[kind] = d if kind not in merged else merged[kind].unionByName(d)
     return merged
