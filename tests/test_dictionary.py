@@ -104,3 +104,18 @@ def test_empty_inputs(spark):
     sd = D.search_dictionary(D.dedupe_dictionary(spark.createDataFrame([], STAGE)))
     assert D.coverage_weekly(D.map_terms_daily(empty_terms, sd)).count() == 0
     assert D.mapped_weekly(empty_terms, sd).count() == 0
+
+
+def test_dedupe_on_norm_prevents_fan_out(spark):
+    rows = [("ratón", "mouse", "Tecnología", "PC", None, False, 1),
+            ("raton", "mouse", "Tecnología", "PC", None, False, 2)]
+    stg = spark.createDataFrame(rows, STAGE)
+    terms = web.search_term_daily(spark.createDataFrame(
+        [(dt.date(2026, 2, 16), "Raton", 5)], "day date, search_term string, n long"), count_col="n")
+    by_lower = D.search_dictionary(D.dedupe_dictionary(stg, dedupe_on="lower"))
+    assert D.map_terms_daily(terms, by_lower).agg(F.sum("searches")).first()[0] == 10   # fan-out
+    from retailpulse.operators import quality as Q
+    assert Q.duplicates(by_lower, ["raw_norm"]).count() == 1                           # Q6 on raw_norm
+    by_norm = D.search_dictionary(D.dedupe_dictionary(stg, dedupe_on="norm"))
+    assert by_norm.count() == 1 and by_norm.first()["keyword_raw"] == "ratón"          # priority 1 wins
+    assert D.map_terms_daily(terms, by_norm).agg(F.sum("searches")).first()[0] == 5
