@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
-from oracle_check import TABLES, canon  # noqa: E402
+from oracle_check import TABLES, TYPE_MAP, canon  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -45,6 +45,9 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(scols) == sorted(dcols)
+    stypes = {f.name: TYPE_MAP.get(f.dataType.simpleString()) for f in df.schema.fields}
+    dtypes = {c[0]: c[1] for c in duck.execute(f"DESCRIBE {E.oracle_sql()[name]}").fetchall()}
+    assert stypes == dtypes
     assert len(srows) == len(drows)
     assert Counter(canon(scols, srows)) == Counter(canon(dcols, drows))
 
