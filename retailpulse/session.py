@@ -2,13 +2,14 @@
 
 On a cluster the caller owns the session; nothing here overrides settings that are
 already present. The scratch folder always lives under ``spark.checkpoint.dir`` (a
-shared, fault-tolerant location on a cluster); a private folder is created only when
-that setting is unset, which is the case in local tests.
+shared, fault-tolerant location on a cluster); a private folder is created only for a
+local master where that setting is unset.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -40,7 +41,9 @@ def get_spark(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Return ``spark.checkpoint.dir``; set a private one only when it is unset."""
+    """The shared folder ``spark.checkpoint.dir``. Where it is unset, a local master gets a
+    private folder; on a cluster executors would each write to their own disks, so that is
+    an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -49,8 +52,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        if sc is None or not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share")
         root = tempfile.mkdtemp(prefix="retailpulse-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root

@@ -19,12 +19,9 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="retailpulse-test-ckpt-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="retailpulse-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
     yield s
     s.stop()
 
