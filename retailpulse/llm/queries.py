@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import table
+from .decontaminate import find_contamination
 from .packing import pack_documents
+from .simhash import near_duplicates
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -25,3 +27,18 @@ def op1_packing(spark, sf):
     pieces = pack_documents(table(spark, sf, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("token_ids").alias("ids_crc32"),
                          "doc_tokens", "sequence_id", "offset")
+
+
+@query("op6_decontaminate")
+def op6_decontaminate(spark, sf):
+    found = find_contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+                        "contaminated")
+
+
+@query("op7_simhash")
+def op7_simhash(spark, sf):
+    classes = near_duplicates(table(spark, sf, "documents"))
+    return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                          "component_id")
