@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import table
+from . import toxicity
+from .common import held_out
 from .decontaminate import find_contamination
+from .multiset import edit_likeness
 from .packing import pack_documents
 from .simhash import near_duplicates
 
@@ -42,3 +45,17 @@ def op7_simhash(spark, sf):
     classes = near_duplicates(table(spark, sf, "documents"))
     return classes.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                           "component_id")
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = toxicity.train(docs, table(spark, sf, "labels"))
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", held_out(F.col("doc_id"), 4, 2).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query("op10_fingerprint")
+def op10_fingerprint(spark, sf):
+    return edit_likeness(table(spark, sf, "documents"))
