@@ -16,8 +16,8 @@ import re
 import numpy as np
 
 END_ID = 0
-CACHE_WORDS = 500_000       # words a worker remembers
-CACHE_IDS = 8_000_000       # ids of those words
+CACHE_WORDS = 1_200_000     # words a worker remembers
+CACHE_IDS = 12_000_000     # ids of those words
 BATCH_CHARS = 1_000_000     # characters encoded at a time
 
 _LOOSE_BLANK = re.compile(r" (?!\S)")
@@ -61,6 +61,7 @@ class Encoder:
                        [(0xC3, b) for b in range(0x80, 0xC0)]}
         self.shown |= {b: show(_lead(b))[0][0][0] for b in range(0xC2, 0xF5)}
         self.stops = {c: self.model.token_to_id(c) for c in _STOPS}
+        self.line_end = self.model.token_to_id(show("\n")[0][0])
         self._reset()
 
     def _reset(self) -> None:
@@ -73,25 +74,38 @@ class Encoder:
         self.size[0] = 1
 
     def _word(self, word: str) -> list[int]:
-        """Ids of a blank and letters: one word for the byte-level cutter, so the model alone
-        finds them."""
-        letters = (" " + word).encode().decode("latin-1").translate(self.shown)
-        return [t.id for t in self.model.tokenize(letters)]
+        """Ids of letters, with or without a blank before: one word for the byte-level cutter,
+        so the model alone finds them."""
+        if word.isascii():
+            shown = word.replace(" ", self.shown[32])
+        else:
+            shown = word.encode().decode("latin-1").translate(self.shown)
+        return [t.id for t in self.model.tokenize(shown)]
+
+    def _plain(self, key: str, blank: str = " ") -> list[int] | None:
+        """Ids of letters and perhaps a full stop or comma, and of such lines; else None."""
+        if key.isalpha():
+            return self._word(blank + key)
+        if key[-1:] in _STOPS and key[:-1].isalpha():
+            slot = self.slot.get(key[:-1]) if blank else None
+            if slot is None:
+                return self._word(blank + key[:-1]) + [self.stops[key[-1]]]
+            at = int(self.first[slot])
+            return [*self.flat[at:at + int(self.size[slot])].tolist(), self.stops[key[-1]]]
+        head, line_end, rest = key.partition("\n")
+        if line_end:
+            before, after = self._plain(head, blank), self._plain(rest, "")
+            if before and after:
+                return [*before, self.line_end, *after]
+        return None
 
     def _ids(self, keys: list) -> list[list[int]]:
-        out: list = [None] * len(keys)
-        rest = []
-        for i, key in enumerate(keys):
-            if isinstance(key, tuple):
-                rest.append((i, key[0]))
-            elif key.isalpha():
-                out[i] = self._word(key)
-            elif key[-1:] in _STOPS and key[:-1].isalpha():
-                out[i] = self._word(key[:-1]) + [self.stops[key[-1]]]
-            else:
-                rest.append((i, " " + key))
-        found = self.tokenizer.encode_batch_fast([x for _, x in rest], add_special_tokens=False)
-        for (i, _), e in zip(rest, found):
+        out: list = [None if isinstance(key, tuple) else self._plain(key) for key in keys]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        found = self.tokenizer.encode_batch_fast(
+            [keys[i][0] if isinstance(keys[i], tuple) else " " + keys[i] for i in rest],
+            add_special_tokens=False)
+        for i, e in zip(rest, found):
             out[i] = e.ids
         return out
 
