@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import table
+from ..session import scratch_path, table
 from . import toxicity
 from .common import held_out
 from .decontaminate import find_contamination
 from .multiset import edit_likeness
 from .packing import pack_documents
 from .simhash import near_duplicates
+from .warc import page_archive
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -59,3 +60,22 @@ def op8_toxicity(spark, sf):
 @query("op10_fingerprint")
 def op10_fingerprint(spark, sf):
     return edit_likeness(table(spark, sf, "documents"))
+
+
+@query("op4_warc")
+def op4_warc(spark, sf):
+    pages = page_archive(table(spark, sf, "pages"), scratch_path(spark, "warc"))
+    return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op4_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN p.page_id > f.first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id > f.first_id THEN f.first_id END AS refers_to
+FROM p LEFT JOIN f USING (payload_digest)
+"""
