@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path, table
-from . import toxicity
+from . import chat, toxicity
 from .common import held_out
 from .decontaminate import find_contamination
 from .multiset import edit_likeness
@@ -79,3 +79,30 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
        CASE WHEN p.page_id > f.first_id THEN f.first_id END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)
 """
+
+
+# The conversation that every run of op5 formats besides those of the table.
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+
+@query("op5_chat")
+def op5_chat(spark, sf):
+    more = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"))
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    windows = chat.format_conversations(turns.unionByName(more))
+    new = F.slice(chat.parse_turns(F.col("text")), F.col("n_context") + 1, F.col("n_turns"))
+    said = F.array_join(F.transform(new, lambda t: F.concat(
+        t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learned = F.array_join(chat.masked_texts("text", "loss"), "")
+    part = F.struct("window", said.alias("said"), learned.alias("learned"))
+    parts = F.array_sort(F.collect_list(part))
+    read = windows.groupBy("conv_id").agg(
+        F.sum("n_turns").alias("n_turns"), F.sum(F.length("text")).alias("formatted_chars"),
+        parts.alias("parts"))
+    whole = lambda f: F.array_join(F.transform("parts", lambda p: p[f]), "")
+    return read.select("conv_id", "n_turns", F.sha2(whole("said"), 256).alias("turns_sha256"),
+                       F.length(whole("learned")).cast("long").alias("loss_chars"),
+                       F.sha2(whole("learned"), 256).alias("loss_sha256"), "formatted_chars")
