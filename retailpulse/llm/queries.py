@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path, table
-from . import chat, toxicity
+from . import chat, secret_scan, toxicity
 from .common import held_out
 from .decontaminate import find_contamination
 from .multiset import edit_likeness
@@ -106,3 +106,13 @@ def op5_chat(spark, sf):
     return read.select("conv_id", "n_turns", F.sha2(whole("said"), 256).alias("turns_sha256"),
                        F.length(whole("learned")).cast("long").alias("loss_chars"),
                        F.sha2(whole("learned"), 256).alias("loss_sha256"), "formatted_chars")
+
+
+@query("op2_secrets")
+def op2_secrets(spark, sf):
+    found = secret_scan.scan(table(spark, sf, "documents"))
+    of = lambda *kinds: F.filter("spans", lambda s: s["kind"].isin(*kinds))
+    count = lambda kind: F.size(of(kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(secret_scan.listed(of(*secret_scan.BASE)), 256).alias("base_sha256"),
+                        secret_scan.listed(F.col("spans")).alias("spans"))
