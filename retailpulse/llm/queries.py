@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path, table
-from . import chat, secret_scan, toxicity
+from . import chat, lm, secret_scan, toxicity
 from .common import held_out
 from .decontaminate import find_contamination
 from .multiset import edit_likeness
@@ -62,6 +62,11 @@ def op10_fingerprint(spark, sf):
     return edit_likeness(table(spark, sf, "documents"))
 
 
+@query("op3_lm")
+def op3_lm(spark, sf):
+    return lm.score_documents(table(spark, sf, "documents"))
+
+
 @query("op4_warc")
 def op4_warc(spark, sf):
     pages = page_archive(table(spark, sf, "pages"), scratch_path(spark, "warc"))
