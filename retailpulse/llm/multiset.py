@@ -26,7 +26,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import short_batches, type_of
 
@@ -134,24 +134,31 @@ def _range_ends(ids: DataFrame) -> list:
                   reverse=True)
 
 
+def range_part(rows: DataFrame) -> tuple[int, Column]:
+    """The number of ranges, and the range of a row by its doc_id: 0 has the largest ids, the
+    last one the smallest and those without id."""
+    ends = _range_ends(rows.select("doc_id"))
+    kind = rows.schema["doc_id"].dataType
+    doc_id = F.col("doc_id")
+    beyond = (F.size(F.filter(F.array(*[F.lit(e).cast(kind) for e in ends]), lambda e: e > doc_id))
+              if ends else F.lit(0))
+    return len(ends) + 1, F.when(doc_id.isNull(), F.lit(len(ends))).otherwise(beyond)
+
+
 def in_descending_order(docs: DataFrame) -> DataFrame:
     """part, late, doc_id, text: each part in its task, sorted; a late row is the document that
     follows the part's last one."""
     rows = docs.select("doc_id", "text")
-    ends = _range_ends(rows.select("doc_id"))
+    parts, part = range_part(rows)
     kind = rows.schema["doc_id"].dataType
     doc_id = F.col("doc_id")
-    part = (F.coalesce(F.size(F.filter(F.array(*[F.lit(e).cast(kind) for e in ends]),
-                                       lambda e: e > doc_id)), F.lit(len(ends)))
-            if ends else F.lit(0))
-    part = F.when(doc_id.isNull(), F.lit(len(ends))).otherwise(part)
     heads = {r["part"]: r["head"] for r in
              rows.groupBy(part.alias("part")).agg(F.max("doc_id").alias("head")).collect()}
     if not heads:
         return rows.select(F.lit(0).alias("part"), F.lit(0).alias("late"), "doc_id", "text")
     full = sorted(heads)
-    before = [full[bisect.bisect_left(full, p) - 1] for p in range(len(ends) + 1)]
-    first = F.array(*[F.lit(heads.get(p)).cast(kind) for p in range(len(ends) + 1)])
+    before = [full[bisect.bisect_left(full, p) - 1] for p in range(parts)]
+    first = F.array(*[F.lit(heads.get(p)).cast(kind) for p in range(parts)])
     rows = rows.withColumn("p", part)
     also = F.when(doc_id.eqNullSafe(F.get(first, F.col("p"))),
                   F.struct(F.get(F.array(*map(F.lit, before)), F.col("p")).alias("part"),

@@ -13,6 +13,7 @@ from .decontaminate import find_contamination
 from .multiset import edit_likeness
 from .packing import pack_documents
 from .simhash import near_duplicates
+from .token_file import read_documents, write_token_file
 from .warc import page_archive
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,6 +58,13 @@ def op8_toxicity(spark, sf):
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query("op9_token_file")
+def op9_token_file(spark, sf):
+    path = scratch_path(spark, "token-ids")
+    write_token_file(table(spark, sf, "documents"), path)
+    return read_documents(spark, path)
+
+
 @query("op10_fingerprint")
 def op10_fingerprint(spark, sf):
     return edit_likeness(table(spark, sf, "documents"))
@@ -69,7 +77,7 @@ def op3_lm(spark, sf):
 
 @query("op4_warc")
 def op4_warc(spark, sf):
-    pages = page_archive(table(spark, sf, "pages"), scratch_path(spark, "warc"))
+    pages = page_archive(table(spark, sf, "pages"), scratch_path(spark, "warc"), bodies=False)
     return pages.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
