@@ -30,7 +30,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import fresh
+from .common import fresh, written
 
 SCOPE = 300
 MASK = "[SECRET]"
@@ -118,7 +118,7 @@ def _near(parts: DataFrame, kinds: tuple[str, ...], scope: int) -> DataFrame:
 
 def spans(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """key, kind, start, value_start, end of all reported spans; ``key`` as of ``_key``."""
-    parts = _candidates(docs)
+    parts = written(_candidates(docs), "secret-parts")      # scanned once; read by every join
     binned = parts.withColumn("bin", F.floor(F.col("start") / scope))
 
     def beside(rows, kinds):
