@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .text import strip
+
 NUMERIC_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -12,16 +14,19 @@ def _c(c) -> Column:
 
 
 def safe_float(c) -> Column:
-    """Trim, '' -> NULL, ',' -> '.', then a plain decimal/scientific number or NULL.
+    """Strip, '' -> NULL, ',' -> '.', then a plain decimal/scientific number or NULL.
     ("1,234.56" therefore gives NULL.)"""
-    s = F.replace(F.trim(_c(c).cast("string")), F.lit(","), F.lit("."))
+    s = F.replace(strip(_c(c).cast("string")), F.lit(","), F.lit("."))
     return F.when(s.rlike(NUMERIC_RE), s.try_cast("double"))
 
 
 def round_half_up(x, digits: int = 2) -> Column:
     """Half-away-from-zero rounding of a double without binary-noise surprises: the value
-    is fixed to 10 decimals first (so 1.005 rounds to 1.01 like exact numeric would)."""
-    return F.round(_c(x).cast("decimal(38,10)"), digits).cast("double")
+    is fixed to 10 decimals first (so 1.005 rounds to 1.01 like exact numeric would). Values
+    beyond 28 digits have no cents to round and stay as they are."""
+    x = _c(x)
+    exact = F.round(x.try_cast("decimal(38,10)"), digits).cast("double")
+    return F.coalesce(exact, x.cast("double"))
 
 
 def safe_pct(num, den, digits: int = 2) -> Column:
@@ -33,7 +38,7 @@ def safe_pct(num, den, digits: int = 2) -> Column:
 def interest_value(c) -> Column:
     """Interest text -> int 0..100: '<1' -> 0, number truncated toward zero, clamped.
     Unparseable (including NaN / Infinity) -> NULL, i.e. the point is skipped."""
-    s = F.regexp_replace(F.trim(_c(c).cast("string")), '^"+|"+$', "")
+    s = F.regexp_replace(strip(_c(c).cast("string")), '^"+|"+$', "")
     x = F.when(s.rlike(NUMERIC_RE), s.try_cast("double"))
     return F.when(s == "<1", F.lit(0)).otherwise(clamp(x, 0.0, 100.0).cast("int"))
 
@@ -48,7 +53,7 @@ def clamp(c, lo, hi) -> Column:
 def price_value(c) -> Column:
     """A price stored as a number, numeric text, or a JSON scalar / {"price": x} text
     -> double (NULL when none of these parse)."""
-    t = F.trim(_c(c).cast("string"))
+    t = strip(_c(c).cast("string"))
     return F.coalesce(safe_float(t),
                       safe_float(F.get_json_object(t, "$.price")),
                       safe_float(F.regexp_replace(t, '^"|"$', "")))

@@ -22,10 +22,21 @@ TOKEN_MIN_LEN, TOKEN_MAX_LEN = 3, 20
 # ---------------------------------------------------------------------------
 
 
+# Whitespace as text tools strip it: beyond the blank, control characters that separate and
+# the blanks of Unicode.
+WHITESPACE = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680,
+                               *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def strip(c) -> Column:
+    """Without whitespace of any kind at both ends (``F.trim`` alone takes blanks only)."""
+    return F.trim(_c(c), F.lit(WHITESPACE))
+
+
 def norm_txt(c) -> Column:
     """NULL -> '', fold Spanish accents, lower-case. Does not trim."""
     return F.lower(F.translate(F.coalesce(_c(c), F.lit("")), FOLD_FROM, FOLD_TO))
@@ -47,15 +58,15 @@ def mapping_type(is_typo, synonym) -> Column:
 
 
 def clean_search_term(c) -> Column:
-    """Trim; '' and (not set) variants become NULL (callers drop NULL terms)."""
-    t = F.trim(_c(c))
+    """Strip; '' and (not set) variants become NULL (callers drop NULL terms)."""
+    t = strip(c)
     return F.when((t != "") & ~F.lower(t).isin(*NOT_SET_TERMS), t)
 
 
 def keyword_header_clean(c) -> Column:
     """Strip quotes/BOM/whitespace, cut at the first ':' ("celular: (Peru)" -> "celular")."""
-    s = F.regexp_replace(F.trim(_c(c)), '^["﻿]+|"+$', "")
-    return F.trim(F.substring_index(s, ":", 1))
+    s = F.regexp_replace(strip(c), '^["﻿]+|"+$', "")
+    return strip(F.substring_index(s, ":", 1))
 
 
 def blank_default(c, default: str, trim: bool = True) -> Column:

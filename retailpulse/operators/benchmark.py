@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numbers import round_half_up
 from ..functions.text import keep_token, norm_txt, token_text
-from .common import bounded_broadcast
 from .quantiles import exact_percentiles
 
 PROBS = (0.25, 0.5, 0.75)
@@ -17,8 +16,8 @@ def grouped_percentiles(df: DataFrame, keys: list[str], value: str,
                         accuracy: int = 10000) -> DataFrame:
     """keys, n, p_<i>: linear-interpolated percentiles ((n - 1) * p rule).
 
-    ``exact``: order statistics over range-partitioned distinct values
-    (operators/quantiles.py): exact, and a hot group is spread over many tasks.
+    ``exact``: order statistics over a value histogram (operators/quantiles.py): exact, and
+    a hot group is spread over many tasks.
     ``aggregate``: Spark's ``percentile`` aggregate; exact and fewer stages, but the
     value->count map of a group is merged in one task (fine for narrow groups).
     ``approx``: ``percentile_approx`` with a bounded sketch per group.
@@ -51,12 +50,13 @@ def price_benchmark(rows: DataFrame, min_samples: int = 30, method: str = "exact
 
 def category_weekly(rows: DataFrame) -> DataFrame:
     """source, week_start, category_norm, n_events (dated rows), revenue_proxy (sum of
-    parsed prices, rounded to cents; NULL when the unrounded sum is 0 or absent)."""
+    parsed prices, rounded to cents; NULL when the unrounded sum is 0 or absent). Prices are
+    summed as decimals, so neither the cents nor the zero depend on the order of tasks."""
     r = rows.where(F.col("day").isNotNull() & (F.col("category_norm") != ""))
     g = (r.groupBy("source", F.trunc("day", "week").alias("week_start"), "category_norm")
-         .agg(F.count(F.lit(1)).alias("n_events"), F.sum("price").alias("_rev")))
+         .agg(F.count(F.lit(1)).alias("n_events"), F.sum(F.col("price").try_cast("decimal(28,10)")).alias("_rev")))
     return g.select("source", "week_start", "category_norm", "n_events",
-                    F.when(F.col("_rev") != 0, round_half_up("_rev")).alias("revenue_proxy"))
+                    F.when(F.col("_rev") != 0, F.round("_rev", 2).cast("double")).alias("revenue_proxy"))
 
 
 def text_terms(docs: DataFrame, top: int = 200, text_col: str = "text") -> DataFrame:
@@ -71,26 +71,22 @@ def text_terms(docs: DataFrame, top: int = 200, text_col: str = "text") -> DataF
             .drop("_rn"))
 
 
-# Join key that pairs every row with the patterns whose first segment has a wildcard.
-_ANY_SEGMENT = "\u0000*"
-
-
 def like_join(rows: DataFrame, value_col: str, patterns: DataFrame, pattern_col: str) -> DataFrame:
     """rows x patterns where ``value LIKE pattern``, as one equi-join with a residual LIKE.
 
-    When the text of a pattern before its first '.' has no wildcard, every match has
-    exactly that first dotted segment, so the pattern is keyed by it; patterns with a
-    wildcard there are keyed by a sentinel that every row also carries (each row emits
-    two keys). The pattern table is configuration-sized and broadcast after a size check,
-    so rows are streamed once and the sentinel key creates no shuffle skew."""
-    seg = F.substring_index(F.col(pattern_col), ".", 1)
-    literal = ~seg.rlike(r"[%_\\]")
-    pats = bounded_broadcast(
-        patterns.withColumn("_k", F.when(literal, seg).otherwise(F.lit(_ANY_SEGMENT))), 100_000)
-    keys = F.array(F.substring_index(F.col(value_col), ".", 1), F.lit(_ANY_SEGMENT))
-    r = rows.select("*", F.explode(keys).alias("_k"))
+    A pattern can only match values that begin with the text before its first wildcard, so it
+    is keyed by that text, and a row carries its own beginnings of the lengths that occur (one
+    small job reads these; a pattern is a line of configuration). No size decides the plan:
+    which side is broadcast is left to adaptive execution."""
+    head = F.regexp_extract(F.col(pattern_col), r"^[^%_\\]*", 0)
+    lengths = [r[0] for r in patterns.where(F.col(pattern_col).isNotNull())
+               .select(F.length(head).alias("n")).distinct().orderBy("n").collect()]
+    value = F.col(value_col)
+    heads = F.array_compact(F.array(*[F.when(F.length(value) >= n, F.left(value, F.lit(n)))
+                                      for n in lengths]).cast("array<string>"))
+    keyed = rows.select("*", F.explode(heads).alias("_k"))
     like = F.expr(f"`{value_col}` LIKE `{pattern_col}`")
-    return r.join(pats, ["_k"]).where(like).drop("_k")
+    return keyed.join(patterns.withColumn("_k", head), ["_k"]).where(like).drop("_k")
 
 
 def benchmark_category(bench: DataFrame, category_map: DataFrame) -> DataFrame:

@@ -4,18 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Rows under which a dimension-like side may be broadcast. The check runs a bounded
-# ``limit(n + 1).count()`` so it stops early on big inputs; above it the join is left to
-# the planner (sort-merge, or AQE's runtime broadcast when the shuffled side is small).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it is proven to hold at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Give CPU-heavy per-row work (regex tokenizing, JSON and CSV parsing) at least as
     many tasks as the cluster has cores. Only when the input arrives in fewer
@@ -33,16 +21,6 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target) if current < target else df
 
 
-def dim(df: DataFrame) -> DataFrame:
-    """Mark the small side of a join whose size is only known at run time (it is derived
-    by an aggregate). No hint is forced: adaptive execution measures the materialized
-    shuffle output and switches to a broadcast join only when it is under
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise the join stays a
-    sort-merge join (with skew splitting). Counting up front would re-run the upstream
-    plan, so it is reserved for base tables (``bounded_broadcast``)."""
-    return df
-
-
 def pick_first(df: DataFrame, keys: list, order: list, cols: list[str] | None = None) -> DataFrame:
     """Keep one row per key: the one with the smallest ``order`` tuple (remaining columns
     break ties, so the pick is deterministic). An aggregate, not a window: map-side

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import canonical_choice, label_with_count, mapping_type, norm_txt
 from ..functions.numbers import safe_pct
-from .common import dim, pick_first
+from .common import pick_first
 
 DICT_COLUMNS = ["keyword_raw", "keyword_canonica", "categoria", "subcategoria", "sinonimo_de",
                 "es_error_ortografico", "prioridad"]
@@ -60,8 +60,7 @@ def normalize_aliases(aliases: DataFrame) -> DataFrame:
 def map_terms_daily(terms: DataFrame, sdict: DataFrame) -> DataFrame:
     """day, search_term, searches, keyword_canonica, categoria, mapping_type, prioridad,
     is_unmapped (left join on the normalized term)."""
-    d = dim(sdict.select("raw_norm", "keyword_canonica", "categoria",
-                                       "mapping_type", "prioridad"))
+    d = sdict.select("raw_norm", "keyword_canonica", "categoria", "mapping_type", "prioridad")
     t = terms.select("day", "search_term", F.col("event_count").alias("searches"),
                      norm_txt("search_term").alias("_norm"))
     j = t.join(d, t._norm == d.raw_norm, "left")
@@ -72,9 +71,8 @@ def map_terms_daily(terms: DataFrame, sdict: DataFrame) -> DataFrame:
 
 def map_terms_daily_after(terms: DataFrame, sdict: DataFrame, aliases: DataFrame) -> DataFrame:
     """Dictionary first, then manual aliases: mapping_source DICT / ALIAS / UNMAPPED."""
-    d = dim(sdict.select("raw_norm", F.col("keyword_canonica").alias("d_kw"),
-                                       "categoria"))
-    a = dim(normalize_aliases(aliases))
+    d = sdict.select("raw_norm", F.col("keyword_canonica").alias("d_kw"), "categoria")
+    a = normalize_aliases(aliases)
     t = terms.select("day", "search_term", F.col("event_count").alias("searches"),
                      norm_txt("search_term").alias("_norm"))
     j = (t.join(d, t._norm == d.raw_norm, "left")
@@ -100,7 +98,7 @@ def mapped_weekly(terms: DataFrame, sdict: DataFrame) -> DataFrame:
     wk = (terms.groupBy(F.trunc("day", "week").alias("week_start"),
                         norm_txt("search_term").alias("_norm"))
           .agg(F.sum("event_count").alias("searches")))
-    d = dim(sdict.select("raw_norm", "keyword_canonica", "categoria"))
+    d = sdict.select("raw_norm", "keyword_canonica", "categoria")
     return (wk.join(d, wk._norm == d.raw_norm)
             .groupBy("week_start", "keyword_canonica", "categoria")
             .agg(F.sum("searches").alias("searches")))
@@ -109,7 +107,7 @@ def mapped_weekly(terms: DataFrame, sdict: DataFrame) -> DataFrame:
 def unmapped_weekly(terms: DataFrame, sdict: DataFrame) -> DataFrame:
     """week_start, search_term, searches for terms no dictionary key matches (anti join)."""
     wk = _weekly_terms(terms).withColumn("_norm", norm_txt("search_term"))
-    keys = dim(sdict.select("raw_norm"))
+    keys = sdict.select("raw_norm")
     return (wk.join(keys, wk._norm == keys.raw_norm, "left_anti")
             .select("week_start", "search_term", "searches"))
 

@@ -8,23 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.text import strip
+from .quantiles import array_percentile
+
 SEARCH_SCHEMA = ("paging STRUCT<total: BIGINT>, "
                  "results ARRAY<STRUCT<price: DOUBLE, category_id: STRING>>, "
                  "filters ARRAY<STRUCT<id: STRING, values: ARRAY<STRUCT<id: STRING, name: STRING>>>>")
 TRENDS_SCHEMA = "ARRAY<STRUCT<keyword: STRING, url: STRING>>"
-# Fixed value: entries kept from a trending response.
-TRENDS_MAX_ENTRIES = 50
-
-
-def array_percentile(sorted_values: Column, p: float) -> Column:
-    """Linear interpolation at (n - 1) * p over an ascending array; NULL when empty."""
-    n = F.size(sorted_values)
-    k = (n - 1).cast("double") * F.lit(p)
-    f = F.floor(k).cast("int")
-    c = F.least(f + 1, n - 1)
-    lo = F.try_element_at(sorted_values, f + 1)
-    hi = F.try_element_at(sorted_values, c + 1)
-    return F.when(n > 0, F.when(f == c, lo).otherwise(lo + (hi - lo) * (k - f)))
 
 
 def _truthy(c: Column) -> Column:
@@ -67,13 +57,22 @@ def parse_search_responses(df: DataFrame, json_col: str = "json", pick: str = "l
 
 
 def parse_trend_responses(df: DataFrame, json_col: str = "json",
-                          max_entries: int = TRENDS_MAX_ENTRIES) -> DataFrame:
-    """One row per kept entry: rank (1-based position among the first ``max_entries``
-    entries; blank keywords are skipped but keep their rank slot), keyword, url."""
+                          max_entries: int | None = None) -> DataFrame:
+    """One row per entry: rank (1-based position; blank keywords are skipped but keep their
+    rank slot), keyword, url. ``max_entries`` keeps the first so many of each response."""
     arr = F.from_json(F.col(json_col), TRENDS_SCHEMA)
     rest = [c for c in df.columns if c != json_col]
     e = df.select(*rest, F.posexplode(arr).alias("_pos", "_e"))
-    kw = F.trim(F.coalesce(F.col("_e.keyword"), F.lit("")))
-    return (e.where((F.col("_pos") < max_entries) & (kw != ""))
+    kw = strip(F.coalesce(F.col("_e.keyword"), F.lit("")))
+    if max_entries is not None:
+        e = e.where(F.col("_pos") < max_entries)
+    return (e.where(kw != "")
             .select(*rest, (F.col("_pos") + 1).cast("smallint").alias("rank"), kw.alias("keyword"),
-                    F.trim(F.coalesce(F.col("_e.url"), F.lit(""))).alias("url")))
+                    strip(F.coalesce(F.col("_e.url"), F.lit(""))).alias("url")))
+
+
+def latest_responses(df: DataFrame, keys: list[str], order: str, json_col: str = "json") -> DataFrame:
+    """keys and the raw document fetched last for each (NULL documents and orders come first);
+    choosing before parsing leaves one document per key to parse."""
+    last = F.max(F.struct(F.col(order).alias("o"), F.col(json_col).alias("j")))
+    return df.groupBy(*keys).agg(last.alias("_l")).select(*keys, F.col("_l.j").alias(json_col))

@@ -1,20 +1,17 @@
 """Exact grouped percentiles that never hold a whole group in one task.
 
-Spark's ``percentile`` aggregate keeps a value -> count map per group and merges the
-map of a group in a single task; a hot group with many distinct values would then sit
-in one task's memory. Here the order statistics are found with range partitioning:
-
-1. ``(keys, v) -> c``: distinct values with their counts (map-side partial aggregation,
-   so repeated values of a hot group collapse before the shuffle);
-2. range-partition the distinct pairs by ``(keys, v)``: the sampled range bounds split a
-   hot group over many tasks, each holding a contiguous slice of its values;
-3. running counts inside each (partition, group) slice, plus the count of everything in
-   earlier slices of the group (a per-(partition, group) table, small);
-4. a value covers ranks ``[before, before + c)``; the rows covering the two ranks around
-   ``(n - 1) * p`` give the linear interpolation ``v_f + (v_c - v_f) * (k - f)``.
-
-The range exchange is planned once and reused by both consumers of step 3, so partition
-ids are consistent within the query; a recomputed partition gets the same rows.
+1. ``(keys, v) -> c``: distinct values with their counts (map-side partial aggregation, so
+   repeated values of a hot group collapse before the shuffle);
+2. every value lies in a bucket that is a monotone function of the value alone: its binary
+   exponent and the first ``BITS`` bits of its fraction. ``(keys, bucket) -> n`` is a
+   histogram whose size is bounded by the function, not by the data;
+3. running sums over the histogram name the buckets that hold the two ranks around
+   ``(n - 1) * p``;
+4. only the values of those buckets are ranked, each (group, bucket) on its own, and the
+   linear interpolation ``v_f + (v_c - v_f) * (k - f)`` is taken.
+
+Nothing depends on partition numbers, on reused exchanges or on the size of a group, and no
+job runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -22,96 +19,74 @@ from __future__ import annotations
 import functools
 import operator
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import cut_lineage
-
-
-# Distinct values a single group may hold in one aggregation buffer before the
-# range-partitioned path is used instead.
-MAX_VALUES_PER_GROUP = 1_000_000
+BITS = 12           # fraction bits of a bucket: neighbours differ by 1/4096 of the value
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """keys, _v, _c: distinct non-NULL values per group with their counts."""
-    v = F.col(value)
-    return (df.where(v.isNotNull()).groupBy(*keys, v.alias("_v"))
+    v = F.col(value).cast("double")
+    return (df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, (v + 0.0).alias("_v"))
             .agg(F.count(F.lit(1)).alias("_c")))
 
 
-def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: tuple[float, ...],
-                      max_values_per_group: int = MAX_VALUES_PER_GROUP,
-                      materialize: bool = True, num_partitions: int | None = None) -> DataFrame:
-    """keys, n, p_0 .. p_{len(probs)-1}; NULL values are ignored (n counts non-NULL).
-
-    Values are first collapsed to (group, value, count). Groups with at most
-    ``max_values_per_group`` distinct values use Spark's ``percentile`` with the counts
-    as frequencies (its per-group buffer is then bounded by construction); wider groups
-    use the range-partitioned order statistics.
-
-    ``materialize=True`` (default) writes the collapsed histogram with a reliable
-    checkpoint (under ``spark.checkpoint.dir``; lineage is cut, so a lost executor does
-    not re-run the input scan), measures the widest group on it and plans only the
-    branch that is needed. This runs two jobs when called. ``materialize=False`` keeps
-    everything lazy: each group is tagged with its width and both branches are planned
-    over the same histogram."""
-    counts = value_counts(df, keys, value)
-    if materialize:
-        counts = cut_lineage(counts)
-        widest = counts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-        if widest <= max_values_per_group:
-            return _aggregate_percentiles(counts, keys, probs)
-        width = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_w"))
-    else:
-        width = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("_w"))
-    tagged = counts.join(width, keys)
-    narrow = tagged.where(F.col("_w") <= max_values_per_group).drop("_w")
-    wide = tagged.where(F.col("_w") > max_values_per_group).drop("_w")
-    return _aggregate_percentiles(narrow, keys, probs).unionByName(
-        ranged_percentiles(wide, keys, probs, num_partitions))
-
-
-def _aggregate_percentiles(counts: DataFrame, keys: list[str], probs: tuple[float, ...]) -> DataFrame:
-    arr = F.array(*[F.lit(p) for p in probs])
-    g = counts.groupBy(*keys).agg(F.sum("_c").alias("n"),
-                                  F.percentile(F.col("_v"), arr, F.col("_c")).alias("_p"))
-    return g.select(*keys, "n", *[F.col("_p")[i].cast("double").alias(f"p_{i}")
-                                  for i in range(len(probs))])
-
-
-def ranged_percentiles(counts: DataFrame, keys: list[str], probs: tuple[float, ...],
-                       num_partitions: int | None = None) -> DataFrame:
-    """Order statistics over range-partitioned (keys, _v, _c) rows (see module doc)."""
-    spark = counts.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (counts.repartitionByRange(parts, *[F.col(k) for k in keys], F.col("_v"))
-              .withColumn("_pid", F.spark_partition_id()))
-    slice_w = (Window.partitionBy("_pid", *keys).orderBy("_v")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = ranged.withColumn("_cum", F.sum("_c").over(slice_w))
-    slices = ranged.groupBy("_pid", *keys).agg(F.sum("_c").alias("_s"))
-    before_w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    group_w = Window.partitionBy(*keys)
-    offsets = slices.select("_pid", *keys,
-                            F.coalesce(F.sum("_s").over(before_w), F.lit(0)).alias("_off"),
-                            F.sum("_s").over(group_w).alias("n"))
-    j = local.join(offsets, ["_pid", *keys])
-    start = F.col("_off") + F.col("_cum") - F.col("_c")
-    end = F.col("_off") + F.col("_cum")
-    n1 = F.col("n") - 1
-    aggs, picks = [], []
-    for i, p in enumerate(probs):
-        k = n1.cast("double") * F.lit(p)
+def value_bucket(v: Column) -> Column:
+    """A long that does not decrease as the value grows. The exponent may come out one too
+    high just below a power of two; the fraction part is negative then and makes up for it."""
+    size = F.abs(v)
+    exponent = F.floor(F.log2(size))
+    fraction = F.floor((size / F.pow(F.lit(2.0), exponent) - 1) * (1 << BITS))
+    # above zero for every double, so that both signs stay apart from zero
+    level = (exponent + 1100).cast("long") * (1 << BITS) + fraction.cast("long")
+    return F.when(v == 0, F.lit(0).cast("long")).when(v > 0, level).otherwise(-level)
+
+
+def exact_percentiles(df: DataFrame, keys: list[str], value: str,
+                      probs: tuple[float, ...]) -> DataFrame:
+    """keys, n, p_0 .. p_{len(probs)-1}; NULL and NaN values are ignored (n counts the rest).
+    Keys that are NULL form a group."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    counts = value_counts(df, keys, value).withColumn("_b", value_bucket(F.col("_v")))
+    histogram = counts.groupBy(*keys, "_b").agg(F.sum("_c").alias("_n"))
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    histogram = (histogram.withColumn("_before", F.sum("_n").over(upto) - F.col("_n"))
+                 .withColumn("n", F.sum("_n").over(group)))
+
+    def ranks(p):
+        k = (F.col("n") - 1).cast("double") * F.lit(p)
         f = F.floor(k).cast("long")
-        c = F.least(f + 1, n1)
-        lo_hit = (f >= start) & (f < end)
-        hi_hit = (c >= start) & (c < end)
-        picks.append(lo_hit | hi_hit)
-        aggs += [F.max(F.when(lo_hit, F.col("_v"))).alias(f"_lo{i}"),
-                 F.max(F.when(hi_hit, F.col("_v"))).alias(f"_hi{i}"),
-                 F.first(k).alias(f"_k{i}")]
-    hits = j.where(functools.reduce(operator.or_, picks))
-    g = hits.groupBy(*keys, "n").agg(*aggs)
-    out = [F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}"))
-           * (F.col(f"_k{i}") - F.floor(F.col(f"_k{i}"))) for i in range(len(probs))]
-    return g.select(*keys, "n", *[o.cast("double").alias(f"p_{i}") for i, o in enumerate(out)])
+        return k, f, F.least(f + 1, F.col("n") - 1)
+
+    def covers(rank, start, size):
+        return (rank >= start) & (rank < start + size)
+
+    wanted = [covers(rank, F.col("_before"), F.col("_n")) for p in probs for rank in ranks(p)[1:]]
+    targets = (histogram.where(functools.reduce(operator.or_, wanted))
+               .select(*[F.col(k).alias(a) for k, a in zip(keys, names)],
+                       F.col("_b").alias("_tb"), "_before", "n"))
+    same = [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, names)]
+    values = counts.join(targets, [F.col("_b") == F.col("_tb"), *same])
+    inside = (Window.partitionBy(*keys, "_b").orderBy("_v")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    values = values.withColumn("_start", F.col("_before") + F.sum("_c").over(inside) - F.col("_c"))
+    picks = []
+    for i, p in enumerate(probs):
+        k, f, c = ranks(p)
+        for name, rank in (("lo", f), ("hi", c)):
+            picks.append(F.max(F.when(covers(rank, F.col("_start"), F.col("_c")), F.col("_v")))
+                         .alias(f"_{name}{i}"))
+        picks.append(F.max(k - f).alias(f"_w{i}"))
+    out = values.groupBy(*keys, "n").agg(*picks)
+    return out.select(*keys, "n", *[
+        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}")).alias(f"p_{i}")
+        for i in range(len(probs))])
+
+
+def array_percentile(ascending: Column, p: float) -> Column:
+    """The same rule over a short ascending array; NULL when it is empty."""
+    rank = F.greatest(F.size(ascending) - 1, F.lit(0)) * F.lit(float(p))
+    below = F.get(ascending, F.floor(rank).cast("int"))
+    above = F.get(ascending, F.ceil(rank).cast("int"))
+    return below + (above - below) * (rank - F.floor(rank))

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numbers import round_half_up
 from ..functions.text import norm_txt
-from .common import dim
 
 # Score weights (searches, interest, campaign week).
 WEIGHTS = (0.55, 0.35, 0.10)
@@ -16,20 +15,16 @@ def radar_keyword(kw_weeks: DataFrame, interest: DataFrame, calendar: DataFrame,
     """Score each (week, category, keyword): weighted sum of searches and interest, each
     divided by its weekly maximum over the joined rows, plus a campaign flag.
 
-    The reference's self-join with per-week maxima becomes a small per-week aggregate
-    joined back (adaptive execution broadcasts it once its measured size is small), so
-    no week is gathered into one task for the maxima; only the per-week rank is a window
-    (its input is one row per keyword and week, i.e. bounded by the dictionary, not by
-    raw events)."""
+    The weekly maxima and the weekly rank are windows over the same partitioning, so the joined
+    rows are planned and shuffled once."""
     kw = kw_weeks
     if "categoria_norm" not in kw.columns:
         kw = kw.withColumn("categoria_norm", norm_txt("categoria"))
     if "keyword_norm" not in kw.columns:
         kw = kw.withColumn("keyword_norm", norm_txt("keyword_canonica"))
-    t = dim(interest.select("week_start", "keyword_norm", "trends_interest"))
-    c = dim(calendar.select("week_start", "categoria_norm", "is_campaign_week",
-                                          "events"))
-    b = dim(bench.select("categoria_norm", "kaggle_price_p50", "kaggle_n_prices"))
+    t = interest.select("week_start", "keyword_norm", "trends_interest")
+    c = calendar.select("week_start", "categoria_norm", "is_campaign_week", "events")
+    b = bench.select("categoria_norm", "kaggle_price_p50", "kaggle_n_prices")
     base = (kw.join(t, ["week_start", "keyword_norm"], "left")
             .join(c, ["week_start", "categoria_norm"], "left")
             .join(b, ["categoria_norm"], "left")
@@ -37,15 +32,18 @@ def radar_keyword(kw_weeks: DataFrame, interest: DataFrame, calendar: DataFrame,
                     F.coalesce("trends_interest", F.lit(0)).alias("trends_interest"),
                     F.coalesce("is_campaign_week", F.lit(0)).alias("is_campaign_week"),
                     "events", "kaggle_price_p50", "kaggle_n_prices"))
-    stats = dim(base.groupBy("week_start").agg(
-        F.max("searches").alias("_max_s"), F.max("trends_interest").alias("_max_t")))
-    s = base.join(stats, "week_start")
+    # one pass: the rank needs the week's rows sorted anyway (one row per keyword and week, so
+    # bounded by the dictionary), and the maxima ride on the same exchange
+    week = Window.partitionBy("week_start")
+    s = base.withColumns({"_max_s": F.max("searches").over(week),
+                          "_max_t": F.max("trends_interest").over(week)})
     sn = F.coalesce(F.col("searches").cast("double") / F.nullif(F.col("_max_s").cast("double"), F.lit(0.0)), F.lit(0.0))
     tn = F.coalesce(F.col("trends_interest").cast("double") / F.nullif(F.col("_max_t").cast("double"), F.lit(0.0)), F.lit(0.0))
     w1, w2, w3 = weights
     raw = F.lit(w1) * sn + F.lit(w2) * tn + F.lit(w3) * F.col("is_campaign_week")
     scored = s.withColumn("_raw", raw)
-    w = Window.partitionBy("week_start").orderBy(F.col("_raw").desc(), "categoria",
+    # rounded, so that scores that differ by float noise alone tie
+    w = Window.partitionBy("week_start").orderBy(F.round("_raw", 12).desc(), "categoria",
                                                  "keyword_canonica")
     return scored.select(
         "week_start", "categoria", "keyword_canonica", "searches", "trends_interest",
@@ -72,10 +70,8 @@ def radar_category(radar: DataFrame) -> DataFrame:
 def dashboard_weekly(radar: DataFrame, coverage_before: DataFrame,
                      coverage_after: DataFrame) -> DataFrame:
     """One flat table: radar rows plus both weekly unmapped percentages."""
-    b = dim(coverage_before.select(
-        "week_start", F.col("unmapped_pct").alias("unmapped_pct_before")))
-    a = dim(coverage_after.select(
-        "week_start", F.col("unmapped_pct").alias("unmapped_pct_after")))
+    b = coverage_before.select("week_start", F.col("unmapped_pct").alias("unmapped_pct_before"))
+    a = coverage_after.select("week_start", F.col("unmapped_pct").alias("unmapped_pct_after"))
     return (radar.join(b, "week_start", "left").join(a, "week_start", "left")
             .select("week_start", "categoria", "keyword_canonica", "searches",
                     "trends_interest", "is_campaign_week",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.schema import revenue_expr
+from ..functions.schema import EXACT, revenue_expr
 from ..functions.numbers import round_half_up
 
 
@@ -40,7 +40,7 @@ def product_daily(bills: DataFrame, details: DataFrame, products: DataFrame) ->
     lines = (details.alias("d")
              .join(paid.alias("b"), F.col("d.bill_code") == F.col("b.bill_code"))
              .groupBy(F.col("b.day").alias("day"), F.col("d.product").alias("product"))
-             .agg(F.sum(F.col("d.quantity").cast("decimal(18,2)")).alias("qty"),
+             .agg(F.sum(F.col("d.quantity").cast(EXACT)).alias("qty"),
                   F.sum(rev).alias("rev")))
     prod = products.select(F.col("id").alias("product_id"), F.col("name").alias("product_name"))
     joined = lines.join(prod, lines.product == prod.product_id, "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numbers import clamp, interest_value
-from ..functions.text import norm_txt
+from ..functions.text import norm_txt, strip
 from .common import pick_first
 
 
@@ -91,9 +91,9 @@ def keyword_pick(dim: DataFrame, n: int = 10) -> DataFrame:
 
 
 def seed_keywords(df: DataFrame, keyword_col: str, position_col: str, n: int = 10) -> DataFrame:
-    """Seed list: trim, drop blanks, case-insensitive distinct keeping the first spelling,
+    """Seed list: strip, drop blanks, case-insensitive distinct keeping the first spelling,
     first ``n`` by position."""
-    t = (df.select(F.trim(keyword_col).alias("keyword"), F.col(position_col).alias("position"))
+    t = (df.select(strip(keyword_col).alias("keyword"), F.col(position_col).alias("position"))
          .where(F.col("keyword") != ""))
     first = pick_first(t, [F.lower("keyword").alias("_k")], [F.col("position")],
                        ["keyword", "position"])

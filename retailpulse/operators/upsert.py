@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _dedupe_last(batch: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
+def dedupe_last(batch: DataFrame, keys: list[str], order: list[str] | None) -> DataFrame:
     """One row per key; the row with the greatest ``order`` wins (all columns break ties)."""
     cols = batch.columns
     rest = [c for c in cols if c not in keys]
@@ -22,30 +22,38 @@ def _dedupe_last(batch: DataFrame, keys: list[str], order: list[str] | None) ->
     return out.select(*keys, *[F.col(f"_m.{c}").alias(c) for c in rest]).select(*cols)
 
 
+def _absent(rows: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose key ``other`` does not have; NULL key parts equal each other, so a row with
+    one is found again by the next load."""
+    o = other.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+    return rows.join(o, same, "left_anti")
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order: list[str] | None = None,
            stamp_col: str | None = None, stamp: Column | None = None) -> DataFrame:
     """Insert new keys, replace every non-key column of existing keys (ON CONFLICT DO
     UPDATE). Duplicate keys inside the batch: the last by ``order`` wins. When
     ``stamp_col`` is given, batch rows get ``stamp`` (default: current_timestamp())."""
-    b = _dedupe_last(batch, keys, order)
+    b = dedupe_last(batch, keys, order)
     if stamp_col:
         b = b.withColumn(stamp_col, stamp if stamp is not None else F.current_timestamp())
-    kept = target.join(b.select(*keys), keys, "left_anti")
+    kept = _absent(target, b, keys)
     return kept.unionByName(b.select(*target.columns))
 
 
 def insert_if_absent(target: DataFrame, batch: DataFrame, keys: list[str],
                      order: list[str] | None = None) -> DataFrame:
     """Insert only keys the target lacks (ON CONFLICT DO NOTHING)."""
-    b = _dedupe_last(batch, keys, order)
-    new = b.join(target.select(*keys), keys, "left_anti")
+    b = dedupe_last(batch, keys, order)
+    new = _absent(b, target, keys)
     return target.unionByName(new.select(*target.columns))
 
 
 def replace_by_key(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """Delete every target row whose key appears in the batch, then insert all batch
     rows (several rows per key allowed: e.g. replace whole days)."""
-    kept = target.join(batch.select(*keys).distinct(), keys, "left_anti")
+    kept = _absent(target, batch, keys)
     return kept.unionByName(batch.select(*target.columns))
 
 

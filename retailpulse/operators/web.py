@@ -30,19 +30,33 @@ def in_range(events: DataFrame, start: dt.date | str | None = None,
 def event_daily(events: DataFrame, approx_users: bool = False, rsd: float = 0.01) -> DataFrame:
     """day, event_name, event_count, total_users, sessions.
 
-    Users and sessions are distinct counts (not additive across days). Exact distinct is
-    planned by Spark as a two-level aggregate (by key+value, then by key), so no group is
-    ever held whole; ``approx_users`` switches to HyperLogLog sketches instead.
+    Users and sessions are distinct counts (not additive across days). Events collapse to one
+    row per (day, event, user, session) before anything else; users and sessions are then
+    counted from those rows, each on its own, and joined: no row is copied per aggregate, and
+    no group is ever held whole. ``approx_users`` switches to HyperLogLog sketches instead.
     """
+    key = ["day", "event_name"]
     if approx_users:
-        users = F.approx_count_distinct("user_id", rsd)
-        sessions = F.approx_count_distinct("session_id", rsd)
-    else:
-        users = F.count_distinct("user_id")
-        sessions = F.count_distinct("session_id")
-    return (events.groupBy("day", "event_name")
-            .agg(F.count(F.lit(1)).alias("event_count"), users.alias("total_users"),
-                 sessions.alias("sessions")))
+        return events.groupBy(*key).agg(
+            F.count(F.lit(1)).alias("event_count"),
+            F.approx_count_distinct("user_id", rsd).alias("total_users"),
+            F.approx_count_distinct("session_id", rsd).alias("sessions"))
+    return daily_from_pairs(events.groupBy(*key, "user_id", "session_id")
+                            .agg(F.count(F.lit(1)).alias("n")))
+
+
+def daily_from_pairs(pairs: DataFrame) -> DataFrame:
+    """day, event_name, event_count, total_users, sessions from (day, event_name, user_id,
+    session_id, n) rows; several rows of one combination add up."""
+    key = ["day", "event_name"]
+    users = (pairs.groupBy(*key, "user_id").agg(F.sum("n").alias("n"))
+             .groupBy(*key).agg(F.sum("n").alias("event_count"),
+                                F.count("user_id").alias("total_users")))
+    sessions = (pairs.select(*key, "session_id").distinct()
+                .groupBy(*[F.col(k).alias(f"_{k}") for k in key])
+                .agg(F.count("session_id").alias("sessions")))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
+    return users.join(sessions, same).select(*key, "event_count", "total_users", "sessions")
 
 
 def funnel_daily(events: DataFrame, steps: list[str] = FUNNEL_STEPS,

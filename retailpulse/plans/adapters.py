@@ -89,13 +89,16 @@ def bills(spark: SparkSession, sf: str, paid_day: str = "order") -> DataFrame:
 
 def details(spark: SparkSession, sf: str, revenue: str = "amount") -> DataFrame:
     li = table(spark, sf, "lineitem")
-    cols = [F.col("l_orderkey").alias("bill_code"), F.col("l_partkey").alias("product"),
-            F.col("l_quantity").cast("decimal(18,2)").alias("quantity")]
+    # some lines name a product that does not exist
+    product = F.when(F.col("l_orderkey") % 50 == 0, -F.col("l_partkey")).otherwise(F.col("l_partkey"))
+    cols = [F.col("l_orderkey").alias("bill_code"), product.alias("product"),
+            (F.col("l_quantity").cast("decimal(18,3)")
+             + (F.col("l_linenumber") % 8).cast("decimal(18,3)") / 8).cast("decimal(18,3)").alias("quantity")]
     if revenue == "amount":
         cols.append(F.col("l_extendedprice").cast("decimal(18,2)").alias("amount"))
     elif revenue == "unit_price":
         unit = (F.col("l_extendedprice") / F.col("l_quantity")).cast("decimal(38,10)")
-        cols.append(F.round(unit, 2).cast("decimal(18,2)").alias("unit_price"))
+        cols.append(F.round(unit, 3).cast("decimal(18,3)").alias("unit_price"))
     return li.select(*cols)
 
 
@@ -135,8 +138,8 @@ def search_events_from(events: DataFrame, part: DataFrame) -> DataFrame:
     v = F.col("event_id") % 8
     name = F.col("p_name")
     term = (F.when(v == 0, F.upper(name))
-            .when(v == 1, F.concat(F.lit("  "), name, F.lit(" ")))
-            .when(v == 2, F.lit("(not set)"))
+            .when(v == 1, F.concat(F.lit(" \t"), name, F.lit("\u00a0")))
+            .when(v == 2, F.lit(" (not set)\n"))
             .when(v == 3, F.translate(name, "ao", "áó"))
             .when(v == 4, F.lit("Not Set"))
             .when(v == 5, F.lit(""))
@@ -237,8 +240,8 @@ def seed_list(spark: SparkSession, sf: str) -> DataFrame:
     p = table(spark, sf, "part")
     key = F.col("p_partkey")
     kw = (F.when(key % 3 == 0, F.upper("p_name"))
-          .when(key % 5 == 1, F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")))
-          .when(key % 7 == 2, F.lit("  "))
+          .when(key % 5 == 1, F.concat(F.lit("\t"), F.col("p_name"), F.lit("\u00a0")))
+          .when(key % 7 == 2, F.lit(" \r\n"))
           .otherwise(F.col("p_name")))
     return p.select(kw.alias("keyword"), key.alias("position"))
 
@@ -299,6 +302,57 @@ def write_csv_drop(spark: SparkSession, sf: str) -> str:
     return root
 
 
+def csv_messy_drop(spark: SparkSession, sf: str) -> str:
+    return _landed(spark, sf, "csv-messy", write_csv_messy_drop)
+
+
+def csv_mixed_drop(spark: SparkSession, sf: str) -> str:
+    return _landed(spark, sf, "csv-mixed", write_csv_mixed_drop)
+
+
+def event_files(spark: SparkSession, sf: str) -> str:
+    return _landed(spark, sf, "event-files", write_event_files)
+
+
+def write_csv_messy_drop(spark: SparkSession, sf: str) -> str:
+    """Product texts with doubled quotes, delimiters and a line break in the cell."""
+    from ..session import scratch_path
+    root = scratch_path(spark, "csv-messy")
+    text = F.concat(F.lit('said "'), F.col("p_name"), F.lit('", ok; then\n'), F.col("p_brand"),
+                    F.lit(' "quoted" '), F.col("p_type"))
+    (table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("id"),
+                                     text.alias("description"), F.lit("tail").alias("note"))
+     .write.option("header", True).option("escape", '"').csv(f"{root}/messy"))
+    return root
+
+
+def write_csv_mixed_drop(spark: SparkSession, sf: str) -> str:
+    """The source 'shop' in two folders; one of them holds files of two headers, with another
+    delimiter and another order of columns. Lines are dealt by their number."""
+    from ..session import scratch_path
+    root = scratch_path(spark, "csv-mixed")
+    rows = price_rows(spark, sf).select(
+        F.col("category_norm").alias("category_code"), F.col("price").cast("string").alias("price"),
+        F.date_format("day", "yyyy-MM-dd").alias("event_time"),
+        F.pmod(F.xxhash64("category_norm", "price", "day"), F.lit(3)).alias("n"))
+    for n, folder, sep, names in ((0, "a/shop", ";", ["category_code", "price", "event_time"]),
+                                  (1, "a/shop", ",", ["price", "event_time", "category_code"]),
+                                  (2, "b/shop", "|", ["event_time", "category_code", "price"])):
+        (rows.where(F.col("n") == n).select(*names).write.mode("append").option("header", True)
+         .option("sep", sep).csv(f"{root}/{folder}"))
+    return root
+
+
+def write_event_files(spark: SparkSession, sf: str) -> str:
+    """Three event files, each with a third of the events of every day."""
+    from ..session import scratch_path
+    root = scratch_path(spark, "event-files")
+    ev = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    for n in range(3):
+        ev.where(F.col("event_id") % 3 == n).coalesce(1).write.mode("append").parquet(root)
+    return root
+
+
 def write_interest_exports(spark: SparkSession, sf: str) -> str:
     """One export file per keyword (noun): preamble, blank line, header
     ('Semana;<kw>: (Perú)' or 'Week,<kw>: (Peru)'), one row per day with the floor of
@@ -366,7 +420,8 @@ def marketplace_search_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def marketplace_trends_json(spark: SparkSession, sf: str) -> DataFrame:
-    """One landed trending response per line item: [noun with url, blank, padded brand]."""
+    """One landed trending response per line item: [noun with url, blank, padded brand] and
+    more entries up to the 60th."""
     li = spread(table(spark, sf, "lineitem"))
     part = table(spark, sf, "part")
     j = li.join(part, li.l_partkey == part.p_partkey)
@@ -374,7 +429,10 @@ def marketplace_trends_json(spark: SparkSession, sf: str) -> DataFrame:
     e = lambda k, u: F.struct(k.alias("keyword"), u.alias("url"))
     arr = F.array(e(noun, F.concat(F.lit("https://trends.example/"), noun)),
                   e(F.lit(""), F.lit(None).cast("string")),
-                  e(F.concat(F.lit(" "), F.col("p_brand"), F.lit(" ")), F.lit("")))
+                  e(F.concat(F.lit("\t"), F.col("p_brand"), F.lit("\u00a0")), F.lit("")))
+    more = F.transform(F.sequence(F.lit(4), F.lit(60)), lambda n: e(
+        F.concat(F.lit("extra "), n.cast("string")), F.lit("")))
+    arr = F.concat(arr, more)
     return j.select(F.trunc(F.to_date("l_shipdate"), "week").alias("week_start"),
                     F.lit("MPE").alias("site_id"), F.lit("").alias("category_id"),
                     (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("fetch_order"),

@@ -256,6 +256,13 @@ def q_price_benchmark(spark, sf):
     return Inputs(spark, sf).bench
 
 
+@query("price_benchmark_wide")
+def q_price_benchmark_wide(spark, sf):
+    """One group per source: as many distinct prices in a group as the table has."""
+    rows = A.price_rows(spark, sf).withColumn("category_norm", F.lit("all"))
+    return benchmark.price_benchmark(rows)
+
+
 @query("category_weekly")
 def q_category_weekly(spark, sf):
     return benchmark.category_weekly(A.price_rows(spark, sf))
@@ -406,7 +413,8 @@ def q_latest_n(spark, sf):
 def q_category_normalize(spark, sf):
     p = table(spark, sf, "part")
     parts = [p.select(F.lit(kind).alias("kind"),
-                      normalize_category(F.col(c).cast("string"), kind).alias("category_norm"))
+                      normalize_category(F.concat(F.lit("\t"), F.col(c).cast("string"), F.lit("\u00a0")),
+                                         kind).alias("category_norm"))
              for c, kind in (("p_type", "category"), ("p_brand", "category_code"),
                              ("p_size", "category_id"))]
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -422,8 +430,10 @@ def q_safe_float(spark, sf):
     ev = table(spark, sf, "events")
     k = _k_text()
     v = F.col("event_id") % 4
-    raw = (F.when(v == 0, F.concat(k, F.lit(",5"))).when(v == 1, F.concat(F.lit(" "), k, F.lit(" ")))
-           .when(v == 2, F.lit("")).otherwise(F.concat(k, F.lit("x"))))
+    raw = (F.when(v == 0, F.concat(k, F.lit(",5")))
+           .when(v == 1, F.concat(F.lit("\t"), k, F.lit("\u00a0\r\n")))
+           .when(v == 2, F.lit(" \n")).when(F.col("event_id") % 8 == 3, F.concat(k, F.lit("e30")))
+           .otherwise(F.concat(k, F.lit("x"))))
     t = ev.select("event_id", raw.alias("raw_text"))
     return t.select("event_id", "raw_text", safe_float("raw_text").alias("value"))
 
@@ -445,6 +455,27 @@ def q_parse_date_any(spark, sf):
 # ---------------------------------------------------------------- files ----
 
 
+@query("csv_messy_text")
+def q_csv_messy_text(spark, sf):
+    """Cells with doubled quotes, delimiters and line breaks."""
+    drop = A.csv_messy_drop(spark, sf)
+    return CSV.build_curated(spark, drop, kinds=("text_terms",), multi_line=True)["text_terms"]
+
+
+@query("csv_mixed_headers")
+def q_csv_mixed_headers(spark, sf):
+    """Files of one folder with different delimiters and column orders."""
+    drop = A.csv_mixed_drop(spark, sf)
+    return CSV.build_curated(spark, drop, kinds=("price_benchmark",))["price_benchmark"]
+
+
+@query("csv_same_source")
+def q_csv_same_source(spark, sf):
+    """One source name in two folders."""
+    drop = A.csv_mixed_drop(spark, sf)
+    return CSV.build_curated(spark, drop, kinds=("category_weekly",))["category_weekly"]
+
+
 @query("csv_price_benchmark")
 def q_csv_price_benchmark(spark, sf):
     return CSV.build_curated(spark, A.csv_drop(spark, sf), kinds=("price_benchmark",))["price_benchmark"]
@@ -472,17 +503,16 @@ MARKET_COLUMNS = ["week_start", "keyword_canonica", "site_id", "results_total",
 
 @query("marketplace_weekly")
 def q_marketplace_weekly(spark, sf):
-    parsed = M.parse_search_responses(A.marketplace_search_json(spark, sf))
-    latest = U._dedupe_last(parsed.select(*MARKET_COLUMNS, "fetch_order"),
-                            ["week_start", "keyword_canonica", "site_id"], ["fetch_order"])
-    return latest.select(*MARKET_COLUMNS)
+    raw = M.latest_responses(A.marketplace_search_json(spark, sf),
+                             ["week_start", "keyword_canonica", "site_id"], "fetch_order")
+    return M.parse_search_responses(raw).select(*MARKET_COLUMNS)
 
 
 @query("marketplace_trends")
 def q_marketplace_trends(spark, sf):
     ranked = M.parse_trend_responses(A.marketplace_trends_json(spark, sf))
     ranked = ranked.withColumn("url", F.nullif(F.col("url"), F.lit("")))
-    latest = U._dedupe_last(ranked, ["week_start", "site_id", "category_id", "rank"], ["fetch_order"])
+    latest = U.dedupe_last(ranked, ["week_start", "site_id", "category_id", "rank"], ["fetch_order"])
     return latest.select("week_start", "site_id", "category_id", "rank", "keyword", "url")
 
 
@@ -491,10 +521,11 @@ def q_marketplace_trends(spark, sf):
 
 @query("event_daily_stream")
 def q_event_daily_stream(spark, sf):
-    """The events table replayed as a file stream; approximate users/sessions."""
-    return run_event_daily_stream(spark, sf, scratch_path(spark, "event-daily"),
+    """The events replayed as a stream of files in which every day comes again, late; the
+    exact facts equal ``event_daily``."""
+    return run_event_daily_stream(spark, A.event_files(spark, sf), scratch_path(spark, "event-daily"),
                                   scratch_path(spark, "event-daily-ckpt"), A.web_events,
-                                  glob="events.parquet")
+                                  files_per_batch=1)
 
 
 @query("funnel_daily_stream")
@@ -516,6 +547,32 @@ def q_search_term_daily_stream(spark, sf):
                             ["day", "search_term"], glob="events.parquet")
 
 
+@query("upsert_duplicate_batch")
+def q_upsert_duplicate_batch(spark, sf):
+    """A batch that holds a key twice, and keys with a NULL day, upserted twice over."""
+    first = _event_window(spark, sf, "initial", end=FIRST_LOAD_END)
+    late = _event_window(spark, sf, "resync", start=RESYNC_START)
+    batch = first.unionByName(late)
+    batch = batch.withColumn("day", F.when(F.col("event_name") != "purchase", F.col("day")))
+    batch = batch.groupBy(*EVENT_KEYS, "source_batch").agg(
+        *[F.sum(c).alias(c) for c in ("event_count", "total_users", "sessions")])
+    batch = batch.select("day", "event_name", "event_count", "total_users", "sessions", "source_batch")
+    once = U.upsert(batch.limit(0), batch, EVENT_KEYS, ["source_batch"])
+    return U.upsert(once, batch, EVENT_KEYS, ["source_batch"])
+
+
+@query("upsert_partitions_first_load")
+def q_upsert_partitions_first_load(spark, sf):
+    """The first load of a missing table, from a batch with repeated keys."""
+    from ..sources.writers import upsert_partitions
+    path = scratch_path(spark, "event-first-load")
+    batch = _event_window(spark, sf, "initial", end=FIRST_LOAD_END).unionByName(
+        _event_window(spark, sf, "resync", start=RESYNC_START))
+    upsert_partitions(spark, path, batch, EVENT_KEYS, order=["source_batch"])
+    return spark.read.parquet(path).select("day", "event_name", "event_count", "total_users",
+                                           "sessions", "source_batch")
+
+
 @query("upsert_partitions")
 def q_upsert_partitions(spark, sf):
     """First load written partitioned by day, then the re-sync window upserted into only

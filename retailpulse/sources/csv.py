@@ -1,106 +1,124 @@
-"""CSV drops: delimiter sniffing, tolerant reads, per-source curated benchmarks.
+"""CSV drops: per-file header and delimiter, tolerant reads, curated benchmarks.
 
 Everything is read as strings (no schema inference pass); typed values come from the
-tolerant parsers in ``functions``. Sniffing reads only the first lines of a file to
-configure the reader (one small row comes back to the driver); the data itself is
-always read whole.
+tolerant parsers in ``functions``. One job lists the header line of every file; files with
+the same source, delimiter and header are then read together, and all rows of a kind are
+brought together before anything is aggregated, so a source that lies in several folders
+has one result. What comes back to the driver is one row per distinct header.
 """
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.dates import parse_date_any
 from ..functions.numbers import safe_float
 from ..functions.schema import clean_header, normalize_category, resolve_columns
+from ..functions.text import strip
 from ..operators import benchmark
-from ..operators.common import spread
 
 # Delimiter candidates, in tie-break order.
 DELIMITERS = [",", ";", "\t", "|"]
-SNIFF_LINES = 50
-
-
-def sniff_delimiter(spark: SparkSession, path: str, candidates: list[str] = DELIMITERS,
-                    n_lines: int = SNIFF_LINES) -> str:
-    """The candidate occurring most often in the first ``n_lines`` non-blank lines
-    (ties -> earliest candidate). ``candidates=[',', ';']`` with ``n_lines=1`` gives the
-    two-way first-line sniff."""
-    lines = (spark.read.text(path).where(F.trim("value") != "").limit(n_lines))
-    v = F.col("value")
-    row = lines.agg(*[F.coalesce(F.sum(F.length(v) - F.length(F.replace(v, F.lit(d), F.lit("")))),
-                                 F.lit(0)).alias(f"d{i}") for i, d in enumerate(candidates)]).first()
-    counts = [row[f"d{i}"] for i in range(len(candidates))]
-    best = max(range(len(candidates)), key=lambda i: (counts[i], -i))
-    return candidates[best]
-
-
-def read_csv_drop(spark: SparkSession, path: str, delimiter: str | None = None,
-                  blank_as_empty: bool = True) -> DataFrame:
-    """Read a CSV drop with a header: sniffed delimiter, all-string columns, header
-    cells trimmed and BOM-stripped; short rows are padded (NULL, or '' when
-    ``blank_as_empty``), extra cells dropped, undecodable bytes replaced."""
-    sep = delimiter or sniff_delimiter(spark, path)
-    df = (spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
-          .option("encoding", "UTF-8").option("multiLine", False).csv(path))
-    df = spread(df).toDF(*clean_header(df.columns))
-    return df.fillna("") if blank_as_empty else df
 
 
-def discover_sources(spark: SparkSession, root: str) -> DataFrame:
-    """path, source for every *.csv below ``root``; source = lower(parent folder name).
-    File listing only (the binary content column is pruned)."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.csv").load(root).select("path", "length"))
-    return files.select("path", "length",
-                        F.lower(F.element_at(F.split("path", "/"), -2)).alias("source"))
+def header_lines(spark: SparkSession, root: str) -> DataFrame:
+    """path, source (lower-cased parent folder), header (first non-blank line) of every *.csv
+    file below ``root`` that has one."""
+    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+             .text(root)
+             .select(F.col("_metadata.file_path").alias("path"), "value",
+                     F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("n"))
+             .where(strip(F.col("value")) != ""))
+    # lines of one block are numbered in order, and blocks by where they start
+    first = lines.groupBy("path").agg(F.min_by("value", F.struct("block", "n")).alias("header"))
+    name = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))      # the metadata are encoded
+    return first.select(name.alias("path"), "header").select(
+        "path", F.lower(F.element_at(F.split("path", "/"), -2)).alias("source"), "header")
+
+
+def sniff_delimiter(header: str, candidates: list[str] = DELIMITERS) -> str:
+    """The candidate that occurs most often in the header line (ties: the earliest)."""
+    return max(candidates, key=lambda d: (header.count(d), -candidates.index(d)))
+
+
+def header_cells(header: str, delimiter: str) -> list[str]:
+    return clean_header(next(csv.reader([header.lstrip("\ufeff")], delimiter=delimiter), []))
+
+
+def read_csv_files(spark: SparkSession, paths: list[str], columns: list[str], delimiter: str,
+                   multi_line: bool = False, blank_as_empty: bool = True) -> DataFrame:
+    """Files that share a header: all-string columns by position, named ``columns`` (of equal
+    names the later ones get a number); doubled quotes are one quote; short rows are padded
+    (NULL, or '' when ``blank_as_empty``), extra cells dropped, undecodable bytes replaced.
+
+    ``multi_line`` lets quoted cells hold line breaks; a file is then read by one task."""
+    names: list[str] = []
+    for c in columns:
+        name, n = c, 2
+        while name.lower() in {x.lower() for x in names}:
+            name, n = f"{c}_{n}", n + 1
+        names.append(name)
+    schema = ", ".join(f"`{n.replace('`', '``') or f'column_{i}'}` string" for i, n in enumerate(names))
+    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+          .option("sep", delimiter).option("quote", '"').option("escape", '"')
+          .option("mode", "PERMISSIVE").option("encoding", "UTF-8")
+          .option("multiLine", multi_line).csv(paths))
+    return df.fillna("") if blank_as_empty else df
 
 
 CURATED_KINDS = ("price_benchmark", "category_weekly", "text_terms")
 
 
-def curated_from_drop(df: DataFrame, source: str, min_samples: int = 30,
-                      top_terms: int = 200, text_only: bool = False,
-                      kinds: tuple[str, ...] = CURATED_KINDS) -> dict[str, DataFrame]:
-    """Resolve price/date/category/text columns of one source and build its price
-    benchmark, weekly category demand and text terms (absent parts are omitted; only
-    ``kinds`` are built — the exact benchmark runs its histogram job when built)."""
+def drop_rows(df: DataFrame, source: str, text_only: bool = False) -> DataFrame:
+    """source, category_norm, price, day, text of one file group; what its header does not
+    offer is NULL (the category: '')."""
     cols = resolve_columns(df.columns)
-    out: dict[str, DataFrame] = {}
-    src = F.lit(source)
-    if cols["text"] and "text_terms" in kinds:
-        docs = df.select(src.alias("source"), F.col(f"`{cols['text']}`").alias("text"))
-        out["text_terms"] = benchmark.text_terms(docs, top_terms)
-    if text_only or cols["category"] is None:
-        return out
-    cat = normalize_category(F.col(f"`{cols['category']}`"), cols["category_kind"])
-    price = safe_float(F.col(f"`{cols['price']}`")) if cols["price"] else F.lit(None).cast("double")
-    day = parse_date_any(F.col(f"`{cols['date']}`")) if cols["date"] else F.lit(None).cast("date")
-    rows = df.select(src.alias("source"), cat.alias("category_norm"), price.alias("price"),
-                     day.alias("day")).where(F.col("category_norm") != "")
-    if "price_benchmark" in kinds:
-        out["price_benchmark"] = benchmark.price_benchmark(rows, min_samples)
-    if cols["date"] and "category_weekly" in kinds:
-        out["category_weekly"] = benchmark.category_weekly(rows)
+
+    def col(role):
+        return F.col(f"`{cols[role]}`") if cols[role] is not None else None
+
+    none = F.lit(None)
+    plain = not text_only and cols["category"] is not None
+    return df.select(
+        F.lit(source).alias("source"),
+        (normalize_category(col("category"), cols["category_kind"]) if plain else F.lit(""))
+        .alias("category_norm"),
+        (safe_float(col("price")) if plain and cols["price"] else none.cast("double")).alias("price"),
+        (parse_date_any(col("date")) if plain and cols["date"] else none.cast("date")).alias("day"),
+        (col("text") if cols["text"] else none.cast("string")).alias("text"))
+
+
+def read_drop(spark: SparkSession, root: str, text_only_sources: tuple[str, ...] = (),
+              multi_line: bool = False) -> DataFrame | None:
+    """``drop_rows`` of all files below ``root``; None when no file has a header."""
+    groups = (header_lines(spark, root)
+              .groupBy("source", "header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+              .orderBy("source", "header").collect())         # one row per distinct header
+    out = None
+    for g in groups:
+        sep = sniff_delimiter(g["header"])
+        df = read_csv_files(spark, g["paths"], header_cells(g["header"], sep), sep, multi_line)
+        rows = drop_rows(df, g["source"], g["source"] in text_only_sources)
+        out = rows if out is None else out.unionByName(rows)
     return out
 
 
 def build_curated(spark: SparkSession, root: str, text_only_sources: tuple[str, ...] = (),
-                  min_samples: int = 30,
-                  kinds: tuple[str, ...] = CURATED_KINDS) -> dict[str, DataFrame]:
-    """All sources below ``root``: one read per source folder (headers differ between
-    sources), outputs unioned per kind. The loop runs over folder names only."""
-    folders = (discover_sources(spark, root)
-               .select("source", F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("folder"))
-               .distinct().orderBy("source", "folder").collect())  # one row per folder
-    merged: dict[str, DataFrame] = {}
-    for row in folders:
-        source, folder = row["source"], row["folder"]
-        parts = curated_from_drop(read_csv_drop(spark, folder), source, min_samples,
-                                  text_only=source in text_only_sources, kinds=kinds)
-        for kind, d in parts.items():
-            merged[kind] = d if kind not in merged else merged[kind].unionByName(d)
-    return merged
+                  min_samples: int = 30, kinds: tuple[str, ...] = CURATED_KINDS,
+                  top_terms: int = 200, multi_line: bool = False) -> dict[str, DataFrame]:
+    """The curated tables of all sources below ``root``: price benchmark, weekly category
+    demand, text terms (only ``kinds`` are built)."""
+    rows = read_drop(spark, root, text_only_sources, multi_line)
+    if rows is None:
+        rows = spark.createDataFrame([], "source string, category_norm string, price double, "
+                                         "day date, text string")
+    build = {"price_benchmark": lambda: benchmark.price_benchmark(rows, min_samples),
+             "category_weekly": lambda: benchmark.category_weekly(rows),
+             "text_terms": lambda: benchmark.text_terms(rows.where("text IS NOT NULL"), top_terms)}
+    return {kind: build[kind]() for kind in kinds}
 
 
 def read_typed_csv(spark: SparkSession, path: str, columns: dict[str, str],

@@ -30,33 +30,45 @@ def register_views(datasets: dict[str, DataFrame], columns: dict[str, list[str]]
         (df.select(*cols) if cols else df).createOrReplaceTempView(name)
 
 
+def read_if_exists(spark, path: str, schema=None) -> DataFrame | None:
+    """The Parquet table below ``path``; None if there is no such path. Any other error is
+    raised: a table that cannot be read must not be taken for a missing one."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def upsert_partitions(spark, path: str, batch: DataFrame, keys: list[str],
                       partition_col: str = "day", order: list[str] | None = None) -> int:
     """Key upsert into a table stored under ``path`` and partitioned by ``partition_col``,
     rewriting only the partitions the batch touches (the rest are never read or
     written). The touched partitions are merged (``operators.upsert.upsert``), the result
     is checkpointed (the path is also the source) and written with dynamic partition
-    overwrite. A missing table is created. Returns the number of rows written."""
-    from pyspark.errors import AnalysisException
+    overwrite. A missing table is created, from one row per key as well. Returns the number
+    of rows written.
+
+    ``keys`` must contain the partition column: a row can then not move to another partition
+    and leave its old self behind."""
     from pyspark.sql import functions as F
 
-    from ..operators.upsert import upsert
+    from ..operators.upsert import dedupe_last, upsert
     from ..session import cut_lineage
 
-    try:
-        target = spark.read.parquet(path)
-        target.schema  # noqa: B018 - resolves the path
-    except AnalysisException:
-        target = None
-    if target is not None:
-        # Distinct partition values of one batch (e.g. the days of a re-sync window):
-        # calendar-bounded, so broadcasting them is safe; the semi join lets dynamic
-        # partition pruning skip every other partition of the target.
-        touched = batch.select(partition_col).distinct()
-        current = target.join(F.broadcast(touched), partition_col, "left_semi")
-        merged = upsert(current, batch.select(*target.columns), keys, order)
+    if partition_col not in keys:
+        raise ValueError(f"the keys {keys} must contain the partition column {partition_col!r}")
+    target = read_if_exists(spark, path)
+    if target is None:
+        merged = dedupe_last(batch, keys, order)
     else:
-        merged = batch
+        touched = batch.select(F.col(partition_col).alias("_p")).distinct()
+        current = target.join(touched, F.col(partition_col).eqNullSafe(F.col("_p")), "left_semi")
+        merged = upsert(current, batch.select(*target.columns), keys, order)
     merged = cut_lineage(merged)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))

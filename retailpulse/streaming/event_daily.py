@@ -1,27 +1,35 @@
 """Incremental daily web facts (events, funnel, search terms) on Structured Streaming.
 
-The batch job re-syncs the last N days and upserts by key; the streaming form keeps
-per-(day, event) state, accepts events up to ``watermark`` late, emits changed groups
-in update mode and upserts them through ``foreachBatch``:
+Funnel and search-term counts are streaming aggregates: state per key, events accepted up to
+``watermark`` late, changed groups emitted in update mode through ``foreachBatch``:
 
 * each micro-batch writes its changed rows into ``<target>/batch_id=<id>`` with
   overwrite, so a replayed batch (after a failure) rewrites the same folder
   (idempotent: exactly-once output together with the checkpoint);
-* readers take, per key, the row of the highest batch id (``read_latest``).
+* readers take, per key, the row of the highest batch id (``read_latest``); ``compact``
+  folds the folders into one.
 
-Exact distinct counts are not available in streaming aggregation, so users and
-sessions are HyperLogLog estimates here.
+Distinct users and sessions cannot be kept by a streaming aggregate. ``run_event_daily_stream``
+therefore collapses every micro-batch to its distinct (day, event, user, session) rows with
+counts, stored by batch and day, and recomputes the facts of the days the batch touches from
+all batches: exact, however late an event comes, at the cost of reading those days again.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..operators.upsert import _dedupe_last
+from ..operators.upsert import dedupe_last
+from ..operators.web import daily_from_pairs
+from ..session import cut_lineage
+from ..sources.writers import read_if_exists
 
 EVENT_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
                 "value DOUBLE, props STRING")
 KEYS = ["day", "event_name"]
+_STARTING = threading.Lock()
 
 
 def wall_clock_instant(ts_ntz: Column) -> Column:
@@ -32,19 +40,6 @@ def wall_clock_instant(ts_ntz: Column) -> Column:
     return F.timestamp_seconds(secs)
 
 
-def daily_counts(events: DataFrame, watermark: str = "30 days", rsd: float = 0.01) -> DataFrame:
-    """events(ts NTZ, event_name, user_id, session_id) -> day, event_name, event_count,
-    total_users, sessions (streaming or batch)."""
-    e = events.withColumn("_t", wall_clock_instant(F.col("ts")))
-    agg = (e.withWatermark("_t", watermark)
-           .groupBy(F.window("_t", "1 day").alias("w"), "event_name")
-           .agg(F.count(F.lit(1)).alias("event_count"),
-                F.approx_count_distinct("user_id", rsd).alias("total_users"),
-                F.approx_count_distinct("session_id", rsd).alias("sessions")))
-    return agg.select(_day_of_window().alias("day"), "event_name", "event_count", "total_users",
-                      "sessions")
-
-
 def _day_of_window() -> Column:
     return F.date_add(F.lit("1970-01-01").cast("date"),
                       (F.unix_seconds(F.col("w.start")) / 86400).cast("int"))
@@ -83,12 +78,13 @@ def _start(spark: SparkSession, writer, state_partitions: int | None):
         except Exception:  # noqa: BLE001 - no driver-side context
             return writer.start()
     key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, before)
+    with _STARTING:                    # the setting is the session's: one start at a time
+        before = spark.conf.get(key)
+        spark.conf.set(key, str(state_partitions))
+        try:
+            return writer.start()
+        finally:
+            spark.conf.set(key, before)
 
 
 def run_daily_stream(spark: SparkSession, source_dir: str, target: str, checkpoint: str,
@@ -118,31 +114,72 @@ def read_latest(spark: SparkSession, target: str, keys: list[str] = KEYS,
                 schema=None) -> DataFrame:
     """Current table: per key, the row written by the highest micro-batch. A sink with no
     batch yet (no input so far) is an empty table with ``schema``."""
-    from pyspark.errors import AnalysisException
-    try:
-        df = spark.read.parquet(target)
-        df.schema  # noqa: B018 - resolves the path
-    except AnalysisException:
+    df = read_if_exists(spark, target)
+    if df is None:
         if schema is None:
-            raise
+            raise FileNotFoundError(target)
         return spark.createDataFrame([], schema)
     cols = [c for c in df.columns if c != "batch_id"]
-    latest = _dedupe_last(df, keys, ["batch_id"])
+    latest = dedupe_last(df, keys, ["batch_id"])
     return latest.select(*cols)
 
 
+def compact(spark: SparkSession, target: str, keys: list[str] = KEYS) -> None:
+    """Fold the batch folders of a sink into that of its highest batch, so that reading does
+    not grow with the number of micro-batches. Run it while no batch is being written. If it
+    stops half-way, ``read_latest`` still sees the same table: older folders only go after the
+    whole table stands in the newest one."""
+    df = read_if_exists(spark, target)
+    if df is None:
+        return
+    batches = sorted(r["batch_id"] for r in df.select("batch_id").distinct().collect())
+    current = cut_lineage(read_latest(spark, target, keys))
+    current.write.mode("overwrite").parquet(f"{target}/batch_id={batches[-1]}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for old in batches[:-1]:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{target}/batch_id={old}"), True)
+
+
+def daily_pairs_writer(target: str):
+    """foreachBatch: keep the batch's distinct (day, event, user, session) rows, then recompute
+    the facts of its days. Both steps overwrite, so a replayed batch changes nothing."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        pairs = f"{target}/pairs"
+        (batch.groupBy("day", "event_name", "user_id", "session_id")
+         .agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy("day")
+         .parquet(f"{pairs}/batch_id={batch_id}"))
+        known = read_if_exists(spark, pairs)
+        if known is None:
+            return
+        touched = known.where(F.col("batch_id") == batch_id).select("day").distinct()
+        days = known.join(touched, "day", "left_semi")
+        facts = cut_lineage(daily_from_pairs(days))
+        (facts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day").parquet(f"{target}/facts"))
+    return write
+
+
+FACTS = "event_name STRING, event_count BIGINT, total_users BIGINT, sessions BIGINT, day DATE"
+
+
 def run_event_daily_stream(spark: SparkSession, source_dir: str, target: str, checkpoint: str,
-                           prepare, watermark: str = "30 days", glob: str | None = None,
-                           state_partitions: int | None = None) -> DataFrame:
-    """Process every file available under ``source_dir`` (availableNow trigger), then
-    return the upserted table. ``prepare`` maps raw events to (ts, event_name,
-    user_id, session_id)."""
-    return run_daily_stream(spark, source_dir, target, checkpoint,
-                            lambda raw: daily_counts(prepare(raw), watermark), KEYS, glob,
-                            state_partitions)
-
-
-def compact(spark: SparkSession, target: str, out: str, keys: list[str] = KEYS) -> None:
-    """Rewrite the current view of a per-batch sink as one table (run periodically so
-    ``read_latest`` does not grow with the number of micro-batches)."""
-    read_latest(spark, target, keys).write.mode("overwrite").parquet(out)
+                           prepare, glob: str | None = None,
+                           files_per_batch: int | None = None) -> DataFrame:
+    """Process every file available under ``source_dir`` (availableNow trigger), then return
+    the table of exact daily facts, equal to ``operators.web.event_daily`` over all events.
+    ``prepare`` maps raw events to (day, event_name, user_id, session_id)."""
+    reader = spark.readStream.schema(EVENT_SCHEMA)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = prepare(reader.parquet(source_dir))
+    (stream.writeStream.foreachBatch(daily_pairs_writer(target))
+     .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+     .awaitTermination())
+    facts = read_if_exists(spark, f"{target}/facts", FACTS)
+    if facts is None:
+        facts = spark.createDataFrame([], FACTS)
+    return facts.select("day", "event_name", "event_count", "total_users", "sessions")

@@ -24,8 +24,9 @@ def test_contract_shapes():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 50
-    no_oracle = set(q) - set(o)
-    assert no_oracle == {"event_daily_stream"}
+    from retailpulse.plans.oracle import ORACLE
+    from retailpulse.plans.queries import REGISTRY
+    assert set(REGISTRY) == set(ORACLE)
 
 
 @pytest.fixture(scope="module")

@@ -119,3 +119,47 @@ def test_upsert_partitions_touches_only_batch_days(spark, tmp_dir):
     got = sorted((r["day"], r["event_name"], r["event_count"]) for r in spark.read.parquet(path).collect())
     assert got == [(d1, "a", 1), (d2, "a", 20), (d2, "b", 3), (d3, "c", 5)]
     assert sorted(os.listdir(f"{path}/day=2026-01-01")) == untouched  # day 1 never rewritten
+
+
+def test_null_keys_are_found_again(spark):
+    from retailpulse.operators.upsert import insert_if_absent, upsert
+    batch = spark.createDataFrame([(None, "a", 1), (2, "a", 2)], "day int, k string, n int")
+    once = upsert(batch.limit(0), batch, ["day", "k"])
+    assert upsert(once, batch, ["day", "k"]).count() == 2
+    assert insert_if_absent(once, batch, ["day", "k"]).count() == 2
+
+
+def test_partition_upsert_rules(spark, tmp_dir):
+    import pytest
+    from retailpulse.sources.writers import read_if_exists, upsert_partitions
+    batch = spark.createDataFrame([(1, "a", 1), (1, "a", 2), (2, "b", 3)], "day int, k string, n int")
+    path = f"{tmp_dir}/t"
+    with pytest.raises(ValueError):
+        upsert_partitions(spark, path, batch, ["k"])
+    assert read_if_exists(spark, path) is None
+    upsert_partitions(spark, path, batch, ["day", "k"], order=["n"])
+    assert sorted((r["day"], r["n"]) for r in spark.read.parquet(path).collect()) == [(1, 2), (2, 3)]
+    import os
+    os.makedirs(f"{tmp_dir}/bad")
+    with open(f"{tmp_dir}/bad/x.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        upsert_partitions(spark, f"{tmp_dir}/bad", batch, ["day", "k"])
+    assert os.listdir(f"{tmp_dir}/bad") == ["x.parquet"]
+
+
+def test_whitespace_numbers_and_revenue(spark):
+    from pyspark.sql import functions as F
+    from retailpulse.functions.numbers import round_half_up, safe_float
+    from retailpulse.functions.schema import normalize_category, resolve_columns, revenue_expr
+    from retailpulse.functions.text import clean_search_term
+    df = spark.createDataFrame([("\t12,5",), (" (not set)\n",), ("\tzapatos\xa0",), ("1e30",)], "x string")
+    assert [r[0] for r in df.select(safe_float("x")).collect()] == [12.5, None, None, 1e30]
+    assert [r[0] for r in df.select(clean_search_term("x")).collect()] == ["12,5", None, "zapatos", "1e30"]
+    assert df.select(normalize_category("x", "category_id")).collect()[2][0] == "id:zapatos"
+    assert [r[0] for r in df.select(round_half_up(safe_float("x"))).collect()] == [12.5, None, None, 1e30]
+    line = spark.createDataFrame([(3, 0.125)], "quantity int, unit_price double")
+    assert float(line.select(revenue_expr(line.columns)).first()[0]) == 0.375
+    assert resolve_columns(["ID", " Category_ID", "Category Name", "Total_Amount ", "price", "Order_Date"]) == {
+        "price": "Total_Amount ", "date": "Order_Date", "category": " Category_ID",
+        "category_kind": "category", "text": None}
