@@ -63,7 +63,9 @@ def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     for name, value in defaults.items():
         if name in df.columns:
             continue
-        col = F.current_timestamp() if value == "now" else (
-            value if isinstance(value, Column) else F.lit(value))
+        if isinstance(value, Column):
+            col = value
+        else:
+            col = F.current_timestamp() if value == "now" else F.lit(value)
         df = df.withColumn(name, col)
     return df

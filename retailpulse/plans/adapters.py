@@ -382,10 +382,17 @@ def write_interest_exports(spark: SparkSession, sf: str) -> str:
         F.struct(F.lit(10 ** 9 + 1).alias("ord"), F.concat(F.lit("2030-01-07"), sep, F.lit("99")).alias("line")),
     )).alias("e")).select("kw", "e.ord", "e.line")
     lines = rows.unionByName(extra)
+    # an older file for each keyword, whose path sorts first: its readings lose
+    old = lines.where((F.col("ord") < 10) | (F.col("ord") % 4 == 0)).withColumn(
+        "line", F.when((F.col("ord") >= 10) & (F.col("ord") < 10 ** 9),
+                       F.regexp_replace("line", "[0-9<]+$", "77")).otherwise(F.col("line")))
+    (old.repartition("kw").sortWithinPartitions("kw", "ord").select("kw", "line")
+     .write.partitionBy("kw").option("sep", "\t").option("quote", "").option("emptyValue", "")
+     .option("header", False).csv(f"{root}/0_old"))
     (lines.repartition("kw").sortWithinPartitions("kw", "ord").select("kw", "line")
      .write.partitionBy("kw").option("sep", "\t").option("quote", "").option("emptyValue", "")
      .option("header", False)
-     .csv(root))
+     .csv(f"{root}/1_new"))
     return root
 
 

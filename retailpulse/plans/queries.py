@@ -12,9 +12,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import adapters as A
-from ..functions.dates import parse_date_any
-from ..functions.numbers import safe_float
-from ..functions.schema import normalize_category
+from ..functions.dates import parse_date_any, parse_yyyymmdd, resolve_range
+from ..functions.numbers import price_value, safe_float
+from ..functions.schema import conform, normalize_category
 from ..functions.text import norm_txt
 from ..operators import benchmark, dictionary as D, marketplace as M, quality as Q, radar
 from ..operators import sales, signals, upsert as U, web
@@ -583,3 +583,119 @@ def q_upsert_partitions(spark, sf):
     upsert_partitions(spark, path, _event_window(spark, sf, "resync", start=RESYNC_START), EVENT_KEYS)
     return spark.read.parquet(path).select("day", "event_name", "event_count", "total_users",
                                            "sessions", "source_batch")
+
+
+# ------------------------------------------------- loaders, sinks, parsing ----
+@query("full_refresh")
+def q_full_refresh(spark, sf):
+    """A table replaced twice (partitioned by day), then read."""
+    from ..sources.writers import write_full_refresh
+    path = scratch_path(spark, "full-refresh")
+    daily = _as(sales.sales_daily(A.bills(spark, sf)), MONEY_SALES)
+    write_full_refresh(daily.limit(0), path, ["day"])
+    write_full_refresh(daily, path, ["day"])
+    return spark.read.parquet(path).select(*daily.columns)
+
+
+@query("csv_export")
+def q_csv_export(spark, sf):
+    """Written as CSV with a header, read with types."""
+    from ..sources.writers import write_csv
+    path = scratch_path(spark, "csv-export")
+    daily = _as(sales.sales_daily(A.bills(spark, sf)), MONEY_SALES)
+    write_csv(daily, path)
+    return CSV.read_typed_csv(spark, path, dict(daily.dtypes))
+
+
+@query("named_views")
+def q_named_views(spark, sf):
+    from ..sources.writers import register_views
+    register_views({"v_sales_daily": _as(sales.sales_daily(A.bills(spark, sf)), MONEY_SALES)})
+    return spark.sql("SELECT * FROM v_sales_daily")
+
+
+@query("keyword_load")
+def q_keyword_load(spark, sf):
+    """The keyword staging file, loaded and deduplicated."""
+    path = scratch_path(spark, "keyword-stage")
+    A.dictionary_stage(spark, sf).write.option("header", True).csv(path)
+    return D.dedupe_dictionary(CSV.read_keyword_staging(spark, path), trim=True)
+
+
+@query("interest_load")
+def q_interest_load(spark, sf):
+    path = scratch_path(spark, "interest-csv")
+    Inputs(spark, sf).interest.write.option("header", True).csv(path)
+    return CSV.read_interest_csv(spark, path).fillna("", ["region"])
+
+
+@query("marketplace_weekly_import")
+def q_marketplace_weekly_import(spark, sf):
+    """Weekly samples from a CSV file whose site is blank: the default site is filled in."""
+    path = scratch_path(spark, "market-csv")
+    (q_marketplace_weekly(spark, sf).withColumn("site_id", F.lit(" "))
+     .write.option("header", True).csv(path))
+    out = CSV.import_marketplace_weekly(spark, path)
+    return _as(out, {"results_total": "bigint"})
+
+
+@query("marketplace_trends_import")
+def q_marketplace_trends_import(spark, sf):
+    path = scratch_path(spark, "trends-csv")
+    (q_marketplace_trends(spark, sf).withColumn("site_id", F.lit(None).cast("string"))
+     .write.option("header", True).csv(path))
+    return CSV.import_marketplace_trends(spark, path)
+
+
+@query("csv_inventory")
+def q_csv_inventory(spark, sf):
+    """Files of a drop by source and header: rows and delimiter."""
+    files = CSV.inventory(spark, A.csv_drop(spark, sf))
+    return (files.where("header IS NOT NULL").groupBy("source", "delimiter", "header")
+            .agg(F.sum("n_rows").alias("n_rows")))
+
+
+@query("events_in_range")
+def q_events_in_range(spark, sf):
+    """Both ends of the range are included."""
+    return web.event_daily(web.in_range(A.raw_events(spark, sf), "2024-01-05", "2024-01-12"))
+
+
+@query("resync_daily")
+def q_resync_daily(spark, sf):
+    """The look-back window recomputed from all events and upserted over the first load."""
+    target = _event_window(spark, sf, "initial", end=FIRST_LOAD_END).drop("source_batch")
+    start, end = resolve_range("2024-01-15", "2024-12-31")
+    return web.resync_daily(A.raw_events(spark, sf), target, start, end)
+
+
+@query("parse_yyyymmdd")
+def q_parse_yyyymmdd(spark, sf):
+    ev = table(spark, sf, "events")
+    raw = F.when(F.col("event_id") % 5 == 0, "20241341").otherwise(F.date_format("ts", "yyyyMMdd"))
+    return ev.select("event_id", raw.alias("raw_text")).withColumn("parsed", parse_yyyymmdd("raw_text"))
+
+
+@query("price_value")
+def q_price_value(spark, sf):
+    """Prices as numbers, text, JSON scalars and JSON objects."""
+    p = table(spark, sf, "part")
+    text, v = F.col("p_retailprice").cast("string"), F.col("p_partkey") % 5
+    raw = (F.when(v == 0, F.concat(F.lit('{"price": '), text, F.lit("}")))
+           .when(v == 1, F.concat(F.lit('"'), text, F.lit('"')))
+           .when(v == 2, F.concat(F.lit("\t"), text)).when(v == 3, F.lit("n/a")).otherwise(text))
+    return p.select("p_partkey", raw.alias("raw_text")).withColumn("price", price_value("raw_text"))
+
+
+@query("conform_columns")
+def q_conform_columns(spark, sf):
+    """A legacy column renamed, one whose new name exists left alone, absent ones added."""
+    p = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("nombre"),
+                                        F.col("p_brand").alias("marca"), F.col("p_type").alias("brand"))
+    out = conform(p, {"nombre": "name", "marca": "brand"}, {"site": "MPE", "name": "unused"})
+    return U.with_defaults(out, {"priority": F.lit(2), "site": F.lit("other")})
+
+
+@query("profile_top")
+def q_profile_top(spark, sf):
+    return Q.profile(A.dictionary_stage(spark, sf), top=3)

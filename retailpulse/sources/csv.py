@@ -69,6 +69,36 @@ def read_csv_files(spark: SparkSession, paths: list[str], columns: list[str], de
     return df.fillna("") if blank_as_empty else df
 
 
+def inventory(spark: SparkSession, root: str) -> DataFrame:
+    """path, source, size, n_rows (data lines, blank ones left out), delimiter, header and
+    sample (a data line: the least one as text) of every *.csv file below ``root``, empty files
+    included."""
+    path = F.regexp_replace("path", "^file:/+", "/")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.csv").load(root)
+             .select(path.alias("path"), F.col("length").alias("size")))
+    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+             .text(root).where(strip(F.col("value")) != "")
+             .select(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+                     .alias("path"), "value", F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("n")))
+    at = F.struct("block", "n")
+    per_file = (lines.withColumn("path", path).groupBy("path")
+                .agg(F.min_by("value", at).alias("header"),
+                     F.count(F.lit(1)).alias("lines")))
+    rest = lines.withColumn("path", path).join(per_file, "path").where("value <> header")
+    per_file = per_file.join(rest.groupBy("path").agg(F.min("value").alias("sample")), "path", "left")
+    counts = [F.length("header") - F.length(F.replace("header", F.lit(d), F.lit("")))
+              for d in DELIMITERS]
+    best = F.lit(DELIMITERS[-1])
+    for d, n in reversed([*zip(DELIMITERS, counts)][:-1]):
+        best = F.when(n >= F.greatest(*counts), F.lit(d)).otherwise(best)
+    return (files.join(per_file, "path", "left").withColumn("delimiter", F.when(F.col("header").isNotNull(), best))
+            .select("path", F.lower(F.element_at(F.split("path", "/"), -2)).alias("source"), "size",
+                    F.coalesce(F.col("lines") - 1, F.lit(0)).cast("long").alias("n_rows"), "delimiter",
+                    "header", "sample"))
+
+
 CURATED_KINDS = ("price_benchmark", "category_weekly", "text_terms")
 
 
