@@ -20,10 +20,13 @@ their own; an empty table gives no records; other columns are not read.
 
 from __future__ import annotations
 
+import gzip
+import hashlib
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .common import short_batches
+from .common import short_batches, type_of
 
 MIN_SHARED_BYTES = 100
 PAGES_PER_FILE = 2000            # bounds an archive file, which is read in one piece
@@ -33,7 +36,7 @@ EOL = "\r\n"
 
 RECORD = ("record_id string, record_type string, concurrent_to string, refers_to string, "
           "target_uri string, payload_digest string, content_type string, headers map<string,string>, "
-          "content binary")
+          "payload_bytes long, payload_sha256 string, content binary")
 
 
 def _urn(*parts: Column) -> Column:
@@ -121,12 +124,18 @@ def records(pages: DataFrame, min_shared_bytes: int = MIN_SHARED_BYTES) -> DataF
 
 def write_archives(pages: DataFrame, path: str, min_shared_bytes: int = MIN_SHARED_BYTES,
                    pages_per_file: int = PAGES_PER_FILE) -> None:
-    """Archive files of at most ``pages_per_file`` pages below ``path``."""
+    """Gzip-compressed archive files of at most ``pages_per_file`` pages below ``path``."""
     (records(pages, min_shared_bytes).write.option("lineSep", EOL * 2)
+     .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
      .option("maxRecordsPerFile", 3 * pages_per_file).text(path))
 
 
 # -------------------------------------------------------------- reading ----
+def plain(archive: bytes) -> bytes:
+    """The archive without its gzip layer, if it has one."""
+    return gzip.decompress(archive) if archive[:2] == b"\x1f\x8b" else archive
+
+
 def parse(archive: bytes):
     """(headers, content) of the records of one archive file, by their Content-Length."""
     view, at = memoryview(archive), 0
@@ -142,16 +151,25 @@ def parse(archive: bytes):
         at = end + 4 + size + 4
 
 
+def payload_of(headers: dict[str, str], content: bytes) -> bytes:
+    """What follows the HTTP header; of records without one, all."""
+    if not headers.get("Content-Type", "").startswith("application/http"):
+        return content
+    return content[content.index(b"\r\n\r\n") + 4:]
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """All records of the archives below ``path``."""
+    """All records of the archives below ``path``; payload_bytes and payload_sha256 describe
+    the payload as it was read."""
     short_batches(spark)
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
              .select("content"))
     names = ["record_id", "record_type", "concurrent_to", "refers_to", "target_uri",
-             "payload_digest", "content_type", "headers", "content"]
+             "payload_digest", "content_type", "headers", "payload_bytes", "payload_sha256", "content"]
     wanted = ["WARC-Record-ID", "WARC-Type", "WARC-Concurrent-To", "WARC-Refers-To",
               "WARC-Target-URI", "WARC-Payload-Digest", "Content-Type"]
-    kinds = [*[pa.string()] * 7, pa.map_(pa.string(), pa.string()), pa.binary()]
+    kinds = [*[pa.string()] * 7, pa.map_(pa.string(), pa.string()), pa.int64(), pa.string(),
+             pa.binary()]
 
     def walk(batches):
         def rows(out):
@@ -160,8 +178,10 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for archive in batch.column(0):
                 out, size = [], 0
-                for headers, content in parse(archive.as_py()):
-                    out.append((*map(headers.get, wanted), list(headers.items()), content))
+                for headers, content in parse(plain(archive.as_py())):
+                    payload = payload_of(headers, content)
+                    out.append((*map(headers.get, wanted), list(headers.items()), len(payload),
+                                hashlib.sha256(payload).hexdigest(), content))
                     size += len(content)
                     if size > 4_000_000 or len(out) >= 2000:
                         yield rows(out)
@@ -174,18 +194,22 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 def transactions(rows: DataFrame) -> DataFrame:
     """One row per capture: capture (record id), url, request, response and metadata, the last
-    three nested. Request and metadata records are joined through their concurrent-to ids."""
+    three nested. Request and metadata records meet the response or revisit record that their
+    concurrent-to id names, in one shuffle; what belongs to no response is left out."""
     whole = F.struct(*[F.col(c) for c in rows.columns])
     url = F.replace(F.replace(F.replace(F.col("target_uri"), F.lit("%0A"), F.lit("\n")),
                               F.lit("%0D"), F.lit("\r")), F.lit("%25"), F.lit("%"))
-    main = (rows.where(F.col("record_type").isin("response", "revisit"))
-            .select(F.col("record_id").alias("capture"), url.alias("url"), whole.alias("response")))
 
-    def beside(kind):
-        return (rows.where(F.col("record_type") == kind)
-                .select(F.col("concurrent_to").alias("capture"), whole.alias(kind)))
+    def one(*kinds):
+        return F.first(F.when(F.col("record_type").isin(*kinds), whole), ignorenulls=True)
 
-    return main.join(beside("request"), "capture", "left").join(beside("metadata"), "capture", "left")
+    main = F.col("record_type").isin("response", "revisit")
+    joined = rows.groupBy(F.when(main, F.col("record_id")).otherwise(F.col("concurrent_to"))
+                          .alias("capture")).agg(
+        F.first(F.when(main, url), ignorenulls=True).alias("url"),
+        one("request").alias("request"), one("response", "revisit").alias("response"),
+        one("metadata").alias("metadata"))
+    return joined.where("response IS NOT NULL")
 
 
 def warc_field(content: Column, name: str) -> Column:
@@ -201,21 +225,26 @@ def payload(response: str) -> Column:
     return F.substr(content, head + F.lit(4))
 
 
-def page_archive(pages: DataFrame, path: str, page_id_type: str = "long") -> DataFrame:
+def page_archive(pages: DataFrame, path: str, bodies: bool = True) -> DataFrame:
     """Write the pages to ``path``, read the archives back, and describe each page: page_id,
-    url, payload_bytes, payload_digest, record_type, refers_to (page id), html (of responses)."""
+    url, payload_bytes, payload_digest, record_type, refers_to (page id), html (of responses;
+    without ``bodies`` null, and payloads are not shuffled again)."""
     write_archives(pages, path)
-    rows = transactions(read_records(pages.sparkSession, path))
+    rows = read_records(pages.sparkSession, path)
+    is_main = F.col("record_type").isin("response", "revisit")
+    if not bodies:
+        rows = rows.withColumn("content", F.when(~is_main, F.col("content")))
+    rows = transactions(rows)
+    kind = type_of(pages, "page_id")
     page = lambda f: warc_field(F.col("metadata.content"), f)
     is_response = F.col("response.record_type") == "response"
-    body = F.when(is_response, payload("response"))
     return rows.select(
-        page("pageId").cast(page_id_type).alias("page_id"), "url",
-        F.when(is_response, F.octet_length(body)).otherwise(page("payloadBytes").cast("long"))
-        .cast("long").alias("payload_bytes"),
-        F.when(is_response, F.sha2(body, 256))
+        page("pageId").cast(kind).alias("page_id"), "url",
+        F.when(is_response, F.col("response.payload_bytes"))
+        .otherwise(page("payloadBytes").cast("long")).alias("payload_bytes"),
+        F.when(is_response, F.col("response.payload_sha256"))
         .otherwise(F.regexp_replace("response.payload_digest", "^sha256:", ""))
         .alias("payload_digest"),
         F.col("response.record_type").alias("record_type"),
-        page("refersToPage").cast(page_id_type).alias("refers_to"),
-        F.decode(body, "UTF-8").alias("html"))
+        page("refersToPage").cast(kind).alias("refers_to"),
+        F.when(is_response, F.decode(payload("response"), "UTF-8")).alias("html"))
