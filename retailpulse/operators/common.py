@@ -4,21 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give CPU-heavy per-row work (regex tokenizing, JSON and CSV parsing) at least as
-    many tasks as the cluster has cores. Only when the input arrives in fewer
-    partitions (a few large files or row groups) is it redistributed round-robin; on a
-    large, widely split input this is a no-op and adds no shuffle.
 
-    Apply it to a *scan* (readers and adapters do): the partition count of a scan is
-    known from the file splits without running anything, while a derived DataFrame with
-    shuffles would have to run them to report its partitions."""
+def spread(df: DataFrame, partitions: int) -> DataFrame:
+    """Redistribute a scan that arrives in fewer than ``partitions`` partitions (a few large
+    files or row groups), so that CPU-heavy work per row (regex tokenizing, JSON and CSV
+    parsing) has that many tasks. It changes the plan only, never a result; the caller names
+    the number. On a widely split input it adds no shuffle."""
     try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         current = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - sessions without RDD access (e.g. Spark Connect)
         return df
-    return df.repartition(target) if current < target else df
+    return df.repartition(partitions) if current < partitions else df
 
 
 def pick_first(df: DataFrame, keys: list, order: list, cols: list[str] | None = None) -> DataFrame:

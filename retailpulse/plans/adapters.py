@@ -54,6 +54,11 @@ CATEGORY_MAP_ROWS = [
 ]
 
 
+def scan(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table for heavy work per row, in as many partitions as the cluster has cores."""
+    return spread(table(spark, sf, name), spark.sparkContext.defaultParallelism)
+
+
 def _cents_to_money(c: Column) -> Column:
     return (c / 100).cast("decimal(18,2)")
 
@@ -126,7 +131,7 @@ def web_events(ev: DataFrame) -> DataFrame:
 
 
 def search_events(spark: SparkSession, sf: str) -> DataFrame:
-    return search_events_from(spread(table(spark, sf, "events")), table(spark, sf, "part")).drop("ts")
+    return search_events_from(scan(spark, sf, "events"), table(spark, sf, "part")).drop("ts")
 
 
 def search_events_from(events: DataFrame, part: DataFrame) -> DataFrame:
@@ -177,7 +182,7 @@ def aliases(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def interest_points(spark: SparkSession, sf: str) -> DataFrame:
-    ev = spread(table(spark, sf, "events")).select("event_id", "ts", "value", _event_k().alias("k"))
+    ev = scan(spark, sf, "events").select("event_id", "ts", "value", _event_k().alias("k"))
     part = table(spark, sf, "part").select("p_partkey", "p_name")
     j = ev.join(part, ev.k == part.p_partkey)
     noun = last_word("p_name")
@@ -188,7 +193,7 @@ def interest_points(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def calendar(spark: SparkSession, sf: str) -> DataFrame:
-    ev = spread(table(spark, sf, "events")).select("event_type", "ts", "value", _event_k().alias("k"))
+    ev = scan(spark, sf, "events").select("event_type", "ts", "value", _event_k().alias("k"))
     part = table(spark, sf, "part").select("p_partkey", "p_type")
     j = ev.join(part, ev.k == part.p_partkey, "left")
     kind = (F.when(F.col("event_type") == "purchase", "CAMPAIGN")
@@ -211,7 +216,7 @@ def calendar(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def price_rows(spark: SparkSession, sf: str) -> DataFrame:
-    li = spread(table(spark, sf, "lineitem")).select("l_partkey", "l_returnflag", "l_extendedprice",
+    li = scan(spark, sf, "lineitem").select("l_partkey", "l_returnflag", "l_extendedprice",
                                              "l_shipdate")
     part = table(spark, sf, "part").select("p_partkey", "p_type", "p_name")
     j = li.join(part, li.l_partkey == part.p_partkey)
@@ -228,8 +233,8 @@ def category_map(spark: SparkSession) -> DataFrame:
 
 
 def text_docs(spark: SparkSession, sf: str) -> DataFrame:
-    docs = spread(table(spark, sf, "documents")).select("source", "text")
-    pages = spread(table(spark, sf, "pages")).select(F.lit("pages").alias("source"),
+    docs = scan(spark, sf, "documents").select("source", "text")
+    pages = scan(spark, sf, "pages").select(F.lit("pages").alias("source"),
                                                      F.col("html").alias("text"))
     return docs.unionByName(pages)
 
@@ -277,7 +282,7 @@ def write_csv_drop(spark: SparkSession, sf: str) -> str:
     time on line 6) and 'descriptions' (',' separated, HTML-ish product text)."""
     from ..session import scratch_path
     root = scratch_path(spark, "csv-drop")
-    li = spread(table(spark, sf, "lineitem"))
+    li = scan(spark, sf, "lineitem")
     part = table(spark, sf, "part")
     j = li.join(part, li.l_partkey == part.p_partkey)
     ln = F.col("l_linenumber")
@@ -400,7 +405,7 @@ def marketplace_search_json(spark: SparkSession, sf: str) -> DataFrame:
     """One landed search response per line item (keyword = noun, week of the ship
     date): three numeric prices and a null one; category filters vary with the line
     number (none / one / a blank-id one after a brand filter)."""
-    li = spread(table(spark, sf, "lineitem"))
+    li = scan(spark, sf, "lineitem")
     part = table(spark, sf, "part")
     j = li.join(part, li.l_partkey == part.p_partkey)
     p = F.col("l_extendedprice")
@@ -429,7 +434,7 @@ def marketplace_search_json(spark: SparkSession, sf: str) -> DataFrame:
 def marketplace_trends_json(spark: SparkSession, sf: str) -> DataFrame:
     """One landed trending response per line item: [noun with url, blank, padded brand] and
     more entries up to the 60th."""
-    li = spread(table(spark, sf, "lineitem"))
+    li = scan(spark, sf, "lineitem")
     part = table(spark, sf, "part")
     j = li.join(part, li.l_partkey == part.p_partkey)
     noun = last_word("p_name")
