@@ -92,12 +92,36 @@ def _weekly_terms(terms: DataFrame) -> DataFrame:
             .agg(F.sum("event_count").alias("searches")))
 
 
+def _weekly_normalized(terms: DataFrame) -> DataFrame:
+    """(week_start, _norm, searches): one row per week and normalized term."""
+    return (terms.groupBy(F.trunc("day", "week").alias("week_start"),
+                          norm_txt("search_term").alias("_norm"))
+            .agg(F.sum("event_count").alias("searches")))
+
+
+def coverage_shares(terms: DataFrame, sdict: DataFrame, aliases: DataFrame) -> DataFrame:
+    """week_start, unmapped_pct_before, unmapped_pct_after: the percentages of
+    ``coverage_weekly`` and ``coverage_after_weekly`` from one aggregate over the weekly term
+    table that ``mapped_weekly`` uses, too. A term that several dictionary rows stand for
+    counts once for each, as it does in the mapped facts."""
+    rows = sdict.groupBy("raw_norm").agg(F.count(F.lit(1)).alias("_rows"))
+    known = normalize_aliases(aliases).select("raw_term_norm", F.lit(1).alias("_alias"))
+    wk = _weekly_normalized(terms)
+    j = (wk.join(rows, wk._norm == rows.raw_norm, "left")
+         .join(known, F.col("_norm") == F.col("raw_term_norm"), "left"))
+    n, missed = F.col("searches"), F.col("_rows").isNull()
+    week = j.groupBy("week_start").agg(
+        F.sum(n * F.coalesce("_rows", F.lit(1))).alias("_all"),
+        F.sum(F.when(missed, n).otherwise(0)).alias("_before"),
+        F.sum(F.when(missed & F.col("_alias").isNull(), n).otherwise(0)).alias("_after"))
+    return week.select("week_start", safe_pct("_before", "_all").alias("unmapped_pct_before"),
+                       safe_pct("_after", "_all").alias("unmapped_pct_after"))
+
+
 def mapped_weekly(terms: DataFrame, sdict: DataFrame) -> DataFrame:
     """week_start, keyword_canonica, categoria, searches (inner join; unmapped dropped).
     Terms are summed per (week, normalized term) before the join."""
-    wk = (terms.groupBy(F.trunc("day", "week").alias("week_start"),
-                        norm_txt("search_term").alias("_norm"))
-          .agg(F.sum("event_count").alias("searches")))
+    wk = _weekly_normalized(terms)
     d = sdict.select("raw_norm", "keyword_canonica", "categoria")
     return (wk.join(d, wk._norm == d.raw_norm)
             .groupBy("week_start", "keyword_canonica", "categoria")

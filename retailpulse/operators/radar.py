@@ -72,7 +72,12 @@ def dashboard_weekly(radar: DataFrame, coverage_before: DataFrame,
     """One flat table: radar rows plus both weekly unmapped percentages."""
     b = coverage_before.select("week_start", F.col("unmapped_pct").alias("unmapped_pct_before"))
     a = coverage_after.select("week_start", F.col("unmapped_pct").alias("unmapped_pct_after"))
-    return (radar.join(b, "week_start", "left").join(a, "week_start", "left")
+    return dashboard_from_shares(radar, b.join(a, "week_start", "full_outer"))
+
+
+def dashboard_from_shares(radar: DataFrame, shares: DataFrame) -> DataFrame:
+    """The same from ``dictionary.coverage_shares``."""
+    return (radar.join(shares, "week_start", "left")
             .select("week_start", "categoria", "keyword_canonica", "searches",
                     "trends_interest", "is_campaign_week",
                     F.coalesce("events", F.lit("")).alias("events"), "kaggle_price_p50",

@@ -300,9 +300,8 @@ def q_radar_category(spark, sf):
 
 def _dashboard(spark, sf, after: bool):
     i = Inputs(spark, sf)
-    cb = D.coverage_weekly(i.mapped)
-    ca = D.coverage_after_weekly(i.mapped_after)
-    return _as(radar.dashboard_weekly(i.radar(after), cb, ca), RADAR_CASTS)
+    shares = D.coverage_shares(i.terms, i.sdict, A.aliases(spark, sf))
+    return _as(radar.dashboard_from_shares(i.radar(after), shares), RADAR_CASTS)
 
 
 @query("dashboard")
