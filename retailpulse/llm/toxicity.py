@@ -38,7 +38,7 @@ FOLDS, HELD_OUT_FOLD = 4, 2
 PENALTY = 1.0              # weight of the squared score change under a swap
 RIDGE = 2e-4
 STEPS, RATE = 400, 0.05
-WORDS_KNOWN = 400_000      # words whose features a worker remembers
+WORDS_KNOWN = 150_000      # words whose features a worker remembers
 
 # Terms that may stand for each other; a swap takes the next one of the row.
 IDENTITY_TERMS = (
