@@ -10,13 +10,15 @@ Derivations (fixed, deterministic):
                discount; paid_at = o_orderdate, NULL for priority '5-LOW'; status
                F -> 'PAID', P -> 'PENDING', O -> NULL. ``paid_day='web'`` moves the paid
                day to 2024-01-01 + (o_orderkey % 40) so sales overlap the event days.
-  details      lineitem: bill_code=l_orderkey, product=l_partkey, quantity, amount.
+  details      lineitem: bill_code=l_orderkey, product=l_partkey (negative, i.e. unknown, for
+               order key % 50 = 0), quantity and unit price with three decimals, amount.
   products     part: id=p_partkey, name=p_name, price=p_retailprice.
   raw events   events: day=date(ts), event_name via EVENT_NAME_MAP, user_id,
                session_id = user_id * 100 + hour(ts) (a user's hour of activity).
   search       'view' events; the term is the name of part k (k from props) written in
                one of several raw forms chosen by event_id % 8 (upper, padded, accented,
-               '(not set)', 'Not Set', blank, plain).
+               '(not set)', 'Not Set', blank, plain; padding has tabs, line ends
+               and no-break spaces).
   dictionary   one staging row per part except adjectives 'hot' (left unmapped) and
                'old' (covered by aliases only): raw = p_name (upper-cased or padded for
                some keys), canonical = noun or full name, category from p_type,

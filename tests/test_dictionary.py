@@ -119,3 +119,15 @@ def test_dedupe_on_norm_prevents_fan_out(spark):
     by_norm = D.search_dictionary(D.dedupe_dictionary(stg, dedupe_on="norm"))
     assert by_norm.count() == 1 and by_norm.first()["keyword_raw"] == "ratón"          # priority 1 wins
     assert D.map_terms_daily(terms, by_norm).agg(F.sum("searches")).first()[0] == 5
+
+
+def test_coverage_shares_equal_both_reports(spark):
+    from retailpulse.plans import adapters as A
+    from retailpulse.plans.queries import Inputs
+    sf = "/root/testdata/sf0.001"
+    i = Inputs(spark, sf)
+    before = {r["week_start"]: r["unmapped_pct"] for r in D.coverage_weekly(i.mapped).collect()}
+    after = {r["week_start"]: r["unmapped_pct"] for r in D.coverage_after_weekly(i.mapped_after).collect()}
+    shares = D.coverage_shares(i.terms, i.sdict, A.aliases(spark, sf)).collect()
+    assert {r["week_start"]: r["unmapped_pct_before"] for r in shares} == before
+    assert {r["week_start"]: r["unmapped_pct_after"] for r in shares} == after
