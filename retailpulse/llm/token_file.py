@@ -20,6 +20,7 @@ block raises ``ValueError``; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import math
 import struct
 import zlib
@@ -33,7 +34,7 @@ from .multiset import range_part
 from .tokens import END_ID, default_tokenizer, encoder
 
 BLOCK = 4096                # ids of a block
-LANES = 1024                # blocks coded side by side
+LANES = 1536                # blocks coded side by side
 SLOTS = 2048                # contexts a block remembers for each order
 MAGIC = b"CMR1"
 HEADER = struct.Struct("<4sII")
@@ -51,7 +52,8 @@ _CLASS = np.array([0, 1, 2, 2] + [2 * (i.bit_length() - 1) + (i >> (i.bit_length
 CLASSES = int(_CLASS[-1]) + 1
 _CLASS_FIRST = np.searchsorted(_CLASS, np.arange(CLASSES)).astype(np.int64)
 _CLASS_BITS = np.array([int(n - 1).bit_length() for n in np.bincount(_CLASS)], dtype=np.uint64)
-LEARN, MOST = 24, 1 << 13   # weight of one more id of a class; counts are halved from MOST on
+LEARN, MOST = 24, 1 << 13   # weight of one more id of a class; counts are halved from MOST on,
+EVERY = 16                  # and take effect every so many ids
 
 
 class RangeCoder:
@@ -72,6 +74,13 @@ class RangeCoder:
                            | w[3] >> np.uint64(8))
             self.at = np.full(lanes, 3, dtype=np.int64)
 
+    def reserve(self, steps: int) -> None:
+        """Room for the words of so many more ids (four each at most)."""
+        need = int(self.at.max()) + 4 * steps + 8
+        if self.encoding and need > self.words.shape[1]:
+            more = np.zeros((len(self.words), max(need - self.words.shape[1], 512)), dtype=np.uint16)
+            self.words = np.concatenate([self.words, more], axis=1)
+
     def _carry(self) -> None:
         lanes = np.flatnonzero(self.low >> _TOP)
         if not len(lanes):
@@ -148,23 +157,32 @@ class RangeCoder:
         return [w[:n] for w, n in zip(self.words, self.at.tolist())]
 
 
-class Guess:
-    """For each lane, a table of contexts with the id that followed last and how reliably."""
+class Guesses:
+    """For each lane, a table of contexts of order 2 and one of order 1: the id that followed
+    last and how reliably. Arrays have a row for each order."""
 
     def __init__(self, lanes: int):
-        self.table = np.full(lanes * SLOTS, -8, dtype=np.int32)      # id * 8 + level
-
-    def look(self, slots: np.ndarray):
-        self.slots = slots
-        found = self.table.take(slots)
+        self.table = np.full(2 * lanes * SLOTS, -8, dtype=np.int32)      # id * 8 + level
+        self.first = np.arange(2 * lanes).reshape(2, lanes) * SLOTS
+        self.shift = 32 - (SLOTS.bit_length() - 1)
+
+    def look(self, lanes: int, prev: np.ndarray, prev2: np.ndarray):
+        one = prev * 0x9E3779B1
+        mixed = np.empty((2, lanes), dtype=np.int64)
+        np.add(one, prev2 * 0x85EBCA77, out=mixed[0])
+        mixed[1] = one
+        mixed &= 0xFFFFFFFF
+        mixed >>= self.shift
+        mixed += self.first[:, :lanes]
+        self.slots = mixed
+        found = self.table.take(mixed).astype(np.int64)
         self.id, self.level = found >> 3, found & 7
         return self.id, self.level
 
     def learn(self, ids: np.ndarray) -> None:
         right = self.id == ids
         level = np.where(right, np.minimum(self.level + 1, 7), self.level >> 1)
-        new = self.level <= 1
-        new &= ~right
+        new = (self.level <= 1) & ~right
         self.table[self.slots] = np.where(new, ids * 8 + 1, self.id * 8 + level)
 
 
@@ -172,66 +190,66 @@ def _code(coder: RangeCoder, sizes: np.ndarray, ids: np.ndarray) -> None:
     """Code the columns of ``ids`` (steps x lanes); lanes come in descending order of sizes.
     A decoder fills ``ids``."""
     lanes, encoding = len(sizes), coder.encoding
-    two, one = Guess(lanes), Guess(lanes)
-    chance_a = np.full(lanes * 16, 1 << 14, dtype=np.int64)    # by certainty of order 2, agreement
-    chance_b = np.full(lanes * 64, 1 << 14, dtype=np.int64)    # by certainties of both
-    chance_c = np.full(lanes * 16, 1 << 14, dtype=np.int64)    # for the order-1 guess
-    weight_a = np.full(lanes, 1 << 15, dtype=np.int64)
-    weight_b = np.full(lanes, 1 << 15, dtype=np.int64)
+    guesses = Guesses(lanes)
+    # chances that a guess is right: of order 2 by its certainty and whether order 1 agrees, of
+    # order 2 by both certainties, of order 1 by its certainty and whether order 2 agreed
+    chances = np.full(lanes * 96, 1 << 14, dtype=np.int64)
+    first = np.array([[0], [16], [80]]) + np.arange(lanes) * 96     # 16, 64 and 16 contexts
+    weights = np.full((2, lanes), 1 << 15, dtype=np.int64)
     counts = np.ones((lanes, CLASSES), dtype=np.float32)       # whole numbers, exact in float32
+    flat_counts = counts.ravel()
     up_to = np.triu(np.ones((CLASSES, CLASSES), dtype=np.float32))
     last = np.zeros(lanes, dtype=np.int64)
     before = np.zeros(lanes, dtype=np.int64)
-    row = np.arange(lanes)
-    row_slots, row_16, row_64 = row * SLOTS, row * 16, row * 64
     active = np.searchsorted(-sizes, -np.arange(len(ids)), side="left").tolist()
 
-    def toward(old, hit):
-        return old + (((hit << 16) - hit - old) >> 4)
-
     for step, m in enumerate(active):
+        if step % 256 == 0:
+            coder.reserve(256)
+        if step % EVERY == 0:
+            full = counts.sum(axis=1) > MOST
+            counts[full] = np.ceil(counts[full] / 2)
+            shares, cum = counts.ravel().copy(), counts @ up_to
+            flat_cum, totals = cum.ravel(), cum[:, -1].astype(np.uint64)
         here = slice(0, m)
         prev, prev2 = last[:m], before[:m]
-        truth = ids[step, :m] if encoding else None
-        id2, sure2 = two.look(row_slots[:m] + (((prev * 0x9E3779B1 + prev2 * 0x85EBCA77) >> 12)
-                                               & (SLOTS - 1)))
-        id1, sure1 = one.look(row_slots[:m] + ((prev * 0x9E3779B1 >> 13) & (SLOTS - 1)))
+        truth = ids[step, :m].astype(np.int64) if encoding else None
+        (id2, id1), (sure2, sure1) = guesses.look(m, prev, prev2)
         same = (id1 == id2) * 8
-        at_a = row_16[:m] + (sure2 + same)
-        at_b = row_64[:m] + (sure2 * 8 + sure1)
-        at_c = row_16[:m] + (sure1 + same)
-        old_a, old_b, old_c = chance_a.take(at_a), chance_b.take(at_b), chance_c.take(at_c)
-        push_a, push_b = _STRETCH.take(old_a >> 4), _STRETCH.take(old_b >> 4)
-        mixed = (weight_a[:m] * push_a + weight_b[:m] * push_b) >> 16
+        at = first[:, :m].copy()
+        at[0] += sure2 + same
+        at[1] += sure2 * 8 + sure1
+        at[2] += sure1 + same
+        old = chances.take(at)
+        push = _STRETCH.take(old[:2] >> 4)
+        mixed = (weights[:, :m] * push).sum(axis=0) >> 16
         chance = _SQUASH.take(np.minimum(np.maximum(mixed, -2047), 2047) + 2047)
         hit = coder.bit(here, chance << 4, truth == id2 if encoding else None)
         yes = hit.astype(np.int64)
-        chance_a[at_a] = toward(old_a, yes)
-        chance_b[at_b] = toward(old_b, yes)
-        error = ((yes << 12) - chance) * 7
-        weight_a[:m] += (push_a * error + 0x8000) >> 16
-        weight_b[:m] += (push_b * error + 0x8000) >> 16
+        weights[:, :m] += (push * (((yes << 12) - chance) * 7) + 0x8000) >> 16
         # the order-1 guess, where order 2 was wrong
-        chance = np.minimum(np.maximum(old_c, 16), 65520)
+        chance = np.minimum(np.maximum(old[2], 16), 65520)
         hit1 = coder.bit(here, chance, truth == id1 if encoding else None, hit)
         coder.renew()
-        chance_c[at_c] = np.where(hit, old_c, toward(old_c, hit1.astype(np.int64)))
+        right = np.empty((3, m), dtype=np.int64)
+        right[:2], right[2] = yes, hit1
+        new = old + (((right << 16) - right - old) >> 4)
+        new[2] = np.where(hit, old[2], new[2])
+        chances[at] = new
         if not encoding:
-            truth = np.where(hit, id2, id1).astype(np.int64)
+            truth = np.where(hit, id2, id1)
         miss = np.flatnonzero(~hit1)
         if len(miss):
-            rows = np.arange(len(miss))
-            cum = counts.take(miss, axis=0) @ up_to
-            total = cum[:, -1].astype(np.uint64)
+            total = totals.take(miss)
             if encoding:
                 value = truth.take(miss)
                 cls = _CLASS.take(value)
             else:
                 ahead = coder.value(miss, total).astype(np.float32)
-                cls = (cum <= ahead[:, None]).sum(axis=1)
+                cls = (cum.take(miss, axis=0) <= ahead[:, None]).sum(axis=1)
             place = miss * CLASSES + cls
-            share = counts.ravel().take(place)
-            below = cum[rows, cls] - share
+            share = shares.take(place)
+            below = flat_cum.take(place) - share
             coder.part(miss, below.astype(np.uint64), share.astype(np.uint64), total)
             span = np.uint64(1) << _CLASS_BITS.take(cls)
             if encoding:
@@ -241,14 +259,10 @@ def _code(coder: RangeCoder, sizes: np.ndarray, ids: np.ndarray) -> None:
                 truth[miss] = _CLASS_FIRST.take(cls) + rest.astype(np.int64)
             coder.part(miss, rest, np.uint64(1), span)
             coder.renew()
-            counts.ravel()[place] = share + LEARN
-            full = miss[total > MOST]
-            if len(full):
-                counts[full] = np.ceil(counts[full] / 2)
+            flat_counts[place] += LEARN
         if not encoding:
             ids[step, :m] = truth
-        two.learn(truth)
-        one.learn(truth)
+        guesses.learn(truth)
         before[:m] = prev
         last[:m] = truth
 
@@ -259,10 +273,10 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
         return []
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     sizes = np.array([len(blocks[i]) for i in order])
-    ids = np.zeros((int(sizes[0]), len(blocks)), dtype=np.int64)
+    ids = np.zeros((int(sizes[0]), len(blocks)), dtype=np.uint16)
     for lane, i in enumerate(order):
         ids[:sizes[lane], lane] = blocks[i]
-    coder = RangeCoder(len(blocks), capacity=4 * len(ids) + 8)
+    coder = RangeCoder(len(blocks), capacity=len(ids) + 512)
     _code(coder, sizes, ids)
     out: list = [b""] * len(blocks)
     for i, words in zip(order, coder.finish()):
@@ -284,7 +298,7 @@ def decode_blocks(data: list[bytes]) -> list[np.ndarray]:
     words = np.zeros((len(data), max(map(len, parts)) + 8), dtype=np.uint16)
     for lane, p in enumerate(parts):
         words[lane, :len(p)] = p
-    ids = np.zeros((int(sizes[0]), len(data)), dtype=np.int64)
+    ids = np.zeros((int(sizes[0]), len(data)), dtype=np.uint16)
     try:
         _code(RangeCoder(len(data), words=words), sizes, ids)
     except IndexError as e:
@@ -384,20 +398,24 @@ def _matrix_times(matrix: list[int], vector: int) -> int:
     return out
 
 
+@functools.cache
+def _zero_bits(power: int) -> tuple[int, ...]:
+    """The matrix over GF(2) that appends 2**power zero bits to what a CRC-32 has seen."""
+    if not power:
+        return (0xEDB88320, *(1 << i for i in range(31)))
+    half = _zero_bits(power - 1)
+    return tuple(_matrix_times(half, row) for row in half)
+
+
 def crc_joined(first: int, second: int, second_bytes: int) -> int:
-    """CRC-32 of two byte strings in a row, from those of each. Appending zero bytes is linear
-    over GF(2): the matrix of one zero bit is squared once for each bit of the length."""
-    if not second_bytes:
-        return first
-    matrix = [0xEDB88320, *(1 << i for i in range(31))]
-    bits = 8 * second_bytes
+    """CRC-32 of two byte strings in a row, from those of each."""
+    bits, power = 8 * second_bytes, 0
     while bits:
         if bits & 1:
-            first = _matrix_times(matrix, first)
+            first = _matrix_times(_zero_bits(power), first)
         bits >>= 1
-        if bits:
-            matrix = [_matrix_times(matrix, row) for row in matrix]
-    return first ^ second
+        power += 1
+    return first ^ second if second_bytes else first
 
 
 def read_token_file(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
@@ -410,6 +428,7 @@ def read_token_file(spark: SparkSession, path: str, id_type: str = "long") -> Da
                        before.alias("offset"), "data")
 
     def read(batches):
+        encoder.cache_clear()               # a worker that wrote needs its words no more
         for batch in batches:
             for at in range(0, batch.num_rows, LANES):
                 some = batch.slice(at, LANES)
