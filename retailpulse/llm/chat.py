@@ -34,7 +34,7 @@ def escape(c: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?s)\\(.)", "$1")
+    return F.when(F.contains(c, F.lit("\\")), F.regexp_replace(c, r"(?s)\\(.)", "$1")).otherwise(c)
 
 
 def word_tokens(text: Column) -> Column:
@@ -168,13 +168,12 @@ def format_conversations(conversations: DataFrame, budget: int = BUDGET, history
 
 def parse_turns(text: Column) -> Column:
     """Turns (role, text) of a formatted text, unescaped."""
-    pieces = F.split(text, r"<\|turn\|>")
-    return F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))),
-                       lambda p: F.struct(
-        unescape(F.substring_index(p, TEXT, 1)).alias("role"),
-        unescape(F.substr(p, F.length(F.substring_index(p, TEXT, 1)) + len(TEXT) + 1,
-                          F.length(p) - F.length(F.substring_index(p, TEXT, 1))
-                          - len(TEXT) - len(END))).alias("text")))
+    def turn(parts):
+        return F.struct(unescape(parts[0]).alias("role"),
+                        unescape(F.left(parts[1], F.length(parts[1]) - len(END))).alias("text"))
+
+    pieces = F.filter(F.split(text, r"<\|turn\|>"), lambda p: p != "")
+    return F.transform(F.transform(pieces, lambda p: F.split(p, r"<\|text\|>")), turn)
 
 
 def masked_texts(text: str, loss: str) -> Column:
