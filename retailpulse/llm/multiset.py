@@ -3,7 +3,7 @@
 A text is cut into paragraphs: after every line end, and inside lines where the bytes just
 read say so, about every 48 bytes; an edit therefore only disturbs the paragraphs around it.
 Each paragraph is hashed to a wide vector. Summed over the paragraphs, eight lanes modulo
-2**64 compare for equality; 256 signed lanes (+1 or -1 from each hash bit) modulo 2**16 have
+2**64 compare for equality; 256 signed lanes (+1 or -1 from each hash bit) modulo 2**32 have
 inner products that estimate how much two texts share. Inserting or deleting a paragraph adds
 or subtracts its vector, and the order of paragraphs does not matter.
 
@@ -14,8 +14,8 @@ streams through a task in order.
 Defined cases: a null or empty text is the empty multiset (all lanes zero), alike only to
 another empty one; repeated rows follow each other as documents; documents without id come
 last; the successor of the last document is the first, of a single one itself; an empty table
-gives no rows; other columns are not read. A lane of the likeness part wraps around once one
-paragraph repeats 32,768 times; equality is not affected.
+gives no rows; other columns are not read. A paragraph has a byte at least and a text fewer
+than 2**31 of them, so the signed lanes of a text are exact however often a paragraph repeats.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import short_batches, type_of
 
 LANES = 8                   # modulo 2**64, for equality
-SIGNS = 256                 # modulo 2**16, for likeness
+SIGNS = 256                 # modulo 2**32, for likeness
 MEAN_BYTES = 48             # of a paragraph inside a long line
 ROWS_PER_RANGE, MOST_RANGES = 4000, 4096
 SAMPLE_PER_RANGE = 20       # ids looked at to place the range ends
@@ -60,7 +60,7 @@ class Multiset:
 
     def __init__(self, lanes=None, signs=None):
         self.lanes = np.zeros(LANES, dtype=np.uint64) if lanes is None else lanes
-        self.signs = np.zeros(SIGNS, dtype=np.int16) if signs is None else signs
+        self.signs = np.zeros(SIGNS, dtype=np.int32) if signs is None else signs
 
     @classmethod
     def of(cls, parts: list[bytes]) -> Multiset:
@@ -73,7 +73,7 @@ class Multiset:
         ones = np.zeros(SIGNS, dtype=np.int64)
         for at in range(0, len(parts), 4096):
             ones += np.unpackbits(bits[at:at + 4096], axis=1).sum(axis=0, dtype=np.int64)
-        return cls(words.sum(axis=0, dtype=np.uint64), (2 * ones - len(parts)).astype(np.int16))
+        return cls(words.sum(axis=0, dtype=np.uint64), (2 * ones - len(parts)).astype(np.int32))
 
     @classmethod
     def of_text(cls, text: str | None) -> Multiset:
@@ -86,13 +86,13 @@ class Multiset:
         return Multiset(self.lanes - other.lanes, self.signs - other.signs)
 
     def __str__(self) -> str:
-        return (self.lanes.astype(">u8").tobytes() + self.signs.astype(">i2").tobytes()).hex()
+        return (self.lanes.astype(">u8").tobytes() + self.signs.astype(">i4").tobytes()).hex()
 
     @classmethod
     def parse(cls, text: str) -> Multiset:
         raw = bytes.fromhex(text)
         return cls(np.frombuffer(raw[:8 * LANES], dtype=">u8").astype(np.uint64),
-                   np.frombuffer(raw[8 * LANES:], dtype=">i2").astype(np.int16))
+                   np.frombuffer(raw[8 * LANES:], dtype=">i4").astype(np.int32))
 
     def likeness(self, other: Multiset) -> float:
         """Cosine of the signed lanes, 0 if negative; 1 for equal multisets."""

@@ -1,7 +1,8 @@
 import hashlib
 import random
+from collections import Counter
 
-from retailpulse.llm.multiset import (Multiset, edit_likeness, fingerprint_documents,
+from retailpulse.llm.multiset import (Multiset, edit_likeness, edited, fingerprint_documents,
                                       in_descending_order, paragraphs)
 from retailpulse.llm.queries import REGISTRY
 
@@ -53,6 +54,32 @@ def test_likeness_follows_shared_text():
     assert near == sorted(near) and near[0] < 0.15 and abs(near[2] - 0.5) < 0.12 and near[4] == 1
 
 
+def test_a_paragraph_may_repeat_often(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    texts = {2: "\n" * 40_000 + "end", 1: " ".join(word() for _ in range(3000))}
+
+    def exact(text):
+        bits = [hashlib.blake2b(p).digest()[:32] for p in paragraphs(text.encode())]
+        return [sum(n * (1 if d[k >> 3] >> (7 - k % 8) & 1 else -1) for d, n in Counter(bits).items())
+                for k in range(256)]
+
+    def cosine(a, b):
+        size = lambda v: sum(x * x for x in v) ** 0.5
+        return max(0.0, sum(x * y for x, y in zip(a, b)) / (size(a) * size(b)))
+
+    whole = Multiset.of_text(texts[2])
+    assert max(map(abs, exact(texts[2]))) > 32_768 and whole.signs.tolist() == exact(texts[2])
+    assert Multiset.parse(str(whole)).signs.tolist() == exact(texts[2])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in edit_likeness(docs).collect()}
+    for doc, after in ((2, 1), (1, 2)):
+        new = edited(texts[doc], texts[after])
+        assert abs(rows[doc]["near_edited"] - cosine(exact(texts[doc]), exact(new))) < 1e-9
+        assert abs(rows[doc]["near_next"] - cosine(exact(texts[doc]), exact(texts[after]))) < 1e-9
+    assert rows[2]["near_edited"] > 0.9
+
+
 def test_ranges_stitch_together(spark, monkeypatch):
     monkeypatch.setattr("retailpulse.llm.multiset.ROWS_PER_RANGE", 7)
     rng = random.Random(3)
