@@ -281,17 +281,18 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The documents with one of each component left: that of the smallest doc_id (of rows
-    that repeat an id, one; rows without id count by their fingerprint). Columns stay."""
-    prints = written(fingerprints(docs, shingle), "fingerprints")
-    fp = prints.columns[-1]
-    key, = fresh(prints, "key")
-    name = F.coalesce(F.concat(F.lit("i"), F.col("doc_id").cast("string")),
-                      F.concat(F.lit("f"), F.col(f"`{fp}`").cast("string")))
-    classes = _classes(prints, "doc_id", fp, max_bits)
-    # a component without any id has no smallest one: its fingerprints stay, one row each
-    kept = classes.select(F.coalesce(
-        F.concat(F.lit("i"), F.col("component_id").cast("string")),
-        F.concat(F.lit("f"), F.col("fp").cast("string"))).alias(key)).distinct()
-    rows = prints.withColumn(key, name).join(kept, key, "left_semi")
-    return rows.dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One row of each component, columns as they are: the smallest by doc_id (rows without id
+    last), fingerprint and hash of the text. Which rows go together is up to their fingerprints
+    alone, so rows that repeat an id with other texts are documents of their own."""
+    prints = fingerprints(docs, shingle)
+    fp, (row,) = prints.columns[-1], fresh(prints, "row")
+    prints = written(prints.withColumn(row, F.monotonically_increasing_id()), "fingerprints")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("without"), F.col("doc_id").alias("id"),
+                          F.col(f"`{fp}`").alias("fp"), F.xxhash64("text").alias("text"),
+                          F.col(f"`{row}`").alias("row"))).alias("best")
+    first = written(prints.groupBy(F.col(f"`{fp}`").alias("fp")).agg(best), "distinct")
+    label = components(links(first.select("fp"), max_bits)).withColumnRenamed("node", "fp")
+    # a label is a fingerprint of its component; one without links is a component of its own
+    kept = (first.join(label, "fp", "left").groupBy(F.coalesce("label", "fp").alias("label"))
+            .agg(F.min("best").alias("best")).select(F.col("best.row").alias(row)))
+    return prints.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -98,3 +98,16 @@ def test_awkward_rows(spark, awkward, no_documents):
     got = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect())
     assert got == [(False, i) for i in (0, 2, 5, 6, 7, 8, 9)] + [(True, 0)]
     assert one_of_each(no_documents).count() == 0
+
+
+def test_one_of_each_goes_by_component(spark):
+    near_a, a, b = ("The quick brown fox jumps", "the quick brown fox jumps", "something else altogether here")
+    alone = " ".join(f"word{k}" for k in range(400))
+    close = alone.replace("word200", "other")
+    assert 0 < (fingerprint(alone.encode()) ^ fingerprint(close.encode())).bit_count() <= 3
+    rows = [(3, near_a), (5, a), (5, b), (5, b), (None, alone), (None, close), (None, close)]
+    for some in (rows, rows[::-1], rows[2:] + rows[:2], rows[1:3] + rows[:1] + rows[3:]):
+        docs = spark.createDataFrame(some, "doc_id long, text string").repartition(3)
+        got = [(r["doc_id"], r["text"]) for r in one_of_each(docs).collect()]
+        assert len(got) == 3 and {(3, near_a), (5, b)} < set(got)
+        assert {t for i, t in got if i is None} <= {alone, close}
