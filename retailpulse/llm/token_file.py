@@ -319,15 +319,16 @@ FILE = ("part long, block long, first_doc long, doc_ids array<{0}>, doc_sizes ar
 def write_token_file(docs: DataFrame, path: str, tokenizer: str | None = None,
                      end_id: int = END_ID, block: int = BLOCK) -> None:
     """Encode every text, add ``end_id``, and write all ids in ascending order of doc_id below
-    ``path``. Documents are dealt into ranges of ids (``part``); inside one, ``block`` counts
-    from 0, and a row lists the documents in the block (``first_doc`` is the first one's place
-    in the range) with how many of its ids are theirs."""
+    ``path``. Documents are dealt into ranges of ids (``part``; those without id are the last
+    one); inside one, ``block`` counts from 0, and a row lists the documents in the block
+    (``first_doc`` is the first one's place in the range) with how many of its ids are theirs."""
     tokenizer = tokenizer or default_tokenizer()
     short_batches(docs.sparkSession)
     kind = type_of(docs, "doc_id")
     rows = docs.select("doc_id", "text")
     parts, part = range_part(rows)
-    rows = rows.select((F.lit(parts - 1) - part).cast("long").alias("part"), "doc_id", "text")
+    part = F.when(F.col("doc_id").isNull(), parts).otherwise(F.lit(parts - 1) - part)
+    rows = rows.select(part.cast("long").alias("part"), "doc_id", "text")
     rows = rows.repartition("part").sortWithinPartitions(
         "part", F.asc_nulls_last("doc_id"), F.asc_nulls_first("text"))
 

@@ -74,6 +74,19 @@ def test_ranges_and_cut_documents(spark, documents, texts, monkeypatch):
     assert {i: zlib.crc32(p) for i, p in pieces.items()} == {i: c for i, (_, c) in whole.items()}
 
 
+def test_null_ids_come_after_all_ranges(spark, awkward, monkeypatch):
+    monkeypatch.setattr("retailpulse.llm.multiset.ROWS_PER_RANGE", 3)
+    path = scratch_path(spark, "ids")
+    write_token_file(awkward, path)
+    assert spark.read.parquet(path).select("part").distinct().count() > 3
+    rows = read_documents(spark, path).orderBy("start").collect()
+    assert [r["doc_id"] for r in rows] == [0, 1, 1, *range(2, 10), None, None]
+    at = 0
+    for r in rows:
+        assert r["start"] == at
+        at += r["n_tokens"]
+
+
 def test_awkward_rows(spark, awkward, no_documents):
     path = scratch_path(spark, "ids")
     write_token_file(awkward, path)
