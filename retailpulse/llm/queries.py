@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path, table
-from . import chat, lm, secret_scan, toxicity
+from . import chat, lm, repair, secret_scan, toxicity
 from .common import held_out
 from .decontaminate import find_contamination
 from .multiset import edit_likeness
@@ -129,3 +129,10 @@ def op2_secrets(spark, sf):
     return found.select("doc_id", count("assign"), count("access"), count("hex"),
                         F.sha2(secret_scan.listed(of(*secret_scan.BASE)), 256).alias("base_sha256"),
                         secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+@query("op11_repair")
+def op11_repair(spark, sf):
+    turns = repair.damaged(table(spark, sf, "conversations"))
+    return repair.conversations_of(repair.repair(turns, times_column="times")).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 def test_registered():
     names = E.queries()
     assert names["pipeline"] is P.run and set(queries.REGISTRY) <= set(names)
-    assert [f"op{n}_" for n in range(1, 11)] == sorted(
+    assert [f"op{n}_" for n in range(1, 14)] == sorted(
         (k.split("_")[0] + "_" for k in queries.REGISTRY), key=lambda k: int(k[2:-1]))
     assert [n for n, _ in P.STAGES] == ["toxicity", "simhash_near_dedup", "benchmark_decontamination",
                                         "secret_scan", "packing"]
