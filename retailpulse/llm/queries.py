@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch_path, table
-from . import chat, lm, repair, secret_scan, toxicity
+from . import chat, lm, neighbours, repair, secret_scan, toxicity
+from .alignment import align_documents
 from .common import held_out
 from .decontaminate import find_contamination
 from .multiset import edit_likeness
@@ -136,3 +137,13 @@ def op11_repair(spark, sf):
     turns = repair.damaged(table(spark, sf, "conversations"))
     return repair.conversations_of(repair.repair(turns, times_column="times")).select(
         "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+@query("op13_neighbours")
+def op13_neighbours(spark, sf):
+    return neighbours.nearest(table(spark, sf, "embeddings"))
+
+
+@query("op12_alignment")
+def op12_alignment(spark, sf):
+    return align_documents(table(spark, sf, "documents"))
