@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numbers import round_half_up
 from ..functions.text import keep_token, norm_txt, token_text
+from .like_index import like_join
 from .quantiles import exact_percentiles
 
 PROBS = (0.25, 0.5, 0.75)
@@ -16,8 +17,8 @@ def grouped_percentiles(df: DataFrame, keys: list[str], value: str,
                         accuracy: int = 10000) -> DataFrame:
     """keys, n, p_<i>: linear-interpolated percentiles ((n - 1) * p rule).
 
-    ``exact``: order statistics over a value histogram (operators/quantiles.py): exact, and
-    a hot group is spread over many tasks.
+    ``exact``: radix selection over value counts (operators/quantiles.py): exact, and a hot
+    group is spread over many tasks however close its values lie.
     ``aggregate``: Spark's ``percentile`` aggregate; exact and fewer stages, but the
     value->count map of a group is merged in one task (fine for narrow groups).
     ``approx``: ``percentile_approx`` with a bounded sketch per group.
@@ -71,28 +72,10 @@ def text_terms(docs: DataFrame, top: int = 200, text_col: str = "text") -> DataF
             .drop("_rn"))
 
 
-def like_join(rows: DataFrame, value_col: str, patterns: DataFrame, pattern_col: str) -> DataFrame:
-    """rows x patterns where ``value LIKE pattern``, as one equi-join with a residual LIKE.
-
-    A pattern can only match values that begin with the text before its first wildcard, so it
-    is keyed by that text, and a row carries its own beginnings of the lengths that occur (one
-    small job reads these; a pattern is a line of configuration). No size decides the plan:
-    which side is broadcast is left to adaptive execution."""
-    head = F.regexp_extract(F.col(pattern_col), r"^[^%_\\]*", 0)
-    lengths = [r[0] for r in patterns.where(F.col(pattern_col).isNotNull())
-               .select(F.length(head).alias("n")).distinct().orderBy("n").collect()]
-    value = F.col(value_col)
-    heads = F.array_compact(F.array(*[F.when(F.length(value) >= n, F.left(value, F.lit(n)))
-                                      for n in lengths]).cast("array<string>"))
-    keyed = rows.select("*", F.explode(heads).alias("_k"))
-    like = F.expr(f"`{value_col}` LIKE `{pattern_col}`")
-    return keyed.join(patterns.withColumn("_k", head), ["_k"]).where(like).drop("_k")
-
-
 def benchmark_category(bench: DataFrame, category_map: DataFrame) -> DataFrame:
     """categoria_norm, kaggle_price_p50 (n-weighted mean of p50), kaggle_n_prices.
 
-    The map is joined on ``category_norm LIKE pattern`` (see ``like_join``) against the
+    The map is joined on ``category_norm LIKE pattern`` (``like_index.like_join``) against the
     already aggregated benchmark. Two patterns of one category matching a row count it
     twice, as in the reference."""
     m = category_map.select("internal_categoria", "kaggle_pattern")

@@ -1,87 +1,118 @@
-"""Exact grouped percentiles that never hold a whole group in one task.
-
-1. ``(keys, v) -> c``: distinct values with their counts (map-side partial aggregation, so
-   repeated values of a hot group collapse before the shuffle);
-2. every value lies in a bucket that is a monotone function of the value alone: its binary
-   exponent and the first ``BITS`` bits of its fraction. ``(keys, bucket) -> n`` is a
-   histogram whose size is bounded by the function, not by the data;
-3. running sums over the histogram name the buckets that hold the two ranks around
-   ``(n - 1) * p``;
-4. only the values of those buckets are ranked, each (group, bucket) on its own, and the
-   linear interpolation ``v_f + (v_c - v_f) * (k - f)`` is taken.
-
-Nothing depends on partition numbers, on reused exchanges or on the size of a group, and no
-job runs while the plan is built.
+"""Exact grouped percentiles by radix selection.
+
+1. ``(keys, code) -> c``: distinct values with their counts (map-side partial aggregation, so
+   repeated values of a hot group collapse before the shuffle). ``code`` is a long that orders
+   as the double does, so nothing is lost by it;
+2. the ranks around ``(n - 1) * p`` are looked for from the top bits of the code downwards,
+   ``DIGIT`` bits a level: a histogram over the next digit of the values that share a wanted
+   beginning, running sums over it, and the digit that holds the rank. Only beginnings that
+   hold a wanted rank go on to the next level;
+3. after the last level a beginning is a whole code, hence a value, and the linear
+   interpolation ``v_f + (v_c - v_f) * (k - f)`` is taken.
+
+A window therefore holds at most 2^``DIGIT`` rows, whatever the values are: all of them may lie
+in a range as narrow as the doubles allow. Nothing depends on partition numbers, on reused
+exchanges or on the size of a group, and no job runs while the plan is built.
 """
 
 from __future__ import annotations
 
-import functools
-import operator
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BITS = 12           # fraction bits of a bucket: neighbours differ by 1/4096 of the value
+DIGIT = 16
+LEVELS = 4
+_FRACTION = 52      # fraction bits of a double
+_BIAS = 1023
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """keys, _v, _c: distinct non-NULL values per group with their counts."""
+    """keys, _code, _c: distinct values per group with their counts; NULL and NaN are left out."""
     v = F.col(value).cast("double")
+    # the code uses the value many times, so it is worked out behind the aggregate
     return (df.where(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, (v + 0.0).alias("_v"))
-            .agg(F.count(F.lit(1)).alias("_c")))
+            .agg(F.count(F.lit(1)).alias("_c"))
+            .select(*keys, value_code(F.col("_v")).alias("_code"), "_c"))
 
 
-def value_bucket(v: Column) -> Column:
-    """A long that does not decrease as the value grows. The exponent may come out one too
-    high just below a power of two; the fraction part is negative then and makes up for it."""
+def value_code(v: Column) -> Column:
+    """The bits of a double as a long that orders as the doubles do. The logarithm may come out
+    one off near a power of two, which the halved or doubled fraction part makes up for; all
+    steps on the fraction are exact."""
     size = F.abs(v)
-    exponent = F.floor(F.log2(size))
-    fraction = F.floor((size / F.pow(F.lit(2.0), exponent) - 1) * (1 << BITS))
-    # above zero for every double, so that both signs stay apart from zero
-    level = (exponent + 1100).cast("long") * (1 << BITS) + fraction.cast("long")
+    near = F.greatest(F.floor(F.log2(size)), F.lit(-_BIAS + 1).cast("long"))
+    near = F.least(near, F.lit(_BIAS).cast("long")).cast("int")
+    part = size / F.pow(F.lit(2.0), near)
+    exponent = F.when(part >= 2, near + 1).when((part < 1) & (near > -_BIAS + 1), near - 1).otherwise(near)
+    part = size / F.pow(F.lit(2.0), F.least(exponent, F.lit(_BIAS)))
+    scale = F.lit(float(1 << _FRACTION))
+    # below the least exponent there is no leading one
+    level = F.when(part < 1, (part * scale).cast("long")).otherwise(
+        F.shiftleft((exponent + _BIAS).cast("long"), _FRACTION) + ((part - 1) * scale).cast("long"))
+    level = F.when(size == float("inf"), F.lit((2 * _BIAS + 1) << _FRACTION)).otherwise(level)
     return F.when(v == 0, F.lit(0).cast("long")).when(v > 0, level).otherwise(-level)
 
 
+def value_of(code: Column) -> Column:
+    """The double of a code."""
+    size = F.abs(code)
+    exponent = F.shiftright(size, _FRACTION).cast("int")
+    part = size.bitwiseAND(F.lit((1 << _FRACTION) - 1)).cast("double")
+    value = F.when(exponent == 0, part * F.lit(2.0 ** (1 - _BIAS - _FRACTION))).when(
+        exponent == 2 * _BIAS + 1, F.lit(float("inf"))).otherwise(
+        (F.lit(1.0) + part * F.lit(2.0 ** -_FRACTION)) * F.pow(F.lit(2.0), exponent - _BIAS))
+    return F.when(code < 0, -value).otherwise(value)
+
+
+def _same(names: dict[str, str]) -> list[Column]:
+    return [F.col(a).eqNullSafe(F.col(b)) for a, b in names.items()]
+
+
 def exact_percentiles(df: DataFrame, keys: list[str], value: str,
                       probs: tuple[float, ...]) -> DataFrame:
     """keys, n, p_0 .. p_{len(probs)-1}; NULL and NaN values are ignored (n counts the rest).
     Keys that are NULL form a group."""
-    names = [f"_k{i}" for i in range(len(keys))]
-    counts = value_counts(df, keys, value).withColumn("_b", value_bucket(F.col("_v")))
-    histogram = counts.groupBy(*keys, "_b").agg(F.sum("_c").alias("_n"))
-    group = Window.partitionBy(*keys)
-    upto = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    histogram = (histogram.withColumn("_before", F.sum("_n").over(upto) - F.col("_n"))
-                 .withColumn("n", F.sum("_n").over(group)))
-
-    def ranks(p):
-        k = (F.col("n") - 1).cast("double") * F.lit(p)
+    counts = value_counts(df, keys, value)
+    renamed = {k: f"_k{i}" for i, k in enumerate(keys)}
+    n = F.col("n")
+
+    def rank(i: int) -> tuple[Column, Column, Column]:
+        k = (n - 1).cast("double") * F.lit(float(probs[i]))
         f = F.floor(k).cast("long")
-        return k, f, F.least(f + 1, F.col("n") - 1)
-
-    def covers(rank, start, size):
-        return (rank >= start) & (rank < start + size)
-
-    wanted = [covers(rank, F.col("_before"), F.col("_n")) for p in probs for rank in ranks(p)[1:]]
-    targets = (histogram.where(functools.reduce(operator.or_, wanted))
-               .select(*[F.col(k).alias(a) for k, a in zip(keys, names)],
-                       F.col("_b").alias("_tb"), "_before", "n"))
-    same = [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, names)]
-    values = counts.join(targets, [F.col("_b") == F.col("_tb"), *same])
-    inside = (Window.partitionBy(*keys, "_b").orderBy("_v")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    values = values.withColumn("_start", F.col("_before") + F.sum("_c").over(inside) - F.col("_c"))
-    picks = []
-    for i, p in enumerate(probs):
-        k, f, c = ranks(p)
-        for name, rank in (("lo", f), ("hi", c)):
-            picks.append(F.max(F.when(covers(rank, F.col("_start"), F.col("_c")), F.col("_v")))
-                         .alias(f"_{name}{i}"))
-        picks.append(F.max(k - f).alias(f"_w{i}"))
-    out = values.groupBy(*keys, "n").agg(*picks)
-    return out.select(*keys, "n", *[
-        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_w{i}")).alias(f"p_{i}")
-        for i in range(len(probs))])
+        return k, f, F.least(f + 1, n - 1)
+
+    ranks = [f"_at{j}" for j in range(2 * len(probs))]      # wanted ranks inside a beginning, or NULL
+    wanted = None
+    for level in range(LEVELS):
+        shift = 64 - DIGIT * (level + 1)
+        # arithmetic shift: the top digit is signed, the others are not
+        top = F.shiftright("_code", shift).alias("_top")
+        if level == 0:
+            digits = counts.groupBy(*keys, top).agg(F.sum("_c").alias("_n")).withColumn("_begin", F.lit(0).cast("long"))
+        else:
+            begin = wanted.select(*[F.col(k).alias(a) for k, a in renamed.items()],
+                                  F.col("_begin").alias("_wanted"), "n", *ranks)
+            inside = counts.join(begin, [F.shiftright("_code", shift + DIGIT) == F.col("_wanted"), *_same(renamed)])
+            digits = inside.groupBy(*keys, F.col("_wanted").alias("_begin"), top).agg(
+                F.sum("_c").alias("_n"), F.max("n").alias("n"), *[F.max(r).alias(r) for r in ranks])
+        within = Window.partitionBy(*keys, "_begin")
+        upto = within.orderBy("_top").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        digits = digits.withColumn("_before", F.sum("_n").over(upto) - F.col("_n"))
+        if level == 0:
+            digits = digits.withColumn("n", F.sum("_n").over(within)).withColumns(
+                {f"_at{2 * i + side}": rank(i)[1 + side] for i in range(len(probs)) for side in (0, 1)})
+        here = [F.col(r) - F.col("_before") for r in ranks]
+        here = [F.when((x >= 0) & (x < F.col("_n")), x).alias(r) for x, r in zip(here, ranks)]
+        wanted = digits.select(*keys, "n", F.col("_top").alias("_begin"), *here).where(
+            F.coalesce(*ranks).isNotNull())
+    found = wanted.withColumn("_v", value_of(F.col("_begin")))
+    at = found.groupBy(*keys, "n").agg(*[F.max(F.when(F.col(r).isNotNull(), F.col("_v"))).alias(f"_v{j}")
+                                         for j, r in enumerate(ranks)])
+
+    def interpolated(i: int) -> Column:
+        k, f, _ = rank(i)
+        lo, hi = F.col(f"_v{2 * i}"), F.col(f"_v{2 * i + 1}")
+        return lo + (hi - lo) * (k - f)
+    return at.select(*keys, "n", *[interpolated(i).alias(f"p_{i}") for i in range(len(probs))])
 
 
 def array_percentile(ascending: Column, p: float) -> Column:

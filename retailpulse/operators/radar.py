@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numbers import round_half_up
 from ..functions.text import norm_txt
+from .ranks import sliced_dense_rank
 
 # Score weights (searches, interest, campaign week).
 WEIGHTS = (0.55, 0.35, 0.10)
@@ -15,8 +16,8 @@ def radar_keyword(kw_weeks: DataFrame, interest: DataFrame, calendar: DataFrame,
     """Score each (week, category, keyword): weighted sum of searches and interest, each
     divided by its weekly maximum over the joined rows, plus a campaign flag.
 
-    The weekly maxima and the weekly rank are windows over the same partitioning, so the joined
-    rows are planned and shuffled once."""
+    No window holds a week: the weekly maxima are aggregates, and the week is ranked in slices
+    (``ranks.sliced_dense_rank``, which runs a job)."""
     kw = kw_weeks
     if "categoria_norm" not in kw.columns:
         kw = kw.withColumn("categoria_norm", norm_txt("categoria"))
@@ -25,31 +26,25 @@ def radar_keyword(kw_weeks: DataFrame, interest: DataFrame, calendar: DataFrame,
     t = interest.select("week_start", "keyword_norm", "trends_interest")
     c = calendar.select("week_start", "categoria_norm", "is_campaign_week", "events")
     b = bench.select("categoria_norm", "kaggle_price_p50", "kaggle_n_prices")
-    base = (kw.join(t, ["week_start", "keyword_norm"], "left")
-            .join(c, ["week_start", "categoria_norm"], "left")
-            .join(b, ["categoria_norm"], "left")
-            .select("week_start", "categoria", "keyword_canonica", "searches",
-                    F.coalesce("trends_interest", F.lit(0)).alias("trends_interest"),
-                    F.coalesce("is_campaign_week", F.lit(0)).alias("is_campaign_week"),
-                    "events", "kaggle_price_p50", "kaggle_n_prices"))
-    # one pass: the rank needs the week's rows sorted anyway (one row per keyword and week, so
-    # bounded by the dictionary), and the maxima ride on the same exchange
-    week = Window.partitionBy("week_start")
-    s = base.withColumns({"_max_s": F.max("searches").over(week),
-                          "_max_t": F.max("trends_interest").over(week)})
+    kw = (kw.join(t, ["week_start", "keyword_norm"], "left")
+          .withColumn("trends_interest", F.coalesce("trends_interest", F.lit(0))))
+    tops = kw.groupBy("week_start").agg(F.max("searches").alias("_max_s"),
+                                        F.max("trends_interest").alias("_max_t"))
+    s = (kw.join(tops, ["week_start"], "left").join(c, ["week_start", "categoria_norm"], "left")
+         .join(b, ["categoria_norm"], "left")
+         .withColumn("is_campaign_week", F.coalesce("is_campaign_week", F.lit(0))))
     sn = F.coalesce(F.col("searches").cast("double") / F.nullif(F.col("_max_s").cast("double"), F.lit(0.0)), F.lit(0.0))
     tn = F.coalesce(F.col("trends_interest").cast("double") / F.nullif(F.col("_max_t").cast("double"), F.lit(0.0)), F.lit(0.0))
     w1, w2, w3 = weights
     raw = F.lit(w1) * sn + F.lit(w2) * tn + F.lit(w3) * F.col("is_campaign_week")
-    scored = s.withColumn("_raw", raw)
-    # rounded, so that scores that differ by float noise alone tie
-    w = Window.partitionBy("week_start").orderBy(F.round("_raw", 12).desc(), "categoria",
-                                                 "keyword_canonica")
-    return scored.select(
+    scored = s.withColumn("_raw", raw).select(
         "week_start", "categoria", "keyword_canonica", "searches", "trends_interest",
         "is_campaign_week", "events", "kaggle_price_p50", "kaggle_n_prices",
         round_half_up(F.lit(100.0) * F.col("_raw"), 2).alias("score_total"),
-        F.dense_rank().over(w).alias("rank_week"))
+        # rounded, so that scores that differ by float noise alone tie
+        F.round("_raw", 12).alias("_order"))
+    order = [F.col("_order").desc(), F.col("categoria").asc(), F.col("keyword_canonica").asc()]
+    return sliced_dense_rank(scored, ["week_start"], order, "rank_week").drop("_order")
 
 
 def radar_category(radar: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numbers import clamp, interest_value
 from ..functions.text import norm_txt, strip
@@ -55,10 +55,12 @@ def interest_last_file_wins(weekly: DataFrame, file_col: str = "file_name") -> D
 def calendar_weekly(calendar: DataFrame, align: str = "monday") -> DataFrame:
     """week_start, categoria_norm, is_campaign_week, best_priority, events.
 
-    Instead of a week grid joined on an overlap predicate (a nested-loop join), every
-    event emits exactly the grid weeks it overlaps: weeks w with w <= end and
-    w + 6 >= start. ``align='monday'`` uses Monday weeks; ``align='start'`` anchors the
-    grid at the earliest start date (the reference's literal grid)."""
+    A week w counts for an event if w <= end and w + 6 >= start. ``align='monday'`` uses Monday
+    weeks; ``align='start'`` anchors the grid at the earliest start date (the reference's literal
+    grid). The events of a category are swept along the grid: between two weeks at which one of
+    them begins or has ended the same events run, so names and priorities are gathered once per
+    such stretch, and only the finished rows are spread over its weeks. An event of thousands of
+    weeks costs as much as one of a day."""
     cal = calendar.where(F.col("start_date") <= F.col("end_date"))
     if align == "monday":
         first, last = F.trunc("start_date", "week"), F.trunc("end_date", "week")
@@ -74,12 +76,38 @@ def calendar_weekly(calendar: DataFrame, align: str = "monday") -> DataFrame:
         cal = (cal.select("*", F.date_add("_a", k0 * 7).alias("_first"),
                           F.date_add("_a", k1 * 7).alias("_last"))
                .where(F.col("_first") <= F.col("_last")))
-    weeks = cal.select(F.explode(F.sequence("_first", "_last", F.expr("INTERVAL 7 DAYS")))
-                       .alias("week_start"), "event_name", "prioridad", "tags")
-    tagged = weeks.select("week_start", "event_name", "prioridad", F.explode("tags").alias("tag"))
-    return (tagged.groupBy("week_start", norm_txt("tag").alias("categoria_norm"))
-            .agg(F.lit(1).alias("is_campaign_week"), F.min("prioridad").alias("best_priority"),
-                 F.array_join(F.array_sort(F.collect_set("event_name")), " | ").alias("events")))
+    runs = (cal.select("_first", F.date_add("_last", 7).alias("_after"), "event_name", "prioridad",
+                       F.explode("tags").alias("tag"))
+            .groupBy("_first", "_after", "event_name", norm_txt("tag").alias("categoria_norm"))
+            .agg(F.min("prioridad").alias("prioridad")))
+    stretches = _stretches(runs)
+    name = ["categoria_norm", "_nth"]
+    begins = stretches.select(F.col("categoria_norm").alias("_c"), F.col("_from").alias("_f"), F.col("_nth").alias("_i"))
+    ends = stretches.select(F.col("categoria_norm").alias("_d"), F.col("_to").alias("_t"), F.col("_nth").alias("_j"))
+    held = (runs.join(begins, F.col("categoria_norm").eqNullSafe(F.col("_c")) & (F.col("_first") == F.col("_f")))
+            .join(ends, F.col("categoria_norm").eqNullSafe(F.col("_d")) & (F.col("_after") == F.col("_t"))))
+    running = (held.select("categoria_norm", "event_name", "prioridad", F.explode(F.sequence("_i", "_j")).alias("_nth"))
+               .groupBy(*name).agg(F.min("prioridad").alias("best_priority"), F.array_join(
+                   F.array_sort(F.collect_set("event_name")), " | ").alias("events")))
+    at = stretches.select(F.col("categoria_norm").alias("_c"), F.col("_nth").alias("_i"), "_from", "_to")
+    weeks = running.join(at, F.col("categoria_norm").eqNullSafe(F.col("_c")) & (F.col("_nth") == F.col("_i")))
+    return weeks.select(
+        F.explode(F.sequence("_from", F.date_sub("_to", 7), F.expr("INTERVAL 7 DAYS"))).alias("week_start"),
+        "categoria_norm", F.lit(1).alias("is_campaign_week"), "best_priority", "events")
+
+
+def _stretches(runs: DataFrame) -> DataFrame:
+    """categoria_norm, _nth, _from, _to: the stretches of a category's grid in which at least one
+    run goes on, by a running sum of +1 where a run begins and -1 where it has ended."""
+    steps = (runs.select("categoria_norm", F.explode(F.array(
+        F.struct(F.col("_first").alias("at"), F.lit(1).alias("by")),
+        F.struct(F.col("_after").alias("at"), F.lit(-1).alias("by")))).alias("s"))
+        .groupBy("categoria_norm", F.col("s.at").alias("_from")).agg(F.sum("s.by").alias("_by")))
+    along = Window.partitionBy("categoria_norm").orderBy("_from")
+    return (steps.select("categoria_norm", "_from", F.lead("_from").over(along).alias("_to"),
+                         F.row_number().over(along).alias("_nth"),
+                         F.sum("_by").over(along.rowsBetween(Window.unboundedPreceding, 0)).alias("_open"))
+            .where(F.col("_open") > 0).drop("_open"))
 
 
 def keyword_pick(dim: DataFrame, n: int = 10) -> DataFrame:

@@ -234,6 +234,26 @@ def category_map(spark: SparkSession) -> DataFrame:
                                  "internal_categoria string, kaggle_pattern string, notes string")
 
 
+def infix_map(spark: SparkSession, sf: str) -> DataFrame:
+    """A category map of patterns that begin with a wildcard, several for every part noun."""
+    noun, key = F.lower(last_word("p_name")), F.col("p_partkey") % 4
+    pattern = (F.when(key == 0, F.concat(F.lit("%"), noun, F.lit("%")))
+               .when(key == 1, F.concat(F.lit("_%"), F.substring(noun, 2, 100), F.lit("%")))
+               .when(key == 2, F.concat(F.lit("%."), F.substring(noun, 1, 2), F.lit("%")))
+               .otherwise(F.concat(F.lit("%"), F.substring(noun, 1, 1), F.lit("%"))))
+    return table(spark, sf, "part").select(category_of_type(F.col("p_type")).alias("internal_categoria"),
+                                           pattern.alias("kaggle_pattern")).distinct()
+
+
+def event_seconds(spark: SparkSession, sf: str) -> DataFrame:
+    """Event times as seconds: values of one narrow range, all of them different."""
+    day = F.datediff(F.to_date("ts"), F.lit("1970-01-01").cast("date")).cast("bigint")
+    seconds = day * 86400 + F.hour("ts") * 3600 + F.minute("ts") * 60 + F.floor(F.second("ts"))
+    return table(spark, sf, "events").select(F.lit("events").alias("source"),
+                                             F.col("event_type").alias("category_norm"),
+                                             seconds.cast("double").alias("price"))
+
+
 def text_docs(spark: SparkSession, sf: str) -> DataFrame:
     docs = scan(spark, sf, "documents").select("source", "text")
     pages = scan(spark, sf, "pages").select(F.lit("pages").alias("source"),

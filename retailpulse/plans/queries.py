@@ -263,6 +263,12 @@ def q_price_benchmark_wide(spark, sf):
     return benchmark.price_benchmark(rows)
 
 
+@query("price_benchmark_dense")
+def q_price_benchmark_dense(spark, sf):
+    """Values that share their first 20 bits and more: the seconds of the events."""
+    return benchmark.price_benchmark(A.event_seconds(spark, sf))
+
+
 @query("category_weekly")
 def q_category_weekly(spark, sf):
     return benchmark.category_weekly(A.price_rows(spark, sf))
@@ -278,6 +284,12 @@ def q_benchmark_category(spark, sf):
     return Inputs(spark, sf).bench_category
 
 
+@query("benchmark_category_infix")
+def q_benchmark_category_infix(spark, sf):
+    """Category patterns that begin with a wildcard, thousands of them."""
+    return benchmark.benchmark_category(Inputs(spark, sf).bench, A.infix_map(spark, sf))
+
+
 # ---------------------------------------------------------------- radar ----
 RADAR_CASTS = {"trends_interest": "bigint", "is_campaign_week": "bigint", "rank_week": "bigint"}
 
