@@ -16,7 +16,7 @@ from ..functions.dates import parse_date_any, parse_yyyymmdd, resolve_range
 from ..functions.numbers import price_value, safe_float
 from ..functions.schema import conform, normalize_category
 from ..functions.text import norm_txt
-from ..operators import benchmark, dictionary as D, marketplace as M, quality as Q, radar
+from ..operators import benchmark, bitmaps, dictionary as D, marketplace as M, quality as Q, radar
 from ..operators import sales, signals, upsert as U, web
 from ..session import scratch_path, table
 from ..sources import csv as CSV
@@ -74,6 +74,12 @@ def q_event_daily(spark, sf):
     return web.event_daily(A.raw_events(spark, sf))
 
 
+@query("event_daily_bitmap")
+def q_event_daily_bitmap(spark, sf):
+    """Distinct users and sessions as bitmaps over dense ids; equals ``event_daily``."""
+    return bitmaps.event_daily_bitmap(A.raw_events(spark, sf))
+
+
 @query("funnel_daily")
 def q_funnel_daily(spark, sf):
     return web.funnel_daily(A.raw_events(spark, sf))

@@ -10,9 +10,9 @@ Funnel and search-term counts are streaming aggregates: state per key, events ac
   folds the folders into one.
 
 Distinct users and sessions cannot be kept by a streaming aggregate. ``run_event_daily_stream``
-therefore collapses every micro-batch to its distinct (day, event, user, session) rows with
-counts, stored by batch and day, and recomputes the facts of the days the batch touches from
-all batches: exact, however late an event comes, at the cost of reading those days again.
+keeps them as one set of bitmaps per day (``operators.bitmaps``): a micro-batch is merged into the
+bitmaps of the days it touches, however late, and only those days' bitmaps and counts are read
+again. Its size follows the days and ids, not the events or the number of batches.
 """
 
 from __future__ import annotations
@@ -21,10 +21,10 @@ import threading
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..operators import bitmaps
 from ..operators.upsert import dedupe_last
-from ..operators.web import daily_from_pairs
 from ..session import cut_lineage
-from ..sources.writers import read_if_exists
+from ..sources.writers import clustered, read_if_exists
 
 EVENT_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
                 "value DOUBLE, props STRING")
@@ -141,23 +141,32 @@ def compact(spark: SparkSession, target: str, keys: list[str] = KEYS) -> None:
         fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{target}/batch_id={old}"), True)
 
 
-def daily_pairs_writer(target: str):
-    """foreachBatch: keep the batch's distinct (day, event, user, session) rows, then recompute
-    the facts of its days. Both steps overwrite, so a replayed batch changes nothing."""
+def daily_bitmaps_writer(target: str):
+    """foreachBatch: number the batch's new ids, merge its bitmaps into those of its days, keep its
+    event counts, then write the facts of its days. Every step overwrites what a replayed batch
+    had written, and merging the same bitmaps twice changes nothing."""
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        pairs = f"{target}/pairs"
-        (batch.groupBy("day", "event_name", "user_id", "session_id")
-         .agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").partitionBy("day")
-         .parquet(f"{pairs}/batch_id={batch_id}"))
-        known = read_if_exists(spark, pairs)
-        if known is None:
-            return
-        touched = known.where(F.col("batch_id") == batch_id).select("day").distinct()
-        days = known.join(touched, "day", "left_semi")
-        facts = cut_lineage(daily_from_pairs(days))
-        (facts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("day").parquet(f"{target}/facts"))
+        counts = cut_lineage(batch.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("n")))
+        seen = cut_lineage(bitmaps.seen_ids(batch))
+        before = read_if_exists(spark, f"{target}/ids", bitmaps.IDS + ", batch_id BIGINT")
+        known = before.where(F.col("batch_id") < batch_id).drop("batch_id") if before is not None else None
+        fresh = cut_lineage(bitmaps.new_ids(seen, known))
+        fresh.write.mode("overwrite").parquet(f"{target}/ids/batch_id={batch_id}")
+        counts.write.mode("overwrite").parquet(f"{target}/counts/batch_id={batch_id}")
+        ids = fresh if known is None else known.unionByName(fresh)
+        days = counts.select(F.col("day").alias("_day")).distinct()
+        touched = F.col("day").eqNullSafe(F.col("_day"))
+        sets = bitmaps.bitmaps_of(seen, ids)
+        held = read_if_exists(spark, f"{target}/bitmaps", bitmaps.BITMAPS)
+        if held is not None:
+            sets = held.join(days, touched, "left_semi").unionByName(sets)
+        sets = cut_lineage(bitmaps.merged(sets))
+        total = spark.read.schema("day DATE, event_name STRING, n BIGINT, batch_id BIGINT").parquet(f"{target}/counts")
+        facts = cut_lineage(bitmaps.daily_facts(total.join(days, touched, "left_semi"), sets))
+        for rows, name in ((sets, "bitmaps"), (facts, "facts")):
+            (clustered(rows, ["day"])[0].write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("day").parquet(f"{target}/{name}"))
     return write
 
 
@@ -176,7 +185,7 @@ def run_event_daily_stream(spark: SparkSession, source_dir: str, target: str, ch
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = prepare(reader.parquet(source_dir))
-    (stream.writeStream.foreachBatch(daily_pairs_writer(target))
+    (stream.writeStream.foreachBatch(daily_bitmaps_writer(target))
      .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
      .awaitTermination())
     facts = read_if_exists(spark, f"{target}/facts", FACTS)
