@@ -353,6 +353,33 @@ def write_csv_messy_drop(spark: SparkSession, sf: str) -> str:
     return root
 
 
+def csv_sample_drop(spark: SparkSession, sf: str) -> str:
+    return _landed(spark, sf, "csv-samples", write_csv_sample_drop)
+
+
+def write_csv_sample_drop(spark: SparkSession, sf: str) -> str:
+    """One file in each of the folders lot=0 .. lot=6, lines in the order of their keys, with
+    commas in three folders, and the delimiter '^' in the others; lot=7 holds a header alone and
+    lot=8 an empty file."""
+    from ..session import scratch_path
+    root = scratch_path(spark, "csv-samples")
+    rows = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_returnflag",
+        F.concat(F.lit("flag_"), F.lower("l_returnflag")).alias("category_code"),
+        F.col("l_extendedprice").cast("string").alias("price"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("event_time"),
+        (F.col("l_orderkey") % 7).alias("lot"))
+    columns = ["l_orderkey", "l_linenumber", "category_code", "price", "event_time", "lot"]
+    for sep, wanted in ((",", F.col("lot") < 3), ("^", F.col("lot") >= 3)):
+        (rows.where(wanted).select(*columns).repartition("lot").sortWithinPartitions(
+            "lot", *columns[:5])
+         .write.mode("append").partitionBy("lot").option("header", True).option("sep", sep).csv(root))
+    rows.limit(0).select(*columns).drop("lot").coalesce(1).write.option("header", True).csv(f"{root}/lot=7")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/lot=8/empty.csv")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path).close()
+    return root
+
+
 def write_csv_mixed_drop(spark: SparkSession, sf: str) -> str:
     """The source 'shop' in two folders; one of them holds files of two headers, with another
     delimiter and another order of columns. Lines are dealt by their number."""

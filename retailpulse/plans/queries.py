@@ -672,6 +672,34 @@ def q_csv_inventory(spark, sf):
             .agg(F.sum("n_rows").alias("n_rows")))
 
 
+# The drop's own list of delimiters: one of them is no usual one.
+LOT_DELIMITERS = [",", ";", "^"]
+
+
+@query("csv_inventory_files")
+def q_csv_inventory_files(spark, sf):
+    """Every file of a drop: size, rows, delimiter, header and columns; files without a line or
+    with a header alone too."""
+    files = CSV.inventory(spark, A.csv_sample_drop(spark, sf))
+    return files.select("source", "size", "n_rows", F.coalesce("delimiter", F.lit("")).alias("delimiter"),
+                        F.coalesce("header", F.lit("")).alias("header"),
+                        F.coalesce("columns", F.lit("")).alias("columns"))
+
+
+@query("csv_samples")
+def q_csv_samples(spark, sf):
+    """The first five data lines of every file, in file order."""
+    files = CSV.inventory(spark, A.csv_sample_drop(spark, sf))
+    return CSV.sample_lines(files).drop("path")
+
+
+@query("csv_candidates")
+def q_csv_candidates(spark, sf):
+    """A drop whose delimiters are named by the caller."""
+    drop = A.csv_sample_drop(spark, sf)
+    return CSV.build_curated(spark, drop, kinds=("category_weekly",), candidates=LOT_DELIMITERS)["category_weekly"]
+
+
 @query("events_in_range")
 def q_events_in_range(spark, sf):
     """Both ends of the range are included."""

@@ -11,13 +11,16 @@ from __future__ import annotations
 
 import csv
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.dates import parse_date_any
 from ..functions.numbers import safe_float
 from ..functions.schema import clean_header, normalize_category, resolve_columns
 from ..functions.text import strip
 from ..operators import benchmark
+from .lines import quoted_records, raw_lines
+
+SAMPLE_LINES = 5    # a report shows the first lines of a file
 
 # Delimiter candidates, in tie-break order.
 DELIMITERS = [",", ";", "\t", "|"]
@@ -54,7 +57,8 @@ def read_csv_files(spark: SparkSession, paths: list[str], columns: list[str], de
     names the later ones get a number); doubled quotes are one quote; short rows are padded
     (NULL, or '' when ``blank_as_empty``), extra cells dropped, undecodable bytes replaced.
 
-    ``multi_line`` lets quoted cells hold line breaks; a file is then read by one task."""
+    ``multi_line`` lets quoted cells hold line breaks (``lines.quoted_records``; a file is read by
+    as many tasks as it has splits, and its rows come in file order)."""
     names: list[str] = []
     for c in columns:
         name, n = c, 2
@@ -62,41 +66,60 @@ def read_csv_files(spark: SparkSession, paths: list[str], columns: list[str], de
             name, n = f"{c}_{n}", n + 1
         names.append(name)
     schema = ", ".join(f"`{n.replace('`', '``') or f'column_{i}'}` string" for i, n in enumerate(names))
-    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-          .option("sep", delimiter).option("quote", '"').option("escape", '"')
-          .option("mode", "PERMISSIVE").option("encoding", "UTF-8")
-          .option("multiLine", multi_line).csv(paths))
+    options = {"sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "encoding": "UTF-8"}
+    if multi_line:
+        records = quoted_records(spark, paths, delimiter).where(strip(F.col("record")) != "")
+        heads = records.groupBy(F.col("path").alias("_path")).agg(F.min("pos").alias("_head"))
+        records = records.join(heads, F.col("path") == F.col("_path")).where("pos > _head").orderBy("path", "pos")
+        df = records.select(F.from_csv("record", F.lit(schema), options).alias("r")).select("r.*")
+    else:
+        df = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+              .options(**options).csv(paths))
     return df.fillna("") if blank_as_empty else df
 
 
 def inventory(spark: SparkSession, root: str) -> DataFrame:
-    """path, source, size, n_rows (data lines, blank ones left out), delimiter, header and
-    sample (a data line: the least one as text) of every *.csv file below ``root``, empty files
-    included."""
+    """path, source, size, n_rows (data lines, blank ones left out), delimiter, header, columns and
+    sample (the first ``SAMPLE_LINES`` data lines, in file order) of every *.csv file below
+    ``root``, empty files included."""
     path = F.regexp_replace("path", "^file:/+", "/")
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.csv").load(root)
-             .select(path.alias("path"), F.col("length").alias("size")))
-    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-             .text(root).where(strip(F.col("value")) != "")
-             .select(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-                     .alias("path"), "value", F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("n")))
-    at = F.struct("block", "n")
-    per_file = (lines.withColumn("path", path).groupBy("path")
-                .agg(F.min_by("value", at).alias("header"),
-                     F.count(F.lit(1)).alias("lines")))
-    rest = lines.withColumn("path", path).join(per_file, "path").where("value <> header")
-    per_file = per_file.join(rest.groupBy("path").agg(F.min("value").alias("sample")), "path", "left")
-    counts = [F.length("header") - F.length(F.replace("header", F.lit(d), F.lit("")))
-              for d in DELIMITERS]
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.csv").load(root))
+    sizes = found.select(path.alias("path"), F.col("length").alias("size"))
+    # a scan leaves files without a byte out; the listing has them
+    listed = spark.createDataFrame([(f,) for f in found.inputFiles()], "path string").select(
+        F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path")).select(path.alias("path"))
+    files = listed.join(sizes, "path", "left").select("path", F.coalesce("size", F.lit(0)).alias("size"))
+    name = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))      # the metadata are encoded
+    lines = raw_lines(spark, root, "*.csv").where(strip(F.col("value")) != "").withColumn("path", name)
+    lines = lines.withColumn("path", path)
+    counts = lines.groupBy("path").agg(F.count(F.lit(1)).alias("lines"))
+    # a limit per file, which Spark applies before the lines are shuffled
+    nth = F.row_number().over(Window.partitionBy("path").orderBy("block", "n"))
+    first = (lines.withColumn("nth", nth).where(F.col("nth") <= SAMPLE_LINES + 1).groupBy("path")
+             .agg(F.array_sort(F.collect_list(F.struct("nth", "value"))).alias("first")))
+    texts = F.transform("first", lambda x: x["value"])
+    per_file = counts.join(first, "path").select(
+        "path", "lines", F.ltrim(texts[0], F.lit("\ufeff")).alias("header"), F.slice(texts, 2, SAMPLE_LINES).alias("sample"))
+    ticks = [F.length("header") - F.length(F.replace("header", F.lit(d), F.lit("")))
+             for d in DELIMITERS]
     best = F.lit(DELIMITERS[-1])
-    for d, n in reversed([*zip(DELIMITERS, counts)][:-1]):
-        best = F.when(n >= F.greatest(*counts), F.lit(d)).otherwise(best)
-    return (files.join(per_file, "path", "left").withColumn("delimiter", F.when(F.col("header").isNotNull(), best))
-            .select("path", F.lower(F.element_at(F.split("path", "/"), -2)).alias("source"), "size",
-                    F.coalesce(F.col("lines") - 1, F.lit(0)).cast("long").alias("n_rows"), "delimiter",
-                    "header", "sample"))
+    for d, n in reversed([*zip(DELIMITERS, ticks)][:-1]):
+        best = F.when(n >= F.greatest(*ticks), F.lit(d)).otherwise(best)
+    out = files.join(per_file, "path", "left").withColumn(
+        "delimiter", F.when(F.col("header").isNotNull(), best))
+    cells = F.transform(F.split("header", F.concat(F.lit("\\Q"), F.col("delimiter"), F.lit("\\E")), -1),
+                        lambda c: strip(F.regexp_replace(c, '^\\s*"|"\\s*$', "")))
+    return out.select(
+        "path", F.lower(F.element_at(F.split("path", "/"), -2)).alias("source"), "size",
+        F.coalesce(F.col("lines") - 1, F.lit(0)).cast("long").alias("n_rows"), "delimiter", "header",
+        F.array_join(cells, " | ").alias("columns"), F.coalesce("sample", F.array().cast("array<string>")).alias("sample"))
+
+
+def sample_lines(files: DataFrame) -> DataFrame:
+    """path, source, line_no (from 1) and line: the samples of an ``inventory``."""
+    return files.select("path", "source", F.posexplode("sample").alias("at", "line")).select(
+        "path", "source", (F.col("at") + 1).alias("line_no"), "line")
 
 
 CURATED_KINDS = ("price_benchmark", "category_weekly", "text_terms")
@@ -122,14 +145,15 @@ def drop_rows(df: DataFrame, source: str, text_only: bool = False) -> DataFrame:
 
 
 def read_drop(spark: SparkSession, root: str, text_only_sources: tuple[str, ...] = (),
-              multi_line: bool = False) -> DataFrame | None:
-    """``drop_rows`` of all files below ``root``; None when no file has a header."""
+              multi_line: bool = False, candidates: list[str] = DELIMITERS) -> DataFrame | None:
+    """``drop_rows`` of all files below ``root``; None when no file has a header. ``candidates``:
+    the delimiters that a file may have, in tie-break order."""
     groups = (header_lines(spark, root)
               .groupBy("source", "header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
               .orderBy("source", "header").collect())         # one row per distinct header
     out = None
     for g in groups:
-        sep = sniff_delimiter(g["header"])
+        sep = sniff_delimiter(g["header"], candidates)
         df = read_csv_files(spark, g["paths"], header_cells(g["header"], sep), sep, multi_line)
         rows = drop_rows(df, g["source"], g["source"] in text_only_sources)
         out = rows if out is None else out.unionByName(rows)
@@ -138,10 +162,11 @@ def read_drop(spark: SparkSession, root: str, text_only_sources: tuple[str, ...]
 
 def build_curated(spark: SparkSession, root: str, text_only_sources: tuple[str, ...] = (),
                   min_samples: int = 30, kinds: tuple[str, ...] = CURATED_KINDS,
-                  top_terms: int = 200, multi_line: bool = False) -> dict[str, DataFrame]:
+                  top_terms: int = 200, multi_line: bool = False,
+                  candidates: list[str] = DELIMITERS) -> dict[str, DataFrame]:
     """The curated tables of all sources below ``root``: price benchmark, weekly category
     demand, text terms (only ``kinds`` are built)."""
-    rows = read_drop(spark, root, text_only_sources, multi_line)
+    rows = read_drop(spark, root, text_only_sources, multi_line, candidates)
     if rows is None:
         rows = spark.createDataFrame([], "source string, category_norm string, price double, "
                                          "day date, text string")

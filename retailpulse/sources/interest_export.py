@@ -13,8 +13,9 @@ aggregates over (file, line position):
 * points are averaged per Monday week (half-to-even) per file; when several files
   carry the same (week, keyword), the file whose path sorts last wins.
 
-Each file is read as one text value (``wholetext``): export files are small, and the
-line order inside a file is what the format depends on.
+The rules depend on the order of the lines of a file, not on who reads them: files are read as
+numbered lines (``lines.numbered_lines``), so a long file is shared by as many tasks as it has
+splits, and header, first point and end of block are the least numbers of their kind.
 """
 
 from __future__ import annotations
@@ -25,10 +26,10 @@ from ..functions.dates import parse_export_date
 from ..functions.numbers import interest_value
 from ..functions.text import keyword_header_clean
 from ..operators.signals import interest_last_file_wins
+from .lines import numbered_lines
 
 # First header cells that open the data block (compared lower-cased).
 HEADER_LABELS = ["semana", "week", "date", "time", "hora"]
-LINE_BREAK = r"\r\n|\n|\r"
 
 
 def _strip_py(c):
@@ -44,10 +45,7 @@ def _cells(line, delim: str):
 
 def export_lines(spark: SparkSession, path: str) -> DataFrame:
     """file, pos, line for every line of every *.csv export below ``path``."""
-    raw = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-           .text(path, wholetext=True)
-           .select(F.col("_metadata.file_path").alias("file"), "value"))
-    return raw.select("file", F.posexplode(F.split("value", LINE_BREAK)).alias("pos", "line"))
+    return numbered_lines(spark, path, "*.csv").withColumnRenamed("path", "file")
 
 
 def parse_export_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
