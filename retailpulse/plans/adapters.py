@@ -132,8 +132,10 @@ def web_events(ev: DataFrame) -> DataFrame:
                      (F.col("user_id") * 100 + F.hour("ts")).alias("session_id"), "ts")
 
 
-def search_events(spark: SparkSession, sf: str) -> DataFrame:
-    return search_events_from(scan(spark, sf, "events"), table(spark, sf, "part")).drop("ts")
+def search_events(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
+    """``events``: some rows of the events table instead of all."""
+    events = scan(spark, sf, "events") if events is None else events
+    return search_events_from(events, table(spark, sf, "part")).drop("ts")
 
 
 def search_events_from(events: DataFrame, part: DataFrame) -> DataFrame:
@@ -183,8 +185,9 @@ def aliases(spark: SparkSession, sf: str) -> DataFrame:
             .distinct())
 
 
-def interest_points(spark: SparkSession, sf: str) -> DataFrame:
-    ev = scan(spark, sf, "events").select("event_id", "ts", "value", _event_k().alias("k"))
+def interest_points(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
+    events = scan(spark, sf, "events") if events is None else events
+    ev = events.select("event_id", "ts", "value", _event_k().alias("k"))
     part = table(spark, sf, "part").select("p_partkey", "p_name")
     j = ev.join(part, ev.k == part.p_partkey)
     noun = last_word("p_name")

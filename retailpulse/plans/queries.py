@@ -105,8 +105,8 @@ class Inputs:
     """Per-query inputs, each built once: consumers share the same DataFrame objects,
     so every shared subtree is planned once and its exchanges are reused."""
 
-    def __init__(self, spark, sf):
-        self.spark, self.sf = spark, sf
+    def __init__(self, spark, sf, events=None):
+        self.spark, self.sf, self.events = spark, sf, events
 
     @cached_property
     def dim(self):
@@ -118,7 +118,7 @@ class Inputs:
 
     @cached_property
     def terms(self):
-        return web.search_term_daily(A.search_events(self.spark, self.sf))
+        return web.search_term_daily(A.search_events(self.spark, self.sf, self.events))
 
     @cached_property
     def mapped(self):
@@ -130,7 +130,7 @@ class Inputs:
 
     @cached_property
     def interest(self):
-        return signals.interest_weekly(A.interest_points(self.spark, self.sf))
+        return signals.interest_weekly(A.interest_points(self.spark, self.sf, self.events))
 
     @cached_property
     def interest_norm(self):
@@ -316,8 +316,8 @@ def q_radar_category(spark, sf):
                {"is_campaign_week": "bigint", "rank_categoria": "bigint"})
 
 
-def _dashboard(spark, sf, after: bool):
-    i = Inputs(spark, sf)
+def _dashboard(spark, sf, after: bool, events=None):
+    i = Inputs(spark, sf, events)
     shares = D.coverage_shares(i.terms, i.sdict, A.aliases(spark, sf))
     return _as(radar.dashboard_from_shares(i.radar(after), shares), RADAR_CASTS)
 
@@ -332,6 +332,24 @@ def q_dashboard_after(spark, sf):
     return _dashboard(spark, sf, after=True)
 
 
+@query("dashboard_refresh")
+def q_dashboard_refresh(spark, sf):
+    """A first load that ends mid-week, then the re-sync: only the weeks that its days touch are
+    computed again and written. The table read back equals ``dashboard``."""
+    from ..sources.refresh import in_weeks, refresh_weeks, touched_weeks
+    from ..sources.writers import write_full_refresh
+    path = scratch_path(spark, "dashboard-weeks")
+    events = table(spark, sf, "events")
+    first = events.where(F.col("ts") < F.lit(FIRST_LOAD_END).cast("timestamp_ntz"))
+    write_full_refresh(_dashboard(spark, sf, False, first), path, ["week_start"])
+    late = events.where(F.col("ts") >= F.lit(RESYNC_START).cast("timestamp_ntz"))
+    build = lambda weeks: _dashboard(spark, sf, False, in_weeks(events, weeks, "ts"))
+    refresh_weeks(spark, path, build, touched_weeks(late.select(F.to_date("ts").alias("day"))))
+    columns = ["week_start", "categoria", "keyword_canonica", "searches", "trends_interest", "is_campaign_week",
+               "events", "kaggle_price_p50", "score_total", "rank_week", "unmapped_pct_before", "unmapped_pct_after"]
+    return spark.read.parquet(path).select(*columns)
+
+
 # --------------------------------------------------------- write / upsert ----
 
 # A first load that ends mid-day, and a re-sync window that overlaps it: the re-sync
