@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from retailpulse.operators import benchmark, radar, signals
 from retailpulse.operators.like_index import like_join, like_matches, pattern_pieces
-from retailpulse.operators.quantiles import exact_percentiles, value_code, value_of
+from retailpulse.operators.quantiles import MOST, exact_percentiles, narrowed, value_code, value_counts, value_of
 from retailpulse.operators.ranks import sliced_dense_rank
 from retailpulse.sources.writers import clustered, write_full_refresh
 
@@ -38,13 +38,29 @@ def test_percentiles_of_a_narrow_dense_range(spark):
     """200,000 different values of one group share their first 30 bits; no window holds them all."""
     n = 200_000
     df = spark.range(n).select(F.lit("g").alias("g"), (F.lit(1.7e9) + F.col("id") / 1024).alias("v"))
-    out = exact_percentiles(df, ["g"], "v", (0.25, 0.5, 0.99))
+    r = exact_percentiles(df, ["g"], "v", (0.25, 0.5, 0.99)).first()
     want = np.percentile(1.7e9 + np.arange(n) / 1024, [25, 50, 99])
-    r = out.first()
     assert [r["n"], r["p_0"], r["p_1"], r["p_2"]] == [n, *map(float, want)]
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    windows = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Window ")]
-    assert windows and all("sum(_n#" in line for line in windows)      # histograms of 2^16 digits at most
+    ranks = {"_at0": F.col("n") - 1, "_at1": F.floor(F.col("n") / 2)}
+    for most, bits_left in ((MOST, 16), (100, 16), (0, 0)):
+        wanted, shift = narrowed(value_counts(df, ["g"], "v"), ["g"], ranks, most)
+        rows = wanted.collect()
+        assert shift == bits_left and len(rows) == 2 and all(r["_d"] <= max(most, 1) or shift == 0 for r in rows)
+
+
+def test_percentiles_at_every_depth(spark):
+    """The same results whether values are ranked at once or after all levels."""
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", None]), rng.choice([rng.gauss(0, 1), rng.randint(-3, 3) * 1.0, 1e300, -1e-310, None]))
+            for _ in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for most in (MOST, 20, 0):
+        got = {r["g"]: [r["n"], r["p_0"], r["p_1"]] for r in exact_percentiles(df, ["g"], "v", (0.1, 0.5), most).collect()}
+        for g in ("a", "b", None):
+            v = sorted(x for k, x in rows if k == g and x is not None)
+            lo = [v[int((len(v) - 1) * p)] for p in (0.1, 0.5)]
+            assert got[g][0] == len(v)
+            assert [abs(a - float(np.percentile(v, p))) <= 1e-9 or a == b for a, b, p in zip(got[g][1:], lo, (10, 50))] == [True, True]
 
 
 def like(value, pattern):
