@@ -424,7 +424,9 @@ def write_interest_exports(spark: SparkSession, sf: str) -> str:
     daily = (j.groupBy(last_word("p_name").alias("kw"), F.to_date("ts").alias("day"))
              .agg(F.floor(F.avg("value")).cast("bigint").alias("v")))
     sep = F.when(F.length("kw") % 2 == 0, F.lit(";")).otherwise(F.lit(","))
-    day_txt = F.date_format("day", "yyyy-MM-dd")
+    # some days are written with a time
+    day_txt = F.concat(F.date_format("day", "yyyy-MM-dd"),
+                       F.when(F.dayofmonth("day") % 3 == 0, F.lit("T16:32:00Z")).otherwise(F.lit("")))
     val_txt = F.when(F.col("v") == 0, F.lit("<1")).otherwise(F.col("v").cast("string"))
     rows = daily.select("kw", (F.datediff("day", F.lit("2000-01-01").cast("date")) * 2 + 10)
                         .alias("ord"), F.concat(day_txt, sep, val_txt).alias("line"))
