@@ -1,7 +1,8 @@
 """Chat formatting into budgeted windows, with DataFrame functions only.
 
-Turns of a conversation are gathered in blocks of ``BLOCK`` consecutive turn numbers, so that
-a conversation of any length is spread over many rows. Inside a block, prefix sums of turn
+Turns of a conversation are gathered in blocks of at most ``BLOCK`` rows whose turn numbers lie
+in one range of ``BLOCK`` numbers, so that a conversation of any length is spread over many rows;
+where turn numbers repeat, a range has several blocks. Inside a block, prefix sums of turn
 tokens choose spans of whole turns that fill the budget. Every window starts with the
 conversation's system turn and repeats up to ``history`` tokens of the turns before it (from
 the block before, too); only assistant texts that a window shows for the first time are in
@@ -43,19 +44,22 @@ def word_tokens(text: Column) -> Column:
 
 
 def _blocks(conversations: DataFrame, tokens: Callable[[Column], Column], block: int) -> DataFrame:
-    """conv, conv_id, block, turns: turns sorted, with role, text and tokens."""
+    """conv, conv_id, block (the range of turn numbers), sub (the block in it), turns: turns sorted,
+    with role, text and tokens."""
     role, text = (F.coalesce(F.col(c), F.lit("")) for c in ("role", "text"))
     number = F.coalesce(F.floor(F.col("turn") / F.lit(block)).cast("long"), F.lit(-(1 << 62)))
     turn = F.struct(F.col("turn"), role.alias("role"), text.alias("text"),
                     (tokens(text) + MARK_TOKENS).cast("long").alias("tokens"))
-    return (conversations
-            .select(F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("null"))
-                    .alias("conv"), "conv_id", number.alias("block"), turn.alias("t"))
-            .groupBy("conv", "conv_id", "block").agg(F.array_sort(F.collect_list("t")).alias("turns")))
+    rows = conversations.select(
+        F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("null")).alias("conv"),
+        "conv_id", number.alias("block"), turn.alias("t"))
+    nth = F.row_number().over(Window.partitionBy("conv", "block").orderBy("t")) - 1
+    return (rows.withColumn("sub", F.floor(nth / block).cast("int"))
+            .groupBy("conv", "conv_id", "block", "sub").agg(F.array_sort(F.collect_list("t")).alias("turns")))
 
 
 def _order(conversations: DataFrame, tokens: Callable[[Column], Column], block: int) -> DataFrame:
-    """conv, block, place (of the block among the conversation's), system (its system turn)."""
+    """conv, block, begin (blocks of the conversation before this range), system (its system turn)."""
     role, text = (F.coalesce(F.col(c), F.lit("")) for c in ("role", "text"))
     number = F.coalesce(F.floor(F.col("turn") / F.lit(block)).cast("long"), F.lit(-(1 << 62)))
     first = F.min(F.struct(F.col("turn"), role.alias("role"),
@@ -63,11 +67,11 @@ def _order(conversations: DataFrame, tokens: Callable[[Column], Column], block:
     blocks = (conversations.select(
         F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit("null"))
         .alias("conv"), number.alias("block"), "turn", "role", "text")
-        .groupBy("conv", "block").agg(first.alias("first")))
+        .groupBy("conv", "block").agg(first.alias("first"), F.ceil(F.count(F.lit(1)) / block).alias("subs")))
     by_block = Window.partitionBy("conv").orderBy("block")
     opening = F.first("first").over(by_block)
     return blocks.select(
-        "conv", "block", (F.row_number().over(by_block) - 1).alias("place"),
+        "conv", "block", (F.sum("subs").over(by_block) - F.col("subs")).alias("begin"),
         F.when(opening["role"] == SYSTEM, F.struct(
             opening["role"].alias("role"), opening["text"].alias("text"),
             (tokens(opening["text"]) + MARK_TOKENS).cast("long").alias("tokens"))).alias("system"))
@@ -119,7 +123,7 @@ def format_conversations(conversations: DataFrame, budget: int = BUDGET, history
     shown before the new ones: the system turn and history), n_turns (new turns), n_tokens,
     text, loss (code point ranges, end exclusive)."""
     rows = _blocks(conversations, tokens, block).join(
-        _order(conversations, tokens, block), ["conv", "block"])
+        _order(conversations, tokens, block), ["conv", "block"]).withColumn("place", F.col("begin") + F.col("sub"))
     # the last turns of a block, at most ``history`` tokens, for the block after it
     suffix = F.filter(F.col("turns"), lambda t, i: (
         F.get(F.col("before"), F.size("turns")) - F.get(F.col("before"), i) <= history)

@@ -74,3 +74,74 @@ def test_history_is_limited(spark):
 
 def test_empty_table(spark):
     assert chat.format_conversations(awkward_turns(spark).limit(0)).count() == 0
+
+
+def expected_windows(turns, budget, history, block):
+    """(shown turns, new ones) of each window of one conversation's sorted (number, role, text, tokens)
+    turns: blocks by range of numbers, then by rows; each goes on from the last turns of the one before."""
+    blocks, system = [], None
+    for t in turns:
+        key = None if t[0] is None else t[0] // block
+        if not blocks or blocks[-1][0] != key or len(blocks[-1][1]) == block:
+            blocks.append((key, []))
+        blocks[-1][1].append(t)
+    if turns[0][1] == "system":
+        system = turns[0]
+    out, tail = [], []
+    for place, (_, own) in enumerate(blocks):
+        shown, lead = tail + own, int(place == 0 and system is not None)
+        windows = []
+        for i in range(len(tail), len(shown)):
+            size = shown[i][3]
+            if windows and windows[-1][2] + size <= budget:
+                windows[-1][2] += size
+                continue
+            head = system[3] if system and i >= lead else 0
+            room = max(0, min(history, budget - head - size))
+            past = next(j for j in range(min(lead, i), i + 1) if sum(t[3] for t in shown[j:i]) <= room)
+            windows.append([past, i, head + size + sum(t[3] for t in shown[past:i])])
+        for k, (past, first, _) in enumerate(windows):
+            after = windows[k + 1][1] if k + 1 < len(windows) else len(shown)
+            again = [system] if system and first >= lead and not (lead == 1 and first == 0) else []
+            out.append((again + shown[past:after], after - first))
+        tail = [t for i, t in enumerate(own) if sum(x[3] for x in own[i:]) <= history and not (lead and i == 0)]
+    return out
+
+
+def test_windows_and_lengths_equal_brute_force(spark):
+    frame = awkward_turns(spark).unionByName(spark.range(500).selectExpr(
+        "cast(null as long) conv_id", "id % 3 turn", "case when id % 2 = 0 then 'user' else 'assistant' end role",
+        "repeat('w ', cast(id % 9 as int)) text", "0L window", "'s' shown"))
+    counted = frame.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    counted = counted.withColumn("n", chat.word_tokens(F.col("text")) + chat.MARK_TOKENS)
+    turns = defaultdict(list)
+    for r in counted.collect():
+        turns[r["conv_id"]].append((r["turn"], r["role"], r["text"], r["n"]))
+    hide = lambda t: t.replace("\\", "\\\\").replace("<|", "<\\|")
+    rows = defaultdict(list)
+    for r in chat.format_conversations(frame, budget=60, history=20, block=16).collect():
+        rows[r["conv_id"]].append(r)
+    assert set(rows) == set(turns)
+    for conv, ts in turns.items():
+        ts.sort(key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
+        got = sorted(rows[conv], key=lambda r: r["window"])
+        want = expected_windows(ts, 60, 20, 16)
+        texts = ["".join(f"{chat.TURN}{hide(t[1])}{chat.TEXT}{hide(t[2])}{chat.END}" for t in shown) for shown, _ in want]
+        assert [r["text"] for r in got] == texts
+        assert [r["n_turns"] for r in got] == [new for _, new in want]
+        assert [r["n_tokens"] for r in got] == [sum(t[3] for t in shown) for shown, _ in want]
+
+
+def test_crowded_turn_numbers(spark):
+    """Rows without id under ten turn numbers: time grows with the rows, not with their square."""
+    n = 60_000
+    frame = spark.range(n).selectExpr("cast(null as long) conv_id", "id % 10 turn",
+                                      "case when id % 2 = 0 then 'user' else 'assistant' end role", "concat('text ', id) text")
+    windows = chat.format_conversations(frame)
+    total = windows.agg(F.sum("n_turns").alias("n"), F.max(F.size(chat.parse_turns(F.col("text")))).alias("most")).first()
+    assert total["n"] == n and total["most"] < 300
+
+
+def test_plan_has_no_python(spark):
+    plan = chat.format_conversations(awkward_turns(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "MapIn" not in plan
