@@ -140,7 +140,9 @@ def format_conversations(conversations: DataFrame, budget: int = BUDGET, history
         F.coalesce(F.col("system.tokens"), F.lit(0).cast("long")).alias("system_tokens"))
     rows = rows.withColumn("before", _running(F.col("shown")))
     rows = rows.withColumn("spans", _spans(budget, history))
-    window = F.posexplode("spans").alias("n", "span")
+    # a block has a window at least; a plain posexplode would make the optimizer filter by the
+    # size of ``spans``, worked out again from all that it is made of
+    window = F.posexplode_outer("spans").alias("n", "span")
     rows = rows.select("*", window)
     after = F.coalesce(F.get(F.col("spans"), F.col("n") + 1)["first"], F.size("shown"))
     past, first = F.col("span.past"), F.col("span.first")
