@@ -1,15 +1,17 @@
 """SimHash near-duplicates over a Gray-order hierarchical index.
 
-``fingerprints`` folds the XXH64 of word shingles into 64 bits. Distinct fingerprints are
-routed to every group in which a partner within ``max_bits`` must also be: with three
-differing bits one of four 16-bit blocks is equal, and of the other 48 bits one of four
-12-bit blocks again. Inside a group, sorted by Gray rank, neighbours share long bit patterns:
-runs of them form leaves, leaves form upper nodes, and each node keeps the bits its members
-share (mask, value). A search carries the differences counted so far downwards, adds those
-of a node's newly shared bits, and prunes the whole node when they exceed ``max_bits``.
-
-Groups stream through a task sorted by key; a group yields a spanning forest of its links,
-never its pairs. Components come from alternating large-star and small-star steps, each a
+``fingerprints`` folds the XXH64 of word shingles into 64 bits. All distinct fingerprints are
+sorted by Gray rank over the whole table, once for each of ``max_bits`` + 1 turns of their
+bits; neighbours in that order share long bit patterns. Leaves are runs of 1,024 of them,
+wherever the order's values crowd, so a hot pattern is many leaves; upper nodes are 16 of the
+level below, and each keeps the bits that all below it share. Nodes meet nodes by joins, level
+by level, and a pair is dropped with everything below it once its shared bits differ in more
+than ``max_bits``. Two fingerprints within three bits agree in one of four 16-bit blocks, and
+the turn that brings this block to the front finds them, so there the front block may not
+differ at all. Pairs of leaves that are left are searched in tasks of their own, by the same
+rule over smaller nodes, and give a spanning forest of their links, never their pairs.
+
+Components come from alternating large-star and small-star steps, each a
 written table. Copies collapse to one fingerprint before any of this.
 
 Defined cases: a null or empty text, or one of blanks, has fingerprint zero and is linked
@@ -23,6 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import fresh, short_batches, utf8, written
@@ -30,7 +33,9 @@ from .common import fresh, short_batches, utf8, written
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
-LEAF, FAN = 16, 8
+LEAF_ROWS = 1024       # fingerprints of a leaf, which is sent and searched as one
+FAN_BITS = 4           # 16 children make an upper node
+RUN, FAN = 16, 8       # the levels inside a leaf
 QUERIES = 256          # fingerprints searched at a time
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
@@ -88,39 +93,30 @@ def gray_rank(fp: Column) -> Column:
     return fp
 
 
-def _bits(fp: Column, low: int, size: int) -> Column:
-    return F.shiftrightunsigned(fp, low).bitwiseAND(F.lit((1 << size) - 1))
+def _turns(max_bits: int) -> list[tuple[int, int]]:
+    """(bits turned left, bits of the front block) of every order: two fingerprints within
+    ``max_bits`` agree in one of the blocks, which that order brings to the front."""
+    edges = [64 * i // (max_bits + 1) for i in range(max_bits + 2)]
+    return [(low, high - low) for low, high in zip(edges, edges[1:])]
 
 
-def _cut_out(fp: Column, low: int, size: int) -> Column:
-    """The other bits, moved together."""
-    below = fp.bitwiseAND(F.lit((1 << low) - 1)) if low else F.lit(0).cast("long")
-    if low + size >= 64:
-        return below
-    return below.bitwiseOR(F.shiftleft(F.shiftrightunsigned(fp, low + size), low))
+def _front(size: int) -> int:
+    """The first ``size`` bits set, as a signed long."""
+    return -1 << (64 - size)
 
 
-def routes(fp: Column, max_bits: int) -> Column:
-    """Group keys: two fingerprints within ``max_bits`` share at least one."""
-    parts = max_bits + 1
-    edges = [64 * i // parts for i in range(parts + 1)]
-    keys = []
-    for i in range(parts):
-        low, size = edges[i], edges[i + 1] - edges[i]
-        rest, width = _cut_out(fp, low, size), 64 - size
-        inner = [width * j // parts for j in range(parts + 1)]
-        for j in range(parts):
-            value = _bits(rest, inner[j], inner[j + 1] - inner[j])
-            keys.append(F.xxhash64(F.lit(i), F.lit(j), _bits(fp, low, size), value))
-    return F.array(*keys)
+def turned(fp: Column, by: int) -> Column:
+    if not by:
+        return fp
+    return F.shiftleft(fp, by).bitwiseOR(F.shiftrightunsigned(fp, 64 - by))
 
 
 class GrayIndex:
-    """Nodes over fingerprints in Gray order; level 0 has the leaves."""
+    """Nodes over the fingerprints of a leaf in Gray order; level 0 has runs of them."""
 
     def __init__(self, fps: np.ndarray):
         self.fps = fps
-        starts = np.arange(0, len(fps), LEAF)
+        starts = np.arange(0, len(fps), RUN)
         first = fps[starts]
         spread = np.bitwise_or.reduceat(fps ^ np.repeat(first, np.diff([*starts, len(fps)])), starts)
         self.levels = [(~spread, first)]
@@ -131,36 +127,42 @@ class GrayIndex:
             other = value ^ np.repeat(first, np.diff([*starts, len(mask)]))
             self.levels.append((np.bitwise_and.reduceat(mask & ~other, starts), first))
 
-    def search(self, queries: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places of (query, fingerprint) pairs within ``max_bits``; queries are places too."""
+    def search(self, queries: np.ndarray, max_bits: int, front: int = 0):
+        """Places (in queries, in the leaf) of all pairs within ``max_bits`` that agree in the
+        bits of ``front``."""
+        front = np.uint64(front & (2**64 - 1))
         mask, value = self.levels[-1]
-        q = np.repeat(queries, len(mask))
+        q = np.repeat(np.arange(len(queries)), len(mask))
         node = np.tile(np.arange(len(mask)), len(queries))
         known = np.zeros(len(q), dtype=np.uint64)          # bits counted above
         so_far = np.zeros(len(q), dtype=np.int64)
         for level in range(len(self.levels) - 1, -1, -1):
             mask, value = self.levels[level]
-            fresh_bits = mask[node] & ~known
-            so_far = so_far + np.bitwise_count((self.fps[q] ^ value[node]) & fresh_bits)
-            keep = so_far <= max_bits
+            apart = (queries[q] ^ value[node]) & mask[node] & ~known
+            so_far = so_far + np.bitwise_count(apart)
+            keep = (so_far <= max_bits) & (apart & front == 0)
             q, node, so_far = q[keep], node[keep], so_far[keep]
             known = mask[node]
-            fan = FAN if level else LEAF
+            fan = FAN if level else RUN
             size = len(self.levels[level - 1][0]) if level else len(self.fps)
             child = (node[:, None] * fan + np.arange(fan)).ravel()
             q, so_far, known = (np.repeat(x, fan) for x in (q, so_far, known))
             real = child < size
             q, node, so_far, known = q[real], child[real], so_far[real], known[real]
-        rest = np.bitwise_count((self.fps[q] ^ self.fps[node]) & ~known)
-        near = (so_far + rest <= max_bits) & (node > q)
+        apart = (queries[q] ^ self.fps[node]) & ~known
+        near = (so_far + np.bitwise_count(apart) <= max_bits) & (apart & front == 0)
         return q[near], node[near]
 
 
-def forest(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of one group as (fingerprint, first of its component) pairs."""
-    index, label = GrayIndex(fps), np.arange(len(fps))
-    for at in range(0, len(fps), QUERIES):
-        a, b = index.search(np.arange(at, min(at + QUERIES, len(fps))), max_bits)
+def forest(left: np.ndarray, right: np.ndarray | None, max_bits: int, front: int = 0):
+    """Links between two leaves, or inside one (``right`` is None), as (fingerprint, first of
+    its component) pairs: fewer than there are fingerprints."""
+    fps = left if right is None else np.concatenate([left, right])
+    index, shift = GrayIndex(left if right is None else right), 0 if right is None else len(left)
+    label = np.arange(len(fps))
+    for at in range(0, len(left), QUERIES):
+        a, b = index.search(left[at:at + QUERIES], max_bits, front)
+        a, b = a + at, b + shift
         while True:
             x, y = label[a], label[b]
             apart = x != y
@@ -174,61 +176,118 @@ def forest(fps: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     return fps[moved], fps[label[moved]]
 
 
-def _small_groups(keys: np.ndarray, fps: np.ndarray, max_bits: int):
-    """Links within runs of equal keys of at most LEAF members, by distance in the run."""
-    left, right = [], []
-    for step in range(1, LEAF):
-        if step >= len(keys):
-            break
-        near = keys[step:] == keys[:-step]
-        if not near.any():
-            break
-        near &= np.bitwise_count(fps[step:] ^ fps[:-step]) <= max_bits
-        left.append(fps[:-step][near])
-        right.append(fps[step:][near])
-    none = np.zeros(0, dtype=np.uint64)
-    return np.concatenate([none, *left]), np.concatenate([none, *right])
+def leaves(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """turn, part, number, ones, some, fps: runs of LEAF_ROWS turned fingerprints in the Gray
+    order of every turn, with the bits set in all (``ones``) and in any (``some``) of them."""
+    def cut(batches):
+        part, number = TaskContext.get().partitionId(), 0
+
+        def rows(turn, fps):
+            nonlocal number
+            at = range(0, len(fps), LEAF_ROWS)
+            numbers = list(range(number, number + len(at)))
+            number += len(at)
+            return pa.record_batch([
+                pa.array([turn] * len(at), pa.int32()), pa.array([part] * len(at), pa.int64()),
+                pa.array(numbers, pa.int64()),
+                pa.array(np.bitwise_and.reduceat(fps, list(at)).view(np.int64)),
+                pa.array(np.bitwise_or.reduceat(fps, list(at)).view(np.int64)),
+                pa.array([fps[i:i + LEAF_ROWS].tobytes() for i in at], pa.binary())],
+                names=["turn", "part", "number", "ones", "some", "fps"])
+
+        turn, held = None, np.zeros(0, dtype=np.uint64)
+        for batch in batches:
+            turns = batch.column(0).to_numpy()
+            fps = batch.column(1).to_numpy().view(np.uint64)
+            cuts = [0, *(np.flatnonzero(turns[1:] != turns[:-1]) + 1).tolist(), len(turns)]
+            for a, b in zip(cuts, cuts[1:]):
+                if a == b:
+                    continue
+                if len(held) and turns[a] != turn:
+                    yield rows(turn, held)
+                    held = held[:0]
+                turn, held = int(turns[a]), np.concatenate([held, fps[a:b]])
+                whole = len(held) - len(held) % LEAF_ROWS
+                if whole:
+                    yield rows(turn, held[:whole])
+                    held = held[whole:]
+        if len(held):
+            yield rows(turn, held)
+
+    every = F.array(*[F.struct(F.lit(i).alias("turn"), turned(F.col("fp"), by).alias("bits"))
+                      for i, (by, _) in enumerate(_turns(max_bits))])
+    rows = distinct.select(F.explode(every).alias("t")).select("t.turn", "t.bits")
+    rank = gray_rank(F.col("bits"))
+    return (rows.withColumn("rank", rank).repartitionByRange("turn", "rank")
+            .sortWithinPartitions("turn", "rank").select("turn", "bits")
+            .mapInArrow(cut, "turn int, part long, number long, ones long, some long, fps binary"))
+
+
+def numbered(leaf: DataFrame) -> tuple[DataFrame, int]:
+    """The written leaves with an ``id`` in Gray order, and its bits below the turn."""
+    top = leaf.agg(F.max("part"), F.max("number")).first()
+    part, number = ((x or 0).bit_length() for x in top)
+    place = (F.shiftleft(F.col("turn").cast("long"), part + number)
+             .bitwiseOR(F.shiftleft("part", number)).bitwiseOR(F.col("number")))
+    return leaf.withColumn("id", place), part + number
+
+
+def leaf_pairs(leaf: DataFrame, depth: int, max_bits: int = MAX_BITS) -> DataFrame:
+    """left, right (left <= right): the pairs of leaves that may hold a link. Pairs of nodes
+    go down the levels from the root of each order. A node's children share all bits that it
+    shares, so differences only add up on the way, and a pair of nodes that exceeds ``max_bits``
+    or differs in the order's front block is dropped with everything below it."""
+    fronts = F.array(*[F.lit(_front(size)) for _, size in _turns(max_bits)])
+    shifts = [*range(0, depth, FAN_BITS), depth][::-1]
+
+    def level(shift):
+        return leaf.groupBy(F.shiftright("id", shift).alias("id")).agg(
+            F.bit_and("ones").alias("ones"), F.bit_or("some").alias("some"))
+
+    pairs = level(depth).select(F.col("id").alias("left"), F.col("id").alias("right"))
+    for above, shift in zip(shifts, shifts[1:]):
+        nodes = level(shift) if shift else leaf.select("id", "ones", "some")
+        parent = F.shiftright("id", above - shift)
+        a = nodes.select(parent.alias("left"), F.struct("id", "ones", "some").alias("a"))
+        b = nodes.select(parent.alias("right"), F.struct("id", "ones", "some").alias("b"))
+        apart = (F.col("a.ones").bitwiseAND(F.bitwise_not("b.some"))
+                 .bitwiseOR(F.col("b.ones").bitwiseAND(F.bitwise_not("a.some"))))
+        front = F.element_at(fronts, (F.shiftright("a.id", depth - shift) + 1).cast("int"))
+        pairs = (pairs.join(a, "left").join(b, "right").where("a.id <= b.id")
+                 .where((F.bit_count(apart) <= max_bits) & (apart.bitwiseAND(front) == 0))
+                 .select(F.col("a.id").alias("left"), F.col("b.id").alias("right")))
+    return pairs
 
 
 def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """src, dst: links that connect all fingerprints (column ``fp``, distinct) within
-    ``max_bits``; a group's links are thinned to a forest."""
-    def search(batches):
-        held_keys, held = [], []
-
-        def out(pairs):
-            a, b = (np.concatenate(x).view(np.int64) for x in zip(*pairs))
-            return pa.record_batch([pa.array(a), pa.array(b)], names=["src", "dst"])
-
-        def find(keys, fps):
-            cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-            starts = np.concatenate([[0], cuts])
-            sizes = np.diff(np.concatenate([starts, [len(keys)]]))
-            big = sizes > LEAF
-            small = np.repeat(~big, sizes)
-            pairs = [_small_groups(keys[small], fps[small], max_bits)]
-            pairs += [forest(fps[s:s + n], max_bits) for s, n in zip(starts[big], sizes[big])]
-            return out(pairs)
+    ``max_bits``; the links of a pair of leaves are thinned to a forest."""
+    turns = _turns(max_bits)
 
+    def search(batches):
         for batch in batches:
-            keys = batch.column(0).to_numpy()
-            fps = batch.column(1).to_numpy().view(np.uint64)
-            if not len(keys):
-                continue
-            cut = int(np.searchsorted(keys, keys[-1]))      # the last group may go on
-            if cut or (held_keys and held_keys[0][0] != keys[-1]):
-                yield find(np.concatenate([*held_keys, keys[:cut]]),
-                           np.concatenate([*held, fps[:cut]]))
-                held_keys, held = [], []
-            held_keys.append(keys[cut:])
-            held.append(fps[cut:])
-        if held:
-            yield find(np.concatenate(held_keys), np.concatenate(held))
-
-    routed = distinct.select(F.explode(routes(F.col("fp"), max_bits)).alias("key"), "fp")
-    sorted_ = (routed.repartition("key").withColumn("rank", gray_rank(F.col("fp")))
-               .sortWithinPartitions("key", "rank").select("key", "fp"))
-    return sorted_.mapInArrow(search, "src long, dst long").distinct()
+            left, right = [], []
+            for turn, same, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+                by, size = turns[turn]
+                a, b = (np.frombuffer(x, dtype=np.uint64) for x in (a, b))
+                found = forest(a, None if same else b, max_bits, _front(size))
+                back = [x if not by else x >> np.uint64(by) | x << np.uint64(64 - by) for x in found]
+                left.append(back[0])
+                right.append(back[1])
+            if left:
+                yield pa.record_batch([pa.array(np.concatenate(x).view(np.int64))
+                                       for x in (left, right)], names=["src", "dst"])
+
+    spark = distinct.sparkSession
+    leaf, depth = numbered(written(leaves(distinct, max_bits), "leaves"))
+    pairs = leaf_pairs(leaf, depth, max_bits)
+    met = (pairs.join(leaf.select(F.col("id").alias("left"), "turn", F.col("fps").alias("a")), "left")
+           .join(leaf.select(F.col("id").alias("right"), F.col("fps").alias("b")), "right"))
+    # pairs cost time, not bytes: as many tasks as the session has, whatever their size
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return (met.repartition(tasks, "left", "right")
+            .select("turn", (F.col("left") == F.col("right")).alias("same"), "a", "b")
+            .mapInArrow(search, "src long, dst long").distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:

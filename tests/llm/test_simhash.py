@@ -4,8 +4,10 @@ import numpy as np
 import xxhash
 
 from retailpulse.llm.queries import REGISTRY
-from retailpulse.llm.simhash import (GrayIndex, components, fingerprint, forest, links,
-                                     near_duplicates, one_of_each)
+from retailpulse.llm import simhash
+from retailpulse.llm.common import written
+from retailpulse.llm.simhash import (GrayIndex, components, fingerprint, forest, leaf_pairs, leaves,
+                                     links, near_duplicates, numbered, one_of_each)
 
 SF = "/root/testdata/sf0.001"
 
@@ -46,34 +48,93 @@ def near(rng, fps, bits):
     return rng.choice(fps) ^ sum(1 << b for b in rng.sample(range(64), rng.randint(0, bits)))
 
 
-def test_links_lose_nothing(spark):
-    rng = random.Random(3)
-    fps = [rng.getrandbits(64) for _ in range(60)]
-    for _ in range(500):
-        fps.append(near(rng, fps, 5))
-    fps = {i: f for i, f in enumerate(dict.fromkeys(fps))}
-    rows = [(int(np.uint64(f).view(np.int64)),) for f in fps.values()]
+def linked_as(spark, fps, bits=3):
+    """Whether the components of the links are those of all pairs."""
+    rows = [(int(np.uint64(f).view(np.int64)),) for f in fps]
     frame = spark.createDataFrame(rows, "fp long")
+    got = {r["node"]: r["label"] for r in components(links(frame, bits)).collect()}
+    want = classes(dict(enumerate(fps)), bits)
+    mine = [got.get(x, x) for (x,) in rows]
+    return len(set(zip(mine, want.values()))) == len(set(mine)) == len(set(want.values()))
+
+
+def crowd(seed, n, centres, bits):
+    rng = random.Random(seed)
+    fps = [rng.getrandbits(64) for _ in range(centres)]
+    while len(set(fps)) < n:
+        fps.append(near(rng, fps, bits))
+    return list(dict.fromkeys(fps))
+
+
+def test_links_lose_nothing(spark, monkeypatch):
+    for rows in (4, 64, 1024):
+        monkeypatch.setattr(simhash, "LEAF_ROWS", rows)
+        assert linked_as(spark, crowd(3, 560, 60, 5))
+    for bits in (0, 1, 5):
+        assert linked_as(spark, crowd(5, 300, 30, 6), bits)
+    assert linked_as(spark, [0]) and linked_as(spark, [0, 7, 2**63, 2**64 - 1])
+
+
+def test_every_link_lies_in_a_pair_of_leaves_left_by_the_nodes(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "LEAF_ROWS", 16)
+    rng = random.Random(8)
+    fps = list({rng.getrandbits(64) for _ in range(2000)} | set(crowd(9, 500, 20, 4)))
+    frame = spark.createDataFrame([(int(np.uint64(f).view(np.int64)),) for f in fps], "fp long")
+    leaf, depth = numbered(written(leaves(frame), "leaves"))
+    place, turn = {}, {}
+    for r in leaf.collect():
+        by = 16 * r["turn"]
+        for x in np.frombuffer(r["fps"], dtype=np.uint64).tolist():
+            x = (x >> by | x << (64 - by)) & (2**64 - 1) if by else x
+            place[r["turn"], x] = r["id"]
+        turn[r["id"]] = r["turn"]
+    assert len(place) == 4 * len(fps)
+    left = {(r["left"], r["right"]) for r in leaf_pairs(leaf, depth).collect()}
+    for n, a in enumerate(fps):
+        for b in fps[n + 1:]:
+            if (a ^ b).bit_count() <= 3:
+                met = [tuple(sorted((place[t, a], place[t, b]))) in left for t in range(4)]
+                assert any(met)
+    of_turn = [list(turn.values()).count(t) for t in range(4)]
+    assert len(left) < 0.1 * sum(n * (n + 1) / 2 for n in of_turn)      # the rest was pruned
+
+
+def test_a_crowd_of_near_texts_is_many_leaves_in_many_tasks(spark):
+    rng, fps = np.random.default_rng(2), np.zeros(30_000, dtype=np.uint64)
+    for _ in range(8):
+        fps ^= np.left_shift(np.uint64(1), rng.integers(0, 64, len(fps)).astype(np.uint64))
+    fps = np.unique(fps)
+    frame = spark.createDataFrame([(x,) for x in fps.view(np.int64).tolist()], "fp long")
+    leaf = written(leaves(frame), "leaves")
+    sizes = [len(r["fps"]) // 8 for r in leaf.select("fps").collect()]
+    assert max(sizes) <= 1024 and sum(sizes) == 4 * len(fps) and len(sizes) > 100
     got = {r["node"]: r["label"] for r in components(links(frame)).collect()}
-    want = classes(fps)
-    for a in fps:
-        for b in fps:
-            x, y = rows[a][0], rows[b][0]
-            assert (want[a] == want[b]) == (x == y or got.get(x, x) == got.get(y, y))
+    label = np.arange(len(fps))
+    for at in range(0, len(fps), 500):                                  # brute force
+        a, b = np.nonzero(np.bitwise_count(fps[at:at + 500, None] ^ fps) <= 3)
+        a = a + at
+        while (label[a] != label[b]).any():
+            x, y = label[a], label[b]
+            np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+            while not np.array_equal(up := label[label], label):
+                label = up
+    mine = [got.get(x, x) for x in fps.view(np.int64).tolist()]
+    assert len(set(zip(mine, label.tolist()))) == len(set(mine)) == len(set(label.tolist()))
 
 
 def test_gray_index_equals_all_pairs():
-    rng = random.Random(4)
     for n in (1, 17, 400):
-        fps = [rng.getrandbits(64)]
-        while len(set(fps)) < n:
-            fps.append(near(rng, fps, 4))
-        fps = np.array(sorted(set(fps)), dtype=np.uint64)
-        a, b = GrayIndex(fps).search(np.arange(len(fps)), 3)
-        want = {(i, j) for i in range(len(fps)) for j in range(i + 1, len(fps))
-                if int(fps[i] ^ fps[j]).bit_count() <= 3}
-        assert set(zip(a.tolist(), b.tolist())) == want
-        assert len(forest(fps, 3)[0]) <= len(fps) - 1
+        fps = np.array(sorted(crowd(4, n, 1, 4)), dtype=np.uint64)
+        front = -1 << 60
+        for mask in (0, front):
+            a, b = GrayIndex(fps).search(fps, 3, mask)
+            want = {(i, j) for i in range(len(fps)) for j in range(len(fps))
+                    if int(fps[i] ^ fps[j]).bit_count() <= 3
+                    and not int(fps[i] ^ fps[j]) & mask & (2**64 - 1)}
+            assert set(zip(a.tolist(), b.tolist())) == want
+        assert len(forest(fps, None, 3)[0]) <= len(fps) - 1
+        if n > 9:
+            assert len(forest(fps[:9], fps[9:], 3)[0]) <= len(fps) - 1
 
 
 def test_long_chain_is_one_component(spark):
