@@ -22,11 +22,12 @@ def short_batches(spark: SparkSession) -> None:
         conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BYTES_PER_BATCH)
 
 
-def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy",
+            partition_by: list[str] | None = None) -> DataFrame:
     """The rows as a Parquet table in the shared scratch folder, read back: computed once,
     and not again when an executor is lost."""
     path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
+    df.write.option("compression", compression).parquet(path, partitionBy=partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

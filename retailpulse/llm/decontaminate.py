@@ -4,8 +4,10 @@ The normalised words of the items build one automaton; the words of every docume
 through it, and the state always stands for the longest run of words that ends here and
 occurs in some item. A run of ``window`` words (13) is a contaminated window; an item of
 fewer words is one window as a whole. The automaton lives in the worker process; the items
-it is built from are dealt into shards of a bounded number of bytes, each broadcast and
-streamed over in its own pass, so an arbitrarily large benchmark only adds passes.
+it is built from are cut into pieces that share a window less one word and dealt into shards
+of a bounded number of bytes, a written table; each shard is broadcast and streamed over in a
+pass of its own and freed after it, so an arbitrarily large benchmark only adds passes, and the
+driver never holds more than one shard.
 
 Defined cases: a null document or item has no words; repeated items count once for each id;
 a null ``item_id`` is shown as an empty string; an empty benchmark hits nothing; an empty
@@ -22,11 +24,13 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import fresh, short_batches, utf8
+from .common import fresh, short_batches, utf8, written
 
 WINDOW = 13
 MIN_SHARE = 20                 # contaminated from 1/20 of the words on
 SHARD_BYTES = 500_000          # item text in one automaton
+PIECE_WORDS = 2_000            # windows of an item that go to one shard together
+SPANS = "array<struct<first:long,last:long>>"
 
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 or 48 <= b <= 57 else 32
@@ -167,20 +171,45 @@ def _size(spans: list[tuple[int, int]]) -> int:
 
 
 @functools.lru_cache(maxsize=1)
-def _automaton(items: tuple[tuple[str, str | None], ...], window: int) -> Automaton:
-    return Automaton([(name, words((text or "").encode())) for name, text in items], window)
+def _automaton(items: tuple[tuple[str, str], ...], window: int) -> Automaton:
+    return Automaton([(name, words(text.encode())) for name, text in items], window)
+
+
+def item_pieces(benchmark: DataFrame, window: int, piece_words: int = PIECE_WORDS) -> DataFrame:
+    """i, t (distinct): the items' words in pieces that share ``window`` - 1 words with the next
+    one, so that every window of an item lies in one of its pieces."""
+    def cut(batches):
+        for batch in batches:
+            names, texts = [], []
+            for name, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+                ws = words(text)
+                for at in range(0, max(1, len(ws) - window + 1), piece_words):
+                    names.append(name)
+                    texts.append(b" ".join(ws[at:at + piece_words + window - 1]).decode())
+            yield pa.record_batch([pa.array(names, pa.string()), pa.array(texts, pa.string())],
+                                  names=["i", "t"])
+
+    short_batches(benchmark.sparkSession)
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), "text")
+    return items.mapInArrow(cut, "i string, t string").where("t != ''").distinct()
+
+
+def dealt(benchmark: DataFrame, window: int, shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, int]:
+    """The pieces as a written table partitioned by ``shard``, and the number of shards, which
+    follows the size of the benchmark."""
+    pieces = item_pieces(benchmark, window, max(1, min(PIECE_WORDS, shard_bytes // 100)))
+    pieces = written(pieces, "items")
+    total = pieces.agg(F.sum(F.octet_length("t") + F.octet_length("i"))).first()[0] or 0
+    n = max(1, math.ceil(1.5 * total / shard_bytes)) if total > shard_bytes else 1
+    shard = F.pmod(F.xxhash64("i", "t"), F.lit(n)).cast("int")
+    return written(pieces.withColumn("shard", shard).repartition("shard"), "shards",
+                   partition_by=["shard"]), n
 
 
-def shards(benchmark: DataFrame, shard_bytes: int = SHARD_BYTES) -> list[tuple]:
-    """The items in tuples of (id, text) of about ``shard_bytes`` at most, one shard collected
-    at a time; their number follows the size of the benchmark."""
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"),
-                             F.col("text").alias("t")).distinct()
-    total = items.agg(F.sum(F.octet_length("t") + F.octet_length("i"))).first()[0] or 0
-    n = max(1, math.ceil(1.5 * total / shard_bytes)) if total > shard_bytes else 1
-    dealt = F.pmod(F.xxhash64("i", "t"), F.lit(n))
-    return [tuple(sorted((r["i"], r["t"] or "") for r in items.where(dealt == k).collect()))
-            for k in range(n)]
+def shard_items(table: DataFrame, shard: int) -> tuple[tuple[str, str], ...]:
+    """The pieces (id, words) of one shard, which is of bounded size."""
+    return tuple(sorted((r["i"], r["t"]) for r in
+                        table.where(F.col("shard") == shard).select("i", "t").collect()))
 
 
 def without_words(text: str, spans: list[tuple[int, int]]) -> str:
@@ -193,54 +222,77 @@ def without_words(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(out) + text[at:]
 
 
-def _passes(rows: DataFrame, text: str, benchmark: DataFrame, window: int, shard_bytes: int,
-            min_share: int | None = None) -> DataFrame:
-    """rows with n_words, spans (word ranges) and item_ids added last, under names that the
-    frame does not have. With ``min_share``, texts stay, and lose the words of the spans
-    unless these reach that share; else texts go."""
-    sc = rows.sparkSession.sparkContext
+def _scanned(rows: DataFrame, text: str, names: list[str], window: int, held=None,
+             min_share: int | None = None, hits_only: bool = False) -> DataFrame:
+    """rows with n_words, spans (word ranges) and item_ids under the given names, added to what
+    the frame holds of the latter two. ``held`` is the broadcast shard to look for. With
+    ``min_share`` the text stays, and loses the words of the spans unless these reach that
+    share; else it goes. ``hits_only`` leaves out rows without a span."""
     short_batches(rows.sparkSession)
-    n_words, spans, items = fresh(rows, "n_words", "spans", "item_ids")
-    found_type = "array<struct<first:long,last:long>>"
+    n_words, spans, items = names
     span_type = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-    parts = shards(benchmark, shard_bytes)
-    for k, shard in enumerate(parts):
-        held = sc.broadcast(shard)
-        last = k == len(parts) - 1
-        kept = [c for c in rows.columns if c != text or min_share or not last]
-
-        def scan(batches, held=held, kept=kept, names=tuple(rows.columns), last=last):
-            automaton = _automaton(held.value, window)
-            for batch in batches:
-                columns = dict(zip(names, batch.columns))
-                counts, ranges, hits = [], [], []
-                before = zip(columns[spans].to_pylist(), columns[items].to_pylist()) \
-                    if spans in columns else None
-                for t in utf8(columns[text]):
-                    ws = words(t)
-                    old_spans, old_items = next(before) if before else ([], [])
-                    here, found = [], set(old_items)
+    given, more = tuple(rows.columns), spans in rows.columns
+    kept = [c for c in given if c not in names and (c != text or min_share)]
+
+    def scan(batches):
+        automaton = _automaton(held.value, window) if held is not None else None
+        for batch in batches:
+            columns = dict(zip(given, batch.columns))
+            counts, ranges, hits = [], [], []
+            before = zip(columns[spans].to_pylist(), columns[items].to_pylist()) if more else None
+            for t in utf8(columns[text]):
+                ws = words(t)
+                old_spans, old_items = next(before) if before else (None, None)
+                here, found = [], set(old_items or [])
+                if automaton is not None:
                     automaton.scan(ws, here, found)
-                    if old_spans:
-                        here = merged(here + [(s["first"], s["last"]) for s in old_spans])
-                    counts.append(len(ws))
-                    ranges.append(here)
-                    hits.append(sorted(found))
-                out = {c: columns[c] for c in kept}
-                if last and min_share and any(ranges):
-                    out[text] = pa.array(
-                        [without_words(t, r) if 0 < min_share * _size(r) < n else t for t, r, n
-                         in zip(columns[text].to_pylist(), ranges, counts)], columns[text].type)
-                out[n_words] = pa.array(counts, pa.int64())
-                out[spans] = pa.array(
-                    [[{"first": a, "last": b} for a, b in r] for r in ranges], span_type)
-                out[items] = pa.array(hits, pa.list_(pa.string()))
-                yield pa.record_batch(list(out.values()), names=list(out))
-
-        new = {n_words: "long", spans: found_type, items: "array<string>"}
-        schema = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept if c not in new]
-        rows = rows.mapInArrow(scan, ", ".join(schema + [f"`{c}` {t}" for c, t in new.items()]))
-    return rows
+                if old_spans:
+                    here = merged(here + [(s["first"], s["last"]) for s in old_spans])
+                counts.append(len(ws))
+                ranges.append(here)
+                hits.append(sorted(found))
+            out = {c: columns[c] for c in kept}
+            if min_share and any(ranges):
+                out[text] = pa.array(
+                    [without_words(t, r) if 0 < min_share * _size(r) < n else t for t, r, n
+                     in zip(columns[text].to_pylist(), ranges, counts)], columns[text].type)
+            out[n_words] = pa.array(counts, pa.int64())
+            out[spans] = pa.array([[{"first": a, "last": b} for a, b in r] for r in ranges], span_type)
+            out[items] = pa.array(hits, pa.list_(pa.string()))
+            found_rows = pa.record_batch(list(out.values()), names=list(out))
+            yield found_rows.filter(pa.array([bool(r) for r in ranges], pa.bool_())) \
+                if hits_only else found_rows
+
+    fields = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept]
+    return rows.mapInArrow(scan, ", ".join([*fields, f"`{n_words}` long", f"`{spans}` {SPANS}",
+                                            f"`{items}` array<string>"]))
+
+
+def _passes(rows: DataFrame, text: str, benchmark: DataFrame, window: int, shard_bytes: int,
+            min_share: int | None = None) -> DataFrame:
+    """rows with n_words, spans and item_ids added last, under names that the frame does not
+    have; the text as in ``_scanned``. One shard needs one pass. Of several, each is collected,
+    broadcast, looked for and let go before the next; only the spans of a pass are written, and
+    they meet their rows once at the end."""
+    sc = rows.sparkSession.sparkContext
+    *names, row = fresh(rows, "n_words", "spans", "item_ids", "row")
+    table, n = dealt(benchmark, window, shard_bytes)
+    if n == 1:
+        return _scanned(rows, text, names, window, sc.broadcast(shard_items(table, 0)), min_share)
+    _, spans, items = names
+    rows = written(rows.withColumn(row, F.monotonically_increasing_id()), "rows")
+    found = None
+    for k in range(n):
+        held = sc.broadcast(shard_items(table, k))
+        hits = written(_scanned(rows.select(row, text), text, names, window, held,
+                                hits_only=True).drop(names[0]), "hits")
+        held.destroy()
+        found = hits if found is None else found.unionByName(hits)
+    found = found.groupBy(f"`{row}`").agg(
+        F.flatten(F.collect_list(f"`{spans}`")).alias(spans),
+        F.array_distinct(F.flatten(F.collect_list(f"`{items}`"))).alias(items))
+    joined = rows.join(found, row, "left").drop(row)
+    return _scanned(joined, text, names, window, None, min_share)
 
 
 def _n_hit(spans: str):

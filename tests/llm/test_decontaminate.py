@@ -2,7 +2,7 @@ import hashlib
 import random
 import re
 
-from retailpulse.llm.decontaminate import Automaton, decontaminate, find_contamination, words
+from retailpulse.llm.decontaminate import Automaton, dealt, decontaminate, find_contamination, words
 from retailpulse.llm.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
@@ -58,10 +58,22 @@ def test_automaton_on_random_words():
         assert (sum(b - a for a, b in spans), sorted(found)) == (hit, want)
 
 
-def test_shards_give_the_same(spark, documents):
-    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
-    one = find_contamination(documents, bench).orderBy("doc_id").collect()
-    assert one == find_contamination(documents, bench, shard_bytes=2000).orderBy("doc_id").collect()
+def test_a_benchmark_of_many_shards(spark):
+    rng = random.Random(11)
+    line = lambda n: " ".join(rng.choice("abcdefgh") * rng.randint(1, 6) for _ in range(n))
+    items = [(str(k % 70), line(rng.choice([0, 1, 2, 5, 13, 40, 200]))) for k in range(90)]
+    texts = {k: " ".join([line(20), *(rng.choice(items)[1][:400].split()[2:]), line(20)])
+             for k in range(40)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    assert dealt(bench, 5, 300)[1] >= 100
+    want = brute(texts, items, 5)
+    for shard_bytes in (300, 500_000):
+        got = find_contamination(docs, bench, window=5, shard_bytes=shard_bytes).collect()
+        assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["item_ids"]) for r in got} == want
+    cut = decontaminate(docs, bench, window=5, min_share=1, shard_bytes=5000)
+    whole = decontaminate(docs, bench, window=5, min_share=1)
+    assert sorted(cut.collect()) == sorted(whole.collect())
 
 
 def test_awkward_rows(spark, awkward, no_documents):
