@@ -5,11 +5,13 @@ record, tied together by WARC-Concurrent-To. Payloads of ``MIN_SHARED_BYTES`` or
 occur more than once are stored once, with the smallest page id; the others are revisits. The
 smallest id is found by a partial aggregate over digests, so a payload that a third of all
 pages share meets in one small row. Archives are written by Spark's text writer, whose line
-separator is the blank lines that end a record; each file is a valid uncompressed WARC file
-of a bounded share of the pages.
+separator is the blank lines that end a record; each file is a gzip-compressed WARC file (one
+member) of at most ``PAGES_PER_FILE`` pages, and pages are dealt to so many tasks that a task
+has about ``FILE_BYTES`` of payload at most, so long pages make more files, not longer ones.
 
-Reading: each file is walked record by record by Content-Length, so payloads may hold
-anything. ``transactions`` joins request, response and metadata records through the
+Reading: each file is unpacked as a stream and walked record by record by Content-Length, so
+payloads may hold anything and a task holds the packed file and a few records, never the
+unpacked file. A file that ends inside a record is an error. ``transactions`` joins request, response and metadata records through the
 concurrent-to identifiers and gives one nested row per capture.
 
 Defined cases: a null or empty html is an empty payload; a null url is an empty target; a
@@ -22,6 +24,8 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
+import math
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -29,7 +33,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from .common import short_batches, type_of
 
 MIN_SHARED_BYTES = 100
-PAGES_PER_FILE = 2000            # bounds an archive file, which is read in one piece
+PAGES_PER_FILE = 2000
+FILE_BYTES = 64 << 20            # payload of a writing task, about
 VERSION = "WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"    # captures carry no time of their own
 EOL = "\r\n"
@@ -63,11 +68,12 @@ def _record(kind: str, record_id: Column, content_type: str, body: Column,
     return F.concat(F.concat_ws(EOL, *lines), F.lit(EOL * 2), body)
 
 
-def captures(pages: DataFrame, min_shared_bytes: int = MIN_SHARED_BYTES) -> DataFrame:
+def captures(pages: DataFrame, min_shared_bytes: int = MIN_SHARED_BYTES,
+             tasks: int | None = None) -> DataFrame:
     """page_id, url, html, payload_digest, capture and, for revisits, original and
     original_page: the record ids of this capture and of the response it repeats, and that
     one's page. Which payloads are shared is found on digests; payloads are shuffled once, by
-    what identifies their row."""
+    what identifies their row, into ``tasks`` partitions if given."""
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("payload_digest", F.sha2(F.col("html").cast("binary"), 256))
     rows = rows.withColumn("row", F.sha1(F.concat_ws(
@@ -80,6 +86,8 @@ def captures(pages: DataFrame, min_shared_bytes: int = MIN_SHARED_BYTES) -> Data
               .where("n > 1").select("payload_digest", F.col("o.row").alias("original_row"),
                                      F.col("o.page_id").alias("original_page")))
     again = large.join(shared, "payload_digest").select("row", "original_row", "original_page")
+    if tasks:
+        rows = rows.repartition(tasks, "row")
     rows = rows.join(again, "row", "left")
     copy = F.row_number().over(Window.partitionBy("row").orderBy("row"))
     rows = rows.withColumn("copy", copy)
@@ -91,9 +99,17 @@ def captures(pages: DataFrame, min_shared_bytes: int = MIN_SHARED_BYTES) -> Data
                        F.when(revisit, F.col("original_page")).alias("original_page"))
 
 
-def records(pages: DataFrame, min_shared_bytes: int = MIN_SHARED_BYTES) -> DataFrame:
+def tasks_for(pages: DataFrame, file_bytes: int | None = None) -> int | None:
+    """How many tasks write ``file_bytes`` each, if the session's shuffles have fewer."""
+    total = pages.agg(F.sum(F.octet_length("html").cast("long"))).first()[0] or 0
+    tasks = math.ceil(total / (file_bytes or FILE_BYTES))
+    return tasks if tasks > int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def records(pages: DataFrame, min_shared_bytes: int = MIN_SHARED_BYTES,
+            tasks: int | None = None) -> DataFrame:
     """value: three records per page, as text."""
-    rows = captures(pages, min_shared_bytes)
+    rows = captures(pages, min_shared_bytes, tasks)
     target = ("WARC-Target-URI", _header_value(F.col("url")))
     mine = F.col("capture")
     status = F.concat(F.lit(f"HTTP/1.1 200 OK{EOL}Content-Type: text/html; charset=utf-8{EOL}"
@@ -125,30 +141,35 @@ def records(pages: DataFrame, min_shared_bytes: int = MIN_SHARED_BYTES) -> DataF
 def write_archives(pages: DataFrame, path: str, min_shared_bytes: int = MIN_SHARED_BYTES,
                    pages_per_file: int = PAGES_PER_FILE) -> None:
     """Gzip-compressed archive files of at most ``pages_per_file`` pages below ``path``."""
-    (records(pages, min_shared_bytes).write.option("lineSep", EOL * 2)
+    (records(pages, min_shared_bytes, tasks_for(pages)).write.option("lineSep", EOL * 2)
      .option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
      .option("maxRecordsPerFile", 3 * pages_per_file).text(path))
 
 
 # -------------------------------------------------------------- reading ----
-def plain(archive: bytes) -> bytes:
-    """The archive without its gzip layer, if it has one."""
-    return gzip.decompress(archive) if archive[:2] == b"\x1f\x8b" else archive
+def plain(archive: bytes) -> io.BufferedIOBase:
+    """The archive as a stream without its gzip layer, if it has one."""
+    packed = io.BytesIO(archive)
+    return gzip.GzipFile(fileobj=packed) if archive[:2] == b"\x1f\x8b" else packed
 
 
 def parse(archive: bytes):
     """(headers, content) of the records of one archive file, by their Content-Length."""
-    view, at = memoryview(archive), 0
-    while at < len(archive):
-        end = archive.index(b"\r\n\r\n", at)
-        lines = archive[at:end].decode("utf-8").split(EOL)
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        headers = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "")
-                       for line in lines[1:])
+    stream, end = plain(archive), EOL.encode()
+    while line := stream.readline():
+        if not line.startswith(b"WARC/"):
+            raise ValueError(f"no record before byte {stream.tell()}")
+        headers = {}
+        while (line := stream.readline()) != end:
+            if not line.endswith(end):
+                raise ValueError("an archive ends inside a record's header")
+            name, sign, value = line[:-2].decode("utf-8").partition(": ")
+            headers[name if sign else name.rstrip(":")] = value
         size = int(headers["Content-Length"])
-        yield headers, bytes(view[end + 4:end + 4 + size])
-        at = end + 4 + size + 4
+        content = stream.read(size)
+        if len(content) < size or stream.read(4) != end * 2:
+            raise ValueError("an archive ends inside a record")
+        yield headers, content
 
 
 def payload_of(headers: dict[str, str], content: bytes) -> bytes:
@@ -178,7 +199,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for archive in batch.column(0):
                 out, size = [], 0
-                for headers, content in parse(plain(archive.as_py())):
+                for headers, content in parse(archive.as_py()):
                     payload = payload_of(headers, content)
                     out.append((*map(headers.get, wanted), list(headers.items()), len(payload),
                                 hashlib.sha256(payload).hexdigest(), content))

@@ -1,5 +1,10 @@
+import gzip
 import hashlib
+import tracemalloc
 
+import pytest
+
+from retailpulse.llm import warc
 from retailpulse.llm.warc import page_archive, parse, read_records, transactions, write_archives
 from retailpulse.session import scratch_path
 
@@ -61,5 +66,33 @@ def test_parser_follows_content_length():
     assert [c for _, c in parse(one * 3)] == [body] * 3
 
 
+def test_archives_are_unpacked_as_a_stream():
+    one = b"WARC/1.1\r\nContent-Length: 1000000\r\n\r\n" + b"x" * 1_000_000 + b"\r\n\r\n"
+    packed = gzip.compress(one * 100, 1)
+    tracemalloc.start()
+    assert sum(len(c) for _, c in parse(packed)) == 100_000_000
+    assert tracemalloc.get_traced_memory()[1] < 20_000_000
+    tracemalloc.stop()
+    for cut in (1_000_000, 20):
+        with pytest.raises(ValueError):
+            list(parse(one[:cut]))
+
+
+def test_long_pages_make_more_files(spark, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 1 << 20)
+    pages = (spark.range(60).selectExpr("id AS page_id", "concat('http://a/', id) AS url",
+                                        "repeat(sha2(string(id), 256), 3000) AS html")
+             .unionByName(spark.createDataFrame([(100 + k, f"u{k}", str(k) * 5_000_000) for k in range(4)],
+                                                "page_id long, url string, html string")))
+    assert warc.tasks_for(pages) == -(-(60 * 192_000 + 20_000_000) // (1 << 20))
+    path = scratch_path(spark, "warc")
+    write_archives(pages, path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("content").collect()
+    sizes = [len(gzip.decompress(bytes(f["content"]))) for f in files if f["content"]]
+    assert len(sizes) > 15 and max(sizes) < 12_000_000      # a long page or two, or a few short ones
+    rows = page_archive(pages, scratch_path(spark, "warc")).select("page_id", "html").collect()
+    assert {r["page_id"]: r["html"] for r in rows} == {r["page_id"]: r["html"] for r in pages.collect()}
+
+
 def test_empty_table(spark):
     assert page_archive(frame(spark).limit(0), scratch_path(spark, "warc")).count() == 0
