@@ -129,7 +129,8 @@ def op2_secrets(spark, sf):
     count = lambda kind: F.size(of(kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", count("assign"), count("access"), count("hex"),
                         F.sha2(secret_scan.listed(of(*secret_scan.BASE)), 256).alias("base_sha256"),
-                        secret_scan.listed(F.col("spans")).alias("spans"))
+                        secret_scan.listed(F.col("spans")).alias("spans"),
+                        secret_scan.listed_credentials(F.col("credentials")).alias("credentials"))
 
 
 @query("op11_repair")

@@ -16,7 +16,8 @@ A weak identifier is reported when a secret starts within ``SCOPE`` characters,
 when an identifier does, and an endpoint when both do. The parts are found by interval joins:
 positions are dealt into bins of the scope's width, each part meets its own and the two
 neighbouring bins, and a left semi join asks only whether a partner exists, so no pairs are
-made. A text yields positions only where a pattern matches; nothing of a text is shuffled.
+made. ``credentials`` then names, for every secret beside an identifier, the nearest parts it
+belongs to. A text yields positions only where a pattern matches; nothing of a text is shuffled.
 
 Positions are code points, end exclusive. They come from the lengths of the matches and of the
 text between them, so the scan needs no code outside Spark.
@@ -138,22 +139,56 @@ def spans(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     return out.drop("bin")
 
 
-def _by_document(docs: DataFrame, scope: int) -> DataFrame:
+def _by_document(found: DataFrame) -> DataFrame:
     """key, spans: sorted by start, then kind as listed."""
     order = F.create_map(*[F.lit(x) for i, k in enumerate(KINDS) for x in (k, i)])
     one = F.struct("start", order[F.col("kind")].alias("rank"), "end", "value_start", "kind")
-    return spans(docs, scope).groupBy("key").agg(F.array_sort(F.collect_list(one)).alias("spans"))
+    return found.groupBy("key").agg(F.array_sort(F.collect_list(one)).alias("spans"))
+
+
+PART = ("start", "end", "kind")
+
+
+def _with_nearest(rows: DataFrame, others: DataFrame, name: str, scope: int) -> DataFrame:
+    """rows with the part of ``others`` whose start is nearest to the secret's within the scope
+    (ties: the smaller start, then kind), or null. Spans of a kind do not overlap, so a secret
+    meets a number of parts that the scope bounds."""
+    own = F.floor(F.col("start") / scope)
+    near = others.select(F.col("key").alias("_key"),
+                         F.explode(F.array(own - 1, own, own + 1)).alias("_bin"),
+                         F.struct(*PART).alias("_part"))
+    far = F.abs(F.col("secret.start") - F.col("_part.start"))
+    joined = rows.join(near, (F.col("key") == F.col("_key"))
+                       & (F.floor(F.col("secret.start") / scope) == F.col("_bin")) & (far <= scope), "left")
+    best = F.min(F.when(F.col("_part").isNotNull(), F.struct(far.alias("far"), "_part")))
+    return joined.groupBy(*rows.columns).agg(best["_part"].alias(name))
+
+
+def credentials(found: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """key, secret, identifier, endpoint (structs of start, end, kind) from the reported spans:
+    every secret that has an identifier within the scope, with the nearest one and, if there is
+    one, the nearest endpoint."""
+    rows = found.where(F.col("kind").isin(*SECRETS)).select("key", F.struct(*PART).alias("secret"))
+    rows = _with_nearest(rows, found.where(F.col("kind").isin(*IDENTIFIERS)), "identifier", scope)
+    return _with_nearest(rows.where("identifier IS NOT NULL"),
+                         found.where("kind = 'endpoint'"), "endpoint", scope)
 
 
 def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """doc_id, spans (start, end, value_start, kind) for every row."""
-    found = _by_document(docs, scope)
-    none = F.array().cast(found.schema["spans"].dataType)
+    """doc_id, spans (start, end, value_start, kind) and credentials (secret, identifier,
+    endpoint; see ``credentials``), by the secret's place, for every row."""
+    reported = written(spans(docs, scope), "secret-spans")
+    found = _by_document(reported)
+    linked = credentials(reported, scope).groupBy("key").agg(F.array_sort(F.collect_list(
+        F.struct("secret", "identifier", "endpoint"))).alias("credentials"))
+    found = found.join(linked, "key", "left")
     rows = docs.select("doc_id", _key(docs).alias("key")).join(found, "key", "left")
+    none = lambda c: F.array().cast(found.schema[c].dataType)
     return rows.select("doc_id", F.transform(
-        F.coalesce("spans", none), lambda s: F.struct(
+        F.coalesce("spans", none("spans")), lambda s: F.struct(
             s["start"].alias("start"), s["end"].alias("end"),
-            s["value_start"].alias("value_start"), s["kind"].alias("kind"))).alias("spans"))
+            s["value_start"].alias("value_start"), s["kind"].alias("kind"))).alias("spans"),
+        F.coalesce("credentials", none("credentials")).alias("credentials"))
 
 
 def listed(spans_: Column) -> Column:
@@ -162,10 +197,18 @@ def listed(spans_: Column) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def listed_credentials(credentials_: Column) -> Column:
+    """identifier+secret+endpoint of the credentials, each as in ``listed``, comma-joined."""
+    def one(p):
+        return F.when(p.isNotNull(), F.concat_ws(":", p["kind"], p["start"].cast("string"), p["end"].cast("string")))
+    return F.array_join(F.transform(credentials_, lambda c: F.concat_ws(
+        "+", one(c["identifier"]), one(c["secret"]), one(c["endpoint"]))), ",")
+
+
 def redact(docs: DataFrame, scope: int = SCOPE, mask: str = MASK) -> DataFrame:
     """All rows and columns; the values of all reported spans give way to ``mask`` in ``text``."""
     key, found_ = fresh(docs, "key", "found")
-    found = _by_document(docs, scope).select(F.col("key").alias(key), F.col("spans").alias(found_))
+    found = _by_document(spans(docs, scope)).select(F.col("key").alias(key), F.col("spans").alias(found_))
     rows = docs.withColumn(key, _key(docs)).join(found, key, "left")
     text = F.col("text")
 

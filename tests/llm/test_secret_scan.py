@@ -60,6 +60,37 @@ def test_weak_parts_need_their_complement(spark):
     assert got[8][0] == ("ident", 2, 13)
 
 
+def test_weak_spans_and_credentials_equal_all_pairs(spark):
+    rng = random.Random(6)
+    pieces = ["user: bob99", "client_id=acme.7", "AKIA" + "Q1" * 9, "Ab3dEf6hIj9lMn2pQr5tUv8xYz1", "0123456789abcdef01",
+              "token=abcdefghijklmnop", "https://db.example.com/x", "host: db-1.example", "é" * 40, "lorem " * 25]
+    texts = ["\n".join(rng.choices(pieces, k=rng.randint(0, 14))) for _ in range(250)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    parts = {}
+    keys = {r["key"]: r["doc_id"] for r in docs.select("doc_id", S._key(docs).alias("key")).collect()}
+    for r in S._candidates(docs).collect():
+        parts.setdefault(keys[r["key"]], []).append((r["start"], r["end"], r["kind"]))
+    near = lambda p, others, kinds: sorted(                      # noqa: E731
+        (abs(p[0] - o[0]), o) for o in others if o[2] in kinds and abs(p[0] - o[0]) <= S.SCOPE)
+    linked = 0
+    for r in S.scan(docs).collect():
+        mine = parts.get(r["doc_id"], [])
+        want = {p for p in mine if p[2] in S.BASE
+                or p[2] == "ident" and near(p, mine, S.SECRETS)
+                or p[2] == "opaque" and near(p, mine, S.IDENTIFIERS)
+                or p[2] == "endpoint" and near(p, mine, S.SECRETS) and near(p, mine, S.IDENTIFIERS)}
+        assert {(s["start"], s["end"], s["kind"]) for s in r["spans"]} == want
+        expected = []
+        for p in sorted(p for p in want if p[2] in S.SECRETS):
+            ids, places = near(p, want, S.IDENTIFIERS), near(p, want, ("endpoint",))
+            if ids:
+                expected.append((p, ids[0][1], places[0][1] if places else None))
+        got = [tuple(c[k] and tuple(c[k]) for k in ("secret", "identifier", "endpoint")) for c in r["credentials"]]
+        assert got == expected
+        linked += len(got)
+    assert linked > 100
+
+
 def test_awkward_rows(spark, awkward, no_documents):
     extra = spark.createDataFrame(
         [(20, 'x token = "abcdefghijklmnop" deadbeefdeadbeef\n', 1)] * 2
@@ -80,5 +111,6 @@ def test_awkward_rows(spark, awkward, no_documents):
 
 
 def test_no_python_on_the_path(spark, documents):
-    plan = S.redact(documents)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+    for rows in (S.redact(documents), S.scan(documents)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
