@@ -69,6 +69,27 @@ def test_stages_on_planted_rows(spark):
     assert kept[9004] == rows[4][1]
 
 
+def test_awkward_rows_through_all_stages(spark, awkward):
+    """Nulls in every column, repeated ids and rows, very long texts and columns that are named
+    as the stages name their own: a stage keeps the columns, and drops or changes what it should."""
+    docs, ids = awkward, []
+    for name, stage in P.STAGES[:-1]:
+        out = written(stage(spark, docs, SF), "test")
+        assert out.schema == awkward.schema, name
+        ids.append(sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in out.collect()))
+        docs = out
+    every = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in awkward.collect())
+    assert ids[0] == every                      # no row has a label of either kind here
+    assert ids[1:] == [[(False, i) for i in (0, 2, 5, 6, 7, 8, 9)] + [(True, 0)]] * 3
+    texts = {(r["doc_id"], r["text"]) for r in docs.collect()}
+    assert texts <= {(r["doc_id"], r["text"]) for r in awkward.collect()}
+    assert (None, "a text without id") in texts     # the null text without id goes with document 2
+    assert all(r["n_chars"] == len(r["text"] or "") for r in docs.collect())
+    pieces = P.pack(spark, docs, SF)
+    total = pieces.groupBy("doc_id").sum("length").count()
+    assert total == len(texts)
+
+
 def test_empty_table(spark, documents):
     docs = documents.limit(0)
     for _, stage in P.STAGES[:-1]:

@@ -48,6 +48,28 @@ def test_swaps_take_weight_from_group_mentions(spark):
     assert abs(gaps[toxicity.PENALTY]) < 0.3 * abs(gaps[0.0])
 
 
+def test_score_equals_a_dense_sum(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    texts = {r["doc_id"]: (r["text"] or "").encode() for r in docs.collect()}
+    texts[-1], texts[-2] = b"", b"a " * 5000
+    model = toxicity.train(spark.read.parquet(f"{SF}/documents.parquet"), labels)
+    place = {f: k for k, f in enumerate(model.weights)}
+    weights = np.array(list(model.weights.values()))
+    more = spark.createDataFrame([(i, texts[i].decode()) for i in (-1, -2)], "doc_id long, text string")
+    rows = docs.select("doc_id", "text").unionByName(more)
+    for r in toxicity.score_documents(rows, model).collect():
+        lower = bytes(b + 32 if 65 <= b <= 90 else b for b in texts[r["doc_id"]])
+        ws = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in lower).split()
+        dense = np.zeros(len(weights))
+        for w in ws:
+            for f in [zlib.crc32(b"w" + w)] + [zlib.crc32(b"b" + w[:k]) for k in range(4, 9) if len(w) > k]:
+                if f in place:
+                    dense[place[f]] += 1
+        z = model.bias + weights @ np.log1p(1000 * dense / (len(ws) + 20))
+        assert abs(r["score"] - 1 / (1 + np.exp(-z))) < 1e-9
+
+
 def test_penalty_gradient():
     rng = np.random.default_rng(0)
     rows, columns = np.repeat(np.arange(50), 2), rng.integers(0, 4, 100)
