@@ -7,13 +7,15 @@ Each paragraph is hashed to a wide vector. Summed over the paragraphs, eight lan
 inner products that estimate how much two texts share. Inserting or deleting a paragraph adds
 or subtracts its vector, and the order of paragraphs does not matter.
 
-Successors in descending order of ids are found without one global sort: ids are dealt into
-ranges, the first document of each range is also sent to the range before it, and each range
-streams through a task in order.
+Successors in descending order of ids are found without one global sort: documents are dealt
+into ranges of (id, hash of the text), the first document of each range is also sent to the
+range before it, and each range streams through a task in order. Ranges grow in number with
+the bytes of the table; rows without id, or of one id, spread over ranges by their text.
 
 Defined cases: a null or empty text is the empty multiset (all lanes zero), alike only to
 another empty one; repeated rows follow each other as documents; documents without id come
-last; the successor of the last document is the first, of a single one itself; an empty table
+last; rows of one id follow each other by the hash of their text, and only equal rows (id and
+text) are sure to share a range; the successor of the last document is the first, of a single one itself; an empty table
 gives no rows; other columns are not read. A paragraph has a byte at least and a text fewer
 than 2**31 of them, so the signed lanes of a text are exact however often a paragraph repeats.
 """
@@ -26,15 +28,16 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import short_batches, type_of
+from .common import short_batches, type_of, written
 
 LANES = 8                   # modulo 2**64, for equality
 SIGNS = 256                 # modulo 2**32, for likeness
 MEAN_BYTES = 48             # of a paragraph inside a long line
-ROWS_PER_RANGE, MOST_RANGES = 4000, 4096
-SAMPLE_PER_RANGE = 20       # ids looked at to place the range ends
+RANGE_BYTES = 32 << 20      # of text in a range while there are fewer ranges than shuffle
+MOST_BYTES = 256 << 20      # partitions; beyond that a range holds up to so many
+ROW_BYTES = 256             # what a row counts besides its text
 
 _LINE_END = 10
 
@@ -120,55 +123,57 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------- successors ----
-def _range_ends(ids: DataFrame) -> list:
-    """Ids that part the documents into ranges of similar size, descending. They come from a
-    bounded sample and only decide which task does what."""
-    n = ids.count()
-    ranges = min(MOST_RANGES, math.ceil(n / ROWS_PER_RANGE))
-    if ranges < 2:
-        return []
-    sample = (ids.where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id")
-              .limit(ranges * SAMPLE_PER_RANGE).collect())
-    found = sorted((r["doc_id"] for r in sample), reverse=True)
-    return sorted({found[len(found) * k // ranges] for k in range(1, ranges)} if found else (),
-                  reverse=True)
-
-
-def range_part(rows: DataFrame) -> tuple[int, Column]:
-    """The number of ranges, and the range of a row by its doc_id: 0 has the largest ids, the
-    last one the smallest and those without id."""
-    ends = _range_ends(rows.select("doc_id"))
-    kind = rows.schema["doc_id"].dataType
+def range_count(spark: SparkSession, size: int) -> int:
+    """Into how many ranges a table of ``size`` bytes is dealt."""
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, math.ceil(size / MOST_BYTES), min(math.ceil(size / RANGE_BYTES), wanted))
+
+
+def bytes_of(text: Column) -> Column:
+    return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + F.lit(ROW_BYTES)
+
+
+def _range_heads(rows: DataFrame) -> list[tuple]:
+    """The first key (has an id, id, hash) of each range, descending; ``rows`` have doc_id, h and
+    size. Only these keys come to the driver, one per range."""
+    keys = written(rows, "range-keys")
+    size = keys.agg(F.sum("size")).first()[0] or 0
     doc_id = F.col("doc_id")
-    beyond = (F.size(F.filter(F.array(*[F.lit(e).cast(kind) for e in ends]), lambda e: e > doc_id))
-              if ends else F.lit(0))
-    return len(ends) + 1, F.when(doc_id.isNull(), F.lit(len(ends))).otherwise(beyond)
+    dealt = keys.repartitionByRange(range_count(rows.sparkSession, size),
+                                    F.desc_nulls_last("doc_id"), F.desc("h"))
+    first = dealt.groupBy(F.spark_partition_id().alias("part")).agg(
+        F.max(F.struct(doc_id.isNotNull().alias("known"), doc_id, F.col("h"))).alias("head"))
+    return sorted((tuple(r["head"]) for r in first.collect()), reverse=True)
 
 
 def in_descending_order(docs: DataFrame) -> DataFrame:
     """part, late, doc_id, text: each part in its task, sorted; a late row is the document that
     follows the part's last one."""
-    rows = docs.select("doc_id", "text")
-    parts, part = range_part(rows)
-    kind = rows.schema["doc_id"].dataType
-    doc_id = F.col("doc_id")
-    heads = {r["part"]: r["head"] for r in
-             rows.groupBy(part.alias("part")).agg(F.max("doc_id").alias("head")).collect()}
-    if not heads:
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    heads = _range_heads(rows.select("doc_id", "h", bytes_of(F.col("text")).alias("size")))
+    rising, parts = heads[::-1], len(heads)
+    if not parts:
         return rows.select(F.lit(0).alias("part"), F.lit(0).alias("late"), "doc_id", "text")
-    full = sorted(heads)
-    before = [full[bisect.bisect_left(full, p) - 1] for p in range(parts)]
-    first = F.array(*[F.lit(heads.get(p)).cast(kind) for p in range(parts)])
-    rows = rows.withColumn("p", part)
-    also = F.when(doc_id.eqNullSafe(F.get(first, F.col("p"))),
-                  F.struct(F.get(F.array(*map(F.lit, before)), F.col("p")).alias("part"),
-                           F.lit(1).alias("late")))
-    rows = rows.select(F.explode(F.array_compact(F.array(
-        F.struct(F.col("p").alias("part"), F.lit(0).alias("late")), also))).alias("to"),
-        "doc_id", "text")
-    rows = rows.select("to.part", "to.late", "doc_id", "text")
-    return rows.repartition("part").sortWithinPartitions(
-        "part", "late", F.desc_nulls_last("doc_id"), F.asc_nulls_first("text"))
+
+    @F.arrow_udf("long")
+    def place(doc_id: pa.Array, h: pa.Array) -> pa.Array:
+        """Twice the range of a row, and one more for the first of a range."""
+        out = []
+        for key in zip(doc_id.is_valid().to_pylist(), doc_id.to_pylist(), h.to_pylist()):
+            part = parts - 1 - bisect.bisect_left(rising, key)
+            out.append(2 * part + (heads[part] == key))
+        return pa.array(out, pa.int64())
+
+    part = F.expr("place div 2")
+    also = F.when(F.expr("place % 2 = 1"), F.struct(
+        F.pmod(part - 1, F.lit(parts).cast("long")).alias("part"), F.lit(1).alias("late")))
+    rows = rows.withColumn("place", place("doc_id", "h")).select(
+        F.explode(F.array_compact(F.array(F.struct(part.alias("part"), F.lit(0).alias("late")), also)))
+        .alias("to"), "doc_id", "h", "text")
+    return (rows.select("to.part", "to.late", "doc_id", "h", "text").repartition("part")
+            .sortWithinPartitions("part", "late", F.desc_nulls_last("doc_id"), F.desc("h"),
+                                  F.asc_nulls_first("text"))
+            .drop("h"))
 
 
 def edited(text: str, following: str) -> str:

@@ -14,7 +14,7 @@ guess is right; else the size class by its adaptive count and the rest of the id
 arithmetic is on integers, so that encoder and decoder agree on every machine.
 
 Defined cases: a null or empty text is the end id alone; a null id sorts last; rows that
-repeat are documents of their own, by text; an empty table gives an empty file; a damaged
+repeat an id are documents of their own, by the hash of their text; an empty table gives an empty file; a damaged
 block raises ``ValueError``; other columns are not read.
 """
 
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .common import pieces_of, short_batches, type_of
-from .multiset import range_part
+from .multiset import bytes_of, range_count
 from .tokens import END_ID, default_tokenizer, encoder
 
 BLOCK = 4096                # ids of a block
@@ -319,18 +319,19 @@ FILE = ("part long, block long, first_doc long, doc_ids array<{0}>, doc_sizes ar
 def write_token_file(docs: DataFrame, path: str, tokenizer: str | None = None,
                      end_id: int = END_ID, block: int = BLOCK) -> None:
     """Encode every text, add ``end_id``, and write all ids in ascending order of doc_id below
-    ``path``. Documents are dealt into ranges of ids (``part``; those without id are the last
-    one); inside one, ``block`` counts from 0, and a row lists the documents in the block
+    ``path``. Documents are dealt into ranges (``part``) of (id, hash of the text, a random
+    number), those without id into the last ones, so that no id and no text is too frequent;
+    inside one, ``block`` counts from 0, and a row lists the documents in the block
     (``first_doc`` is the first one's place in the range) with how many of its ids are theirs."""
     tokenizer = tokenizer or default_tokenizer()
     short_batches(docs.sparkSession)
     kind = type_of(docs, "doc_id")
-    rows = docs.select("doc_id", "text")
-    parts, part = range_part(rows)
-    part = F.when(F.col("doc_id").isNull(), parts).otherwise(F.lit(parts - 1) - part)
-    rows = rows.select(part.cast("long").alias("part"), "doc_id", "text")
-    rows = rows.repartition("part").sortWithinPartitions(
-        "part", F.asc_nulls_last("doc_id"), F.asc_nulls_first("text"))
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("h"), F.rand(9).alias("r"))
+    size = docs.agg(F.sum(bytes_of(F.col("text")))).first()[0] or 0
+    keys = [F.asc_nulls_last("doc_id"), F.asc("h"), F.asc("r")]
+    rows = rows.repartitionByRange(range_count(docs.sparkSession, size), *keys)
+    rows = rows.sortWithinPartitions(*keys).select(
+        F.spark_partition_id().cast("long").alias("part"), "doc_id", "text")
 
     def write(batches):
         enc = encoder(tokenizer, end_id)

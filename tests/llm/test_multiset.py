@@ -81,7 +81,8 @@ def test_a_paragraph_may_repeat_often(spark):
 
 
 def test_ranges_stitch_together(spark, monkeypatch):
-    monkeypatch.setattr("retailpulse.llm.multiset.ROWS_PER_RANGE", 7)
+    monkeypatch.setattr("retailpulse.llm.multiset.RANGE_BYTES", 2000)
+    monkeypatch.setattr("retailpulse.llm.multiset.MOST_BYTES", 4000)
     rng = random.Random(3)
     rows = [(rng.choice([None, *range(0, 400, 3)]), f"text {k} " * (k % 5)) for k in range(150)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -92,6 +93,26 @@ def test_ranges_stitch_together(spark, monkeypatch):
     assert got == {e[0]: e for e in expected(once)}
 
 
+def test_rows_without_id_spread_over_ranges(spark, monkeypatch):
+    """A third of the rows has no id, another third one and the same."""
+    monkeypatch.setattr("retailpulse.llm.multiset.MOST_BYTES", 4000)
+    rows = [((None, 7, k)[k % 3], f"text {k} " * (k % 50)) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    dealt = in_descending_order(docs).where("late = 0").collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in dealt) == sorted((str(i), t) for i, t in rows)
+    parts = {}
+    for r in dealt:
+        parts.setdefault(r["doc_id"], set()).add(r["part"])
+    assert len(parts[None]) > 5 and len(parts[7]) > 5
+    # every document has one successor, so each text but the repeated empty one is followed once
+    ordered = sorted(dealt, key=lambda r: r["part"])            # stable: parts come sorted
+    texts = [r["text"] for r in ordered]
+    want = sorted(hashlib.sha256(edited(a, b).encode()).hexdigest() for a, b in zip(texts, texts[1:] + texts[:1]))
+    assert sorted(r["edited_sha256"] for r in edit_likeness(docs).collect()) == want
+    ids = [r["doc_id"] for r in ordered]
+    assert ids == sorted(ids, key=lambda i: (i is None, -(i or 0)))
+
+
 def test_awkward_rows(spark, awkward, no_documents):
     rows = edit_likeness(awkward).collect()
     assert len(rows) == awkward.count()

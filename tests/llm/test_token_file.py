@@ -62,7 +62,7 @@ def test_query_equals_tokenizer(spark, texts):
 
 
 def test_ranges_and_cut_documents(spark, documents, texts, monkeypatch):
-    monkeypatch.setattr("retailpulse.llm.multiset.ROWS_PER_RANGE", 20)
+    monkeypatch.setattr("retailpulse.llm.multiset.MOST_BYTES", 20_000)
     path = scratch_path(spark, "ids")
     write_token_file(documents, path, block=100)
     assert spark.read.parquet(path).select("part").distinct().count() > 5
@@ -75,7 +75,7 @@ def test_ranges_and_cut_documents(spark, documents, texts, monkeypatch):
 
 
 def test_null_ids_come_after_all_ranges(spark, awkward, monkeypatch):
-    monkeypatch.setattr("retailpulse.llm.multiset.ROWS_PER_RANGE", 3)
+    monkeypatch.setattr("retailpulse.llm.multiset.MOST_BYTES", 3000)
     path = scratch_path(spark, "ids")
     write_token_file(awkward, path)
     assert spark.read.parquet(path).select("part").distinct().count() > 3
@@ -87,6 +87,26 @@ def test_null_ids_come_after_all_ranges(spark, awkward, monkeypatch):
         at += r["n_tokens"]
 
 
+def test_frequent_ids_spread_over_ranges(spark, monkeypatch):
+    """A third of the rows has no id, another third is one row repeated."""
+    monkeypatch.setattr("retailpulse.llm.multiset.MOST_BYTES", 10_000)
+    rows = [((None, 7, k)[k % 3], "the same" if k % 3 == 1 else f"text {k}") for k in range(300)]
+    path = scratch_path(spark, "ids")
+    write_token_file(spark.createDataFrame(rows, "doc_id long, text string"), path)
+    parts = {}
+    for r in spark.read.parquet(path).select("part", "doc_ids").collect():
+        for i in set(r["doc_ids"]):
+            parts.setdefault(i, set()).add(r["part"])
+    assert len(parts[None]) > 2 and len(parts[7]) > 2
+    found = read_documents(spark, path).orderBy("start").collect()
+    ids = [r["doc_id"] for r in found]
+    assert ids == sorted((i for i, _ in rows), key=lambda i: (i is None, i or 0))
+    at = 0
+    for r in found:
+        assert r["start"] == at
+        at += r["n_tokens"]
+
+
 def test_awkward_rows(spark, awkward, no_documents):
     path = scratch_path(spark, "ids")
     write_token_file(awkward, path)
