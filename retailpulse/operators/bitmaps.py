@@ -33,7 +33,7 @@ def new_ids(seen: DataFrame, known: DataFrame | None = None) -> DataFrame:
     if known is None:
         top = None
     else:
-        ids = ids.join(known.select("kind", "id"), ["kind", "id"], "left_anti")
+        ids = ids.join(known.select("kind", "id").hint("shuffle_hash"), ["kind", "id"], "left_anti")
         top = known.groupBy("kind").agg(F.max("dense").alias("top"))
     ranked = sliced_dense_rank(ids, ["kind"], [F.col("id").asc()], "nth")
     if top is None:
@@ -43,8 +43,9 @@ def new_ids(seen: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
 
 def bitmaps_of(seen: DataFrame, ids: DataFrame) -> DataFrame:
-    """``BITMAPS`` of (day, event_name, kind, id) rows by the dictionary ``ids``."""
-    numbered = seen.join(ids, ["kind", "id"])
+    """``BITMAPS`` of (day, event_name, kind, id) rows by the dictionary ``ids``. The dictionary grows
+    with the ids: it is shuffled, never broadcast through the driver."""
+    numbered = seen.join(ids.hint("shuffle_hash"), ["kind", "id"])
     return (numbered.groupBy(*KEY, "kind", F.bitmap_bucket_number("dense").alias("bucket"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("dense")).alias("bits")))
 
