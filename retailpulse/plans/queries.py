@@ -18,7 +18,7 @@ from ..functions.schema import conform, normalize_category
 from ..functions.text import norm_txt
 from ..operators import benchmark, bitmaps, dictionary as D, marketplace as M, quality as Q, radar
 from ..operators import sales, signals, upsert as U, web
-from ..session import scratch_path, table
+from ..session import cut_lineage, scratch_path, table
 from ..sources import csv as CSV
 from ..sources.interest_export import read_interest_exports
 from ..streaming.event_daily import (daily_funnel, daily_search_terms, run_daily_stream,
@@ -316,8 +316,12 @@ def q_radar_category(spark, sf):
                {"is_campaign_week": "bigint", "rank_categoria": "bigint"})
 
 
-def _dashboard(spark, sf, after: bool, events=None):
+def _dashboard(spark, sf, after: bool, events=None, calendar_weekly=None, bench_category=None):
+    """``calendar_weekly`` and ``bench_category``: those of ``Inputs``, if the caller has them."""
     i = Inputs(spark, sf, events)
+    if calendar_weekly is not None:
+        i.calendar_weekly, i.bench_category = calendar_weekly, bench_category
+    i.terms = cut_lineage(i.terms)       # the radar, which runs a job, and the shares both read them
     shares = D.coverage_shares(i.terms, i.sdict, A.aliases(spark, sf))
     return _as(radar.dashboard_from_shares(i.radar(after), shares), RADAR_CASTS)
 
@@ -340,10 +344,12 @@ def q_dashboard_refresh(spark, sf):
     from ..sources.writers import write_full_refresh
     path = scratch_path(spark, "dashboard-weeks")
     events = table(spark, sf, "events")
+    inputs = Inputs(spark, sf)           # both loads score against the same calendar and prices
+    small = cut_lineage(inputs.calendar_weekly), cut_lineage(inputs.bench_category)
     first = events.where(F.col("ts") < F.lit(FIRST_LOAD_END).cast("timestamp_ntz"))
-    write_full_refresh(_dashboard(spark, sf, False, first), path, ["week_start"])
+    write_full_refresh(_dashboard(spark, sf, False, first, *small), path, ["week_start"])
     late = events.where(F.col("ts") >= F.lit(RESYNC_START).cast("timestamp_ntz"))
-    build = lambda weeks: _dashboard(spark, sf, False, in_weeks(events, weeks, "ts"))
+    build = lambda weeks: _dashboard(spark, sf, False, in_weeks(events, weeks, "ts"), *small)
     refresh_weeks(spark, path, build, touched_weeks(late.select(F.to_date("ts").alias("day"))))
     columns = ["week_start", "categoria", "keyword_canonica", "searches", "trends_interest", "is_campaign_week",
                "events", "kaggle_price_p50", "score_total", "rank_week", "unmapped_pct_before", "unmapped_pct_after"]

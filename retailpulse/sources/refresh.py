@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import cut_lineage
 from .writers import clustered
 
 WEEK = dt.timedelta(days=7)
@@ -48,7 +49,7 @@ def refresh_weeks(spark: SparkSession, path: str, build: Callable[[list[dt.date]
     failure it writes the same. Returns the number of rows written."""
     if not weeks:
         return 0
-    rows = build(weeks).where(F.col(week_col).isin(weeks))
+    rows = cut_lineage(build(weeks).where(F.col(week_col).isin(weeks)))      # counted, written and listed
     dealt, n = clustered(rows, [week_col])
     if n:
         (dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

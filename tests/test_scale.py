@@ -27,3 +27,24 @@ def test_id_dictionary_is_not_broadcast(spark):
     assert "ShuffledHashJoin" in plan(sets) and "[kind#" in plan(sets)
     counts = {str(r["day"]): r["n"] for r in sets.select("day", F.bitmap_count("bits").alias("n")).collect()}
     assert counts == {"2024-01-01": 2, "2024-01-02": 1}
+
+
+def test_refresh_works_its_rows_out_once(spark, tmp_dir):
+    import datetime as dt
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    weeks = [dt.date(2024, 1, 1), dt.date(2024, 1, 8)]
+    rows = spark.createDataFrame([(weeks[0], 1), (weeks[1], 2)], "week_start date, n int")
+    build = lambda w: rows.mapInArrow(count, rows.schema)
+    assert refresh.refresh_weeks(spark, f"{tmp_dir}/t", build, weeks) == 2
+    assert seen.value == 2
+    assert sorted(r["n"] for r in spark.read.parquet(f"{tmp_dir}/t").collect()) == [1, 2]
+
+
+def test_dashboard_reads_the_search_events_once(spark):
+    assert "events.parquet" not in plan(Q._dashboard(spark, SF, True))
