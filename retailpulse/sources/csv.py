@@ -18,7 +18,7 @@ from ..functions.numbers import safe_float
 from ..functions.schema import clean_header, normalize_category, resolve_columns
 from ..functions.text import strip
 from ..operators import benchmark
-from .lines import quoted_records, raw_lines
+from .lines import first_lines, quoted_records, raw_lines
 
 SAMPLE_LINES = 5    # a report shows the first lines of a file
 
@@ -29,12 +29,7 @@ DELIMITERS = [",", ";", "\t", "|"]
 def header_lines(spark: SparkSession, root: str) -> DataFrame:
     """path, source (lower-cased parent folder), header (first non-blank line) of every *.csv
     file below ``root`` that has one."""
-    lines = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
-             .text(root)
-             .select(F.col("_metadata.file_path").alias("path"), "value",
-                     F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("n"))
-             .where(strip(F.col("value")) != ""))
+    lines = first_lines(raw_lines(spark, root, "*.csv").where(strip(F.col("value")) != ""), 1)
     # lines of one block are numbered in order, and blocks by where they start
     first = lines.groupBy("path").agg(F.min_by("value", F.struct("block", "n")).alias("header"))
     name = F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B")))      # the metadata are encoded
@@ -91,12 +86,11 @@ def inventory(spark: SparkSession, root: str) -> DataFrame:
         F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))).alias("path")).select(path.alias("path"))
     files = listed.join(sizes, "path", "left").select("path", F.coalesce("size", F.lit(0)).alias("size"))
     name = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))      # the metadata are encoded
-    lines = raw_lines(spark, root, "*.csv").where(strip(F.col("value")) != "").withColumn("path", name)
-    lines = lines.withColumn("path", path)
-    counts = lines.groupBy("path").agg(F.count(F.lit(1)).alias("lines"))
-    # a limit per file, which Spark applies before the lines are shuffled
+    lines = raw_lines(spark, root, "*.csv").where(strip(F.col("value")) != "")
+    named = lambda df: df.withColumn("path", name).withColumn("path", path)
+    counts = named(lines.groupBy("path").agg(F.count(F.lit(1)).alias("lines")))
     nth = F.row_number().over(Window.partitionBy("path").orderBy("block", "n"))
-    first = (lines.withColumn("nth", nth).where(F.col("nth") <= SAMPLE_LINES + 1).groupBy("path")
+    first = (named(first_lines(lines, SAMPLE_LINES + 1)).withColumn("nth", nth).where(F.col("nth") <= SAMPLE_LINES + 1).groupBy("path")
              .agg(F.array_sort(F.collect_list(F.struct("nth", "value"))).alias("first")))
     texts = F.transform("first", lambda x: x["value"])
     per_file = counts.join(first, "path").select(

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
 BLOCK = ["path", "block"]
@@ -25,6 +27,29 @@ def raw_lines(spark: SparkSession, paths: str | list[str], glob: str | None = No
         F.monotonically_increasing_id().alias("n"), "value")
 
 
+def first_lines(lines: DataFrame, most: int) -> DataFrame:
+    """The first ``most`` of ``raw_lines`` in each split (of those left, if some were filtered out).
+    A split's lines come in order, one split after the other, so a task passes over them and holds
+    nothing; a limit per file sorts all of a task's lines first."""
+    def firsts(batches):
+        taken: dict[tuple[str, int], int] = {}
+        for batch in batches:
+            paths = batch.column(0).dictionary_encode()
+            code, block = paths.indices.to_numpy(), batch.column(1).to_numpy()
+            starts = np.flatnonzero((np.diff(code, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+            picked = []
+            for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(code)]):
+                key = (paths.dictionary[int(code[a])].as_py(), int(block[a]))
+                n = min(most - taken.get(key, 0), b - a)
+                taken[key] = taken.get(key, 0) + n
+                picked.extend(range(a, a + n))
+            if picked:
+                yield batch.take(pa.array(picked, pa.int64()))
+
+    lines = lines.select("path", "block", "n", "value")
+    return lines.mapInArrow(firsts, lines.schema)
+
+
 def _earlier(partition: list[str], order: str) -> WindowSpec:
     return Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 

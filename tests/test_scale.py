@@ -29,6 +29,49 @@ def test_id_dictionary_is_not_broadcast(spark):
     assert counts == {"2024-01-01": 2, "2024-01-02": 1}
 
 
+def test_first_lines_are_taken_without_a_sort(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/x/shop")
+    body = "".join(f"line {i}\n" for i in range(4000))
+    with open(f"{tmp_dir}/x/shop/a.csv", "w") as f:
+        f.write("\n  \nhead a\n" + body)
+    with open(f"{tmp_dir}/x/shop/b.csv", "w") as f:
+        f.write("head b\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        raw = lines.raw_lines(spark, f"{tmp_dir}/x", "*.csv").where("trim(value) <> ''")
+        first = lines.first_lines(raw, 2)
+        assert "Sort" not in plan(first)
+        rows = first.collect()
+        starts = sorted(r["block"] for r in rows if r["path"].endswith("a.csv"))
+        assert len(set(starts)) > 5 and all(starts.count(b) <= 2 for b in starts)
+        assert [r["value"] for r in sorted(rows, key=lambda r: (r["block"], r["n"]))
+                if r["path"].endswith("a.csv")][:2] == ["head a", "line 0"]
+        heads = CSV.header_lines(spark, f"{tmp_dir}/x")
+        assert "MapInArrow" in plan(heads)
+        assert sorted((r["source"], r["header"]) for r in heads.collect()) == [("shop", "head a"), ("shop", "head b")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_lots_are_sorted_by_many_tasks(spark, tmp_dir):
+    rows = [(i * 7 + lot, i % 3, "A", float(i), "1995-01-02") for lot in (0, 3) for i in range(300, 0, -1)]
+    os.makedirs(f"{tmp_dir}/sf")
+    (spark.createDataFrame([*rows, (None, 1, "A", 1.0, "1995-01-02")],
+                           "l_orderkey long, l_linenumber int, l_returnflag string, l_extendedprice double, l_shipdate string")
+     .withColumn("l_shipdate", F.to_date("l_shipdate")).write.parquet(f"{tmp_dir}/sf/lineitem.parquet"))
+    root = A.write_csv_sample_drop(spark, f"{tmp_dir}/sf")
+    for lot, sep in ((0, ","), (3, "^")):
+        folder = f"{root}/lot={lot}"
+        files = [f for f in os.listdir(folder) if f.endswith(".csv")]
+        assert len(files) == 1
+        with open(f"{folder}/{files[0]}") as f:
+            keys = [line.split(sep)[0] for line in f]
+        assert keys == ["l_orderkey", *[str(i * 7 + lot) for i in range(1, 301)]]
+    runs = [d for d in os.listdir(os.path.dirname(root)) if d.startswith("csv-runs")]
+    assert runs                                   # sorted there, the tasks that write a file only string them together
+
+
 def test_refresh_works_its_rows_out_once(spark, tmp_dir):
     import datetime as dt
     seen = spark.sparkContext.accumulator(0)
