@@ -122,6 +122,12 @@ def _event_k() -> Column:
     return F.get_json_object("props", "$.k").cast("bigint")
 
 
+def _with_part(rows: DataFrame, key: str, part: DataFrame, how: str = "inner") -> DataFrame:
+    """rows and the part that ``key`` names. Both sides are shuffled by it: part grows with the
+    tables, and a broadcast would take it whole through the driver."""
+    return rows.join(part.hint("shuffle_hash"), F.col(key) == F.col("p_partkey"), how)
+
+
 def raw_events(spark: SparkSession, sf: str) -> DataFrame:
     return web_events(table(spark, sf, "events"))
 
@@ -145,8 +151,7 @@ def search_events_from(events: DataFrame, part: DataFrame) -> DataFrame:
     """Search terms of 'view' events (batch or streaming events; part is static)."""
     ev = (events.where(F.col("event_type") == "view")
           .select("event_id", "ts", F.to_date("ts").alias("day"), _event_k().alias("k")))
-    part = part.select("p_partkey", "p_name")
-    j = ev.join(part, ev.k == part.p_partkey)
+    j = _with_part(ev, "k", part.select("p_partkey", "p_name"))
     v = F.col("event_id") % 8
     name = F.col("p_name")
     term = (F.when(v == 0, F.upper(name))
@@ -191,10 +196,9 @@ def aliases(spark: SparkSession, sf: str) -> DataFrame:
 def interest_points(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
     events = scan(spark, sf, "events") if events is None else events
     ev = events.select("event_id", "ts", "value", _event_k().alias("k"))
-    part = table(spark, sf, "part").select("p_partkey", "p_name")
-    j = ev.join(part, ev.k == part.p_partkey)
-    noun = last_word("p_name")
-    kw = F.when(F.col("event_id") % 3 == 0, F.upper(noun)).otherwise(noun)
+    part = table(spark, sf, "part").select("p_partkey", last_word("p_name").alias("noun"))
+    j = _with_part(ev, "k", part)
+    kw = F.when(F.col("event_id") % 3 == 0, F.upper("noun")).otherwise(F.col("noun"))
     return j.select(F.to_date("ts").alias("day"), kw.alias("keyword"),
                     F.col("value").cast("string").alias("value_text"),
                     F.col("value").alias("value"))
@@ -226,11 +230,10 @@ def calendar(spark: SparkSession, sf: str) -> DataFrame:
 def price_rows(spark: SparkSession, sf: str) -> DataFrame:
     li = scan(spark, sf, "lineitem").select("l_partkey", "l_returnflag", "l_extendedprice",
                                              "l_shipdate")
-    part = table(spark, sf, "part").select("p_partkey", "p_type", "p_name")
-    j = li.join(part, li.l_partkey == part.p_partkey)
-    return j.select(
-        F.concat(F.lit("flag_"), F.lower("l_returnflag")).alias("source"),
-        F.concat(F.lower("p_type"), F.lit("."), F.lower(last_word("p_name"))).alias("category_norm"),
+    category = F.concat(F.lower("p_type"), F.lit("."), F.lower(last_word("p_name")))
+    part = table(spark, sf, "part").select("p_partkey", category.alias("category_norm"))
+    return _with_part(li, "l_partkey", part).select(
+        F.concat(F.lit("flag_"), F.lower("l_returnflag")).alias("source"), "category_norm",
         F.col("l_extendedprice").alias("price"),
         F.to_date("l_shipdate").alias("day"))
 
@@ -312,7 +315,7 @@ def write_csv_drop(spark: SparkSession, sf: str) -> str:
     root = scratch_path(spark, "csv-drop")
     li = scan(spark, sf, "lineitem")
     part = table(spark, sf, "part")
-    j = li.join(part, li.l_partkey == part.p_partkey)
+    j = _with_part(li, "l_partkey", part)
     ln = F.col("l_linenumber")
     price = F.col("l_extendedprice").cast("string")
     code = F.concat(F.lower("p_type"), F.lit("."), F.lower(last_word("p_name")))
@@ -434,8 +437,7 @@ def write_interest_exports(spark: SparkSession, sf: str) -> str:
     from ..session import scratch_path
     root = scratch_path(spark, "interest-exports")
     ev = table(spark, sf, "events").select("ts", "value", _event_k().alias("k"))
-    part = table(spark, sf, "part").select("p_partkey", "p_name")
-    j = ev.join(part, ev.k == part.p_partkey)
+    j = _with_part(ev, "k", table(spark, sf, "part").select("p_partkey", "p_name"))
     daily = (j.groupBy(last_word("p_name").alias("kw"), F.to_date("ts").alias("day"))
              .agg(F.floor(F.avg("value")).cast("bigint").alias("v")))
     sep = F.when(F.length("kw") % 2 == 0, F.lit(";")).otherwise(F.lit(","))
@@ -477,7 +479,7 @@ def marketplace_search_json(spark: SparkSession, sf: str) -> DataFrame:
     number (none / one / a blank-id one after a brand filter)."""
     li = scan(spark, sf, "lineitem")
     part = table(spark, sf, "part")
-    j = li.join(part, li.l_partkey == part.p_partkey)
+    j = _with_part(li, "l_partkey", part)
     p = F.col("l_extendedprice")
     item = lambda price, cat: F.struct(price.alias("price"), cat.alias("category_id"))
     results = F.array(item(p, F.col("p_type")), item(F.lit(None).cast("double"), F.lit("X")),
@@ -506,7 +508,7 @@ def marketplace_trends_json(spark: SparkSession, sf: str) -> DataFrame:
     for every 50th order more entries up to the 60th."""
     li = scan(spark, sf, "lineitem")
     part = table(spark, sf, "part")
-    j = li.join(part, li.l_partkey == part.p_partkey)
+    j = _with_part(li, "l_partkey", part)
     noun = last_word("p_name")
     e = lambda k, u: F.struct(k.alias("keyword"), u.alias("url"))
     arr = F.array(e(noun, F.concat(F.lit("https://trends.example/"), noun)),

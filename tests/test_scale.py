@@ -29,6 +29,12 @@ def test_id_dictionary_is_not_broadcast(spark):
     assert counts == {"2024-01-01": 2, "2024-01-02": 1}
 
 
+@pytest.mark.parametrize("rows", [A.price_rows, A.search_events, A.interest_points, A.calendar])
+def test_part_is_not_broadcast(spark, rows):
+    p = plan(rows(spark, SF))
+    assert "ShuffledHashJoin" in p and "BroadcastExchange" not in p
+
+
 def test_first_lines_are_taken_without_a_sort(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/x/shop")
     body = "".join(f"line {i}\n" for i in range(4000))
