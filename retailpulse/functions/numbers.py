@@ -38,9 +38,23 @@ def safe_pct(num, den, digits: int = 2) -> Column:
 def interest_value(c) -> Column:
     """Interest text -> int 0..100: '<1' -> 0, number truncated toward zero, clamped.
     Unparseable (including NaN / Infinity) -> NULL, i.e. the point is skipped."""
-    s = F.regexp_replace(strip(_c(c).cast("string")), '^"+|"+$', "")
-    x = F.when(s.rlike(NUMERIC_RE), s.try_cast("double"))
-    return F.when(s == "<1", F.lit(0)).otherwise(clamp(x, 0.0, 100.0).cast("int"))
+    return interest_reading(interest_number(interest_text(c)))
+
+
+def interest_text(c) -> Column:
+    """The text of a reading without blanks and quotes around it."""
+    return F.regexp_replace(strip(_c(c).cast("string")), '^"+|"+$', "")
+
+
+def interest_number(text) -> Column:
+    """The number of an ``interest_text``; 0 for '<1', NULL for what is no number."""
+    s = _c(text)
+    return F.when(s == "<1", F.lit(0.0)).when(s.rlike(NUMERIC_RE), s.try_cast("double"))
+
+
+def interest_reading(number) -> Column:
+    """An ``interest_number`` as the reading it stands for."""
+    return clamp(number, 0.0, 100.0).cast("int")
 
 
 def clamp(c, lo, hi) -> Column:

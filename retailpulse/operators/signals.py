@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.numbers import clamp, interest_value
+from ..functions.numbers import clamp, interest_number, interest_reading, interest_text
 from ..functions.text import norm_txt, strip
 from .common import pick_first
 
@@ -14,12 +14,16 @@ def interest_weekly(points: DataFrame, keyword_col: str = "keyword",
     """Daily/hourly interest points -> week_start, keyword_canonica, geo, region, interest.
 
     Readings are parsed ('<1' -> 0, truncated, clamped 0..100; unparseable skipped), then
-    averaged per Monday week and rounded half-to-even."""
+    averaged per Monday week and rounded half-to-even.
+
+    The steps of ``interest_value`` are columns of their own, so that each is worked out once a
+    row; a mean skips the points without a value, and a week of such points alone has none."""
     pts = (points.select("day", F.col(keyword_col).alias("keyword_canonica"),
-                         interest_value(value_col).alias("v"))
-           .where(F.col("v").isNotNull()))
+                         interest_text(value_col).alias("_text"))
+           .withColumn("_number", interest_number("_text")))
     return (pts.groupBy(F.trunc("day", "week").alias("week_start"), "keyword_canonica")
-            .agg(F.avg("v").alias("avg_v"))
+            .agg(F.avg(interest_reading("_number")).alias("avg_v"))
+            .where(F.col("avg_v").isNotNull())
             .select("week_start", "keyword_canonica", F.lit(geo).alias("geo"),
                     F.lit(region).alias("region"),
                     clamp(F.bround("avg_v", 0), 0.0, 100.0).cast("int").alias("interest")))

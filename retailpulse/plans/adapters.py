@@ -206,15 +206,17 @@ def interest_points(spark: SparkSession, sf: str, events: DataFrame | None = Non
 
 def calendar(spark: SparkSession, sf: str) -> DataFrame:
     ev = scan(spark, sf, "events").select("event_type", "ts", "value", _event_k().alias("k"))
-    part = table(spark, sf, "part").select("p_partkey", "p_type")
-    j = ev.join(part, ev.k == part.p_partkey, "left")
+    # summed up per part before they are shuffled
+    ev = ev.groupBy("event_type", "k").agg(F.min(F.to_date("ts")).alias("day"), F.count(F.lit(1)).alias("n"),
+                                           F.bool_or(F.col("value") < 1).alias("low"))
+    j = _with_part(ev, "k", table(spark, sf, "part").select("p_partkey", "p_type"), "left")
     kind = (F.when(F.col("event_type") == "purchase", "CAMPAIGN")
             .when(F.col("event_type") == "signup", "SEASON")
             .when(F.col("event_type") == "view", "HOLIDAY").otherwise("OTHER"))
     g = j.groupBy("event_type").agg(
-        F.min(F.to_date("ts")).alias("first_day"),
-        F.count(F.lit(1)).alias("n"),
-        F.array_sort(F.collect_set(F.when(F.col("value") < 1, category_of_type(F.col("p_type")))))
+        F.min("day").alias("first_day"),
+        F.sum("n").alias("n"),
+        F.array_sort(F.collect_set(F.when(F.col("low"), category_of_type(F.col("p_type")))))
          .alias("tags"))
     start = F.date_add("first_day", F.length("event_type"))
     return g.select(

@@ -95,5 +95,14 @@ def test_refresh_works_its_rows_out_once(spark, tmp_dir):
     assert sorted(r["n"] for r in spark.read.parquet(f"{tmp_dir}/t").collect()) == [1, 2]
 
 
+def test_readings_are_parsed_once(spark):
+    points = spark.createDataFrame(
+        [("2024-01-02", "a", ' "<1" '), ("2024-01-03", "a", "50.9"), ("2024-01-04", "a", "x"),
+         ("2024-01-02", "b", "x"), ("2024-01-02", "c", "250")], "day string, keyword string, value_text string")
+    weekly = signals.interest_weekly(points.withColumn("day", F.to_date("day")))
+    assert plan(weekly).count("regexp_replace(") == 1
+    assert {r["keyword_canonica"]: r["interest"] for r in weekly.collect()} == {"a": 25, "c": 100}
+
+
 def test_dashboard_reads_the_search_events_once(spark):
     assert "events.parquet" not in plan(Q._dashboard(spark, SF, True))
