@@ -3,7 +3,7 @@
 A file is a Parquet table whose rows are blocks of up to ``BLOCK`` ids, in ascending order of
 documents; ``data`` holds a block's bytes::
 
-    magic "CMR1" | ids u32 | CRC-32 of the ids u32 | range-coded 16-bit words, little-endian
+    magic "CMR2" | ids u32 | CRC-32 of the ids u32 | range-coded 16-bit words, little-endian
 
 Every block starts from the same empty model, so each can be decoded alone, and many blocks
 are coded side by side: one numpy step codes the next id of every block. The model predicts an
@@ -34,26 +34,37 @@ from .multiset import bytes_of, range_count
 from .tokens import END_ID, default_tokenizer, encoder
 
 BLOCK = 4096                # ids of a block
-LANES = 1536                # blocks coded side by side
+LANES = 2048                # blocks coded side by side; up to twice as many, if they are the last
 SLOTS = 2048                # contexts a block remembers for each order
-MAGIC = b"CMR1"
+MAGIC = b"CMR2"
 HEADER = struct.Struct("<4sII")
 
 _SQUASH = np.array([min(4095, max(1, round(4096 / (1 + math.exp(-x / 256)))))
-                    for x in range(-2047, 2048)], dtype=np.int64)
+                    for x in range(-2047, 2048)], dtype=np.int32)
 _STRETCH = np.array([max(-2047, min(2047, round(256 * math.log((p + .5) / (4095.5 - p)))))
-                     for p in range(4096)], dtype=np.int64)
-_TOP, _LEAST, _WORD = np.uint64(56), np.uint64(1 << 40), np.uint64(16)
-_KEPT, _INSIDE = np.uint64((1 << 40) - 1), np.uint64((1 << 56) - 1)
+                     for p in range(4096)], dtype=np.int32)
+_LEAST, _WORD = np.uint64(1 << 40), np.uint64(16)
+_ENOUGH, _INSIDE = np.uint64(1 << 36), np.uint64((1 << 56) - 1)    # range for two parts; window
+_NONE = np.uint64(0)
 
 # Size classes of ids: the leading bit's place and the bit after it.
 _CLASS = np.array([0, 1, 2, 2] + [2 * (i.bit_length() - 1) + (i >> (i.bit_length() - 2) & 1) - 1
                                   for i in range(4, 1 << 16)], dtype=np.int64)
 CLASSES = int(_CLASS[-1]) + 1
 _CLASS_FIRST = np.searchsorted(_CLASS, np.arange(CLASSES)).astype(np.int64)
-_CLASS_BITS = np.array([int(n - 1).bit_length() for n in np.bincount(_CLASS)], dtype=np.uint64)
+_CLASS_SPAN = np.array([1 << int(n - 1).bit_length() for n in np.bincount(_CLASS)], dtype=np.uint64)
 LEARN, MOST = 24, 1 << 13   # weight of one more id of a class; counts are halved from MOST on,
 EVERY = 16                  # and take effect every so many ids
+# What a guess's level changes by, wrong or right; a wrong one of level 0 or 1 is replaced.
+_STEP = np.array([(i >> 1) - i for i in range(8)] + [min(i + 1, 7) - i for i in range(8)],
+                 dtype=np.int32)
+_EIGHT = np.int32(8)
+
+
+def _width(words: int) -> int:
+    """So many words or a few more, an odd number of cache lines, so that the rows of a matrix
+    do not compete for the same places in the cache."""
+    return (words + 63) // 64 * 64 + 32
 
 
 class RangeCoder:
@@ -64,126 +75,166 @@ class RangeCoder:
         self.encoding = words is None
         if self.encoding:
             self.low = np.zeros(lanes, dtype=np.uint64)
-            self.words = np.zeros((lanes, capacity), dtype=np.uint16)
-            self.at = np.zeros(lanes, dtype=np.int64)
+            self._keep(np.zeros((lanes, _width(capacity)), dtype=np.uint16))
+            self.at = self.first.copy()
         else:
             # the encoder's first word holds the window's upper 16 bits
-            self.words = words
             w = [words[:, k].astype(np.uint64) for k in range(4)]
             self.offset = (w[0] << np.uint64(40) | w[1] << np.uint64(24) | w[2] << np.uint64(8)
                            | w[3] >> np.uint64(8))
-            self.at = np.full(lanes, 3, dtype=np.int64)
+            # the window's last byte and the next word's first lie in one byte pair each
+            pairs = words << np.uint16(8)
+            pairs[:, :-1] |= words[:, 1:] >> np.uint16(8)
+            self._keep(pairs)
+            self.at = self.first + 3
+
+    def _keep(self, words: np.ndarray) -> None:
+        """``at`` counts in the rows of ``words`` one after another."""
+        self.words, self.flat = words, words.reshape(-1)
+        self.first = np.arange(len(words)) * words.shape[1]
 
     def reserve(self, steps: int) -> None:
         """Room for the words of so many more ids (four each at most)."""
-        need = int(self.at.max()) + 4 * steps + 8
+        used = self.at - self.first
+        need = int(used.max()) + 4 * steps + 8
         if self.encoding and need > self.words.shape[1]:
-            more = np.zeros((len(self.words), max(need - self.words.shape[1], 512)), dtype=np.uint16)
-            self.words = np.concatenate([self.words, more], axis=1)
+            more = np.zeros((len(self.words), _width(need + 512)), dtype=np.uint16)
+            more[:, :self.words.shape[1]] = self.words
+            self._keep(more)
+            self.at = self.first + used
 
-    def _carry(self) -> None:
-        lanes = np.flatnonzero(self.low >> _TOP)
-        if not len(lanes):
-            return
+    def _carry(self, lanes: np.ndarray) -> None:
         self.low[lanes] &= _INSIDE
         place = self.at[lanes] - 1
-        while len(lanes):
-            self.words[lanes, place] += np.uint16(1)
-            over = self.words[lanes, place] == 0
-            lanes, place = lanes[over], place[over] - 1
+        while len(place):
+            self.flat[place] += np.uint16(1)
+            place = place[self.flat[place] == 0] - 1
 
     def renew(self) -> None:
         """Move words out of the window until every lane has range to spare."""
+        short = self.range < _LEAST
+        shift = short * _WORD
         if self.encoding:
-            self._carry()
-        short = np.flatnonzero(self.range < _LEAST)
+            over = self.low > _INSIDE
+            if over.any():
+                self._carry(over.nonzero()[0])
+            # lanes that keep their word write it again later
+            self.flat[self.at] = self.low >> np.uint64(40)
+            self.low <<= shift
+            self.low &= _INSIDE
+        else:
+            self.offset <<= shift
+            self.offset |= self.flat[self.at] * short
+        self.range <<= shift
+        self.at += short
+        self.renew_some((self.range < _LEAST).nonzero()[0], _LEAST)
+
+    def renew_some(self, short: np.ndarray, least: np.uint64) -> None:
+        """The same for lanes that are short of range."""
         while len(short):
-            size = self.range.take(short) << _WORD
+            size = self.range[short]
+            size <<= _WORD
             self.range[short] = size
-            at = self.at.take(short)
+            at = self.at[short]
             if self.encoding:
-                low = self.low.take(short)
-                self.words[short, at] = low >> np.uint64(40)
-                self.low[short] = (low & _KEPT) << _WORD
+                low = self.low[short]
+                over = low > _INSIDE
+                if over.any():
+                    self._carry(short[over])
+                self.flat[at] = low >> np.uint64(40)
+                low <<= _WORD
+                low &= _INSIDE
+                self.low[short] = low
             else:
-                # the window's last byte and the next word's first lie in one byte pair each
-                pair = (self.words[short, at].astype(np.uint64) & np.uint64(255)) << np.uint64(8)
-                pair |= self.words[short, at + 1].astype(np.uint64) >> np.uint64(8)
-                self.offset[short] = self.offset.take(short) << _WORD | pair
-            self.at[short] = at + 1
-            short = short[size < _LEAST]
-
-    def bit(self, here: slice, chance: np.ndarray, hit: np.ndarray | None,
-            known: np.ndarray | None = None) -> np.ndarray:
-        """Code whether something happens, of chance / 65536; lanes where ``known`` code
-        nothing. The caller renews."""
-        size = self.range[here]
-        bound = (size >> _WORD) * chance.astype(np.uint64)
-        if known is not None:
-            bound = np.where(known, size, bound)
+                offset = self.offset[short]
+                offset <<= _WORD
+                offset |= self.flat[at]
+                self.offset[short] = offset
+            at += 1
+            self.at[short] = at
+            short = short[size < least]
+
+    def bit(self, lanes: int, chance: np.ndarray, hit: np.ndarray | None) -> np.ndarray:
+        """Code for the first lanes whether something happens, of chance / 65536. The caller
+        renews."""
+        size = self.range[:lanes]
+        bound = size >> _WORD
+        bound *= chance.astype(np.uint64)
         if self.encoding:
-            if known is not None:
-                hit = hit | known
-            self.low[here] += np.where(hit, np.uint64(0), bound)
+            self.low[:lanes] += np.where(hit, _NONE, bound)
         else:
-            offset = self.offset[here]
+            offset = self.offset[:lanes]
             hit = offset < bound
-            self.offset[here] = np.where(hit, offset, offset - bound)
-        self.range[here] = np.where(hit, bound, size - bound)
+            offset -= np.where(hit, _NONE, bound)
+        self.range[:lanes] = np.where(hit, bound, size - bound)
+        return hit
+
+    def bit_of(self, lanes: np.ndarray, chance: np.ndarray, hit: np.ndarray | None) -> np.ndarray:
+        """``bit`` of some lanes."""
+        size = self.range[lanes]
+        bound = size >> _WORD
+        bound *= chance.astype(np.uint64)
+        if self.encoding:
+            self.low[lanes] = self.low[lanes] + np.where(hit, _NONE, bound)
+        else:
+            offset = self.offset[lanes]
+            hit = offset < bound
+            self.offset[lanes] = offset - np.where(hit, _NONE, bound)
+        size -= bound
+        self.range[lanes] = np.where(hit, bound, size)
         return hit
 
     def part(self, lanes: np.ndarray, below: np.ndarray, share: np.ndarray, total: np.ndarray) -> None:
         """Code that the value lies in [below, below + share) of total. The caller renews."""
-        unit = self.range.take(lanes) // total
+        unit = self.range[lanes] // total
         if self.encoding:
-            self.low[lanes] = self.low.take(lanes) + unit * below
+            self.low[lanes] = self.low[lanes] + unit * below
         else:
-            self.offset[lanes] = self.offset.take(lanes) - unit * below
+            self.offset[lanes] = self.offset[lanes] - unit * below
         self.range[lanes] = unit * share
 
     def value(self, lanes: np.ndarray, total: np.ndarray) -> np.ndarray:
         """Decoding: the value of [0, total) that comes next."""
-        return np.minimum(self.offset.take(lanes) // (self.range.take(lanes) // total),
+        return np.minimum(self.offset[lanes] // (self.range[lanes] // total),
                           total - np.uint64(1))
 
     def finish(self) -> list[np.ndarray]:
         """The words of every lane, the whole window included."""
-        rows = np.arange(len(self.low))
         for _ in range(4):
-            self._carry()
-            self.words[rows, self.at] = self.low >> np.uint64(40)
-            self.low = (self.low & _KEPT) << _WORD
+            self._carry((self.low > _INSIDE).nonzero()[0])
+            self.flat[self.at] = self.low >> np.uint64(40)
+            self.low = self.low << _WORD & _INSIDE
             self.at += 1
-        return [w[:n] for w, n in zip(self.words, self.at.tolist())]
+        return [w[:n] for w, n in zip(self.words, (self.at - self.first).tolist())]
 
 
 class Guesses:
-    """For each lane, a table of contexts of order 2 and one of order 1: the id that followed
+    """For each lane, a table of contexts of order 1 and one of order 2: the id that followed
     last and how reliably. Arrays have a row for each order."""
 
     def __init__(self, lanes: int):
         self.table = np.full(2 * lanes * SLOTS, -8, dtype=np.int32)      # id * 8 + level
         self.first = np.arange(2 * lanes).reshape(2, lanes) * SLOTS
-        self.shift = 32 - (SLOTS.bit_length() - 1)
-
-    def look(self, lanes: int, prev: np.ndarray, prev2: np.ndarray):
-        one = prev * 0x9E3779B1
-        mixed = np.empty((2, lanes), dtype=np.int64)
-        np.add(one, prev2 * 0x85EBCA77, out=mixed[0])
-        mixed[1] = one
-        mixed &= 0xFFFFFFFF
+        self.shift = np.uint32(32 - (SLOTS.bit_length() - 1))
+
+    def look(self, prev: np.ndarray, prev2: np.ndarray):
+        lanes = len(prev)
+        mixed = np.empty((2, lanes), dtype=np.uint32)
+        np.multiply(prev.view(np.uint32), np.uint32(0x9E3779B1), out=mixed[0])
+        np.multiply(prev2.view(np.uint32), np.uint32(0x85EBCA77), out=mixed[1])
+        mixed[1] += mixed[0]
         mixed >>= self.shift
-        mixed += self.first[:, :lanes]
-        self.slots = mixed
-        found = self.table.take(mixed).astype(np.int64)
-        self.id, self.level = found >> 3, found & 7
+        self.slots = self.first[:, :lanes] + mixed
+        self.found = self.table[self.slots]
+        self.id, self.level = self.found >> 3, self.found & 7
         return self.id, self.level
 
     def learn(self, ids: np.ndarray) -> None:
-        right = self.id == ids
-        level = np.where(right, np.minimum(self.level + 1, 7), self.level >> 1)
-        new = (self.level <= 1) & ~right
-        self.table[self.slots] = np.where(new, ids * 8 + 1, self.id * 8 + level)
+        state = (self.id == ids) * _EIGHT
+        state += self.level
+        self.found += _STEP[state]
+        np.copyto(self.found, ids * 8 + 1, where=state <= 1)       # an unsure guess that was wrong
+        self.table[self.slots] = self.found
 
 
 def _code(coder: RangeCoder, sizes: np.ndarray, ids: np.ndarray) -> None:
@@ -191,16 +242,16 @@ def _code(coder: RangeCoder, sizes: np.ndarray, ids: np.ndarray) -> None:
     A decoder fills ``ids``."""
     lanes, encoding = len(sizes), coder.encoding
     guesses = Guesses(lanes)
-    # chances that a guess is right: of order 2 by its certainty and whether order 1 agrees, of
-    # order 2 by both certainties, of order 1 by its certainty and whether order 2 agreed
-    chances = np.full(lanes * 96, 1 << 14, dtype=np.int64)
-    first = np.array([[0], [16], [80]]) + np.arange(lanes) * 96     # 16, 64 and 16 contexts
-    weights = np.full((2, lanes), 1 << 15, dtype=np.int64)
+    # chances that a guess is right: of order 1 by its certainty and whether order 2 agreed, of
+    # order 2 by its certainty and whether order 1 agrees, of order 2 by both certainties
+    chances = np.full(lanes * 96, 1 << 14, dtype=np.int32)
+    first = np.array([[80], [0], [16]]) + np.arange(lanes) * 96     # 16, 16 and 64 contexts
+    weights = np.full((2, lanes), 1 << 15, dtype=np.int32)
     counts = np.ones((lanes, CLASSES), dtype=np.float32)       # whole numbers, exact in float32
     flat_counts = counts.ravel()
     up_to = np.triu(np.ones((CLASSES, CLASSES), dtype=np.float32))
-    last = np.zeros(lanes, dtype=np.int64)
-    before = np.zeros(lanes, dtype=np.int64)
+    prev = np.zeros(lanes, dtype=np.int32)
+    prev2 = np.zeros(lanes, dtype=np.int32)
     active = np.searchsorted(-sizes, -np.arange(len(ids)), side="left").tolist()
 
     for step, m in enumerate(active):
@@ -209,62 +260,78 @@ def _code(coder: RangeCoder, sizes: np.ndarray, ids: np.ndarray) -> None:
         if step % EVERY == 0:
             full = counts.sum(axis=1) > MOST
             counts[full] = np.ceil(counts[full] / 2)
-            shares, cum = counts.ravel().copy(), counts @ up_to
+            shares, cum = flat_counts.copy(), counts @ up_to
             flat_cum, totals = cum.ravel(), cum[:, -1].astype(np.uint64)
-        here = slice(0, m)
-        prev, prev2 = last[:m], before[:m]
-        truth = ids[step, :m].astype(np.int64) if encoding else None
-        (id2, id1), (sure2, sure1) = guesses.look(m, prev, prev2)
-        same = (id1 == id2) * 8
-        at = first[:, :m].copy()
-        at[0] += sure2 + same
-        at[1] += sure2 * 8 + sure1
-        at[2] += sure1 + same
-        old = chances.take(at)
-        push = _STRETCH.take(old[:2] >> 4)
-        mixed = (weights[:, :m] * push).sum(axis=0) >> 16
-        chance = _SQUASH.take(np.minimum(np.maximum(mixed, -2047), 2047) + 2047)
-        hit = coder.bit(here, chance << 4, truth == id2 if encoding else None)
-        yes = hit.astype(np.int64)
-        weights[:, :m] += (push * (((yes << 12) - chance) * 7) + 0x8000) >> 16
+        if len(prev) > m:
+            prev, prev2 = prev[:m], prev2[:m]
+        truth = ids[step, :m].astype(np.int32) if encoding else None
+        (id1, id2), sure = guesses.look(prev, prev2)
+        context = np.empty((3, m), dtype=np.int32)
+        np.add(sure, (id1 == id2) * _EIGHT, out=context[:2])
+        np.multiply(sure[1], _EIGHT, out=context[2])
+        context[2] += sure[0]
+        at = first[:, :m] + context
+        old = chances[at]
+        both = old[1:]
+        push = _STRETCH[both >> 4]
+        mixed = weights[:, :m] * push
+        mixed = mixed[0] + mixed[1]
+        mixed >>= 16
+        mixed += 2047
+        chance = _SQUASH.take(mixed, mode="clip")
+        hit = coder.bit(m, chance << 4, truth == id2 if encoding else None)
+        yes = hit.astype(np.int32)
+        error = yes << 12
+        error -= chance
+        error *= 7
+        push *= error
+        push += 0x8000
+        push >>= 16
+        weights[:, :m] += push
+        yes *= 65535
+        change = yes - both
+        change >>= 4
+        both += change
         # the order-1 guess, where order 2 was wrong
-        chance = np.minimum(np.maximum(old[2], 16), 65520)
-        hit1 = coder.bit(here, chance, truth == id1 if encoding else None, hit)
-        coder.renew()
-        right = np.empty((3, m), dtype=np.int64)
-        right[:2], right[2] = yes, hit1
-        new = old + (((right << 16) - right - old) >> 4)
-        new[2] = np.where(hit, old[2], new[2])
-        chances[at] = new
+        left = (~hit).nonzero()[0]
+        guess, was = id1[left], old[0][left]
+        value = truth[left] if encoding else None
+        right = coder.bit_of(left, np.minimum(np.maximum(was, 16), 65520),
+                             value == guess if encoding else None)
+        was += (right * np.int32(65535) - was) >> 4
+        old[0, left] = was
+        chances[at] = old
         if not encoding:
-            truth = np.where(hit, id2, id1)
-        miss = np.flatnonzero(~hit1)
+            truth = id2.copy()
+            truth[left] = guess
+        wrong = ~right
+        miss = left[wrong]
         if len(miss):
-            total = totals.take(miss)
+            coder.renew_some(miss[coder.range[miss] < _ENOUGH], _ENOUGH)
+            total = totals[miss]
             if encoding:
-                value = truth.take(miss)
-                cls = _CLASS.take(value)
+                value = value[wrong]
+                cls = _CLASS[value]
             else:
                 ahead = coder.value(miss, total).astype(np.float32)
-                cls = (cum.take(miss, axis=0) <= ahead[:, None]).sum(axis=1)
+                cls = (cum.take(miss, axis=0) > ahead[:, None]).argmax(axis=1)
             place = miss * CLASSES + cls
-            share = shares.take(place)
-            below = flat_cum.take(place) - share
+            share = shares[place]
+            below = flat_cum[place] - share
             coder.part(miss, below.astype(np.uint64), share.astype(np.uint64), total)
-            span = np.uint64(1) << _CLASS_BITS.take(cls)
+            span = _CLASS_SPAN[cls]
             if encoding:
-                rest = (value - _CLASS_FIRST.take(cls)).astype(np.uint64)
+                rest = (value - _CLASS_FIRST[cls]).astype(np.uint64)
             else:
                 rest = coder.value(miss, span)
-                truth[miss] = _CLASS_FIRST.take(cls) + rest.astype(np.int64)
+                truth[miss] = _CLASS_FIRST[cls] + rest.view(np.int64)
             coder.part(miss, rest, np.uint64(1), span)
-            coder.renew()
             flat_counts[place] += LEARN
+        coder.renew()
         if not encoding:
             ids[step, :m] = truth
         guesses.learn(truth)
-        before[:m] = prev
-        last[:m] = truth
+        prev2, prev = prev, truth
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
@@ -295,7 +362,7 @@ def decode_blocks(data: list[bytes]) -> list[np.ndarray]:
     if any(h[0] != MAGIC for h in heads):
         raise ValueError("not a block of token ids")
     parts = [np.frombuffer(data[i], dtype="<u2", offset=HEADER.size) for i in order]
-    words = np.zeros((len(data), max(map(len, parts)) + 8), dtype=np.uint16)
+    words = np.zeros((len(data), _width(max(map(len, parts)) + 8)), dtype=np.uint16)
     for lane, p in enumerate(parts):
         words[lane, :len(p)] = p
     ids = np.zeros((int(sizes[0]), len(data)), dtype=np.uint16)
@@ -344,19 +411,21 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str | None = None,
         def close():
             nonlocal ids_of, sizes_of, pieces, filled, number
             if filled:
-                waiting.append((now, number, first, ids_of, sizes_of, np.concatenate(pieces)))
+                waiting.append((now, number, first, ids_of, sizes_of,
+                                np.concatenate(pieces).astype(np.uint16)))
                 number += 1
             ids_of, sizes_of, pieces, filled = [], [], [], 0
 
-        def coded():
-            data = encode_blocks([w[5] for w in waiting])
-            columns = [*zip(*[w[:5] for w in waiting])]
+        def coded(most=None):
+            some = waiting[:most]
+            data = encode_blocks([w[5] for w in some])
+            columns = [*zip(*[w[:5] for w in some])]
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(id_type), pa.list_(pa.int64())]
             out = pa.record_batch(
                 [*(pa.array(c, t) for c, t in zip(columns, kinds)),
-                 pa.array([len(w[5]) for w in waiting], pa.int64()), pa.array(data, pa.binary())],
+                 pa.array([len(w[5]) for w in some], pa.int64()), pa.array(data, pa.binary())],
                 names=["part", "block", "first_doc", "doc_ids", "doc_sizes", "n_tokens", "data"])
-            waiting.clear()
+            del waiting[:most]
             return out
 
         for batch in batches:
@@ -379,8 +448,8 @@ def write_token_file(docs: DataFrame, path: str, tokenizer: str | None = None,
                         a += n
                         if filled == block:
                             close()
-                            if len(waiting) >= LANES:
-                                yield coded()
+                            if len(waiting) >= 2 * LANES:
+                                yield coded(LANES)
                     place += 1
                     at += 1
         close()
@@ -420,6 +489,22 @@ def crc_joined(first: int, second: int, second_bytes: int) -> int:
     return first ^ second if second_bytes else first
 
 
+def _gathered(batches):
+    """The rows of the batches, ``LANES`` at a time and at last fewer than twice as many: a step
+    of the coder costs nearly the same for few blocks as for many."""
+    waiting, n = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        n += batch.num_rows
+        while n >= 2 * LANES:
+            rows = pa.Table.from_batches(waiting)
+            yield rows.slice(0, LANES)
+            waiting = rows.slice(LANES).to_batches()
+            n -= LANES
+    if n:
+        yield pa.Table.from_batches(waiting)
+
+
 def read_token_file(spark: SparkSession, path: str, id_type: str = "long") -> DataFrame:
     """Per document and block, from the files below ``path``: part, doc (place in the range),
     block, doc_id, offset (ids of the range before), token_ids (little-endian unsigned 32-bit)."""
@@ -431,21 +516,22 @@ def read_token_file(spark: SparkSession, path: str, id_type: str = "long") -> Da
 
     def read(batches):
         encoder.cache_clear()               # a worker that wrote needs its words no more
-        for batch in batches:
-            for at in range(0, batch.num_rows, LANES):
-                some = batch.slice(at, LANES)
-                part, block, first, ids, sizes, offset, data = (c.to_pylist() for c in some.columns)
-                out = []
-                for k, found in enumerate(decode_blocks(data)):
-                    a = 0
-                    for j, (doc_id, n) in enumerate(zip(ids[k], sizes[k])):
-                        out.append((part[k], first[k] + j, block[k], doc_id, offset[k] + a,
-                                    found[a:a + n].tobytes()))
-                        a += n
-                kinds = [pa.int64(), pa.int64(), pa.int64(),
-                         some.schema.field("doc_ids").type.value_type, pa.int64(), pa.binary()]
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=[
-                    "part", "doc", "block", "doc_id", "offset", "token_ids"])
+        for some in _gathered(batches):
+            part, block, first, ids, sizes, offset, data = (c.to_pylist() for c in some.columns)
+            kinds = [pa.int64(), pa.int64(), pa.int64(),
+                     some.schema.field("doc_ids").type.value_type, pa.int64(), pa.binary()]
+            out = []
+            for k, found in enumerate(decode_blocks(data), 1):
+                a, raw = 0, found.tobytes()
+                for j, (doc_id, n) in enumerate(zip(ids[k - 1], sizes[k - 1])):
+                    out.append((part[k - 1], first[k - 1] + j, block[k - 1], doc_id,
+                                offset[k - 1] + a, raw[4 * a:4 * (a + n)]))
+                    a += n
+                if k % 1024 == 0 or k == len(data):
+                    yield pa.record_batch(
+                        [pa.array(c, t) for c, t in zip(zip(*out), kinds)],
+                        names=["part", "doc", "block", "doc_id", "offset", "token_ids"])
+                    out = []
 
     return rows.mapInArrow(read, f"part long, doc long, block long, doc_id {id_type}, "
                                  "offset long, token_ids binary")

@@ -1,10 +1,11 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from retailpulse.llm.queries import REGISTRY
-from retailpulse.llm.token_file import (crc_joined, decode_blocks, encode_blocks, read_documents,
+from retailpulse.llm.token_file import (_gathered, crc_joined, decode_blocks, encode_blocks, read_documents,
                                         read_token_file, write_token_file)
 from retailpulse.llm.tokens import Encoder, default_tokenizer
 from retailpulse.session import scratch_path
@@ -120,3 +121,39 @@ def test_awkward_rows(spark, awkward, no_documents):
     empty = scratch_path(spark, "ids")
     write_token_file(no_documents, empty)
     assert read_documents(spark, empty).count() == 0
+
+
+def test_few_blocks_of_a_batch_are_coded_with_those_of_others(monkeypatch):
+    """A step of the coder costs as much for few blocks as for many: Arrow batches do not bound it."""
+    monkeypatch.setattr("retailpulse.llm.token_file.LANES", 64)
+    rows = pa.table({"block": range(3 * 64 + 10), "data": [b"x" * k for k in range(3 * 64 + 10)]})
+    for size in (1, 7, 64, 100, 1000):
+        found = list(_gathered(iter(rows.to_batches(max_chunksize=size))))
+        assert [len(t) for t in found] == [64, 64, 64 + 10]
+        assert pa.concat_tables(found).equals(rows)
+    assert list(_gathered(iter([]))) == []
+
+
+def test_many_blocks_of_one_task(spark, documents, texts, monkeypatch):
+    monkeypatch.setattr("retailpulse.llm.token_file.LANES", 16)
+    path = scratch_path(spark, "ids")
+    write_token_file(documents, path, block=64)
+    assert spark.read.parquet(path).groupBy("part").count().agg({"count": "max"}).first()[0] > 5 * 16
+    tokens = Encoder(default_tokenizer()).tokenizer
+    found = {}
+    for r in read_token_file(spark, path).orderBy("part", "doc", "block").collect():
+        found[r["doc_id"]] = found.get(r["doc_id"], b"") + r["token_ids"]
+    for doc in texts:
+        ids = np.array([*tokens.encode(texts[doc], add_special_tokens=False).ids, 0], dtype="<u4")
+        assert found[doc] == ids.tobytes()
+
+
+def test_lanes_short_of_range_and_carries():
+    """Ids that no context guesses take most of the range; sure guesses that fail, carries."""
+    rng = np.random.default_rng(4)
+    blocks = [rng.integers(32768, 65536, 3000) for _ in range(40)]
+    blocks += [np.where(rng.random(3000) < p, rng.integers(0, 65536, 3000), 65535 - k % 3)
+               for k, p in enumerate(np.linspace(0, .3, 40))]
+    coded = encode_blocks(blocks)
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, decode_blocks(coded)))
+    assert max(map(len, coded)) < 3000 * 2.6
