@@ -17,7 +17,8 @@ worker remembers: their numbers of tokens, groups and links.
 
 Counts. Texts are handled in blocks; a block keeps its words' links as numbers of its distinct id
 pairs. Pair counts are summed over blocks, the highest count of every B id is taken, and each
-block gets the counts of its own pairs back, so nothing that grows with the corpus is broadcast.
+block gets the counts of its own pairs back, as sorted rows and not as a list on the heap, so
+nothing that grows with the corpus is broadcast and no task holds the pairs of several blocks.
 
 Defined cases: a text that is null or empty, or that either tokenizer does not give back byte by
 byte (U+2581 in it), has no tokens: zeros and an empty digest, and its links count nowhere. Rows with a null or
@@ -39,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import scratch_path
-from .common import short_batches, type_of, written
+from .common import packed, short_batches, type_of, unpacked, written
 from .tokens import default_tokenizer, encoder
 
 LONG = 100_000              # characters of a text that is one range
@@ -217,8 +218,7 @@ class Aligner:
         often = np.bincount(codes, minlength=len(size))
         counts = np.bincount(number.ravel(), weights=np.repeat(often, size), minlength=len(pairs))
         return {"pairs": pairs.astype(np.int64).tolist(), "counts": counts.astype(np.int64).tolist(),
-                "word_links": size.astype("<u4").tobytes(), "links": number.astype("<u4").tobytes(),
-                "codes": codes.astype("<u2" if len(size) <= 1 << 16 else "<u4").tobytes()}
+                "word_links": packed(size), "links": packed(number.ravel()), "codes": packed(codes)}
 
 
 @functools.lru_cache(maxsize=2)
@@ -525,29 +525,22 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
 _DOCUMENT = "doc_id {id}, key long, ok boolean, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
-def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks with the counts of their pairs (in the order of the pairs) to documents and ranges."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            total = np.array([c["total"] for c in row["found"] or ()], dtype=np.int64)
-            best = np.array([c["best"] for c in row["found"] or ()], dtype=np.int64)
-            links = np.frombuffer(row["links"], dtype="<u4")
-            word_ends = np.cumsum(np.frombuffer(row["word_links"], dtype="<u4").astype(np.int64))
-            codes = np.frombuffer(row["codes"], dtype="<u2" if len(word_ends) <= 1 << 16 else "<u4")
-            ends = np.cumsum(np.array(row["words"], dtype=np.int64))
-            sums = []
-            for value in (best, total):
-                if len(links) and len(value):
-                    sums.append(_sums(_sums(value[links], word_ends)[codes], ends))
-                else:
-                    sums.append(np.zeros(len(ends), dtype=np.int64))
-            n = len(ends)
-            ids = pa.array(row["doc_ids"], type=batch.schema.field("doc_ids").type.value_type)
-            longs = [pa.array(row[c], type=pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_groups")]
-            yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([row["key"]] * n, type=pa.int64()), pa.array(row["ok"], type=pa.bool_()), *longs,
-                 pa.array(sums[0]), pa.array(sums[1]), pa.array(row["digests"], type=pa.string())],
-                names=[f.strip().split(" ")[0] for f in _DOCUMENT.split(",")])
+def _totals(blocks: pa.Table, found: pa.Table) -> pa.Table:
+    """A block, and the counts of its pairs (rows nth, total, best, in any order), to documents or
+    a range. Pairs without counts count nothing."""
+    row = {c: blocks.column(c)[0] for c in blocks.column_names}
+    links, codes = unpacked(row["links"].as_py()), unpacked(row["codes"].as_py())
+    word_ends = np.cumsum(unpacked(row["word_links"].as_py()))
+    ends = np.cumsum(row["words"].values.to_numpy())
+    n, nth, sums = len(ends), found.column("nth").to_numpy(), []
+    for name in ("best", "total"):
+        value = np.zeros(int(links.max()) + 1 if len(links) else 0, dtype=np.int64)
+        value[nth] = found.column(name).cast(pa.int64()).fill_null(0).to_numpy()
+        sums.append(_sums(_sums(value[links], word_ends)[codes], ends) if len(links) else np.zeros(n, np.int64))
+    longs = [row[c].values for c in ("n_a", "n_b", "n_groups", "n_groups")]
+    return pa.table([row["doc_ids"].values, pa.array([row["key"].as_py()] * n, type=pa.int64()), row["ok"].values,
+                     *longs, pa.array(sums[0]), pa.array(sums[1]), row["digests"].values],
+                    names=[f.strip().split(" ")[0] for f in _DOCUMENT.split(",")])
 
 
 def align_documents(docs: DataFrame, a_path: str | None = None, b_path: str | None = None, long: int = LONG,
@@ -557,15 +550,13 @@ def align_documents(docs: DataFrame, a_path: str | None = None, b_path: str | No
     blocks = aligned_blocks(docs, a_path, b_path, long, chunk, block_chars)
     counts = pair_counts(blocks)
     asked = blocks.select("block", F.posexplode("pairs").alias("nth", "want"))
-    found = asked.join(counts, F.col("want") == F.col("pair"), "left").groupBy(F.col("block").alias("f_block")).agg(
-        F.array_sort(F.collect_list(F.struct("nth", "total", "best"))).alias("found"))
+    # A long text of which a range is not given back has no counts: its pairs may be unknown.
+    found = asked.join(counts, F.col("want") == F.col("pair"), "left").select(
+        F.col("block").alias("f_block"), "nth", "total", "best")
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     given = blocks.select("block", "key", "doc_ids", "ok", "n_a", "n_b", "n_groups", "words", "digests",
-                          "word_links", "links", "codes").join(found, F.col("block") == F.col("f_block"), "left")
-    # A long text of which a range is not given back has no counts: its pairs may be unknown.
-    fields = F.transform("found", lambda f: F.struct(F.coalesce(f["total"], F.lit(0)).alias("total"),
-                                                     F.coalesce(f["best"], F.lit(False)).alias("best")))
-    rows = given.withColumn("found", fields).drop("f_block").mapInArrow(_totals, _DOCUMENT.format(id=kind))
+                          "word_links", "links", "codes")
+    rows = given.groupBy("block").cogroup(found.groupBy("f_block")).applyInArrow(_totals, _DOCUMENT.format(id=kind))
     rows = written(rows, "align-totals")
     result = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     short = rows.where("key is null").select(*result)

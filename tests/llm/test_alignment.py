@@ -2,9 +2,11 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from retailpulse.llm import alignment as A
+from retailpulse.llm.common import packed, unpacked
 from retailpulse.llm.queries import REGISTRY
 
 SF = "/root/testdata/sf0.001"
@@ -158,3 +160,17 @@ def test_groups_as_output(spark, tool):
     row = A.aligned_blocks(df.coalesce(1), keep_groups=True).first()
     shown = ";".join(A.group_text(*g).decode() for g in plain(tool, text)[0])
     assert [bytes(g).decode() for g in row["groups"]] == [shown, ""]
+
+
+def test_pair_counts_come_back_as_rows(spark, documents, monkeypatch):
+    """No list of a block's pairs is gathered on the heap; blocks come with counts in any order."""
+    def gathered(*_):
+        raise AssertionError("gathered")
+    whole = {r["doc_id"]: r for r in A.align_documents(documents).collect()}
+    monkeypatch.setattr(A.F, "collect_list", gathered)
+    assert {r["doc_id"]: r for r in A.align_documents(documents, block_chars=20_000).collect()} == whole
+
+
+def test_packed_numbers():
+    for values in ([], [0, 0], [3, 255, 0], [1, 1 << 40, 7], [(1 << 63) - 1]):
+        assert unpacked(packed(np.array(values, dtype=np.int64))).tolist() == values
