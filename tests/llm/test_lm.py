@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from retailpulse.llm import lm
 from retailpulse.llm.queries import REGISTRY
@@ -104,3 +105,33 @@ def test_token_counts_of_many_blocks(spark, monkeypatch):
     places = {r["at"]: r["c"] for r in uses.where("at IS NOT NULL").collect()}
     assert places == {r["block"] << lm.CODE_BITS | code: want[bytes(t)] for r in rows
                       for code, (t, n) in enumerate(zip(r["vocabulary"], r["counts"])) if n != want[bytes(t)]}
+
+
+def test_forms_and_hashes_of_arrays():
+    words = pa.array([b" ", b"a", b"ab", b"ba", b"abc", b"\xff", b"long" * 500, "wörter".encode(), b"ab"], pa.binary())
+    for some in (words, words[2:], words[3:4]):
+        assert lm.forms_of(some).tolist() == [lm.form_of(t) for t in some.to_pylist()]
+    assert lm.hashes_of(words)[2:].tolist() == lm.hashes_of(words[2:]).tolist()
+    assert len(set(lm.hashes_of(words).tolist())) == 8
+
+
+def test_no_list_of_uses_on_the_heap(spark, documents, monkeypatch):
+    """A block's counts come back in a few packed arrays, whatever its vocabulary: its codes were
+    gathered as boxed numbers before."""
+    monkeypatch.setattr(lm, "SHARD", 1_000)
+    table = lm.blocks(documents)
+    totals, shards = lm.token_totals(table)
+    assert shards > 5
+    known = {r["block"]: r["entries"] for r in lm.known_entries(totals).collect()}
+    want = Counter()
+    rows = table.select("block", "vocabulary", "counts", "lasts").collect()
+    for r in rows:
+        want.update({bytes(t): n for t, n in zip(r["vocabulary"], r["counts"])})
+    number = {}
+    for r in rows:
+        assert len(known[r["block"]]) <= shards
+        entries = pa.array([e.asDict() for e in known[r["block"]]])
+        ids, counts = lm._entries(entries, "ids", "counts")
+        assert counts.tolist() == [want[bytes(t)] for t in r["vocabulary"]]
+        assert all(number.setdefault(bytes(t), i) == i for t, i in zip(r["vocabulary"], ids.tolist()))
+    assert len(set(number.values())) == len(number) == len(want)
