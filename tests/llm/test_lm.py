@@ -135,3 +135,76 @@ def test_no_list_of_uses_on_the_heap(spark, documents, monkeypatch):
         assert counts.tolist() == [want[bytes(t)] for t in r["vocabulary"]]
         assert all(number.setdefault(bytes(t), i) == i for t, i in zip(r["vocabulary"], ids.tolist()))
     assert len(set(number.values())) == len(number) == len(want)
+
+
+def test_word_features_against_plain_counts(spark, monkeypatch):
+    """Scores of documents from a count of all word pairs; the probabilities of all words sum to
+    one; a phrase of the training documents is worth more than its words in another order."""
+    monkeypatch.setattr(lm, "BLOCK_DOCS", 7)
+    monkeypatch.setattr(lm, "SHARD", 300)
+    rng = np.random.default_rng(3)
+    phrase = [f"p{k}" for k in rng.permutation(12)]
+    made = [" ".join([*(f"w{k}" for k in rng.zipf(1.7, rng.integers(0, 9)) % 40), *phrase]) for _ in range(150)]
+    docs = [(k, t) for k, t in enumerate(made)] + [(None, "w1 w2 w3"), (3, None), (3, ""), (3, made[3])]
+    held = [k for k in range(200, 400) if zlib.crc32(str(k).encode()) % 10 == 0][:2]
+    other = [phrase[k] for k in rng.permutation(12)]
+    docs += [(held[0], " ".join(phrase)), (held[1], " ".join(other))]
+    table = lm.blocks(spark.createDataFrame(docs, "doc_id long, text string").repartition(2))
+    totals, shards = lm.token_totals(table)
+    model = lm.train(table, lm.token_counts(lm.token_uses(table, totals)))
+    words = lm.words_of(table, totals, shards)
+    features = lm.feature_totals(table, totals, words)
+    assert shards > 1 and features.where("block IS NULL").count() > len(lm.WORD_TEMPLATES)
+    lm.learn_gates(features, totals, words)
+    assert ((words.gates >= 0) & (words.gates < 1)).all() and words.gates.max() > 0.5
+
+    learned = [[t.encode() if t else lm.END for t in tokens(x)] for i, x in docs
+               if i is None or zlib.crc32(str(i).encode()) % 10]
+    counts = Counter(t for d in learned for t in d)
+    pairs = {back: Counter((d[i - back], d[i]) for d in learned for i in range(back, len(d)))
+             for back in lm.WORD_TEMPLATES}
+    seen = {back: Counter() for back in pairs}
+    for back, found in pairs.items():
+        for (before, _), n in found.items():
+            seen[back][before] += n
+    rank = {bytes(t): k.bit_length() for r in totals.where("block IS NULL").collect() for k, t in enumerate(r["tokens"])}
+    class_of = lambda t: model.frequent.get(t, lm.FREQUENT + lm.form_of(t))
+
+    def chance(before, token):
+        classes = [class_of(t) for t in before[::-1][:3]] + [model.classes] * 3
+        c = class_of(token)
+        p = math.exp(model.log_probabilities(np.array([classes[:3]]))[0, c]) * (counts[token] + lm.SMOOTHING) / (
+            model.class_tokens[c] + lm.SMOOTHING * (model.class_types[c] + 1))
+        for t, back in enumerate(lm.WORD_TEMPLATES):
+            f = before[-back] if len(before) >= back else None
+            if seen[back][f]:
+                gate = words.gates[t, rank[f]]
+                p = gate * pairs[back][f, token] / seen[back][f] + (1 - gate) * p
+        return p
+
+    rows = lm.score_blocks(table, totals, features, model, words).collect()
+    assert len(rows) == len(docs)
+    want = Counter()
+    for i, text in docs:
+        d = [t.encode() if t else lm.END for t in tokens(text)]
+        want[i, len(d), round(sum(math.log10(chance(d[:k], t)) for k, t in enumerate(d)), 3)] += 1
+    assert Counter((r["doc_id"], r["n_tokens"], round(r["score"], 3)) for r in rows) == want
+    used = [k for k in range(model.classes) if model.class_types[k]]
+    for before in ([], [b"w1"], [phrase[0].encode(), phrase[1].encode()], [b"w2", b"w3"]):
+        rest = sum(math.exp(model.log_probabilities(np.array([([class_of(t) for t in before[::-1]] + [model.classes] * 3)[:3]]))[0, k])
+                   * (1 if k not in used else lm.SMOOTHING / (model.class_tokens[k] + lm.SMOOTHING * (model.class_types[k] + 1)))
+                   for k in range(model.classes))
+        for t, back in enumerate(lm.WORD_TEMPLATES):
+            if len(before) >= back and seen[back][before[-back]]:
+                rest *= 1 - words.gates[t, rank[before[-back]]]
+        assert math.isclose(sum(chance(before, t) for t in counts) + rest, 1, abs_tol=1e-4)
+    score = {r["doc_id"]: r["score"] for r in rows}
+    assert score[held[0]] > score[held[1]] + 5
+
+
+def test_mixed_numbers_are_distinct():
+    for bits in (1, 5, 23, 31):
+        x = np.arange(1 << min(2 * bits, 12)) * (1 << max(0, 2 * bits - 12)) | 1
+        y = lm.mixed(np.unique(x), bits)
+        assert len(set(y.tolist())) == len(set(x.tolist())) and int(y.max()) < 1 << 2 * bits
+        assert lm.unmixed(y, bits).tolist() == np.unique(x).tolist()
