@@ -122,7 +122,7 @@ def test_no_list_of_uses_on_the_heap(spark, documents, monkeypatch):
     table = lm.blocks(documents)
     totals, shards = lm.token_totals(table)
     assert shards > 5
-    known = {r["block"]: r["entries"] for r in lm.known_entries(totals).collect()}
+    known = {r["block"]: r["entries"] for r in lm.known_entries(totals, "ids", "counts").collect()}
     want = Counter()
     rows = table.select("block", "vocabulary", "counts", "lasts").collect()
     for r in rows:
